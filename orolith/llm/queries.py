@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, mixing, sharding
+from . import chat, mixing, quality, sharding, simhash
 from .common import table
 
 
@@ -18,6 +18,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.number_slots(placed).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.quality_verdicts(docs, labels).select("doc_id", *quality.BASE, "base_failed", "kept", "lang", *quality.EXTRA)
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = r"\### Assistant: </turn> ok"
@@ -46,6 +51,11 @@ FROM c GROUP BY conv_id
 """
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -67,6 +77,6 @@ r AS (SELECT e.*, t.source_size, t.target, ('0x' || substr(md5('mix' || coalesce
 SELECT doc_id, size, source_size, target, (least(floor(u + rate * k::DOUBLE) - floor(u + rate * (k - 1)::DOUBLE), 3) * size)::BIGINT AS taken FROM r
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_sharding": op3_sharding, "op8_chat": op8_chat, "op10_mixing": op10_mixing}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_sharding": op3_sharding, "op6_quality": op6_quality, "op8_chat": op8_chat, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
 
 SQL: dict[str, str] = {"op8_chat": OP8_SQL, "op10_mixing": OP10_SQL}
