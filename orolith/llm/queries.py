@@ -9,10 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, quality, rangecoder, sharding, simhash
+from . import chat, embeddings, mixing, packing, quality, rangecoder, sharding, simhash
 from .common import shared_dir, table
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return embeddings.near_duplicates(vectors).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = f"{shared_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
     rangecoder.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), out)
@@ -90,6 +95,6 @@ r AS (SELECT e.*, t.source_size, t.target, ('0x' || substr(md5('mix' || coalesce
 SELECT doc_id, size, source_size, target, (least(floor(u + rate * k::DOUBLE) - floor(u + rate * (k - 1)::DOUBLE), 3) * size)::BIGINT AS taken FROM r
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_files": op2_token_files, "op3_sharding": op3_sharding, "op5_packing": op5_packing, "op6_quality": op6_quality, "op8_chat": op8_chat, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_embeddings": op1_embeddings, "op2_token_files": op2_token_files, "op3_sharding": op3_sharding, "op5_packing": op5_packing, "op6_quality": op6_quality, "op8_chat": op8_chat, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
 
 SQL: dict[str, str] = {"op8_chat": OP8_SQL, "op10_mixing": OP10_SQL}
