@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, mixing, packing, quality, rangecoder, sharding, simhash
+from . import chat, embeddings, html, mixing, packing, quality, rangecoder, sharding, simhash
 from .common import shared_dir, table
 
 
@@ -41,6 +41,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(docs, labels).select("doc_id", *quality.BASE, "base_failed", "kept", "lang", *quality.EXTRA)
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = r"\### Assistant: </turn> ok"
@@ -95,6 +99,6 @@ r AS (SELECT e.*, t.source_size, t.target, ('0x' || substr(md5('mix' || coalesce
 SELECT doc_id, size, source_size, target, (least(floor(u + rate * k::DOUBLE) - floor(u + rate * (k - 1)::DOUBLE), 3) * size)::BIGINT AS taken FROM r
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_embeddings": op1_embeddings, "op2_token_files": op2_token_files, "op3_sharding": op3_sharding, "op5_packing": op5_packing, "op6_quality": op6_quality, "op8_chat": op8_chat, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_embeddings": op1_embeddings, "op2_token_files": op2_token_files, "op3_sharding": op3_sharding, "op5_packing": op5_packing, "op6_quality": op6_quality, "op7_html": op7_html, "op8_chat": op8_chat, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
 
 SQL: dict[str, str] = {"op8_chat": OP8_SQL, "op10_mixing": OP10_SQL}
