@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, html, mixing, packing, quality, rangecoder, sharding, simhash
+from . import chat, embeddings, html, lm, mixing, packing, quality, rangecoder, sharding, simhash
 from .common import shared_dir, table
 
 
@@ -31,6 +31,28 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.number_slots(placed).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op4_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.backoff_scores(table(spark, sf_dir, "documents")).select("doc_id", "n_pairs", F.round("score", 6).alias("score"))
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT row, unnest(ws[:-2]) AS h, unnest(ws[2:]) AS w FROM d WHERE len(ws) > 1),
+o AS (SELECT row, h, w, count(*) AS n FROM p GROUP BY ALL),
+u AS (SELECT row, unnest(ws) AS w FROM d),
+uo AS (SELECT row, w, count(*) AS n FROM u GROUP BY ALL),
+ho AS (SELECT row, h, sum(n) AS n FROM o GROUP BY ALL),
+c2 AS (SELECT h, w, sum(n) AS n FROM o GROUP BY ALL),
+c1 AS (SELECT w, sum(n) AS n FROM uo GROUP BY ALL),
+ch AS (SELECT h, sum(n) AS n FROM ho GROUP BY ALL),
+t AS (SELECT sum(n) AS n FROM c1),
+s AS (SELECT o.row, sum(o.n) AS n_pairs, sum(o.n * CASE WHEN c2.n - o.n > 0 THEN ln((c2.n - o.n)::DOUBLE) - ln((ch.n - ho.n)::DOUBLE)
+  ELSE ln(0.4::DOUBLE) + ln(greatest(c1.n - uo.n, 1)::DOUBLE) - ln(t.n::DOUBLE) END) AS log
+  FROM o JOIN c2 USING (h, w) JOIN ch USING (h) JOIN ho ON ho.row = o.row AND ho.h = o.h JOIN c1 ON c1.w = o.w JOIN uo ON uo.row = o.row AND uo.w = o.w, t GROUP BY o.row)
+SELECT doc_id, coalesce(n_pairs, 0)::BIGINT AS n_pairs, round(log / n_pairs, 6) AS score FROM d LEFT JOIN s ON d.row = s.row
+"""
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_windows(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -99,6 +121,6 @@ r AS (SELECT e.*, t.source_size, t.target, ('0x' || substr(md5('mix' || coalesce
 SELECT doc_id, size, source_size, target, (least(floor(u + rate * k::DOUBLE) - floor(u + rate * (k - 1)::DOUBLE), 3) * size)::BIGINT AS taken FROM r
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_embeddings": op1_embeddings, "op2_token_files": op2_token_files, "op3_sharding": op3_sharding, "op5_packing": op5_packing, "op6_quality": op6_quality, "op7_html": op7_html, "op8_chat": op8_chat, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_embeddings": op1_embeddings, "op2_token_files": op2_token_files, "op3_sharding": op3_sharding, "op4_backoff": op4_backoff, "op5_packing": op5_packing, "op6_quality": op6_quality, "op7_html": op7_html, "op8_chat": op8_chat, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
 
-SQL: dict[str, str] = {"op8_chat": OP8_SQL, "op10_mixing": OP10_SQL}
+SQL: dict[str, str] = {"op4_backoff": OP4_SQL, "op8_chat": OP8_SQL, "op10_mixing": OP10_SQL}
