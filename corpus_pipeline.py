@@ -20,8 +20,8 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: five-word shingles, the library's bits."""
-    return simhash.drop_near_duplicates(docs, words=5)
+    """One document of each near-duplicate group stays: five-word shingles, similarity 0.8."""
+    return simhash.drop_near_duplicates(docs, similarity=0.8, words=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ table gives no rows; other columns aren't read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +37,14 @@ STEP = 1 << 11
 
 def fingerprint(text: str | None, words: int) -> int:
     """The 64-bit SimHash of a whole text over shingles of so many words."""
+    return int(sketch(text, words, 0)[0])
+
+
+def sketch(text: str | None, words: int, more: int) -> np.ndarray:
+    """fingerprint() as uint64, then so many 64-bit SimHashes over further hashes of the same shingles."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return 0
+        return np.zeros(1 + more, np.uint64)
     joined = b" ".join(found)
     digest = xxhash.xxh64_digest
     if len(found) <= words:
@@ -48,25 +54,32 @@ def fingerprint(text: str | None, words: int) -> int:
         ends = np.cumsum(sizes + 1) - 1
         starts = (ends - sizes)[: len(found) - words + 1].tolist()
         digests = b"".join([digest(joined[s:e], 42) for s, e in zip(starts, ends[words - 1:].tolist(), strict=True)])
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(digests), 8 << 15):
-        bits = np.unpackbits(np.frombuffer(digests, np.uint8, min(8 << 15, len(digests) - at), at)).reshape(-1, 64)
-        whole = len(bits) // 128 * 128  # sums of 128 bits fit in a byte
-        counts += bits[:whole].reshape(-1, 128, 64).sum(1, dtype=np.uint8).sum(0, dtype=np.int64) + bits[whole:].sum(0, dtype=np.uint8)
-    return int(np.packbits(2 * counts > len(digests) // 8).view(">u8")[0])
-
-
-def fingerprints(docs: DataFrame, words: int = 4, text: str = "text") -> DataFrame:
-    """Adds fp long (the 64 bits, signed) in place of the text."""
+    hashes = np.frombuffer(digests, ">u8").astype(np.uint64)
+    out = np.empty(1 + more, np.uint64)
+    for k in range(1 + more):
+        if k:  # odd multipliers and a shift make further hashes of the first
+            hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15 + 2 * k)
+        counts = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), 1 << 15):
+            bits = np.unpackbits(hashes[at: at + (1 << 15)].view(np.uint8), bitorder="little").reshape(-1, 64)
+            whole = len(bits) // 128 * 128  # sums of 128 bits fit in a byte
+            counts += bits[:whole].reshape(-1, 128, 64).sum(1, dtype=np.uint8).sum(0, dtype=np.int64) + bits[whole:].sum(0, dtype=np.uint8)
+        out[k] = np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0]
+    return out
+
+
+def fingerprints(docs: DataFrame, words: int = 4, text: str = "text", more: int = 0) -> DataFrame:
+    """Adds fp long (the 64 bits, signed) and wide binary (more * 64 bits) in place of the text."""
     rest = [c for c in docs.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t, words) for t in b.column(text).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in rest] + [pa.array(fp, pa.int64())], [*rest, "fp"])
+            found = [sketch(t, words, more) for t in b.column(text).to_pylist()]
+            fp, wide = np.array([x[0] for x in found], np.uint64).view(np.int64), [x[1:].tobytes() for x in found]
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in rest] + [pa.array(fp, pa.int64()), pa.array(wide, pa.binary())], [*rest, "fp", "wide"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
-    return docs.mapInArrow(run, f"{fields}, fp long")
+    return docs.mapInArrow(run, f"{fields}, fp long, wide binary")
 
 
 def gray_rank(fp: np.ndarray) -> np.ndarray:
@@ -94,7 +107,7 @@ def build_index(fp: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray
 
 
 def join_blocks(a: np.ndarray, b: np.ndarray, bits: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links between fingerprints a and b, each in Gray order; same: they are one block, and each link comes once."""
+    """Links between fingerprints a and b, each in Gray order, as indices; same: they are one block, and each link comes once."""
     sizes = [(len(a), len(b))]
     while max(sizes[-1]) > 1:
         sizes.append(tuple(-(-x // FANOUT) for x in sizes[-1]))
@@ -122,16 +135,23 @@ def join_blocks(a: np.ndarray, b: np.ndarray, bits: int, same: bool) -> Iterator
         if below:
             stack.append((below, i, j))
         else:
-            yield a[i], b[j]
+            yield i, j
+
 
+def links_forest(a: np.ndarray, b: np.ndarray, bits: int, wide_bits: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links of two blocks, as signed 64-bit ids; memory stays within the forest and one step.
 
-def links_forest(a: np.ndarray, b: np.ndarray, bits: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links of two blocks, as signed 64-bit ids; memory stays within the forest and one step."""
+    a, b: sketches, a row each, in Gray order of their first column. Links differ in at most
+    bits of that, and wide_bits of the whole sketch.
+    """
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
-    for u, v in join_blocks(a, b, bits, same):
-        held.append((u.view(np.int64), v.view(np.int64)))
-        size += len(u)
+    for i, j in join_blocks(np.ascontiguousarray(a[:, 0]), np.ascontiguousarray(b[:, 0]), bits, same):
+        if a.shape[1] > 1:
+            near = np.bitwise_count(a[i] ^ b[j]).sum(1, dtype=np.int64) <= wide_bits
+            i, j = i[near], j[near]
+        held.append((a[i, 0].view(np.int64), b[j, 0].view(np.int64)))
+        size += len(i)
         if size > 1 << 20:
             held = [forest(*(np.concatenate(side) for side in zip(*held, strict=True)))]
             size = 0
@@ -140,8 +160,8 @@ def links_forest(a: np.ndarray, b: np.ndarray, bits: int, same: bool) -> tuple[n
     return forest(*(np.concatenate(side) for side in zip(*held, strict=True)))
 
 
-def near_links(distinct: DataFrame, bits: int = 4, blocks: int = 16, block_rows: int = 1 << 20) -> DataFrame:
-    """Links (a, b) between distinct fingerprints fp that connect the same groups as all links do.
+def near_links(distinct: DataFrame, bits: int = 4, blocks: int = 16, block_rows: int = 1 << 20, more: int = 0, wide_bits: int = 0) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (fp, wide) that connect the same groups as all links do.
 
     blocks: at least so many blocks, more where one would exceed block_rows fingerprints.
     """
@@ -162,11 +182,12 @@ def near_links(distinct: DataFrame, bits: int = 4, blocks: int = 16, block_rows:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+            sketches = np.column_stack([fp, np.frombuffer(b"".join(b.column("wide").to_pylist()), np.uint64).reshape(len(fp), more)])
             rank = gray_rank(fp)
             block = np.searchsorted(pivots, rank >> np.uint64(1), side="left")
             pair, side, payload = [], [], []
             for k in np.unique(block).tolist():
-                part = fp[block == k].tobytes()
+                part = sketches[block == k].tobytes()
                 for other in range(n):
                     pair.append(min(k, other) * n + max(k, other))
                     side.append(int(k > other))
@@ -178,36 +199,47 @@ def near_links(distinct: DataFrame, bits: int = 4, blocks: int = 16, block_rows:
         same = pair // n == pair % n
         sides = np.array(rows.column("side").to_pylist())
         payload = rows.column("payload").to_pylist()
-        a, b = (np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(payload[i], np.uint64) for i in np.flatnonzero(sides == s))]) for s in (0, 1))
-        a, b = (x[np.argsort(gray_rank(x), kind="stable")] for x in (a, a if same else b))
-        u, v = links_forest(a, b, bits, same) if len(a) and len(b) else (np.zeros(0, np.int64),) * 2
+        a, b = (np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(payload[i], np.uint64) for i in np.flatnonzero(sides == s))]).reshape(-1, 1 + more) for s in (0, 1))
+        a, b = (x[np.argsort(gray_rank(x[:, 0]), kind="stable")] for x in (a, a if same else b))
+        u, v = links_forest(a, b, bits, wide_bits, same) if len(a) and len(b) else (np.zeros(0, np.int64),) * 2
         return pa.table({"a": u, "b": v})
 
-    return distinct.select("fp").mapInArrow(deal, "pair long, side int, payload binary").groupBy("pair").applyInArrow(meet, "a long, b long")
+    return distinct.select("fp", "wide").mapInArrow(deal, "pair long, side int, payload binary").groupBy("pair").applyInArrow(meet, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, blocks: int = 16) -> DataFrame:
+def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, blocks: int = 16, more: int = 0, wide_bits: int = 0) -> DataFrame:
     """Adds fp and component_id (least doc_id of the group) to the columns of docs but text."""
-    marked = materialize(fingerprints(docs, words), "fp")
-    distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fps")
-    found = components(near_links(distinct, bits, blocks))
+    marked = materialize(fingerprints(docs, words, more=more), "fp")
+    distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("wide").alias("wide")), "fps")
+    found = components(near_links(distinct, bits, blocks, more=more, wide_bits=wide_bits))
     named = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
     named = materialize(named, "roots")
     heads = named.groupBy("root").agg(F.min("least").alias("component_id"))
     groups = named.join(heads, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return marked.join(groups, marked["fp"] == groups["_fp"]).drop("_fp")
+    return marked.drop("wide").join(groups, marked["fp"] == groups["_fp"]).drop("_fp")
+
+
+def similar_bits(similarity: float, bits: int, slack: float) -> int:
+    """Bits of a sketch in which texts of such a Jaccard similarity of shingles differ at most.
+
+    The sketch's angle shows the cosine of two sets, 2 s / (1 + s) for sets of one size; each
+    bit differs with probability angle / pi. slack: standard deviations above the expected number.
+    """
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * p + slack * math.sqrt(bits * p * (1 - p)))
 
 
-def drop_near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4) -> DataFrame:
-    """Keeps one document of each group, whole: the one with the least doc_id.
+def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
+    """Keeps one document of each near-duplicate group, whole: the one with the least doc_id.
 
-    Of rows that repeat that id, the first by text stays; groups without any id keep one row too.
+    The 64-bit index lets pass what texts of such a Jaccard similarity differ in with three
+    standard deviations to spare; among those a sketch of 512 bits decides, with one and a quarter
+    to spare. So a pair's similarity is known to about 0.03. Of rows that repeat the id
+    that stays, the first by hash stays; a group without any id keeps one row too.
     """
-    keys = docs.select("doc_id", "text").withColumn("_key", F.xxhash64("doc_id", "text"))
-    groups = near_duplicates(keys.select("doc_id", "text", "_key"), bits, words)
-    stays = groups.groupBy("fp", "component_id", "doc_id").agg(F.min("_key").alias("_key"))
-    root = F.coalesce("component_id", "fp")
-    best = stays.groupBy(F.col("component_id").isNull().alias("z"), root.alias("r")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("m")).select(F.col("m._key").alias("_keep"))
+    keys = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_key"))
+    groups = near_duplicates(keys, similar_bits(similarity, 64, 3.0), words, more=7, wide_bits=similar_bits(similarity, 512, 1.25))
+    group = F.struct(F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")))
+    best = groups.groupBy(group.alias("g")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("m")).select(F.col("m._key").alias("_keep"))
     marked = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    once = marked.join(best.distinct(), marked["_key"] == F.col("_keep"), "left_semi")
-    return once.dropDuplicates(["_key"]).drop("_key")
+    return marked.join(best, marked["_key"] == F.col("_keep"), "left_semi").dropDuplicates(["_key"]).drop("_key")
