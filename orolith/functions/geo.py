@@ -90,11 +90,24 @@ def lonlat_to_albers(lon: Column, lat: Column) -> tuple[Column, Column]:
     return rho * F.sin(theta) + ALBERS["east"], F.lit(ALBERS_RHO0) - rho * F.cos(theta)
 
 
-def to_lonlat(x: Column, y: Column, epsg: Column, lon0: Column) -> Column:
-    """A point as struct (lon, lat), or null for an unsupported code. lon0: central_meridian(epsg)."""
-    utm, albers = utm_to_lonlat(x, y, lon0), albers_to_lonlat(x, y)
-    pair = lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat"))
-    return F.when(lon0.isNotNull(), pair(utm)).when(epsg == 3005, pair(albers)).when(epsg == 4326, pair((x, y)))
+def _fields(**columns: Column) -> Column:
+    return F.struct(*[c.alias(name) for name, c in columns.items()])
+
+
+def _utm_points(points: Column, lon0: Column) -> Column:
+    """utm_to_lonlat over an array of (x, y). Step by step, so that a lambda computes each intermediate once."""
+    a = F.transform(points, lambda p: _fields(xi=p["y"] / (K0 * _radius), eta=(p["x"] - FALSE_EAST) / (K0 * _radius)))
+    series = lambda p, f, g: sum((f(p["xi"] * (2 * j)) * g(p["eta"] * (2 * j)) * b for j, b in enumerate(_inverse, 1)), F.lit(0.0))
+    b = F.transform(a, lambda p: _fields(xi=p["xi"] - series(p, F.sin, F.cosh), eta=p["eta"] - series(p, F.cos, F.sinh)))
+    c = F.transform(b, lambda p: _fields(chi=F.asin(F.sin(p["xi"]) / F.cosh(p["eta"])), lon=lon0 + F.degrees(F.atan2(F.sinh(p["eta"]), F.cos(p["xi"])))))
+    return F.transform(c, lambda p: _fields(lon=p["lon"], lat=F.degrees(p["chi"] + sum((F.sin(p["chi"] * (2 * j)) * d for j, d in enumerate(_latitude, 1)), F.lit(0.0)))))
+
+
+def _albers_points(points: Column) -> Column:
+    """albers_to_lonlat over an array of (x, y), in steps."""
+    a = F.transform(points, lambda p: _fields(dx=p["x"] - ALBERS["east"], dy=F.lit(ALBERS_RHO0) - p["y"]))
+    b = F.transform(a, lambda p: _fields(beta=F.asin((F.lit(ALBERS_C) - (p["dx"] * p["dx"] + p["dy"] * p["dy"]) * (ALBERS_N / A) * (ALBERS_N / A)) / ALBERS_N / _q(90.0)), lon=F.degrees(F.atan2(p["dx"], p["dy"]) / ALBERS_N) + ALBERS["lon0"]))
+    return F.transform(b, lambda p: _fields(lon=p["lon"], lat=F.degrees(p["beta"] + sum((F.sin(p["beta"] * (2 * j)) * k for j, k in enumerate(_authalic, 1)), F.lit(0.0)))))
 
 
 def transform_bounds(bounds: Column, epsg: Column) -> Column:
@@ -107,7 +120,8 @@ def transform_bounds(bounds: Column, epsg: Column) -> Column:
         F.struct(left.alias("x"), along(bottom, top, k).alias("y")), F.struct(right.alias("x"), along(bottom, top, k).alias("y")),
     )
     points = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(steps)), edge))
-    placed = F.transform(points, lambda p: to_lonlat(p["x"], p["y"], epsg, lon0))
+    plain = F.transform(points, lambda p: _fields(lon=p["x"], lat=p["y"]))
+    placed = F.when(lon0.isNotNull(), _utm_points(points, lon0)).when(epsg == 3005, _albers_points(points)).when(epsg == 4326, plain)
     box = F.aggregate(
         placed, F.array(*[F.lit(v) for v in (1e9, 1e9, -1e9, -1e9)]),
         lambda acc, p: F.array(F.least(acc[0], p["lon"]), F.least(acc[1], p["lat"]), F.greatest(acc[2], p["lon"]), F.greatest(acc[3], p["lat"])),

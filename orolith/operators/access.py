@@ -28,7 +28,7 @@ def merge(cache: DataFrame, checked: DataFrame, recheck: bool = False) -> DataFr
 def exit_status(cache: DataFrame, checked: DataFrame) -> DataFrame:
     """One row: checked, inaccessible, exit_code. With nothing checked, the whole cache decides, else the checked rows alone."""
     sides = cache.select("accessible", F.lit(0).alias("_new")).unionByName(checked.select("accessible", F.lit(1).alias("_new")))
-    counts = sides.agg(F.count_if("_new = 1").alias("checked"), F.count_if("NOT accessible AND _new = 1").alias("_fresh"), F.count_if("NOT accessible AND _new = 0").alias("_old"))
+    counts = sides.agg(F.count_if(F.expr("_new = 1")).alias("checked"), F.count_if(F.expr("NOT accessible AND _new = 1")).alias("_fresh"), F.count_if(F.expr("NOT accessible AND _new = 0")).alias("_old"))
     bad = F.when(F.col("checked") > 0, F.col("_fresh")).otherwise(F.col("_old"))
     return counts.select("checked", bad.alias("inaccessible"), F.when(bad > 0, 1).otherwise(0).alias("exit_code"))
 

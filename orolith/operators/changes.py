@@ -38,7 +38,7 @@ def compare_listings(fresh: DataFrame, cached: DataFrame) -> DataFrame:
     sides = fresh.select("url", F.lit(1).alias("f"), F.lit(0).alias("c")).unionAll(cached.select("url", F.lit(0), F.lit(1)))
     by_url = sides.groupBy("url").agg(F.sum("f").alias("f"), F.sum("c").alias("c"))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    counts = by_url.agg(total("f").alias("fresh"), total("c").alias("cached"), F.count_if("f > 0 AND c = 0").alias("new"), F.count_if("f = 0 AND c > 0").alias("deleted"), F.count_if("f > 0 AND c > 0").alias("unchanged"))
+    counts = by_url.agg(total("f").alias("fresh"), total("c").alias("cached"), F.count_if(F.expr("f > 0 AND c = 0")).alias("new"), F.count_if(F.expr("f = 0 AND c > 0")).alias("deleted"), F.count_if(F.expr("f > 0 AND c > 0")).alias("unchanged"))
     refused = (F.col("cached") > 0) & (F.col("fresh") < F.col("cached") * F.lit(schema.SHRINK_GUARD))
     changed = (F.col("new") > 0) | (F.col("deleted") > 0)
     return counts.withColumns({"refused": refused, "changed": changed, "exit_code": F.when(refused, 2).when(changed, 1).otherwise(0)})
@@ -64,7 +64,7 @@ def reconcile_counts(inventory: DataFrame, report: DataFrame, source: str = sche
     """One row: total, backed, orphaned."""
     ids = report.select(F.col("item_id").alias("_id")).distinct()
     lines = inventory.where(F.trim("url") != "").select(item_id(F.col("url"), source).alias("item_id"))
-    return lines.join(ids, F.col("item_id") == F.col("_id"), "left").agg(F.count("*").alias("total"), F.count("_id").alias("backed"), F.count_if("_id IS NULL").alias("orphaned"))
+    return lines.join(ids, F.col("item_id") == F.col("_id"), "left").agg(F.count("*").alias("total"), F.count("_id").alias("backed"), F.count_if(F.expr("_id IS NULL")).alias("orphaned"))
 
 
 def missing_from(rows: DataFrame, cache: DataFrame, key: str = "url") -> DataFrame:

@@ -99,7 +99,7 @@ def merge_links(existing: DataFrame, ids: DataFrame, base: str = schema.PUBLISHE
 
 
 def link_counts(merged: DataFrame) -> DataFrame:
-    return merged.agg(F.count_if("added").alias("added"), F.count_if("NOT added").alias("skipped"))
+    return merged.agg(F.count_if("added").alias("added"), F.count_if(F.expr("NOT added")).alias("skipped"))
 
 
 def keep_links(links: DataFrame, mode: str, test: bool) -> DataFrame:

@@ -31,7 +31,7 @@ def differences(local: DataFrame, remote: DataFrame) -> DataFrame:
 
 def summary(compared: DataFrame) -> DataFrame:
     """One row: checked, different, errors, passed."""
-    counts = compared.agg(F.count_if("NOT missing").alias("checked"), F.count_if(F.size("differences") > 0).alias("different"), F.count_if("missing").alias("errors"))
+    counts = compared.agg(F.count_if(F.expr("NOT missing")).alias("checked"), F.count_if(F.size("differences") > 0).alias("different"), F.count_if("missing").alias("errors"))
     return counts.withColumn("passed", (F.col("different") == 0) & (F.col("errors") == 0))
 
 

@@ -54,7 +54,7 @@ def report(documents: DataFrame, checked_at: str | None = None) -> DataFrame:
 
 def summary(rows: DataFrame) -> DataFrame:
     """One row: total, valid, invalid, percent valid with one decimal (0 without rows), exit_code (1 if any is invalid)."""
-    counts = rows.agg(F.count("*").alias("total"), F.count_if("json_valid").alias("valid"), F.count_if("NOT json_valid").alias("invalid"))
+    counts = rows.agg(F.count("*").alias("total"), F.count_if("json_valid").alias("valid"), F.count_if(F.expr("NOT json_valid")).alias("invalid"))
     percent = F.when(F.col("total") > 0, F.round(F.col("valid") / F.col("total") * 100, 1)).otherwise(0.0)
     return counts.withColumns({"percent": percent, "exit_code": F.when(F.col("invalid") > 0, 1).otherwise(0)})
 
@@ -72,5 +72,5 @@ def merge_reports(history: DataFrame, new: DataFrame) -> DataFrame:
 def incremental_status(history: DataFrame, new: DataFrame) -> DataFrame:
     """One row: checked, invalid, exit_code. With nothing new the run is a success, whatever history holds."""
     sides = history.select("json_valid", F.lit(0).alias("_new")).unionByName(new.select("json_valid", F.lit(1).alias("_new")))
-    counts = sides.agg(F.count_if("_new = 1").alias("checked"), F.count_if("NOT json_valid").alias("invalid"))
+    counts = sides.agg(F.count_if(F.expr("_new = 1")).alias("checked"), F.count_if(F.expr("NOT json_valid")).alias("invalid"))
     return counts.withColumn("exit_code", F.when((F.col("checked") > 0) & (F.col("invalid") > 0), 1).otherwise(0))
