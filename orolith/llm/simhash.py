@@ -208,14 +208,14 @@ def near_links(distinct: DataFrame, bits: int = 4, blocks: int = 16, block_rows:
 
 
 def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, blocks: int = 16, more: int = 0, wide_bits: int = 0) -> DataFrame:
-    """Adds fp and component_id (least doc_id of the group) to the columns of docs but text."""
+    """Adds fp, component_id (least doc_id of the group) and group (its least fp) to the columns of docs but text."""
     marked = materialize(fingerprints(docs, words, more=more), "fp")
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("wide").alias("wide")), "fps")
     found = components(near_links(distinct, bits, blocks, more=more, wide_bits=wide_bits))
     named = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
     named = materialize(named, "roots")
     heads = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = named.join(heads, "root").select(F.col("fp").alias("_fp"), "component_id")
+    groups = named.join(heads, "root").select(F.col("fp").alias("_fp"), "component_id", F.col("root").alias("group"))
     return marked.drop("wide").join(groups, marked["fp"] == groups["_fp"]).drop("_fp")
 
 
@@ -239,7 +239,6 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int =
     """
     keys = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_key"))
     groups = near_duplicates(keys, similar_bits(similarity, 64, 3.0), words, more=7, wide_bits=similar_bits(similarity, 512, 1.25))
-    group = F.struct(F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")))
-    best = groups.groupBy(group.alias("g")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("m")).select(F.col("m._key").alias("_keep"))
+    best = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("m")).select(F.col("m._key").alias("_keep"))
     marked = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
     return marked.join(best, marked["_key"] == F.col("_keep"), "left_semi").dropDuplicates(["_key"]).drop("_key")
