@@ -111,15 +111,19 @@ def _albers_points(points: Column) -> Column:
 
 
 def transform_bounds(bounds: Column, epsg: Column) -> Column:
-    """Native (left, bottom, right, top) as a lon/lat box; each edge counts with EDGE_POINTS points between its corners."""
+    """Native (left, bottom, right, top) as a lon/lat box; each edge counts with EDGE_POINTS points between its corners.
+
+    In both projections longitude grows along horizontal edges and is extreme at corners on
+    vertical ones, and latitude along a horizontal edge turns only at the projection's axis.
+    So of all edge points only the corners, and on the lower and upper edge the point nearest
+    to the axis, can be extreme: six points give the box that all of them would.
+    """
     left, bottom, right, top = (F.element_at(bounds, k) for k in (1, 2, 3, 4))
-    steps, lon0 = EDGE_POINTS + 1, central_meridian(epsg)
-    along = lambda a, b, k: a + (b - a) * (k / F.lit(float(steps)))
-    edge = lambda k: F.array(
-        F.struct(along(left, right, k).alias("x"), bottom.alias("y")), F.struct(along(left, right, k).alias("x"), top.alias("y")),
-        F.struct(left.alias("x"), along(bottom, top, k).alias("y")), F.struct(right.alias("x"), along(bottom, top, k).alias("y")),
-    )
-    points = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(steps)), edge))
+    steps, lon0 = float(EDGE_POINTS + 1), central_meridian(epsg)
+    axis = F.when(epsg == 3005, F.lit(ALBERS["east"])).otherwise(F.lit(FALSE_EAST))
+    k = F.greatest(F.least(F.round((axis - left) / F.nullif(right - left, F.lit(0.0)) * steps), F.lit(steps)), F.lit(0.0))
+    turn = left + (right - left) * (F.coalesce(k, F.lit(0.0)) / steps)
+    points = F.array(*[_fields(x=x, y=y) for x in (left, right, turn) for y in (bottom, top)])
     plain = F.transform(points, lambda p: _fields(lon=p["x"], lat=p["y"]))
     placed = F.when(lon0.isNotNull(), _utm_points(points, lon0)).when(epsg == 3005, _albers_points(points)).when(epsg == 4326, plain)
     box = F.aggregate(

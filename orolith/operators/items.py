@@ -44,9 +44,10 @@ def resolve(inventory: DataFrame, checks: DataFrame, source: str = schema.SOURCE
     void the batch, see batch_poisoned), needs_remote (no projection code), error (a date of 5
     to 7 digits or an unsupported projection), built.
     """
-    keyed = inventory.withColumn("key", urls.fix_scheme(F.col("url")))
-    rows = dates.with_dates(keyed.join(cache_lookup(checks), "key", "left")).select("*", "check.*").drop("check")
-    rows = rows.withColumns({"item_id": urls.item_id(F.col("url"), source), "href": urls.encode_spaces(F.col("key")) if encode_href else F.col("key")})
+    # Everything that a url alone decides comes before the join: a filter on status then can't pull it apart and compute it again.
+    keyed = dates.with_dates(inventory.withColumn("key", urls.fix_scheme(F.col("url")))).withColumn("item_id", urls.item_id(F.col("url"), source))
+    rows = keyed.join(cache_lookup(checks), "key", "left").select("*", "check.*").drop("check")
+    rows = rows.withColumn("href", urls.encode_spaces(F.col("key")) if encode_href else F.col("key"))
     status = (
         F.when(F.col("is_geotiff").isNull(), "no_cache").when(~F.col("is_geotiff"), "unreadable").when(F.col("date_error"), "bad_date")
         .when(F.col("epsg").isNull() | F.col("transform").isNull() | F.col("bounds").isNull(), "needs_remote")
