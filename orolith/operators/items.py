@@ -40,7 +40,7 @@ def cache_lookup(checks: DataFrame) -> DataFrame:
 def resolve(inventory: DataFrame, checks: DataFrame, source: str = schema.SOURCE, encode_href: bool = False) -> DataFrame:
     """Item rows of an inventory, a status each; no input fails the job.
 
-    status: no_cache, unreadable, bad_date (an impossible day; the reference behaviour would
+    status: no_cache, unreadable, bad_date (an impossible day; row-at-a-time runs would
     void the batch, see batch_poisoned), needs_remote (no projection code), error (a date of 5
     to 7 digits or an unsupported projection), built.
     """
