@@ -26,8 +26,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents come as often as the mix takes them; those it doesn't take go."""
-    mixed = mixing.mix_documents(docs).where("copies > 0")
-    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    mixed = mixing.mix_documents(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("doc"))).where("copies > 0")
+    return mixed.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

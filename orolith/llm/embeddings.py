@@ -14,7 +14,7 @@ expanded to rows.
 Defined results: null vectors, zero vectors and such with null or non-finite components
 link with nothing; vectors of other lengths don't link; repeated rows link with each
 other; a vector without an id has no component and isn't kept; an empty table gives no
-rows; other columns pass through.
+rows; other columns pass through, but for such with the names of results, which results replace.
 """
 
 from __future__ import annotations
@@ -271,6 +271,7 @@ def link_counts(nodes: DataFrame, threshold: float = 0.95, shards: int = 8, shar
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, shards: int = 8) -> DataFrame:
     """Adds n_links, component_id and kept to (vec_id, embedding, ...)."""
+    vectors = vectors.drop("n_links", "component_id", "kept", "_v", "_node", "_n")
     good = F.col("embedding").isNotNull() & F.forall("_v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("_v", lambda c: c != 0)
     rows = vectors.withColumn("_v", F.transform("embedding", lambda c: c.cast("double") + 0.0)).withColumn("_node", F.when(good & F.col("vec_id").isNotNull(), F.xxhash64("_v")))
     nodes = materialize(rows.where("_node IS NOT NULL").groupBy("_node").agg(F.count("*").alias("times"), F.min("vec_id").alias("least"), F.first("_v").alias("vector")).select(F.col("_node").alias("node"), "times", "least", F.size("vector").alias("dim"), "vector"), "nodes")

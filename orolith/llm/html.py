@@ -201,7 +201,7 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
 def extract_text(pages: DataFrame) -> DataFrame:
     """Adds text and n_chars (code points) to (url, html, ...), whose html goes."""
     templates = materialize(deduce_templates(pages).groupBy(F.col("host").alias("_host")).agg(F.flatten(F.collect_list("texts")).alias("_texts")), "templates")
-    joined = pages.drop("text", "n_chars").withColumn("_page_host", host_of(F.col("url"))).join(templates, F.col("_page_host") == F.col("_host"), "left").drop("_page_host", "_host")
+    joined = pages.drop("text", "n_chars", "_page_host", "_host", "_texts").withColumn("_page_host", host_of(F.col("url"))).join(templates, F.col("_page_host") == F.col("_host"), "left").drop("_page_host", "_host")
     rest = [f for f in joined.schema.fields if f.name not in ("html", "_texts")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,8 @@ buckets, then rows of a bucket): no task needs all rows of a source.
 
 Defined results: a null text has size 0; a null source is a source of its own, last;
 sources without words get target 0 and no copies; repeated rows are documents of their
-own; an empty table gives no rows; other columns pass through mix_documents unread.
+own; an empty table gives no rows; other columns pass through mix_documents unread, but for
+such with the names of results, which results replace.
 """
 
 from __future__ import annotations
@@ -51,12 +52,13 @@ def mix_documents(docs: DataFrame, seed: str = "mix", buckets: int = 64) -> Data
     buckets: hash buckets of each size class of a source. Reruns agree, as offset and order
     come from hashes of seed, source and doc_id.
     """
-    sized = docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    sized = docs.drop("size", "source_size", "target", "copies").withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
     return sample_copies(sized, seed, buckets)
 
 
 def sample_copies(sized: DataFrame, seed: str = "mix", buckets: int = 64) -> DataFrame:
     """mix_documents for rows that have their size."""
+    sized = sized.drop("source_size", "target", "copies", "_class", "_bucket", "_s", "_c", "_b", "_ahead", "_u", "_rank", "_t")
     hexes = lambda c, n: F.conv(F.substring(F.md5(c), 1, n), 16, 10).cast("long")
     digits = F.length(F.bin("size"))
     sized = sized.withColumn("_class", (F.expr("shiftright(size, greatest(length(bin(size)) - 4, 0))") + digits * 16).cast("int")).withColumn("_bucket", (hexes(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 6) % buckets).cast("int"))

@@ -158,8 +158,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, alpha: float = 0.05, de
 
 def keep_quality(docs: DataFrame, labels: DataFrame, alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
     """The rows of docs that the rules keep, with their columns as they are."""
-    names = docs.columns
-    keys = docs.withColumn("_row", F.xxhash64("doc_id", "text", "lang"))
+    keys = docs.select("doc_id", "text", "lang", F.xxhash64("doc_id", "text", "lang").alias("_row"), F.struct(*docs.columns).alias("doc"))
     signals = materialize(add_signals(keys.select("doc_id", "text", "lang", "_row")), "signals")
     kept = judge(signals, learn_cutoffs(signals, labels, "lang", alpha, delta)).where("kept").select("_row").distinct()
-    return keys.join(kept, "_row", "left_semi").select(*names)
+    return keys.select("_row", "doc").join(kept, "_row", "left_semi").select("doc.*")

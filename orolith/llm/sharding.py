@@ -60,7 +60,7 @@ def assign_shards(docs: DataFrame, tree: list[tuple[str, str, int, float]], colu
 
 def number_slots(rows: DataFrame, buckets: int = 64) -> DataFrame:
     """Adds slot, gapless from 0 in each shard: rows are counted by hash bucket, then numbered inside each."""
-    rows = rows.withColumn("_bucket", (F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), 1, 6), 16, 10).cast("long") % buckets).cast("int"))
+    rows = rows.drop("slot", "_s", "_b", "_ahead", "_rank").withColumn("_bucket", (F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), 1, 6), 16, 10).cast("long") % buckets).cast("int"))
     counts = rows.groupBy("shard", "_bucket").agg(F.count("*").alias("n"))
     starts = counts.select(F.col("shard").alias("_s"), F.col("_bucket").alias("_b"), (F.sum("n").over(Window.partitionBy("shard").orderBy("_bucket")) - F.col("n")).alias("_ahead"))
     within = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy("doc_id")) - 1

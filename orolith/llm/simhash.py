@@ -209,6 +209,7 @@ def near_links(distinct: DataFrame, bits: int = 4, blocks: int = 16, block_rows:
 
 def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, blocks: int = 16, more: int = 0, wide_bits: int = 0) -> DataFrame:
     """Adds fp, component_id (least doc_id of the group) and group (its least fp) to the columns of docs but text."""
+    docs = docs.drop("fp", "wide", "component_id", "group", "_fp")
     marked = materialize(fingerprints(docs, words, more=more), "fp")
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("wide").alias("wide")), "fps")
     found = components(near_links(distinct, bits, blocks, more=more, wide_bits=wide_bits))
@@ -240,5 +241,5 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int =
     keys = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_key"))
     groups = near_duplicates(keys, similar_bits(similarity, 64, 3.0), words, more=7, wide_bits=similar_bits(similarity, 512, 1.25))
     best = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("m")).select(F.col("m._key").alias("_keep"))
-    marked = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    return marked.join(best, marked["_key"] == F.col("_keep"), "left_semi").dropDuplicates(["_key"]).drop("_key")
+    marked = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64("doc_id", "text").alias("_key"))
+    return marked.join(best, marked["_key"] == F.col("_keep"), "left_semi").dropDuplicates(["_key"]).select("doc.*")

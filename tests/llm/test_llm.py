@@ -430,3 +430,25 @@ def test_op10_edges(odd, empty):
     assert len(rows) == len(ODD) and all(r["copies"] == 0 for r in rows if r["source"] == "")
     assert [sorted(map(str, mixing.mix_documents(odd).collect())) == sorted(map(str, rows))] == [True]
     assert mixing.mix_documents(empty).count() == 0
+
+
+# Columns with the names that operators use
+
+
+CLASH = ["size", "source_size", "target", "copies", "fp", "wide", "component_id", "group", "shard", "slot", "grown_shard", "n_words", "kept", "base_failed", "n_links", "row", "ids", "text_crc32", "_key", "_row", "_node", "rank", "copy", "doc", "col"]
+
+
+def test_clashing_columns(spark, odd):
+    wide = odd.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASH)])
+    labels = spark.createDataFrame([(1, 1, 0, 5)], "doc_id long, quality int, toxic int, lang int")
+    n = len(ODD)
+    assert simhash.near_duplicates(wide).count() == mixing.mix_documents(wide).count() == quality.quality_verdicts(wide, labels).count() == lm.backoff_scores(wide).count() == n
+    assert sharding.number_slots(sharding.assign_shards(wide, sharding.shard_tree(8))).count() == n
+    assert packing.pack_windows(wide, public_tokenizers.path("word_bpe_49k.json")).count() >= n
+    kept = simhash.drop_near_duplicates(wide)
+    assert kept.columns == wide.columns and {tuple(r[c] for c in CLASH) for r in kept.collect()} == {tuple(range(len(CLASH)))}
+    assert quality.keep_quality(wide, labels).columns == wide.columns
+    pages = spark.createDataFrame([(1, "http://h/1", "<p>x", 1, 2, 3)], "page_id long, url string, html string, text int, n_chars int, host int")
+    assert html.extract_text(pages).first()["text"] == "x"
+    vecs = spark.createDataFrame([(1, [1.0], 2, 3, 4)], "vec_id long, embedding array<float>, n_links int, component_id int, node int")
+    assert embeddings.near_duplicates(vecs).first()["n_links"] == 0

@@ -7,7 +7,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_stages(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", "1 AS size", "2 AS copies", "3 AS fp", "4 AS doc", "5 AS n_words")
     columns, before = docs.columns, docs
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         after = corpus_pipeline.materialize(stage(spark, before, SF), name)
