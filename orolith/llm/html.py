@@ -190,7 +190,7 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     """
     tokens = materialize(token_vectors(pages), "tokens")
     hosts = tokens.where("token = 0").select(F.col("host").alias("_h"), F.col("pages").alias("all_pages"))
-    classes = tokens.where("token <> 0").join(hosts, F.col("host") == F.col("_h")).where((F.col("all_pages") >= MIN_PAGES) & (F.col("pages") >= F.col("all_pages") * SUPPORT)).groupBy("host", F.col("vector").alias("class"), "pages").agg(F.min(F.struct(F.length("path"), "path")).alias("least"), F.sort_array(F.collect_set(F.when(~F.col("is_text"), F.col("path")))).alias("tags"), F.sort_array(F.collect_set(F.when(F.col("is_text"), F.col("token")))).alias("texts")).select("host", "class", F.col("least.path").alias("path"), "pages", "tags", "texts")
+    classes = tokens.where((F.col("token") != 0) & (F.col("pages") >= MIN_PAGES * SUPPORT)).join(hosts, F.col("host") == F.col("_h")).where((F.col("all_pages") >= MIN_PAGES) & (F.col("pages") >= F.col("all_pages") * SUPPORT)).groupBy("host", F.col("vector").alias("class"), "pages").agg(F.min(F.struct(F.length("path"), "path")).alias("least"), F.sort_array(F.collect_set(F.when(~F.col("is_text"), F.col("path")))).alias("tags"), F.sort_array(F.collect_set(F.when(F.col("is_text"), F.col("token")))).alias("texts")).select("host", "class", F.col("least.path").alias("path"), "pages", "tags", "texts")
     classes = materialize(classes, "classes")
     above = classes.select(F.col("host").alias("_h"), F.col("class").alias("_c"), F.col("path").alias("_p"))
     under = (F.col("host") == F.col("_h")) & (F.col("class") != F.col("_c")) & F.col("path").startswith(F.concat("_p", F.lit("/")))
