@@ -26,6 +26,8 @@ from .common import materialize
 from .tokens import ids_of
 
 K1, B = 1.2, 0.75
+#: Neighbours that are sorted at once; the rest follow where a window needs them.
+FIRST = 32
 
 
 def token_table(docs: DataFrame, path: str, end_id: int) -> DataFrame:
@@ -42,11 +44,14 @@ def token_table(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         narrow = "<u2" if size <= 1 << 16 else "<u4"
         end, row = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId() << 33
         for b in batches:
-            df = np.zeros(size, np.int64)
+            df, held = np.zeros(size, np.int64), np.zeros(size, bool)
             out = []
             for text in b.column("text").to_pylist():
                 ids = np.frombuffer(vocabulary.of(text) + end, "<u4")
-                df[np.unique(ids)] += 1
+                held[ids] = True
+                found = np.flatnonzero(held)
+                df[found] += 1
+                held[found] = False
                 out.append(ids.astype(narrow).tobytes())
             n = len(out)
             width = int(narrow[-1])
@@ -99,11 +104,19 @@ class Index:
     def scores(self, seed: int) -> np.ndarray:
         """The score of every document for all distinct ids of the seed."""
         terms = self.terms[seed].astype(np.int64)
-        first, last = self.at[terms], self.at[terms + 1]
-        sizes = last - first
-        ends = np.cumsum(sizes)
-        where = np.arange(ends[-1]) + np.repeat(first - (ends - sizes), sizes)
-        return np.bincount(self.doc[where], self.weight[where], minlength=self.n)
+        lists = list(zip(self.at[terms].tolist(), self.at[terms + 1].tolist(), strict=True))
+        doc = np.concatenate([self.doc[a:b] for a, b in lists])
+        return np.bincount(doc, np.concatenate([self.weight[a:b] for a, b in lists]), minlength=self.n)
+
+    def nearest(self, seed: int, unused: np.ndarray) -> Iterator[int]:
+        """Unused documents that share an id with the seed, best first; ties by place. The far ones are sorted only if asked for."""
+        scores = self.scores(seed)
+        scores[~unused] = 0
+        near = np.flatnonzero(scores)
+        cut = len(near) - FIRST
+        bar = np.partition(scores[near], cut)[cut] if cut > 0 else 0.0
+        for part in (near[scores[near] >= bar], near[scores[near] < bar]):
+            yield from part[np.lexsort((part, -scores[part]))].tolist()
 
 
 def fill_windows(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int) -> list[tuple[int, int, int, int, int]]:
@@ -136,12 +149,8 @@ def fill_windows(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: i
         if not offset:  # the seed ended with its window
             seed = -1
             continue
-        scores = index.scores(seed)
-        scores[~unused] = 0
-        near = np.flatnonzero(scores > 0)
-        near = near[np.lexsort((near, -scores[near]))]
-        seed = -1
-        for d in near.tolist():
+        near, seed = index.nearest(seed, unused), -1
+        for d in near:
             unused[d] = False
             at = put(d, 0)
             if not offset:
@@ -150,7 +159,7 @@ def fill_windows(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: i
                 break
 
 
-def pack_windows(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, shard_tokens: int = 4_000_000) -> DataFrame:
+def pack_windows(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, shard_tokens: int = 2_000_000) -> DataFrame:
     """Pieces of all documents: (doc_id, start, length, ids, doc_tokens, sequence_id, offset).
 
     ids holds a piece's ids as little-endian unsigned 32-bit integers. path: a file of the

@@ -18,7 +18,7 @@ import regex
 from tokenizers import Tokenizer
 
 #: Words, and pieces of words, that one process keeps; others come from the library each time.
-CACHE = 400_000
+CACHE = 600_000
 #: The split of the byte-level pre-tokenizer where a file names none.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _held: dict[str, "Ids"] = {}
@@ -64,6 +64,8 @@ class Ids(dict):
             part = part.lower()
         elif self.tokenizer.normalizer:
             part = self.tokenizer.normalizer.normalize_str(part)
+        if part.isalpha():
+            return self.piece(part)
         return b"".join(map(self.piece, self.find(part)))
 
     def __missing__(self, part: str) -> bytes:
