@@ -24,7 +24,7 @@ def _or_empty(spark: SparkSession, read, empty: T.StructType, optional: bool) ->
 
 
 def read_lines(spark: SparkSession, path: str, optional: bool = False) -> DataFrame:
-    """(ordinal, url): every line, blank ones too, in the file's order."""
+    """(ordinal, url): every line, blank ones too. Ordinals follow the lines of one file; those of several files come in the order in which Spark packs the files."""
     lines = lambda: spark.read.text(path).select(F.monotonically_increasing_id().alias("ordinal"), F.col("value").alias("url"))
     return _or_empty(spark, lines, schema.INVENTORY, optional)
 

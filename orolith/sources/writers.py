@@ -49,9 +49,12 @@ def _beside(path: str) -> str:
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
-    """URLs in input order as text, replacing what was there. Range partitions keep the order over part files."""
+    """URLs in input order as one text file, replacing what was there: the list's format is a file of lines in order.
+
+    Its ranges are sorted one after the other by the task that writes, so none needs the whole list in memory.
+    """
     staged = _beside(path)
-    lines.orderBy("ordinal").select("url").write.text(staged)
+    lines.repartitionByRange("ordinal").sortWithinPartitions("ordinal").select("url").coalesce(1).write.text(staged)
     backup = swap(lines.sparkSession, staged, path)
     if backup:
         delete(lines.sparkSession, backup)
