@@ -31,14 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def materialize(df: DataFrame, name: str = "t") -> DataFrame:
+def materialize(df: DataFrame, name: str = "t", compression: str = "snappy") -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back, which cuts its lineage.
 
     Unlike local checkpoints the files outlive executors; unlike caching they need no memory.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

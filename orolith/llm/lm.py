@@ -12,7 +12,7 @@ is known, else BACKOFF * count(w) / total, an unknown word counting as 1 occurre
 
 An n-gram has one entry a block however often it occurs, so a very frequent word or pair
 is no partition of its own. Entries are packed into arrays of one row for each block and
-partition: eight bytes a key and no columns around it. Two n-grams share a hash with
+partition: ascending keys by their differences, and no columns around them. Two n-grams share a hash with
 probability 2^-64, so among N distinct ones N * N / 2^65 pairs mix their counts.
 
 Defined results: a text of fewer than two words (null, empty, one word) has no pairs and a
@@ -37,7 +37,7 @@ BACKOFF = 0.4
 #: Bytes of text in a block, about; a longer text is a block of its own.
 BLOCK = 4 << 20
 #: Words of all documents to one partition of the counts, about.
-PART = 2_000_000
+PART = 1_000_000
 #: Bytes hashed at once.
 CHUNK = 1 << 20
 
@@ -119,6 +119,15 @@ def ranks(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ascending[fresh], at
 
 
+def pack(values: np.ndarray) -> bytes:
+    """64-bit numbers with their lowest bytes first, then all of the next: high bytes are mostly zero, and compress away."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack(rows: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel() for x in rows]
+
+
 class Grams:
     """Words and pairs of a block: distinct keys in ascending order, and the entry of each occurrence."""
 
@@ -169,13 +178,13 @@ def make_blocks(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([n], pa.int64()), *lists], ["block", "n_words", "doc_ids", "texts"])
                 block, low = block + 1, high
 
-    return materialize(docs.select("doc_id", "text").mapInArrow(run, f"block long, n_words long, doc_ids array<{kind}>, texts array<string>"), "blocks")
+    return materialize(docs.select("doc_id", "text").mapInArrow(run, f"block long, n_words long, doc_ids array<{kind}>, texts array<string>"), "blocks", "zstd")
 
 
 def explode_grams(blocks: DataFrame, parts: int) -> DataFrame:
     """Distinct n-grams of each block by the part of the hash range they fall in.
 
-    Rows are (part, block, pairs, pair_n, words, word_n, head_n): keys and numbers as arrays in binary.
+    Rows are (part, block, pairs, pair_n, words, word_n, head_n): packed numbers, and packed differences of ascending keys.
     """
     width = np.uint64((1 << 64) // parts + 1) if parts > 1 else np.uint64((1 << 64) - 1)
     names = ["part", "block", "pairs", "pair_n", "words", "word_n", "head_n"]
@@ -184,13 +193,14 @@ def explode_grams(blocks: DataFrame, parts: int) -> DataFrame:
         for b in batches:
             for k, block in enumerate(b.column("block").to_pylist()):
                 grams = Grams(b.column("texts")[k].values)
-                pair_n, word_n, head_n = (x.astype("<u4") for x in grams.numbers())
+                pair_n, word_n, head_n = grams.numbers()
                 pair_part, word_part = grams.pairs // width, grams.words // width
                 found = np.union1d(pair_part, word_part)
                 if not len(found):
                     continue
                 cuts = [(np.searchsorted(p, found, "left").tolist(), np.searchsorted(p, found, "right").tolist()) for p in (pair_part, word_part)]
-                packed = [pa.array([x[i:j].tobytes() for i, j in zip(*cut, strict=True)], pa.binary()) for x, cut in ((grams.pairs, cuts[0]), (pair_n, cuts[0]), (grams.words, cuts[1]), (word_n, cuts[1]), (head_n, cuts[1]))]
+                keys = lambda x: np.diff(x, prepend=np.uint64(0))
+                packed = [pa.array([pack(keys(x[i:j]) if x.dtype == np.uint64 else x[i:j]) for i, j in zip(*cut, strict=True)], pa.binary()) for x, cut in ((grams.pairs, cuts[0]), (pair_n, cuts[0]), (grams.words, cuts[1]), (word_n, cuts[1]), (head_n, cuts[1]))]
                 yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(np.full(len(found), block)), *packed], names)
 
     return blocks.select("block", "texts").mapInArrow(run, "part long, block long, pairs binary, pair_n binary, words binary, word_n binary, head_n binary")
@@ -200,12 +210,12 @@ def join_counts(grams: DataFrame) -> DataFrame:
     """Counts over all documents of each row's n-grams: (part, block, pair_all, word_all, head_all)."""
 
     def totals(rows: pa.Table, keys: str, *numbers: str) -> Iterator[list[bytes]]:
-        raw = rows.column(keys).to_pylist()
-        _, at = ranks(np.frombuffer(b"".join(raw), np.uint64))
-        ends = np.cumsum([len(x) // 8 for x in raw])[:-1]
+        found = [np.cumsum(x, dtype=np.uint64) for x in unpack(rows.column(keys).to_pylist())]
+        _, at = ranks(np.concatenate(found))
+        ends = np.cumsum([len(x) for x in found])[:-1]
         for name in numbers:
-            n = np.frombuffer(b"".join(rows.column(name).to_pylist()), "<u4")
-            yield [x.tobytes() for x in np.split(np.bincount(at, n).astype(np.int64)[at] if len(at) else np.zeros(0, np.int64), ends)]
+            n = np.concatenate(unpack(rows.column(name).to_pylist()))
+            yield [pack(x) for x in np.split(np.bincount(at, n).astype(np.int64)[at], ends)]
 
     def meet(rows: pa.Table) -> pa.Table:
         found = [*totals(rows, "pairs", "pair_n"), *totals(rows, "words", "word_n", "head_n")]
@@ -226,7 +236,7 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF) -> DataFrame:
         rows = rows.sort_by("part")  # nulls last: the texts
         text = rows.slice(len(rows) - 1).combine_chunks()
         ids, texts = (text.column(c).chunk(0).flatten() for c in ("doc_ids", "texts"))
-        all_counts = [np.frombuffer(b"".join(rows.column(c).slice(0, len(rows) - 1).to_pylist()), np.int64) for c in ("pair_all", "word_all", "head_all")]
+        all_counts = [np.concatenate([np.zeros(0, np.int64), *(x.astype(np.int64) for x in unpack(rows.column(c).slice(0, len(rows) - 1).to_pylist()))]) for c in ("pair_all", "word_all", "head_all")]
         grams = Grams(texts)
         doc = grams.doc[grams.head]
         n = np.bincount(doc, minlength=len(ids))
