@@ -160,8 +160,8 @@ class Grams:
         return np.where(known, np.log(np.where(known, others, 1)) - np.log(np.where(known, heads, 1)), np.log(backoff) + np.log(rest) - np.log(max(total, 1)))
 
 
-def make_blocks(docs: DataFrame) -> DataFrame:
-    """Documents in blocks, in the shared folder: (block, n_words, doc_ids, texts)."""
+def make_blocks(docs: DataFrame, size: int = BLOCK) -> DataFrame:
+    """Documents in blocks of about so many bytes, in the shared folder: (block, n_words, doc_ids, texts)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,10 +171,10 @@ def make_blocks(docs: DataFrame) -> DataFrame:
             raw, at = flat_texts(texts)
             low = 0
             while low < len(texts):
-                high = max(low + 1, int(np.searchsorted(at, at[low] + BLOCK, side="right")) - 1)
+                high = max(low + 1, int(np.searchsorted(at, at[low] + size, side="right")) - 1)
                 n = len(word_bounds(raw[at[low]: at[high]], at[low: high + 1] - at[low])[0])
-                size = pa.array([0, high - low], pa.int32())
-                lists = [pa.ListArray.from_arrays(size, x.slice(low, high - low)) for x in (ids, texts)]
+                ends = pa.array([0, high - low], pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, x.slice(low, high - low)) for x in (ids, texts)]
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([n], pa.int64()), *lists], ["block", "n_words", "doc_ids", "texts"])
                 block, low = block + 1, high
 
@@ -224,12 +224,15 @@ def join_counts(grams: DataFrame) -> DataFrame:
     return grams.groupBy("part").applyInArrow(meet, "part long, block long, pair_all binary, word_all binary, head_all binary")
 
 
-def backoff_scores(docs: DataFrame, backoff: float = BACKOFF) -> DataFrame:
-    """Adds n_pairs and score (mean natural logarithm a pair) to doc_id: one row per document."""
+def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, block: int = BLOCK, part: int = PART) -> DataFrame:
+    """Adds n_pairs and score (mean natural logarithm a pair) to doc_id: one row per document.
+
+    block: bytes of text in a block; part: words to one partition of the counts. Both bound a task.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    blocks = make_blocks(docs)
+    blocks = make_blocks(docs, block)
     total = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    counts = join_counts(explode_grams(blocks, max(1, -(-total // PART))))
+    counts = join_counts(explode_grams(blocks, max(1, -(-total // part))))
     texts = blocks.select(F.lit(None).cast("long").alias("part"), "block", *(F.lit(None).cast("binary").alias(c) for c in ("pair_all", "word_all", "head_all")), "doc_ids", "texts")
 
     def score(rows: pa.Table) -> pa.Table:

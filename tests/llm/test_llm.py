@@ -5,9 +5,11 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -208,6 +210,45 @@ def test_op4_edges(odd, empty):
     assert lm.backoff_scores(empty).count() == 0
 
 
+def brute_backoff(texts):
+    words = [(t or "").encode().split() for t in texts]
+    grams = [[Counter(zip(w, w[1:], strict=False)), Counter(w), Counter(w[:-1])] for w in words]
+    pairs, ones, heads = (sum((g[k] for g in grams), Counter()) for k in range(3))
+    total, out = sum(ones.values()), []
+    for w, (own2, own1, own_h) in zip(words, grams, strict=True):
+        logs = []
+        for h, x in zip(w, w[1:], strict=False):
+            n = pairs[h, x] - own2[h, x]
+            logs.append(math.log(n / (heads[h] - own_h[h])) if n else math.log(0.4 * max(ones[x] - own1[x], 1) / total))
+        out.append((len(logs), sum(logs) / len(logs) if logs else None))
+    return out
+
+
+@pytest.mark.parametrize(("block", "part"), [(1, 50), (400, 7), (5000, 1), (1 << 22, 10**6)])
+def test_op4_blocks(spark, block, part):
+    rng = random.Random(block)
+    texts = [None, "", " ", "a", "\u00e9 a\t\u00e9 a", *(" ".join(rng.choice(["a", "b", "hot", "é", "w" * 70, str(rng.randrange(40))]) for _ in range(rng.randrange(40))) for _ in range(60)), "hot hot " * 300]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r for r in lm.backoff_scores(frame, block=block, part=part).collect()}
+    assert len(found) == len(texts)
+    for k, (n, score) in enumerate(brute_backoff(texts)):
+        assert found[k]["n_pairs"] == n and found[k]["score"] == (None if score is None else pytest.approx(score, abs=1e-9))
+
+
+@pytest.mark.parametrize("chunk", [1, 64, 1 << 20])
+def test_op4_hashes(monkeypatch, chunk):
+    monkeypatch.setattr(lm, "CHUNK", chunk)
+    texts = ["a b  c\td", None, "", " x ", "é a b\n", "\u00a0a \x1fa", "long" * 900 + " z " + "y" * 3, *(f"w{i} {i}w" for i in range(2000))]
+    words = [(i, w) for i, t in enumerate(texts) for w in (t or "").encode().split()]
+    for start in (0, 3):
+        hashes, doc = lm.hash_words(pa.array(texts).slice(start))
+        want = [(i - start, w) for i, w in words if i >= start]
+        assert doc.tolist() == [i for i, _ in want]
+        assert len(set(zip(hashes.tolist(), (w for _, w in want), strict=True))) == len(set(hashes.tolist())) == len({w for _, w in want})
+    n = np.array([0, 1, 255, 256, 1 << 40], np.int64)
+    assert lm.unpack([lm.pack(n), lm.pack(n[:0])])[0].tolist() == n.tolist()
+
+
 # 5 packing
 
 
