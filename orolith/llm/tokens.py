@@ -44,28 +44,41 @@ class Ids(dict):
         self.find = regex.compile(patterns[0] if patterns else BYTE_LEVEL).findall
         self.spaced = not patterns  # a space belongs to the part after it
         self.alphabet = byte_alphabet()
-        ascii_marks = "".join(map(chr, range(0x21, 0x7F)))
-        self.lowers = bool(self.tokenizer.normalizer) and self.tokenizer.normalizer.normalize_str(ascii_marks) == ascii_marks.lower()
+        self.lowers = self.lowered()
+        self.codes = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab(True).values(), default=-1) + 1)]
         self.pieces: dict[str, bytes] = {}
 
+    def lowered(self) -> str:
+        """The character below which the normalizer does to printable ones just what lower() does; empty if there is none.
+
+        Latin letters only: none of them combines, and none depends on its neighbours.
+        """
+        normalizer, upto = self.tokenizer.normalizer, 0x21
+        while normalizer and upto < 0x250 and (not chr(upto).isprintable() or normalizer.normalize_str(chr(upto)) == chr(upto).lower()):
+            upto += 1
+        return chr(upto) if upto > 0x21 else ""
+
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))])
+            plain = piece.isascii() and piece.isprintable() and " " not in piece  # those characters stand for themselves
+            ids = b"".join([self.codes[t.id] for t in self.tokenizer.model.tokenize(piece if plain else piece.encode().decode("latin-1").translate(self.alphabet))])
             if len(self.pieces) < CACHE:
                 self.pieces[piece] = ids
         return ids
 
     def cut(self, part: str) -> bytes:
-        if self.lowers and part.isascii() and part.isprintable():
+        if self.lowers and part.isprintable() and max(part) < self.lowers:
             part = part.lower()
         elif self.tokenizer.normalizer:
             part = self.tokenizer.normalizer.normalize_str(part)
         if part.isalpha():
             return self.piece(part)
+        if part[-1] in ".,;:!?" and part[:-1].isalpha():  # letters never join such a mark
+            return self.piece(part[:-1]) + self.piece(part[-1])
         return b"".join(map(self.piece, self.find(part)))
 
     def __missing__(self, part: str) -> bytes:
