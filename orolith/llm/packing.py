@@ -1,7 +1,10 @@
 """Packing documents into training windows by lexical retrieval.
 
-Documents are dealt to shards of about equal tokens. A shard holds a BM25 inverted index
-over token ids; idf and mean length come from all documents. A window starts with a seed
+Documents are routed by content to shards of about equal tokens: a tree of hyperplanes
+cuts the space of their projected BM25 weights at gaps between alike documents, so copies
+share a shard and most documents of one topic do; content that outgrows a shard is spread
+over several. A shard holds a BM25 inverted index over token ids; idf and mean length come
+from all documents. Neighbours in other shards aren't seen. A window starts with a seed
 document, the index returns the shard's unused neighbours by score, and they fill the
 window in that order. The document that the window's end cuts seeds the next window; if
 none was cut, the first unused one does, as it does where no neighbour shares a term. So
@@ -28,6 +31,8 @@ from .tokens import ids_of
 K1, B = 1.2, 0.75
 #: Neighbours that are sorted at once; the rest follow where a window needs them.
 FIRST = 32
+#: Dimensions of the vectors that route documents, and the documents for each shard that place the cuts.
+DIMS, PER_SHARD = 32, 48
 
 
 def token_table(docs: DataFrame, path: str, end_id: int) -> DataFrame:
@@ -83,6 +88,75 @@ def inverse_frequencies(tokens: DataFrame) -> np.ndarray:
     return np.log1p((docs - df + 0.5) / (df + 0.5)).astype(np.float32)
 
 
+def projection(size: int) -> np.ndarray:
+    """The fixed random direction of every id."""
+    return np.random.default_rng(5).standard_normal((size, DIMS), np.float32)
+
+
+def route_vector(ids: np.ndarray, idf: np.ndarray, mean: float, directions: np.ndarray) -> np.ndarray:
+    """The projected BM25 weights of a document, of length 1."""
+    terms, tf = np.unique(ids, return_counts=True)
+    weight = idf[terms] * (tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))).astype(np.float32)
+    vector = weight @ directions[terms]
+    return vector / max(float(np.linalg.norm(vector)), 1e-9)
+
+
+def grow_tree(vectors: np.ndarray, weights: np.ndarray, shards: int) -> list[tuple]:
+    """Nodes from the root on: (direction, cut, node below, node above), or (None, first shard, shards) for a leaf.
+
+    A node cuts its part along the widest direction, at the widest gap near the middle; each side gets
+    shards by its weight. Vectors that can't be told apart share a leaf of several shards.
+    """
+    nodes: list[tuple] = []
+
+    def grow(held: np.ndarray, first: int, n: int) -> int:
+        at = len(nodes)
+        nodes.append((None, first, n))
+        if n == 1 or len(held) < 2:
+            return at
+        part = vectors[held]
+        direction = np.linalg.eigh(np.cov(part.T.astype(float)))[1][:, -1].astype(np.float32)
+        place = part @ direction
+        order = np.argsort(place, kind="stable")
+        share = np.cumsum(weights[held][order]) / weights[held].sum()
+        gaps = np.diff(place[order])
+        middle = (n // 2) / n
+        apart = gaps > 1e-5
+        near = apart & (np.abs(share[:-1] - middle) <= 0.1)
+        if near.any():
+            k = int(np.argmax(np.where(near, gaps, 0)))
+        elif apart.any():
+            k = int(np.argmin(np.where(apart, np.abs(share[:-1] - middle), 2)))
+        else:
+            return at
+        cut = float(place[order[k]] + place[order[k + 1]]) / 2
+        left = min(max(round(float(share[k]) * n), 1), n - 1)
+        below = grow(held[place <= cut], first, left)
+        nodes[at] = (direction, cut, below, grow(held[place > cut], first + left, n - left))
+        return at
+
+    grow(np.arange(len(vectors)), 0, shards)
+    return nodes
+
+
+def route(vectors: np.ndarray, rows: np.ndarray, nodes: list[tuple]) -> np.ndarray:
+    """The shard of each vector; leaves of several shards deal by row."""
+    shard = np.zeros(len(vectors), np.int64)
+    stack = [(0, np.arange(len(vectors)))]
+    while stack:
+        node, held = stack.pop()
+        if not len(held):
+            continue
+        if nodes[node][0] is None:
+            _, first, n = nodes[node]
+            shard[held] = first + rows[held] % n
+            continue
+        direction, cut, below, above = nodes[node]
+        side = vectors[held] @ direction <= cut
+        stack += [(below, held[side]), (above, held[~side])]
+    return shard
+
+
 class Index:
     """BM25 inverted index of one shard: postings by id, with the weight of the id in each document."""
 
@@ -159,7 +233,7 @@ def fill_windows(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: i
                 break
 
 
-def pack_windows(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, shard_tokens: int = 2_000_000) -> DataFrame:
+def pack_windows(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, shard_tokens: int = 4_000_000) -> DataFrame:
     """Pieces of all documents: (doc_id, start, length, ids, doc_tokens, sequence_id, offset).
 
     ids holds a piece's ids as little-endian unsigned 32-bit integers. path: a file of the
@@ -185,5 +259,26 @@ def pack_windows(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096
             "doc_tokens": np.array(n, np.int64)[d], "sequence_id": (key[0].as_py() << 32) + number, "offset": offset,
         })
 
-    dealt = real.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
+    def vectors_of(b: pa.RecordBatch, directions: np.ndarray) -> np.ndarray:
+        raw = zip(b.column("ids").to_pylist(), b.column("n_tokens").to_pylist(), strict=True)
+        return np.array([route_vector(np.frombuffer(x, f"<u{len(x) // n}"), idf.value, mean, directions) for x, n in raw], np.float32).reshape(-1, DIMS)
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        directions = projection(len(idf.value))
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in vectors_of(b, directions)], pa.binary()), b.column("n_tokens")], ["vector", "n_tokens"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        directions = projection(len(idf.value))
+        for b in batches:
+            shard = route(vectors_of(b, directions), b.column("row").to_numpy(zero_copy_only=False), tree.value)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shard)], [*b.schema.names, "shard"])
+
+    if shards == 1:
+        dealt = real.withColumn("shard", F.lit(0).cast("long"))
+    else:  # a sample places the cuts; every document is routed
+        every = max(1, real.count() // (shards * PER_SHARD))
+        sample = real.where(F.pmod(F.xxhash64("row"), F.lit(every)) == 0).mapInArrow(project, "vector binary, n_tokens long").collect()
+        tree = spark.sparkContext.broadcast(grow_tree(np.array([np.frombuffer(r["vector"], np.float32) for r in sample]).reshape(-1, DIMS), np.array([float(r["n_tokens"]) for r in sample]), shards))
+        dealt = real.mapInArrow(deal, f"row long, doc_id {kind}, n_tokens long, ids binary, shard long")
     return dealt.groupBy("shard").applyInArrow(pack, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

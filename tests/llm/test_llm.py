@@ -292,6 +292,22 @@ def test_op5_neighbours_come_first():
     assert index.scores(0) == pytest.approx([4 * weight(1), 0, 3 * weight(1), 0]) and index.scores(1)[3] == pytest.approx(2 * weight(1))
 
 
+def test_op5_shards_hold_alike(spark):
+    rng = random.Random(3)
+    words = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(40)] for _ in range(16)]
+    rows = [(i, " ".join(rng.choices(words[i % 16], k=60))) for i in range(640)]
+    rows += [(i + 640, rows[i][1]) for i in range(640)] + [(i, "same " * 100) for i in range(1280, 1480)]
+    pieces = packing.pack_windows(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), public_tokenizers.path("word_bpe_49k.json"), window=512, shard_tokens=20_000).collect()
+    shard = {p["doc_id"]: p["sequence_id"] >> 32 for p in pieces}
+    tokens = Counter()
+    for p in pieces:
+        tokens[p["sequence_id"] >> 32] += p["length"]
+    assert len(tokens) > 8 and max(tokens.values()) < 50_000
+    assert all(shard[i] == shard[i + 640] for i in range(640))
+    together = sum(shard[a] == shard[b] for t in range(16) for a in range(t, 640, 16) for b in range(t, a, 16))
+    assert together > 0.5 * 16 * 40 * 39 / 2
+
+
 # 6 quality
 
 
