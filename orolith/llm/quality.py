@@ -1,14 +1,15 @@
 """Quality rules with risk-controlled thresholds.
 
-A rule rejects a text whose signal exceeds a cutoff. For each stratum (language) and
-rule, fixed cutoffs are tried from the loosest to the tightest on the labelled holdout:
-a cutoff is good if so few good holdout texts exceed it that a true false-rejection rate
-above the rule's share of the risk has at most the rule's share of the error (an exact
-binomial tail, which is the Clopper-Pearson bound); the first cutoff that isn't ends the
-search. Tests in a fixed order need no correction among themselves; over strata and
-rules the error is divided (Bonferroni), and the rules of a stratum divide the risk. So
-with probability 1 - delta, in every stratum at most alpha of good texts are rejected
-by the rules. A rule without a good cutoff rejects nothing.
+A rule rejects a text whose signal exceeds a cutoff. For each stratum (language), a fixed
+sequence of levels is tried from the loosest to the tightest on the labelled holdout; a
+level tightens the cutoffs of all rules together. A level is good if so few good holdout
+texts exceed any of its cutoffs that a true false-rejection rate above alpha has at most
+the stratum's share of the error (an exact binomial tail, which is the Clopper-Pearson
+bound); the first level that isn't ends the search. Tests in a fixed order need no
+correction among themselves; over strata the error is divided (Bonferroni). So with
+probability 1 - delta, in every stratum at most alpha of good texts are rejected by the
+rules. At four strata 86 good labels without an exceedance pass a level. A stratum
+without a good level has no rules.
 
 Nothing is fitted to the labels but the choice among fixed cutoffs, so all labels serve
 as holdout. All counts cover all labelled texts.
@@ -22,7 +23,9 @@ give no rows; other columns pass through.
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,7 @@ RULES = {
     "repeat_word_share": (0.48, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2),
     "chars_per_word": (40.0, 30.0, 20.0, 16.0, 14.0, 12.0, 10.0),
 }
+LEVELS = max(map(len, RULES.values()))
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_lines", "n_bangs", "n_capitals")
 SYMBOLS, SPACE = "#*$%&|<>", " \t\n\v\f\r"
@@ -110,15 +114,17 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 
 
 def pick_cutoffs(counts: dict[str, list[int]], n: int, strata: int, alpha: float, delta: float) -> dict[str, float | None]:
-    """The tightest good cutoff of each rule from the numbers of good holdout texts above each cutoff."""
-    picked: dict[str, float | None] = {}
-    risk, error = alpha / len(RULES), delta / (len(RULES) * max(strata, 1))
-    for rule, cutoffs in RULES.items():
-        picked[rule] = None
-        for cutoff, above in zip(cutoffs, counts[rule], strict=True):
-            if above > risk * n or binomial_tail(above, n, risk) > error:
-                break
-            picked[rule] = cutoff
+    """The cutoffs of the tightest good level, None for all if there is none.
+
+    counts: good holdout texts rejected at each level, whose sum over the keys counts as rejected; a shorter list goes on with its last.
+    """
+    picked: dict[str, float | None] = dict.fromkeys(RULES)
+    error = delta / max(strata, 1)
+    for k in range(LEVELS):
+        above = min(n, sum(c[min(k, len(c) - 1)] for c in counts.values()))
+        if above > alpha * n or binomial_tail(above, n, alpha) > error:
+            break
+        picked = {rule: cutoffs[min(k, len(cutoffs) - 1)] for rule, cutoffs in RULES.items()}
     return picked
 
 
@@ -126,7 +132,8 @@ def learn_cutoffs(signals: DataFrame, labels: DataFrame, stratum: str = "lang",
     """Cutoffs by stratum: (stratum, a double a rule, null where the rule is off)."""
     good = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_q")).where("_q = 1")
     held = signals.where(~base_failed()).join(good, F.col("doc_id") == F.col("_id"), "left_semi")
-    tests = [F.count_if(signal > c).alias(f"{rule}_{k}") for rule, signal in rule_signals().items() for k, c in enumerate(RULES[rule])]
+    signal_of = rule_signals()
+    tests = [F.count_if(reduce(operator.or_, (signal_of[r] > cs[min(k, len(cs) - 1)] for r, cs in RULES.items()))).alias(f"above_{k}") for k in range(LEVELS)]
     counts = materialize(held.groupBy(stratum).agg(F.count("*").alias("n"), *tests), "counts")
     strata = counts.count()
     kind = signals.schema[stratum].dataType.simpleString()
@@ -134,7 +141,7 @@ def learn_cutoffs(signals: DataFrame, labels: DataFrame, stratum: str = "lang",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = b.to_pylist()
-            out = [pick_cutoffs({r: [row[f"{r}_{k}"] for k in range(len(cs))] for r, cs in RULES.items()}, row["n"], strata, alpha, delta) for row in rows]
+            out = [pick_cutoffs({"any": [row[f"above_{k}"] for k in range(LEVELS)]}, row["n"], strata, alpha, delta) for row in rows]
             yield pa.RecordBatch.from_arrays([b.column(stratum), *(pa.array([o[r] for o in out], pa.float64()) for r in RULES)], [stratum, *RULES])
 
     return counts.mapInArrow(run, f"`{stratum}` {kind}, " + ", ".join(f"{r} double" for r in RULES))

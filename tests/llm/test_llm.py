@@ -343,6 +343,19 @@ def test_op6_rules_reject_junk_and_keep_good(spark):
     assert not any(got[i] for i in range(0, 1800, 3)) and sum(got[i] for i in got if i % 3) >= 0.95 * 1200
 
 
+def test_op6_small_strata_have_rules(spark):
+    rng = random.Random(6)
+    text = lambda: " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(2, 9))) for _ in range(80))
+    rows = [(i, text() if i % 4 else text().replace(" ", "### "), ("en", "de", "fr", "es")[i // 400], "s", 1) for i in range(1600)]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(1600)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_verdicts(spark.createDataFrame(rows, DOCS), labels).collect()}
+    assert not any(got[i] for i in range(0, 1600, 4)) and sum(got[i] for i in got if i % 4) >= 0.95 * 1200
+    joint = {"any": [0, 0, 1, 20] + [20] * 6}
+    assert quality.pick_cutoffs(joint, 300, 4, 0.05, 0.05) == {r: c[2] for r, c in quality.RULES.items()}
+    assert quality.pick_cutoffs({"any": [0] * 10}, 86, 4, 0.05, 0.05)["symbols_per_word"] == 0.1
+    assert quality.pick_cutoffs({"any": [0] * 10}, 85, 4, 0.05, 0.05)["symbols_per_word"] is None
+
+
 def test_op6_edges(spark, odd, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = quality.quality_verdicts(odd, labels).collect()
