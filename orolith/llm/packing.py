@@ -95,7 +95,7 @@ def projection(size: int) -> np.ndarray:
 
 def route_vector(ids: np.ndarray, idf: np.ndarray, mean: float, directions: np.ndarray) -> np.ndarray:
     """The projected BM25 weights of a document, of length 1."""
-    terms, tf = np.unique(ids, return_counts=True)
+    terms, tf = distinct(ids)
     weight = idf[terms] * (tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))).astype(np.float32)
     vector = weight @ directions[terms]
     return vector / max(float(np.linalg.norm(vector)), 1e-9)
@@ -157,33 +157,70 @@ def route(vectors: np.ndarray, rows: np.ndarray, nodes: list[tuple]) -> np.ndarr
     return shard
 
 
+def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids of a document and how often each comes."""
+    ranked = np.sort(ids, kind="stable")  # a radix sort where ids have 16 bits
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    return ranked[first], np.diff(first, append=len(ranked))
+
+
 class Index:
-    """BM25 inverted index of one shard: postings by id, with the weight of the id in each document."""
+    """BM25 inverted index of one shard: postings by id, with the weight of the id in each document.
+
+    Ids that over a DENSE-th of the documents hold have their weights in a dense row each, which is at
+    most so many times as large as their postings.
+    """
+
+    DENSE = 4
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
-        found = [np.unique(d, return_counts=True) for d in docs]
-        self.terms = [t for t, _ in found]
+        found = [distinct(d) for d in docs]
+        self.terms = [t.astype(np.int64) for t, _ in found]
         sizes = np.array([len(t) for t in self.terms])
-        term = np.concatenate(self.terms).astype(np.int64)
+        term = np.concatenate(self.terms)
         tf = np.concatenate([c for _, c in found]).astype(np.float32)
         doc = np.repeat(np.arange(len(docs)), sizes)
         length = np.array([len(d) for d in docs], np.float32)
         norm = K1 * (1 - B + B * length / mean)
-        weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        order = np.argsort(term, kind="stable")
-        self.doc, self.weight = doc[order], weight[order]
-        self.at = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(idf)))])
-        self.n = len(docs)
+        weight = (idf[term] * tf * (K1 + 1) / (tf + norm[doc])).astype(np.float32)
+        df = np.bincount(term, minlength=len(idf))
+        often = np.flatnonzero(df * self.DENSE > len(docs))
+        self.row = np.full(len(df), -1)
+        self.row[often] = np.arange(len(often))
+        row = self.row[term]
+        dense = row >= 0
+        self.dense = np.zeros((len(often), len(docs)), np.float32)
+        self.dense[row[dense], doc[dense]] = weight[dense]
+        order = np.argsort(term[~dense], kind="stable")
+        self.doc, self.weight = doc[~dense][order], weight[~dense][order].astype(float)
+        df[often] = 0
+        self.at = np.concatenate([[0], np.cumsum(df)])
+        self.n = self.held = len(docs)
+
+    def compact(self, unused: np.ndarray) -> None:
+        """Leaves out the postings of used documents once they are half of those held; scores of the others stay."""
+        left = int(np.count_nonzero(unused))
+        if 2 * left > self.held:
+            return
+        keep = unused[self.doc]
+        self.at = np.concatenate([[0], np.cumsum(keep)])[self.at]
+        self.doc, self.weight, self.held = self.doc[keep], self.weight[keep], left
 
     def scores(self, seed: int) -> np.ndarray:
         """The score of every document for all distinct ids of the seed."""
-        terms = self.terms[seed].astype(np.int64)
+        terms = self.terms[seed]
+        row = self.row[terms]
+        total = self.dense[row[row >= 0]].sum(0)
+        terms = terms[row < 0]
         lists = list(zip(self.at[terms].tolist(), self.at[terms + 1].tolist(), strict=True))
+        if not lists:
+            return total
         doc = np.concatenate([self.doc[a:b] for a, b in lists])
-        return np.bincount(doc, np.concatenate([self.weight[a:b] for a, b in lists]), minlength=self.n)
+        return total + np.bincount(doc, np.concatenate([self.weight[a:b] for a, b in lists]), minlength=self.n)
 
     def nearest(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share an id with the seed, best first; ties by place. The far ones are sorted only if asked for."""
+        self.compact(unused)
         scores = self.scores(seed)
         scores[~unused] = 0
         near = np.flatnonzero(scores)

@@ -2,23 +2,28 @@
 
 A text is cut where a single space stands between two characters that aren't white
 space. No pre-tokenizer of the supported files joins what such a cut parts, so each
-part has the ids that it has in its text. A part new to the process is normalized by the
-library, split by the file's own pattern, and its pieces get their ids from the library's
-BPE model. Texts for which the cuts aren't certain go to the library whole.
+part has the ids that it has in its text. A comma or full stop between a letter or digit
+and a space is a part too, so a word isn't cached once more with each mark. A part new to the
+process is normalized by the library, split by the file's own pattern, and its pieces get
+their ids from the library's BPE model. Texts for which the cuts aren't certain, and
+those that hold the name of an added token, go to the library whole, so all ids are those
+of Tokenizer.encode(text, add_special_tokens=False).
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+import re
 import unicodedata
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Words, and pieces of words, that one process keeps; others come from the library each time.
-CACHE = 600_000
+#: Parts, and pieces of parts that have several, that one process keeps; others come from the library each time.
+CACHE, PIECES = 1_000_000, 200_000
 #: The split of the byte-level pre-tokenizer where a file names none.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _held: dict[str, "Ids"] = {}
@@ -36,10 +41,13 @@ class Ids(dict):
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        gc.set_threshold(200_000, 20, 100)  # collections walk the caches, which hold no cycles
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # special tokens' names are ordinary text
         with open(path, encoding="utf-8") as f:
-            steps = json.load(f)["pre_tokenizer"]
+            told = json.load(f)
+        steps = told["pre_tokenizer"]
+        self.added = [t["content"] for t in told["added_tokens"]]
+        self.hard = any(t["normalized"] for t in told["added_tokens"])  # their names would have to be sought in normalized texts
         patterns = [x["pattern"]["Regex"] for x in steps.get("pretokenizers", []) if x["type"] == "Split"]
         self.find = regex.compile(patterns[0] if patterns else BYTE_LEVEL).findall
         self.spaced = not patterns  # a space belongs to the part after it
@@ -47,6 +55,8 @@ class Ids(dict):
         self.lowers = self.lowered()
         self.codes = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab(True).values(), default=-1) + 1)]
         self.pieces: dict[str, bytes] = {}
+        for mark, sign in MARKS:
+            self[sign] = self.model_ids(mark)
 
     def lowered(self) -> str:
         """The character below which the normalizer does to printable ones just what lower() does; empty if there is none.
@@ -61,12 +71,15 @@ class Ids(dict):
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def model_ids(self, piece: str) -> bytes:
+        plain = piece.isascii() and piece.isprintable() and " " not in piece  # those characters stand for themselves
+        return b"".join([self.codes[t.id] for t in self.tokenizer.model.tokenize(piece if plain else piece.encode().decode("latin-1").translate(self.alphabet))])
+
     def piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            plain = piece.isascii() and piece.isprintable() and " " not in piece  # those characters stand for themselves
-            ids = b"".join([self.codes[t.id] for t in self.tokenizer.model.tokenize(piece if plain else piece.encode().decode("latin-1").translate(self.alphabet))])
-            if len(self.pieces) < CACHE:
+            ids = self.model_ids(piece)
+            if len(self.pieces) < PIECES:
                 self.pieces[piece] = ids
         return ids
 
@@ -75,14 +88,17 @@ class Ids(dict):
             part = part.lower()
         elif self.tokenizer.normalizer:
             part = self.tokenizer.normalizer.normalize_str(part)
-        if part.isalpha():
-            return self.piece(part)
+        if part.lstrip(" ").isalpha():
+            return self.model_ids(part)
         if part[-1] in ".,;:!?" and part[:-1].isalpha():  # letters never join such a mark
             return self.piece(part[:-1]) + self.piece(part[-1])
         return b"".join(map(self.piece, self.find(part)))
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.cut(f" {part}" if self.spaced else part)
+        if self.spaced:
+            ids = self.piece("\n") + self.cut(part[1:]) if part[0] == "\n" else self.cut(f" {part}")
+        else:
+            ids = self.cut(part) if part else b""
         if len(self) < CACHE:
             self[part] = ids
         return ids
@@ -91,20 +107,47 @@ class Ids(dict):
         """The ids of a whole text; a null text has none."""
         if not text:
             return b""
-        parts = text.split(" ")
-        if "" in parts or not text.isascii() and _uncertain(parts) or text[0].isspace() or text[-1].isspace() or any(e in text for e in EDGES):
+        if self.hard or any(name in text for name in self.added) or any(sign in text for _, sign in MARKS):
+            return self.whole(text)
+        latin, marked = _latin(text), text
+        if not self.spaced:  # white space has no ids
+            for blank in "\n\t\r":
+                marked = marked.replace(blank, " ")
+        elif not BREAK(text):
+            marked = marked.replace("\n", " \n")
+        if latin:
+            if text[0] not in ".," and not JOINED(marked):
+                for mark, sign in MARKS:
+                    marked = marked.replace(f"{mark} ", f" {sign} ")
+            if self.lowers > "\xff":
+                marked = marked.lower()
+        parts = marked.split(" ")
+        if text[0].isspace() or text[-1].isspace() or EDGE(text if self.spaced else marked) or self.spaced and "" in parts or not text.isascii() and (not latin or "\x85" in text or "\xa0" in text) and _uncertain(parts):
             return self.whole(text)
         first = self.cut(parts[0]) if self.spaced else self[parts[0]]
         return first + b"".join(map(self.__getitem__, parts[1:]))
 
 
-#: ASCII white space next to a space: there the runs of white space matter.
-EDGES = [x for c in "\t\n\v\f\r\x1c\x1d\x1e\x1f" for x in (f"{c} ", f" {c}")]
+#: Marks that are parts of their own before a space, and what stands for them there.
+MARKS = ((",", "\x01"), (".", "\x02"))
+#: Whether a text has such a mark after anything but a letter or digit.
+JOINED = re.compile(r"[.,] (?<=[\W_][.,] )").search
+#: ASCII white space next to a space: there the runs of white space matter. So they do around a line's end next to any white space.
+EDGE = re.compile(r"[\t-\r\x1c-\x1f](?:(?<= .)| )", re.S).search
+BREAK = re.compile(r"\n(?:\s|(?<=\s\n))").search
 
 
 def _uncertain(parts: list[str]) -> bool:
     """Whether a part begins or ends with white space, or with a mark that joins what is before it."""
-    return any(p[0].isspace() or p[-1].isspace() or unicodedata.combining(p[0]) for p in parts if not p.isascii())
+    return any(p[0].isspace() or p[-1].isspace() or unicodedata.combining(p[0]) for p in parts if p and not p.isascii())
+
+
+def _latin(text: str) -> bool:
+    """Whether no character is beyond U+00FF: there the case of a letter depends on nothing else."""
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
 
 
 def ids_of(path: str) -> Ids:

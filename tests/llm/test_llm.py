@@ -130,14 +130,16 @@ def test_predictable_ids_cost_little():
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_cached_ids_equal_the_librarys(docs, name):
-    ids = tokens.ids_of(public_tokenizers.path(name))
-    texts = [r["text"] for r in docs.values()] + ["a  b", "a \n b", " a", "a ", "x\ny z", "a ́b", "", "<|endoftext|> a", "it's don't 's b", "ΑΣ ΒΣ", "İ i", "ﬁ ½ 12 345", "a\x1c b", "  b", "A  b"]
-    assert all(ids.of(t) == ids.whole(t) for t in texts) and ids.of(None) == b""
+    ids, plain = tokens.ids_of(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
+    rnd = random.Random(3)
+    mixed = ["".join(rnd.choice(["a", "B", "é", "ß", "İ", "²", "́", ",", ".", " ", " ", "5", "_", "\n", "\t", "\xa0", "\x01", "'s", "<|endoftext|>"]) for _ in range(rnd.randint(1, 14))) for _ in range(3000)]
+    texts = [r["text"] for r in docs.values()] + mixed + ["a  b", "a \n b", " a", "a ", "x\ny z", "a ́b", "", "<|endoftext|> a", "it's don't 's b", "ΑΣ ΒΣ", "İ i", "ﬁ ½ 12 345", "a\x1c b", "  b", "A  b"]
+    assert all(np.frombuffer(ids.of(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids for t in texts) and ids.of(None) == b""
+    assert len(plain.encode("hello <|endoftext|> world", add_special_tokens=False).ids) == 3  # the plain call knows the names of special tokens
 
 
 def check_token_files(spark, rows, frame, tmp_path):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     rangecoder.write_token_files(frame, public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "f"))
     got = sorted((tuple(r) for r in rangecoder.read_token_files(spark.read.parquet(str(tmp_path / "f"))).collect()), key=lambda r: r[1])
     want = sorted(((i is not None, i or 0, t or "", np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes()) for i, t in rows), key=lambda r: r[:3])
@@ -292,6 +294,33 @@ def test_op5_neighbours_come_first():
     assert index.scores(0) == pytest.approx([4 * weight(1), 0, 3 * weight(1), 0]) and index.scores(1)[3] == pytest.approx(2 * weight(1))
 
 
+def test_op5_greedy_against_brute_force():
+    rng = np.random.default_rng(5)
+    docs = [np.minimum(rng.geometric(0.02, rng.integers(1, 60)), 299).astype("<u2") for _ in range(150)]
+    df = Counter(int(t) for d in docs for t in set(d.tolist()))
+    idf = np.array([math.log1p((len(docs) - df[t] + 0.5) / (df[t] + 0.5)) for t in range(300)], np.float32)
+    mean = sum(map(len, docs)) / len(docs)
+    tf = [Counter(d.tolist()) for d in docs]
+
+    def score(seed, d):
+        norm = packing.K1 * (1 - packing.B + packing.B * len(docs[d]) / mean)
+        return sum(idf[t] * tf[d][t] * (packing.K1 + 1) / (tf[d][t] + norm) for t in tf[seed] if t in tf[d])
+
+    index = packing.Index(docs, idf, mean)
+    assert len(index.dense) and all(index.scores(s) == pytest.approx([score(s, d) for d in range(150)], rel=1e-4, abs=1e-4) for s in (0, 9, 77))
+    pieces, used, seed, last = packing.fill_windows(docs, idf, mean, 100), set(), None, None
+    assert sorted((d, s + k) for d, s, n, _, _ in pieces for k in range(n)) == [(d, k) for d in range(150) for k in range(len(docs[d]))]
+    for d, start, _, number, _ in pieces:
+        if number != last or seed is None:
+            seed, last = d, number  # what begins a window seeds it
+        elif not start and d not in used:
+            best = max(score(seed, x) for x in range(150) if x not in used)
+            assert score(seed, d) >= best - 1e-3 or best == 0
+            if score(seed, d) == 0:
+                seed = d  # nothing shares an id: the first unused document seeds anew
+        used.add(d)
+
+
 def test_op5_shards_hold_alike(spark):
     rng = random.Random(3)
     words = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(40)] for _ in range(16)]
