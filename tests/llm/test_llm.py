@@ -402,22 +402,63 @@ def test_op6_edges(spark, odd, empty):
     ("<header>H</header><nav>N</nav><article><h1>T</h1><p>x &lt; y&nbsp;z</p><aside>no</aside><form>no</form></article><footer>F</footer>", "T x < y z"),
     ("<article><p>t</p><div id='comments'>no</div></article><div class='cookie-notice'>no</div>", "t"), ("<article>t<section class=commentList><p>no</p></section>", "t"),
     ("<div class=menu>m</div><div><p>one</div>two<script>if (a<b) '</p>'</script>", "one two"), ("<article><p>cut &am", "cut &am"), ("<article>a <span class='ad'>no</span> b</article>", "a b"), ("<!-- <p>no</p> --><p>y", "y"),
+    ("<article><p title=it's>Text don't stop</p><p>more</p></article>", "Text don't stop more"), ("<article>a <math><mi>x</mi></math> <svg><text>s</text></svg> <noscript>n</noscript></article>", "a x s n"), ("<article><p class='share price'>up</p><section id='related'>s</section><p class='ad'>no</p></article>", "up s"),
+    ("<p a='>' b=\"'>\" c=\"x>y>z\" d=e'f\">t</p>", "t"), ("<div id=c><h1>T</h1><div>the body of the text</div></div><div>x</div>", "T the body of the text"), ("<main><div>the long story that this page is about</div><article class=card>teaser</article></main>", "the long story that this page is about"),
     ("<main>m<article>a</article></main>", "a"), ("<main>m</main><div>d</div>", "m"), ("<article><header><h1>T</h1></header>x</article>", "T x"),
 ])
 def test_op7_pages(page, text):
-    assert html.main_text(page, set()) == text
+    assert html.main_text(page, set(), set()) == text
+
+
+def brute_classes(pages):
+    """Valid classes of a host's pages as sets of (path, text), text None for elements."""
+    times = []
+    for page in pages:
+        elements, blocks = html.parse(page)
+        times.append(Counter([(e[0], None) for e in elements] + [(elements[e][0], text) for e, text, _ in blocks]))
+    found = {}
+    for token in set().union(*times):
+        vector = tuple(t[token] for t in times)
+        if sum(n > 0 for n in vector) >= max(2, html.SUPPORT * len(pages)):
+            found.setdefault(vector, set()).add(token)
+    return [c for c in found.values() if any(text is None for _, text in c)]
+
+
+def shell(i, body):
+    """A page without names to go by: a fixed block longer than any article, links, and the article in a division."""
+    return f"<html><body><div class=x1><p>{'House words on every page. ' * 30}</p></div><div class=x2><div>{'<p>entry</p>' * 3}</div></div><div class=x3>{body}</div><div class=x4><p>All rights {i % 3}</p></div></body></html>"
+
+
+def body(i):
+    return f"<h1>Head {i}</h1><p>Article number {i} has text of its own, long enough to count.</p>" + f"<p>More {i}</p>" * (i % 3)
+
+
+def test_op7_classes_against_brute_force(spark):
+    htmls = [shell(i, body(i)) for i in range(9)] + ["<html><body><main><p>other layout one</p></main></body></html>", "<html><body><main><p>other layout two</p></main></body></html>"]
+    frame = spark.createDataFrame([(i, f"http://h.example/{i}", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    token = lambda path, text: html._hash(path) if text is None else html._hash(path, text)
+    want = [{token(*t) for t in c} for c in brute_classes(htmls)]
+    got = html.deduce_templates(frame).collect()
+    assert sorted(sorted([*r["elements"], *r["texts"]]) for r in got) == sorted(map(sorted, want)) and len(want) >= 4
+    held = {r["class"]: r for r in got}
+    for r in got:  # a class nests in that of the element around its outermost one
+        assert (r["parent"] is None) == (r["path"] == "") and (r["path"] == "" or html._hash(r["path"].rsplit("/", 1)[0]) in held[r["parent"]]["elements"] or r["path"].count("/") < 2)
 
 
 def test_op7_template(spark):
-    page = lambda i, extra="": f"<html><body><div><p>Word of house</p></div><div class=c><p>Article number {i} has text of its own, long enough to count.</p>{extra}</div><div><p>All rights</p></div></body></html>"
-    rows = [(i, f"http://h.example/{i}", page(i)) for i in range(12)] + [(50 + i, f"http://few.example/{i}", page(i)) for i in range(3)] + [(90, None, None), (91, "odd", "<p>x"), (91, "odd", "<p>x")]
+    rows = [(i, f"http://h.example/{i}", shell(i, body(i))) for i in range(12)] + [(50 + i, f"http://two.example/{i}", shell(i, body(i))) for i in range(2)]
+    rows += [(60 + i, f"http://both.example/{i}", shell(i, body(i)) if i % 2 else f"<html><body><section class=s><p>Story {i} in another layout.</p></section><div><p>{'Fixed words of it. ' * 20}</p></div></body></html>") for i in range(8)]
+    rows += [(90, None, None), (91, "odd", "<p>x"), (91, "odd", "<p>x"), (92, "http://lone.example/", shell(0, body(0)))]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r for r in html.extract_text(pages).collect()}
-    assert got[3]["text"] == "Article number 3 has text of its own, long enough to count." and got[3]["n_chars"] == len(got[3]["text"])
-    assert got[51]["text"].startswith("Word of house") and got[90]["text"] == "" and html.extract_text(pages).count() == len(rows)
-    classes = html.deduce_templates(pages).collect()
-    assert {r["host"] for r in classes} == {"h.example"} and max(len(r["texts"]) for r in classes) == 2 and all(r["pages"] == 12 for r in classes)
-    copies = spark.createDataFrame([(i, f"http://h.example/{i}", "<article><p>The same words everywhere</p></article>") for i in range(10)], pages.schema)
+    want = lambda i: " ".join([f"Head {i}", f"Article number {i} has text of its own, long enough to count.", *[f"More {i}"] * (i % 3)])
+    assert all(got[i]["text"] == want(i) and got[i]["n_chars"] == len(want(i)) for i in range(12))
+    assert all(got[50 + i]["text"] == want(i) for i in range(2))  # two pages of a host are enough
+    assert all(got[60 + i]["text"] == (want(i) if i % 2 else f"Story {i} in another layout.") for i in range(8))
+    assert got[90]["text"] == "" and got[91]["text"] == "x" and html.extract_text(pages).count() == len(rows)
+    lone = html.main_text(shell(3, body(3)), set(), set())
+    assert lone != want(3) and "House words" in lone and got[92]["text"].startswith("House words")  # what the template is for
+    copies = spark.createDataFrame([(i, f"http://h.example/{i}", f"<body><nav>{i}</nav><article><p>The same words everywhere</p></article></body>") for i in range(10)], pages.schema)
     assert {r["text"] for r in html.extract_text(copies).collect()} == {"The same words everywhere"}
     assert html.extract_text(pages.limit(0)).count() == 0
 
