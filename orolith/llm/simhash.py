@@ -40,11 +40,11 @@ def fingerprint(text: str | None, words: int) -> int:
     return int(sketch(text, words, 0)[0])
 
 
-def sketch(text: str | None, words: int, more: int) -> np.ndarray:
-    """fingerprint() as uint64, then so many 64-bit SimHashes over further hashes of the same shingles."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """The XXH64 of each shingle of a whole text in order: none without words, one with fewer words than a shingle."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return np.zeros(1 + more, np.uint64)
+        return np.zeros(0, np.uint64)
     joined = b" ".join(found)
     digest = xxhash.xxh64_digest
     if len(found) <= words:
@@ -54,8 +54,15 @@ def sketch(text: str | None, words: int, more: int) -> np.ndarray:
         ends = np.cumsum(sizes + 1) - 1
         starts = (ends - sizes)[: len(found) - words + 1].tolist()
         digests = b"".join([digest(joined[s:e], 42) for s, e in zip(starts, ends[words - 1:].tolist(), strict=True)])
-    hashes = np.frombuffer(digests, ">u8").astype(np.uint64)
-    out = np.empty(1 + more, np.uint64)
+    return np.frombuffer(digests, ">u8").astype(np.uint64)
+
+
+def sketch(text: str | None, words: int, more: int) -> np.ndarray:
+    """fingerprint() as uint64, then so many 64-bit SimHashes over further hashes of the same shingles."""
+    hashes = shingle_hashes(text, words)
+    out = np.zeros(1 + more, np.uint64)
+    if not len(hashes):
+        return out
     for k in range(1 + more):
         if k:  # odd multipliers and a shift make further hashes of the first
             hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15 + 2 * k)
@@ -138,37 +145,80 @@ def join_blocks(a: np.ndarray, b: np.ndarray, bits: int, same: bool) -> Iterator
             yield i, j
 
 
-def links_forest(a: np.ndarray, b: np.ndarray, bits: int, wide_bits: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links of two blocks, as signed 64-bit ids; memory stays within the forest and one step.
+def links_forest(a: np.ndarray, b: np.ndarray, bits: int, bands: tuple[int, int] | None, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A spanning forest (node, node, sure) of the links of two blocks; memory stays within the forest and one step.
 
-    a, b: sketches, a row each, in Gray order of their first column. Links differ in at most
-    bits of that, and wide_bits of the whole sketch.
+    a, b: sketches, a row each, in Gray order of their first column; their last column is the node. Links differ in at most bits of the first column and, with bands (sure, wide), in at most wide
+    of all bits between; up to sure bits they need no test. Of the others, which do, those of least difference
+    make up the forest where sure links don't connect already.
     """
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, ...]] = []
     size = 0
+
+    def reduce() -> list[tuple[np.ndarray, ...]]:
+        u, v, apart = (np.concatenate([np.zeros(0, np.int64), *side]) for side in zip(*held, strict=True)) if held else (np.zeros(0, np.int64),) * 3
+        sure = apart <= (bands[0] if bands else bits)
+        x, y = forest(u[sure], v[sure])
+        kept = [(x, y, np.zeros(len(x), np.int64))]
+        if not sure.all():
+            kept.append(nearest_forest(x, y, u[~sure], v[~sure], apart[~sure]))
+        return kept
+
     for i, j in join_blocks(np.ascontiguousarray(a[:, 0]), np.ascontiguousarray(b[:, 0]), bits, same):
-        if a.shape[1] > 1:
-            near = np.bitwise_count(a[i] ^ b[j]).sum(1, dtype=np.int64) <= wide_bits
-            i, j = i[near], j[near]
-        held.append((a[i, 0].view(np.int64), b[j, 0].view(np.int64)))
+        apart = np.zeros(len(i), np.int64)
+        if bands:
+            apart = np.bitwise_count(a[i, :-1] ^ b[j, :-1]).sum(1, dtype=np.int64)
+            near = apart <= bands[1]
+            i, j, apart = i[near], j[near], apart[near]
+        held.append((a[i, -1].view(np.int64), b[j, -1].view(np.int64), apart))
         size += len(i)
         if size > 1 << 20:
-            held = [forest(*(np.concatenate(side) for side in zip(*held, strict=True)))]
-            size = 0
-    if not held:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return forest(*(np.concatenate(side) for side in zip(*held, strict=True)))
+            held, size = reduce(), 0
+    u, v, apart = (np.concatenate(side) for side in zip(*reduce(), strict=True))
+    return u, v, apart <= (bands[0] if bands else bits)
+
+
+def nearest_forest(x: np.ndarray, y: np.ndarray, u: np.ndarray, v: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of links (u, v, apart) those, by least difference, that connect what the forest (x, y) leaves apart."""
+    root = dict(zip(x.tolist(), y.tolist(), strict=True))
+
+    def find(n: int) -> int:
+        while (up := root.get(n, n)) != n:
+            root[n] = root.get(up, up)
+            n = root[n]
+        return n
+
+    kept = []
+    for k in np.lexsort((v, u, apart)).tolist():
+        p, q = find(int(u[k])), find(int(v[k]))
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            kept.append(k)
+    return u[kept], v[kept], apart[kept]
+
+
+def block_bits(pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(mask, pattern) of the bits that all fingerprints of a block share, from the Gray ranks between which it lies, which lack their last bit."""
+    low = np.concatenate([np.zeros(1, np.uint64), pivots + np.uint64(1)])
+    high = np.concatenate([pivots, np.full(1, (1 << 63) - 1, np.uint64)])
+    high = np.maximum(low, high)
+    apart = low ^ high
+    for shift in (1, 2, 4, 8, 16, 32):
+        apart |= apart >> np.uint64(shift)
+    mask = ~((apart << np.uint64(1)) | np.uint64(1))
+    rank = low << np.uint64(1)
+    return mask, (rank ^ (rank >> np.uint64(1))) & mask
 
 
-def near_links(distinct: DataFrame, bits: int = 4, blocks: int = 16, block_rows: int = 1 << 20, more: int = 0, wide_bits: int = 0) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (fp, wide) that connect the same groups as all links do.
+def near_links(distinct: DataFrame, bits: int = 4, blocks: int = 16, block_rows: int = 1 << 20, more: int = 0, bands: tuple[int, int] | None = None) -> DataFrame:
+    """Links (a, b, sure) between nodes (node, fp, wide) that connect the same nodes as all links do.
 
-    blocks: at least so many blocks, more where one would exceed block_rows fingerprints.
+    blocks: at least so many blocks, more where one would exceed block_rows fingerprints. Pairs of blocks whose shared bits differ too much don't meet.
     """
     spark = distinct.sparkSession
     total = distinct.count()
     if not total:
-        return spark.createDataFrame([], "a long, b long")
+        return spark.createDataFrame([], "a long, b long, sure boolean")
     n = max(blocks, -(-total // block_rows))
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,17 +228,17 @@ def near_links(distinct: DataFrame, bits: int = 4, blocks: int = 16, block_rows:
 
     marks = [i / n for i in range(1, n)]
     pivots = np.array(distinct.select("fp").mapInArrow(ranked, "rank long").agg(F.percentile_approx("rank", marks, 10_000)).first()[0], np.uint64)
+    mask, pattern = block_bits(pivots)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            sketches = np.column_stack([fp, np.frombuffer(b"".join(b.column("wide").to_pylist()), np.uint64).reshape(len(fp), more)])
-            rank = gray_rank(fp)
-            block = np.searchsorted(pivots, rank >> np.uint64(1), side="left")
+            fp, node = (b.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("fp", "node"))
+            sketches = np.column_stack([fp, np.frombuffer(b"".join(b.column("wide").to_pylist()), np.uint64).reshape(len(fp), more), node])
+            block = np.searchsorted(pivots, gray_rank(fp) >> np.uint64(1), side="left")
             pair, side, payload = [], [], []
             for k in np.unique(block).tolist():
                 part = sketches[block == k].tobytes()
-                for other in range(n):
+                for other in np.flatnonzero(np.bitwise_count((pattern ^ pattern[k]) & mask & mask[k]) <= bits).tolist():
                     pair.append(min(k, other) * n + max(k, other))
                     side.append(int(k > other))
                     payload.append(part)
@@ -199,25 +249,115 @@ def near_links(distinct: DataFrame, bits: int = 4, blocks: int = 16, block_rows:
         same = pair // n == pair % n
         sides = np.array(rows.column("side").to_pylist())
         payload = rows.column("payload").to_pylist()
-        a, b = (np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(payload[i], np.uint64) for i in np.flatnonzero(sides == s))]).reshape(-1, 1 + more) for s in (0, 1))
+        a, b = (np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(payload[i], np.uint64) for i in np.flatnonzero(sides == s))]).reshape(-1, 2 + more) for s in (0, 1))
         a, b = (x[np.argsort(gray_rank(x[:, 0]), kind="stable")] for x in (a, a if same else b))
-        u, v = links_forest(a, b, bits, wide_bits, same) if len(a) and len(b) else (np.zeros(0, np.int64),) * 2
-        return pa.table({"a": u, "b": v})
+        u, v, sure = links_forest(a, b, bits, bands, same) if len(a) and len(b) else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+        return pa.table({"a": u, "b": v, "sure": sure})
 
-    return distinct.select("fp", "wide").mapInArrow(deal, "pair long, side int, payload binary").groupBy("pair").applyInArrow(meet, "a long, b long")
+    return distinct.select("node", "fp", "wide").mapInArrow(deal, "pair long, side int, payload binary").groupBy("pair").applyInArrow(meet, "a long, b long, sure boolean")
 
 
-def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, blocks: int = 16, more: int = 0, wide_bits: int = 0) -> DataFrame:
-    """Adds fp, component_id (least doc_id of the group) and group (its least fp) to the columns of docs but text."""
-    docs = docs.drop("fp", "wide", "component_id", "group", "_fp")
-    marked = materialize(fingerprints(docs, words, more=more), "fp")
-    distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("wide").alias("wide")), "fps")
-    found = components(near_links(distinct, bits, blocks, more=more, wide_bits=wide_bits))
-    named = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, blocks: int = 16, more: int = 0, bands: tuple[int, int] | None = None, similarity: float = 0.0) -> DataFrame:
+    """Adds fp, component_id (least doc_id of the group) and group (a number for it) to the columns of docs but text.
+
+    With bands (see links_forest), links that need a test have it: the Jaccard similarity of the texts' distinct shingles.
+    """
+    docs = docs.drop("fp", "wide", "component_id", "group", "_fp", "_wide", "_text")
+    marked = materialize(fingerprints(docs.withColumn("_text", F.xxhash64("text")), words, more=more), "fp")
+    distinct = marked.groupBy("fp", "wide").agg(F.min("doc_id").alias("least"), F.min("_text").alias("text_hash"))
+    distinct = materialize(distinct.withColumn("node", F.monotonically_increasing_id()), "fps")
+    found = materialize(near_links(distinct, bits, blocks, more=more, bands=bands), "links")
+    if bands:
+        found = materialize(confirm(distinct, found, docs.select(F.xxhash64("text").alias("text_hash"), "text"), words, similarity, bits, bands[1]), "links")
+    groups = components(found.select("a", "b")).withColumnRenamed("node", "_node")
+    named = distinct.join(groups, F.col("node") == F.col("_node"), "left").select("fp", "wide", "least", F.coalesce("component", "node").alias("root"))
     named = materialize(named, "roots")
     heads = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = named.join(heads, "root").select(F.col("fp").alias("_fp"), "component_id", F.col("root").alias("group"))
-    return marked.drop("wide").join(groups, marked["fp"] == groups["_fp"]).drop("_fp")
+    groups = named.join(heads, "root").select(F.col("fp").alias("_fp"), F.col("wide").alias("_wide"), "component_id", F.col("root").alias("group"))
+    return marked.join(groups, (marked["fp"] == groups["_fp"]) & (marked["wide"] == groups["_wide"])).drop("_fp", "_wide", "wide", "_text")
+
+
+def confirm(distinct: DataFrame, found: DataFrame, texts: DataFrame, words: int, similarity: float, bits: int, wide_bits: int, size: int = 2000) -> DataFrame:
+    """Sure links, and such between what they leave apart whose texts are similar enough, as (a, b).
+
+    distinct: (node, fp, wide, text_hash); texts: (text_hash, text). The doubtful links come as a forest, so they only tell within which groups
+    links are to be sought: there all pairs near enough by their sketches are tested, but for such that
+    are connected already. Small groups go together to tasks; one of more than so many nodes is cut into parts of that size, and each
+    two parts meet in a task.
+    """
+    good = found.where("sure").select("a", "b")
+    doubtful = materialize(found.where("NOT sure").select("a", "b"), "doubtful")
+    if doubtful.isEmpty():
+        return good
+    wide = components(found.select("a", "b")).withColumnRenamed("component", "above")  # a group's least node isn't listed
+    groups = components(good).withColumnRenamed("component", "known")
+    open_ = doubtful.join(wide, F.col("a") == F.col("node"), "left").select(F.coalesce("above", "a").alias("component")).distinct()
+    members = distinct.join(wide, "node", "left").withColumn("component", F.coalesce("above", "node"))
+    near = members.join(open_, "component", "left_semi").join(groups, "node", "left")
+    near = materialize(near.select("node", "fp", "wide", "text_hash", "component", F.coalesce("known", "node").alias("known")), "near")
+    parts = near.groupBy("component").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
+    rows = near.join(parts, "component").join(shingle_table(near, texts, words), "text_hash")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, own).alias("i"), F.greatest(k, own).alias("j")))
+    dealt = rows.withColumn("meet", F.explode(others)).withColumn("part", own)
+    dealt = dealt.withColumn("bucket", F.when(F.col("parts") > 1, F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(max(1, near.count() // size)))))
+
+    def test(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("component", "ascending"), ("node", "ascending")])
+        node, fp, known, component, part = (rows.column(c).to_numpy() for c in ("node", "fp", "known", "component", "part"))
+        sketches = np.column_stack([fp.view(np.uint64), np.frombuffer(b"".join(rows.column("wide").to_pylist()), np.uint64).reshape(len(fp), -1)])
+        flat = rows.column("shingles").combine_chunks()
+        at, values = flat.offsets.to_numpy(), flat.values.to_numpy()
+        ends = np.append(np.flatnonzero(component[1:] != component[:-1]) + 1, len(node))
+        root: dict[int, int] = {}
+
+        def find(n: int) -> int:
+            while (up := root.setdefault(n, n)) != n:
+                root[n] = n = root[up]
+            return n
+
+        u, v, low = [], [], 0
+        for high in ends.tolist():
+            cross = part[low:high].min() != part[low:high].max()
+            for k in range(low, high - 1):
+                rest = slice(k + 1, high)
+                near = (np.bitwise_count(sketches[rest, 0] ^ sketches[k, 0]) <= bits) & (known[rest] != known[k])
+                if cross:  # pairs of one part meet elsewhere
+                    near &= part[rest] != part[k]
+                candidates = np.flatnonzero(near) + k + 1
+                apart = np.bitwise_count(sketches[candidates] ^ sketches[k]).sum(1, dtype=np.int64)
+                order = np.argsort(apart, kind="stable")
+                for j in candidates[order[apart[order] <= wide_bits]].tolist():
+                    p, q = find(int(known[k])), find(int(known[j]))
+                    if p != q and jaccard(values[at[k]: at[k + 1]], values[at[j]: at[j + 1]]) >= similarity:
+                        root[p] = q
+                        u.append(node[k])
+                        v.append(node[j])
+            low = high
+        return pa.table({"a": pa.array(u, pa.int64()), "b": pa.array(v, pa.int64())})
+
+    kept = ["component", "node", "fp", "wide", "known", "part", "shingles"]
+    passed = dealt.select("bucket", "meet", *kept).groupBy("bucket", "meet.i", "meet.j").applyInArrow(test, "a long, b long")
+    return good.union(passed)
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two ascending lists of distinct hashes; two without any are equal."""
+    shared = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
+    return shared / (len(a) + len(b) - shared) if len(a) + len(b) else 1.0
+
+
+def shingle_table(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """The distinct shingle hashes, ascending, of each text hash among nodes, written: (text_hash, shingles array)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in b.column("text").to_pylist()]
+            at = np.concatenate([[0], np.cumsum([len(x) for x in found])])
+            yield pa.RecordBatch.from_arrays([b.column("text_hash"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))], ["text_hash", "shingles"])
+
+    asked = nodes.select("text_hash").distinct()
+    return materialize(texts.join(asked, "text_hash", "left_semi").dropDuplicates(["text_hash"]).mapInArrow(run, "text_hash long, shingles array<long>"), "shingles")
 
 
 def similar_bits(similarity: float, bits: int, slack: float) -> int:
@@ -233,13 +373,15 @@ def similar_bits(similarity: float, bits: int, slack: float) -> int:
 def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
     """Keeps one document of each near-duplicate group, whole: the one with the least doc_id.
 
-    The 64-bit index lets pass what texts of such a Jaccard similarity differ in with three
-    standard deviations to spare; among those a sketch of 512 bits decides, with one and a quarter
-    to spare. So a pair's similarity is known to about 0.03. Of rows that repeat the id
-    that stays, the first by hash stays; a group without any id keeps one row too.
+    The 64-bit index lets pass what texts of such a Jaccard similarity of distinct shingles differ in with three
+    standard deviations to spare. Of those, a sketch of 512 bits takes what is three such below what
+    the similarity leads to as links, drops what is three above, and the shingles themselves decide between.
+    Of rows that repeat the id that stays, the first by hash stays; a group without any id keeps one row too.
+    Rows are told apart by the XXH64 of id and text: among N rows about N * N / 2^65 pairs would be taken for one.
     """
     keys = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_key"))
-    groups = near_duplicates(keys, similar_bits(similarity, 64, 3.0), words, more=7, wide_bits=similar_bits(similarity, 512, 1.25))
+    bands = similar_bits(similarity, 512, -3.0), similar_bits(similarity, 512, 3.0)
+    groups = near_duplicates(keys, similar_bits(similarity, 64, 3.0), words, more=7, bands=bands, similarity=similarity)
     best = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("m")).select(F.col("m._key").alias("_keep"))
     marked = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64("doc_id", "text").alias("_key"))
     return marked.join(best, marked["_key"] == F.col("_keep"), "left_semi").dropDuplicates(["_key"]).select("doc.*")

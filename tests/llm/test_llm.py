@@ -520,6 +520,37 @@ def test_op9_index():
     assert cross == brute(prints[:half], prints[half:])
 
 
+def test_op9_blocks_that_cannot_meet():
+    prints = np.random.default_rng(6).integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    rank = simhash.gray_rank(prints) >> np.uint64(1)
+    pivots = np.sort(rank)[np.arange(1, 400) * 10]
+    mask, pattern = simhash.block_bits(pivots)
+    block = np.searchsorted(pivots, rank, side="left")
+    assert ((prints & mask[block]) == pattern[block]).all() and np.bitwise_count(mask).mean() > 6  # a block across a high power of two shares few bits
+    apart = np.bitwise_count((pattern[:, None] ^ pattern) & mask[:, None] & mask)
+    assert (apart > 4).mean() > 0.1 and not (apart.diagonal()).any()
+
+
+def test_op9_forest_of_doubtful_links():
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 63, (12, 8), dtype=np.uint64)
+    rows = np.repeat(base, 20, 0)
+    for k in range(len(rows)):
+        for bit in rng.choice(512, rng.integers(0, 30), replace=False):
+            rows[k, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    n = len(rows)
+    full = np.column_stack([rows, np.arange(n, dtype=np.uint64)])
+    full = full[np.argsort(simhash.gray_rank(full[:, 0]), kind="stable")]
+    u, v, sure = simhash.links_forest(full, full, 18, (20, 40), True)
+    apart = np.bitwise_count(rows[:, None] ^ rows).sum(2)
+    near = (np.bitwise_count(rows[:, None, 0] ^ rows[:, 0]) <= 18) & (apart <= 40)
+    links = [(i, j) for i in range(n) for j in range(i) if near[i, j]]
+    want = union_find(range(n), [(i, j) for i, j in links if apart[i, j] <= 20])
+    assert union_find(range(n), [(a, b) for a, b, s in zip(u.tolist(), v.tolist(), sure.tolist(), strict=True) if s]) == want
+    assert union_find(range(n), zip(u.tolist(), v.tolist(), strict=True)) == union_find(range(n), links) and len(u) < n
+    assert all(20 < apart[a, b] <= 40 for a, b, s in zip(u.tolist(), v.tolist(), sure.tolist(), strict=True) if not s)
+
+
 def test_op9_edges(odd, empty):
     rows = [(r["doc_id"], r["fp"], r["component_id"]) for r in simhash.near_duplicates(odd.select("doc_id", "text")).collect()]
     assert len(rows) == len(ODD) and {c for _, fp, c in rows if fp == 0} == {1}
@@ -540,6 +571,30 @@ def test_near_dedup_by_similarity(spark):
     assert kept == set(range(30))
 
 
+def test_near_dedup_against_brute_force(spark, monkeypatch):
+    """Texts with 0 to 15 words changed: one of each group by true similarity stays, also where groups are cut into parts."""
+    groups = 60
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
+    texts = []
+    for _ in range(groups):
+        base = [word() for _ in range(300)]
+        for _ in range(4):
+            copy = list(base)
+            for k in rng.sample(range(300), rng.randint(0, 15)):
+                copy[k] = word()
+            texts.append(copy)
+    shingles = [{tuple(t[i: i + 5]) for i in range(296)} for t in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i // 4 * 4, i) if len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])]
+    want = set(union_find(range(len(texts)), links).values())
+    rows = [(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, DOCS)
+    assert {r["doc_id"] for r in simhash.drop_near_duplicates(frame).collect()} == want and len(want) > groups + 10
+    whole = simhash.confirm
+    monkeypatch.setattr(simhash, "confirm", lambda *a: whole(*a, size=2))
+    assert {r["doc_id"] for r in simhash.drop_near_duplicates(frame).collect()} == want
+
+
 # 10 mixing
 
 
