@@ -2,19 +2,22 @@
 
 Equal vectors collapse first. The distinct ones are dealt to shards by hash, and each shard
 builds a graph. Every vector then queries every shard: a beam search descends the layers
-and walks the bottom one. Audits come before: vectors of the shard, moved to just above the
-similarity asked for, must be found again; the beam doubles until the share found is high
+and walks the bottom one. Audits come before, for each shard: vectors of the shard, moved to just the
+similarity asked for, must be found again, and so must the links of sampled vectors of the shard
+that a scan of all of it finds; the beam doubles until the shares found are high
 enough, or the beam holds the whole shard. While all entries of a query's beam are links its beam doubles too, so no
 number of links is a limit. What the graphs return is verified by cosine in double precision.
 
-Linked vectors of each pair of query block and shard reduce to a spanning forest, and
-components are found over those. Links are counted where they are found and never
-expanded to rows.
+Two shards meet in one task, where each queries the other, so a link that either side finds
+counts for both. Found links reduce to a spanning forest, and components are found over those.
+No link leads out of a component, so links are counted inside components, by the
+cosines of all pairs there: small ones go together to tasks, a large one is cut into parts that meet by twos.
 
 Defined results: null vectors, zero vectors and such with null or non-finite components
 link with nothing; vectors of other lengths don't link; repeated rows link with each
 other; a vector without an id has no component and isn't kept; an empty table gives no
 rows; other columns pass through, but for such with the names of results, which results replace.
+Equal vectors are told by a 64-bit hash: among N distinct ones about N * N / 2^65 pairs would be taken for one.
 """
 
 from __future__ import annotations
@@ -34,7 +37,13 @@ BEAM, AUDIT, RECALL, EXPAND = 48, 256, 0.995, 4
 STEP = 1024
 
 
+#: Nodes of a component that count their links in one task; more are cut into parts.
+PART = 2000
+
+
 def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; scaled first, so that squares neither overflow nor vanish."""
+    x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
@@ -171,22 +180,24 @@ class Graph:
         return walk(q, self.x, self.links[0], self.descend(q, 0), beam)
 
     def audited_beam(self, threshold: float, seed: int = 11) -> int:
-        """The least doubled beam that finds again vectors moved to just above the threshold."""
+        """The least doubled beam that finds vectors moved to the threshold, and the real links of sampled vectors, again."""
         rng = np.random.default_rng(seed)
-        n, d = self.x.shape
+        n = len(self.x)
         picked = rng.choice(n, min(AUDIT, n), replace=False)
-        noise = rng.standard_normal((len(picked), d))
+        noise = rng.standard_normal((len(picked), self.x.shape[1]))
         base = self.x[picked].astype(float)
         side = noise - np.einsum("ij,ij->i", noise, base)[:, None] * base
         length = np.sqrt(np.einsum("ij,ij->i", side, side))
         side = np.where(length[:, None] > 0, side / np.maximum(length, 1e-12)[:, None], 0)
-        near = min(threshold + 0.25 * (1 - threshold), 1.0)
-        q = unit(near * base + np.sqrt(1 - near * near) * side).astype(np.float32)
+        near = min(threshold + 1e-6, 1.0)
+        planted = unit(near * base + np.sqrt(1 - near * near) * side).astype(np.float32)
+        real = self.x[picked]
+        links = np.concatenate([np.zeros(0, np.int64), *(i * n + np.flatnonzero(self.x @ real[i] >= threshold) for i in range(len(picked)))])
         beam = BEAM
         while beam < n:
-            ids, sims = self.search(q, beam)
-            full = sims[:, -1] >= threshold  # more links than the beam holds: widened in links()
-            if ((ids == picked[:, None]).any(1) | full).mean() >= RECALL:
+            ids, _ = self.search(planted, beam)
+            rows, nodes = self.links_of(real, threshold, beam)
+            if (ids == picked[:, None]).any(1).mean() >= RECALL and np.isin(links, rows * n + nodes).mean() >= RECALL:
                 break
             beam *= 2
         return min(beam, max(n, 1))
@@ -209,64 +220,83 @@ class Graph:
         return np.concatenate([np.zeros(0, np.int64), *rows]), np.concatenate([np.zeros(0, np.int64), *nodes])
 
 
-def _pack(ids: np.ndarray, times: np.ndarray, x: np.ndarray, *more: np.ndarray) -> list[bytes]:
-    return [a.tobytes() for a in (ids, times, x, *more)]
-
-
-def link_counts(nodes: DataFrame, threshold: float = 0.95, shards: int = 8, shard_rows: int = 100_000) -> DataFrame:
-    """For distinct vectors (node long, times long, dim int, vector array<double>): rows (a, b, n).
+def shard_links(nodes: DataFrame, threshold: float = 0.95, shards: int = 8, shard_bytes: int = 64 << 20) -> DataFrame:
+    """For distinct vectors (node long, dim int, vector array<double>): links (a, b) that connect the same nodes as all found do.
 
-    n not null: a has n links to other vectors, counted with their repetitions, in one shard;
-    else a link of the spanning forests. shards: at least so many, more where one would exceed shard_rows.
+    shards: at least so many for each length of vectors, more where one would exceed shard_bytes, of which a task holds a few.
     """
-    total = nodes.count()
-    n = max(shards, -(-total // shard_rows))
-    dealt = nodes.withColumn("shard", F.pmod(F.xxhash64(F.col("node") + 1), F.lit(n)).cast("int"))
+    sizes = nodes.groupBy(F.col("dim").alias("_dim")).agg(F.greatest(F.lit(shards), F.ceil(F.count("*") * F.col("_dim") * 8 / shard_bytes)).cast("int").alias("n"))
+    dealt = nodes.join(sizes, F.col("dim") == F.col("_dim")).withColumn("shard", F.pmod(F.xxhash64(F.col("node") + 1), F.col("n")).cast("int")).drop("_dim")
 
     def build(key: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("node")
-        x = rows.column("vector").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
-        x = unit(x)
+        x = unit(rows.column("vector").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1))
         graph = Graph(x.astype(np.float32))
-        beam = graph.audited_beam(threshold)
-        meta = np.array([graph.top, graph.entry, beam], np.int64)
-        parts = [meta.tobytes(), rows.column("node").to_numpy().tobytes(), rows.column("times").to_numpy().tobytes(), x.tobytes(), *(a.tobytes() for a in graph.links)]
-        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()), "parts": pa.array([parts], pa.list_(pa.binary()))})
-
-    graphs = materialize(dealt.groupBy("dim", "shard").applyInArrow(build, "dim int, shard int, parts array<binary>"), "graphs")
-    blocks = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    asked = graphs.select("dim", F.col("shard").alias("block"), F.slice("parts", 2, 3).alias("parts"), F.lit(1).alias("side")).select("dim", blocks.alias("shard"), "block", "parts", "side")
-    pairs = graphs.select("dim", "shard", blocks.alias("block"), "parts", F.lit(0).alias("side")).unionByName(asked)
-
-    def meet(key: tuple, rows: pa.Table) -> pa.Table:
-        dim = key[0].as_py()
-        sides = {s: p for s, p in zip(rows.column("side").to_pylist(), rows.column("parts").to_pylist(), strict=True)}
-        if len(sides) < 2:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-        meta, own, times, x, *links = sides[0]
-        graph = Graph.__new__(Graph)
-        graph.top, graph.entry, beam = np.frombuffer(meta, np.int64).tolist()
-        own, times, x = np.frombuffer(own, np.int64), np.frombuffer(times, np.int64), np.frombuffer(x).reshape(-1, dim)
-        graph.x = x.astype(np.float32)
-        graph.links = [np.frombuffer(a, np.int32).reshape(len(own), -1) for a in links]
-        ids, q = np.frombuffer(sides[1][0], np.int64), np.frombuffer(sides[1][2]).reshape(-1, dim)
-        counts, held, size = np.zeros(len(ids), np.int64), [], 0
-        for at in range(0, len(q), 4 * STEP):
-            r, c = graph.links_of(q[at: at + 4 * STEP].astype(np.float32), threshold, beam)
-            r = r + at
-            true = np.concatenate([np.zeros(0, bool), *(np.einsum("ij,ij->i", q[r[i: i + 65536]], x[c[i: i + 65536]]) >= threshold for i in range(0, len(r), 65536))])
-            true &= ids[r] != own[c]
-            r, c = r[true], c[true]
-            counts += np.bincount(r, times[c], len(ids)).astype(np.int64)
-            held.append((ids[r], own[c]))
-            size += len(r)
-            if size > 1 << 20:
-                held, size = [forest(*(np.concatenate(s) for s in zip(*held, strict=True)))], 0
-        u, v = forest(*(np.concatenate(s) for s in zip(*held, strict=True))) if held else (ids[:0], ids[:0])
-        some = np.flatnonzero(counts)
-        return pa.table({"a": np.concatenate([ids[some], u]), "b": pa.array([None] * len(some) + v.tolist(), pa.int64()), "n": pa.array(counts[some].tolist() + [None] * len(u), pa.int64())})
-
-    return materialize(pairs.groupBy("dim", "shard", "block").applyInArrow(meet, "a long, b long, n long"), "links")
+        meta = np.array([graph.top, graph.entry, graph.audited_beam(threshold)], np.int64)
+        parts = [meta.tobytes(), rows.column("node").to_numpy().tobytes(), x.tobytes(), *(a.tobytes() for a in graph.links)]
+        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "n": rows.column("n").slice(0, 1), "shard": pa.array([key[1].as_py()], pa.int32()), "parts": pa.array([parts], pa.list_(pa.binary()))})
+
+    graphs = materialize(dealt.groupBy("dim", "shard").applyInArrow(build, "dim int, n int, shard int, parts array<binary>"), "graphs")
+    pairs = graphs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn("i", F.least("shard", "other")).withColumn("j", F.greatest("shard", "other"))
+
+    def meet(rows: pa.Table) -> pa.Table:
+        dim, sides = rows.column("dim")[0].as_py(), []
+        for meta, own, x, *links in rows.column("parts").to_pylist():
+            graph = Graph.__new__(Graph)
+            graph.top, graph.entry, beam = np.frombuffer(meta, np.int64).tolist()
+            x = np.frombuffer(x).reshape(-1, dim)
+            graph.x = x.astype(np.float32)
+            own = np.frombuffer(own, np.int64)
+            graph.links = [np.frombuffer(a, np.int32).reshape(len(own), -1) for a in links]
+            sides.append((graph, beam, own, x))
+        alone = rows.column("i")[0] == rows.column("j")[0]
+        held, size = [], 0
+        for (_, _, ids, q), (graph, beam, own, x) in [sides * 2] if alone else list(zip(sides, sides[::-1], strict=True)) if len(sides) > 1 else []:
+            for at in range(0, len(q), 4 * STEP):
+                r, c = graph.links_of(graph.x[at: at + 4 * STEP] if alone else q[at: at + 4 * STEP].astype(np.float32), threshold, beam)
+                r = r + at
+                true = np.concatenate([np.zeros(0, bool), *(np.einsum("ij,ij->i", q[r[i: i + 65536]], x[c[i: i + 65536]]) >= threshold for i in range(0, len(r), 65536))])
+                true &= ids[r] != own[c]
+                held.append((ids[r[true]], own[c[true]]))
+                size += len(held[-1][0])
+                if size > 1 << 20:
+                    held, size = [forest(*(np.concatenate(s) for s in zip(*held, strict=True)))], 0
+        u, v = forest(*(np.concatenate(s) for s in zip(*held, strict=True))) if held else (np.zeros(0, np.int64),) * 2
+        return pa.table({"a": u, "b": v})
+
+    return materialize(pairs.groupBy("dim", "i", "j").applyInArrow(meet, "a long, b long"), "links")
+
+
+def count_links(members: DataFrame, threshold: float) -> DataFrame:
+    """Links of each node of components of two and more (node, component, times, vector) with their repetitions: (node, links)."""
+    parts = members.groupBy("component").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    rows = members.join(parts.withColumnRenamed("component", "_c"), F.col("component") == F.col("_c")).drop("_c")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, own).alias("i"), F.greatest(k, own).alias("j")))
+    dealt = rows.withColumn("meet", F.explode(others)).withColumn("part", own)
+    dealt = dealt.withColumn("bucket", F.when(F.col("parts") > 1, F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(max(1, members.count() // PART)))))
+
+    def count(key: tuple, rows: pa.Table) -> pa.Table:
+        cross = key[1] != key[2]  # pairs of one part meet elsewhere
+        rows = rows.sort_by([("component", "ascending"), ("part", "ascending"), ("node", "ascending")])
+        node, times, component, part = (rows.column(c).to_numpy() for c in ("node", "times", "component", "part"))
+        vectors, n = rows.column("vector").combine_chunks(), np.zeros(len(node), np.int64)
+        at = [0, *(np.flatnonzero(component[1:] != component[:-1]) + 1).tolist(), len(node)]
+        for low, high in zip(at[:-1], at[1:], strict=True):
+            x = unit(vectors.slice(low, high - low).flatten().to_numpy().reshape(high - low, -1))
+            cut = low + int(np.count_nonzero(part[low:high] == part[low]))
+            for k in range(low, cut if cross else high, 512):
+                upto, first = min(k + 512, cut if cross else high), cut if cross else low
+                linked = x[k - low: upto - low] @ x[first - low:].T >= threshold
+                if not cross:
+                    linked[np.arange(upto - k), np.arange(k - low, upto - low)] = False
+                else:
+                    n[first:high] += times[k:upto] @ linked
+                n[k:upto] += linked @ times[first:high]
+        return pa.table({"node": node, "n": n})
+
+    counted = dealt.select("bucket", "meet", "component", "part", "node", "times", "vector").groupBy("bucket", "meet.i", "meet.j").applyInArrow(count, "node long, n long")
+    return counted.groupBy("node").agg(F.sum("n").alias("links"))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, shards: int = 8) -> DataFrame:
@@ -275,11 +305,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, shards: int = 8
     good = F.col("embedding").isNotNull() & F.forall("_v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("_v", lambda c: c != 0)
     rows = vectors.withColumn("_v", F.transform("embedding", lambda c: c.cast("double") + 0.0)).withColumn("_node", F.when(good & F.col("vec_id").isNotNull(), F.xxhash64("_v")))
     nodes = materialize(rows.where("_node IS NOT NULL").groupBy("_node").agg(F.count("*").alias("times"), F.min("vec_id").alias("least"), F.first("_v").alias("vector")).select(F.col("_node").alias("node"), "times", "least", F.size("vector").alias("dim"), "vector"), "nodes")
-    found = link_counts(nodes.select("node", "times", "dim", "vector"), threshold, shards)
-    linked = found.where("n IS NOT NULL").groupBy(F.col("a").alias("_a")).agg(F.sum("n").alias("links"))
-    groups = components(found.where("n IS NULL").select("a", "b"))
-    named = nodes.select("node", "times", "least").join(groups.select(F.col("node").alias("_g"), "component"), F.col("node") == F.col("_g"), "left").join(linked, F.col("node") == F.col("_a"), "left")
-    named = materialize(named.select("node", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "least", F.coalesce("component", "node").alias("root")), "named")
+    found = components(shard_links(nodes.select("node", "dim", "vector"), threshold, shards)).withColumnRenamed("node", "_g")
+    named = nodes.join(found, F.col("node") == F.col("_g"), "left").withColumn("root", F.coalesce("component", "node"))
+    linked = materialize(named.where("component IS NOT NULL").select("component").distinct(), "linked")  # a component's least node isn't listed
+    members = materialize(named.join(linked.withColumnRenamed("component", "_l"), F.col("root") == F.col("_l"), "left_semi").select("node", F.col("root").alias("component"), "times", "vector"), "members")
+    links = count_links(members, threshold).withColumnRenamed("node", "_a")
+    named = named.join(links, F.col("node") == F.col("_a"), "left")
+    named = materialize(named.select("node", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "least", "root"), "named")
     heads = named.groupBy("root").agg(F.min("least").alias("component_id"))
     result = named.join(heads, "root").select(F.col("node").alias("_n"), "n_links", "component_id")
     joined = rows.drop("_v").join(result, F.col("_node") == F.col("_n"), "left").drop("_n", "_node")

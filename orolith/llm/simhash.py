@@ -302,7 +302,8 @@ def confirm(distinct: DataFrame, found: DataFrame, texts: DataFrame, words: int,
     dealt = rows.withColumn("meet", F.explode(others)).withColumn("part", own)
     dealt = dealt.withColumn("bucket", F.when(F.col("parts") > 1, F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(max(1, near.count() // size)))))
 
-    def test(rows: pa.Table) -> pa.Table:
+    def test(key: tuple, rows: pa.Table) -> pa.Table:
+        cross = key[1] != key[2]  # pairs of one part meet elsewhere
         rows = rows.sort_by([("component", "ascending"), ("node", "ascending")])
         node, fp, known, component, part = (rows.column(c).to_numpy() for c in ("node", "fp", "known", "component", "part"))
         sketches = np.column_stack([fp.view(np.uint64), np.frombuffer(b"".join(rows.column("wide").to_pylist()), np.uint64).reshape(len(fp), -1)])
@@ -318,11 +319,10 @@ def confirm(distinct: DataFrame, found: DataFrame, texts: DataFrame, words: int,
 
         u, v, low = [], [], 0
         for high in ends.tolist():
-            cross = part[low:high].min() != part[low:high].max()
             for k in range(low, high - 1):
                 rest = slice(k + 1, high)
                 near = (np.bitwise_count(sketches[rest, 0] ^ sketches[k, 0]) <= bits) & (known[rest] != known[k])
-                if cross:  # pairs of one part meet elsewhere
+                if cross:
                     near &= part[rest] != part[k]
                 candidates = np.flatnonzero(near) + k + 1
                 apart = np.bitwise_count(sketches[candidates] ^ sketches[k]).sum(1, dtype=np.int64)

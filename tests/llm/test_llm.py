@@ -96,6 +96,34 @@ def test_op1_against_brute_force(spark):
     assert sum(got[i]["component_id"] == c for i, c in want.items()) >= 0.99 * len(x)
 
 
+@pytest.mark.parametrize(("dim", "groups"), [(64, 250), (768, 40)])
+def test_op1_recall_at_the_threshold(spark, dim, groups, monkeypatch):
+    """Chains and stars whose links lie at cosines 0.95 to 0.97, the hardest to reach, in shards bounded by bytes; large groups in parts."""
+    rng = np.random.default_rng(dim)
+    base = embeddings.unit(rng.standard_normal((groups, dim)))
+    rows = [base]
+    for cosine in rng.uniform(0.95, 0.97, 3):
+        side = rng.standard_normal(base.shape)
+        side = embeddings.unit(side - (side * base).sum(1)[:, None] * base)
+        rows.append((cosine + 1e-6) * base + np.sqrt(1 - (cosine + 1e-6) ** 2) * side)
+    x = np.concatenate([*rows, rng.standard_normal((4 * groups, dim))])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(embeddings, "PART", 3)
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(frame, shards=2).collect()}
+    u = embeddings.unit(x)
+    linked = u @ u.T >= 0.95
+    np.fill_diagonal(linked, False)
+    want = union_find(range(len(x)), zip(*np.nonzero(linked), strict=True))
+    assert linked.sum() >= 6 * groups
+    assert sum(got[i]["n_links"] for i in want) >= 0.99 * linked.sum() and sum(got[i]["component_id"] == c for i, c in want.items()) >= 0.99 * len(x)
+    assert all(got[i]["n_links"] == linked[i].sum() for i, c in want.items() if got[i]["component_id"] == c and sum(g["component_id"] == c for g in got.values()) == sum(w == c for w in want.values()))
+
+
+def test_op1_sizes_of_vectors():
+    big = np.array([[1e200, 1e200], [3e-200, 4e-200], [-5e300, 0]])
+    assert embeddings.unit(big) == pytest.approx(np.array([[0.5**0.5, 0.5**0.5], [0.6, 0.8], [-1, 0]]))
+
+
 def test_op1_edges(spark):
     rows = [(1, None, 0), (2, [0.0, 0.0], 0), (3, [1.0, None], 0), (4, [float("nan"), 1.0], 0), (5, [float("inf"), 1.0], 0), (6, [], 0), (7, [1.0, 0.0], None), (8, [1.0, 0.0], 1), (8, [1.0, 0.0], 1), (9, [1.0, 0.0, 0.0], 1), (None, [1.0, 0.0], 1), (10, [2.0, 0.01], 1)]
     got = {(r["vec_id"], i): (r["n_links"], r["component_id"], r["kept"]) for i, r in enumerate(embeddings.near_duplicates(vectors(spark, rows)).collect())}
