@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The GRS80 ellipsoid, UTM, and the provincial Albers projection (EPSG 3005).
@@ -118,7 +118,7 @@ def transform_bounds(bounds: Column, epsg: Column) -> Column:
     So of all edge points only the corners, and on the lower and upper edge the point nearest
     to the axis, can be extreme: six points give the box that all of them would.
     """
-    left, bottom, right, top = (F.element_at(bounds, k) for k in (1, 2, 3, 4))
+    left, bottom, right, top = (F.get(bounds, k) for k in range(4))
     steps, lon0 = float(EDGE_POINTS + 1), central_meridian(epsg)
     axis = F.when(epsg == 3005, F.lit(ALBERS["east"])).otherwise(F.lit(FALSE_EAST))
     k = F.greatest(F.least(F.round((axis - left) / F.nullif(right - left, F.lit(0.0)) * steps), F.lit(steps)), F.lit(0.0))
@@ -134,6 +134,38 @@ def transform_bounds(bounds: Column, epsg: Column) -> Column:
     return F.when(known & (F.size(bounds) == 4), box)
 
 
+def add_bounds(rows: DataFrame, bounds: str, epsg: str, name: str) -> DataFrame:
+    """transform_bounds() as a column of rows. Step by step in scalar columns, so that generated code covers all and computes each step once."""
+    kept, steps = rows.columns, float(EDGE_POINTS + 1)
+    code, lon0 = F.col(epsg), central_meridian(F.col(epsg))
+    corner = {k: F.get(bounds, i) for i, k in enumerate(("left", "bottom", "right", "top"))}
+    rows = rows.withColumns({f"_b_{k}": c for k, c in corner.items()}).withColumns({"_b_lon0": lon0, "_b_axis": F.when(code == 3005, F.lit(ALBERS["east"])).otherwise(F.lit(FALSE_EAST))})
+    width = F.col("_b_right") - F.col("_b_left")
+    at = F.greatest(F.least(F.round((F.col("_b_axis") - F.col("_b_left")) / F.nullif(width, F.lit(0.0)) * steps), F.lit(steps)), F.lit(0.0))
+    rows = rows.withColumn("_b_turn", F.col("_b_left") + width * (F.coalesce(at, F.lit(0.0)) / steps))
+    xs, ys = ("left", "right", "turn"), ("bottom", "top")
+    points = [(x, y) for x in xs for y in ys]
+    got = lambda *parts: F.col("_b_" + "_".join(map(str, parts)))
+    scale = K0 * _radius
+    rows = rows.withColumns({**{f"_b_eta_{x}": (got(x) - FALSE_EAST) / scale for x in xs}, **{f"_b_xi_{y}": got(y) / scale for y in ys}})
+    rows = rows.withColumns({**{f"_b_{f.__name__}_{j}_{x}": f(got("eta", x) * (2 * j)) for x in xs for j in (1, 2, 3) for f in (F.sinh, F.cosh)}, **{f"_b_{f.__name__}_{j}_{y}": f(got("xi", y) * (2 * j)) for y in ys for j in (1, 2, 3) for f in (F.sin, F.cos)}})
+    series = lambda f, g, x, y: sum((got(f, j, y) * got(g, j, x) * b for j, b in enumerate(_inverse, 1)), F.lit(0.0))
+    rows = rows.withColumns({**{f"_b_xi_{x}_{y}": got("xi", y) - series("sin", "cosh", x, y) for x, y in points}, **{f"_b_eta_{x}_{y}": got("eta", x) - series("cos", "sinh", x, y) for x, y in points}})
+    dx, dy = {x: got(x) - ALBERS["east"] for x in xs}, {y: F.lit(ALBERS_RHO0) - got(y) for y in ys}
+    chi = {f"_b_chi_{x}_{y}": F.asin(F.sin(got("xi", x, y)) / F.cosh(got("eta", x, y))) for x, y in points}
+    beta = {f"_b_beta_{x}_{y}": F.asin((F.lit(ALBERS_C) - (dx[x] * dx[x] + dy[y] * dy[y]) * (ALBERS_N / A) * (ALBERS_N / A)) / ALBERS_N / _q(90.0)) for x, y in points}
+    rows = rows.withColumns({**chi, **beta})
+    wave = lambda v, terms: v + sum((F.sin(v * (2 * j)) * d for j, d in enumerate(terms, 1)), F.lit(0.0))
+    pick = lambda utm, albers, plain: F.when(got("lon0").isNotNull(), utm).when(code == 3005, albers).when(code == 4326, plain)
+    lon = {f"_b_lon_{x}_{y}": pick(got("lon0") + F.degrees(F.atan2(F.sinh(got("eta", x, y)), F.cos(got("xi", x, y)))), F.degrees(F.atan2(dx[x], dy[y]) / ALBERS_N) + ALBERS["lon0"], got(x)) for x, y in points}
+    lat = {f"_b_lat_{x}_{y}": pick(F.degrees(wave(got("chi", x, y), _latitude)), F.degrees(wave(got("beta", x, y), _authalic)), got(y)) for x, y in points}
+    rows = rows.withColumns({**lon, **lat})
+    all_of = lambda kind: [got(kind, x, y) for x, y in points]
+    box = F.array(F.least(*all_of("lon")), F.least(*all_of("lat")), F.greatest(*all_of("lon")), F.greatest(*all_of("lat")))
+    known = (got("lon0").isNotNull() | code.isin(3005, 4326)) & (F.size(bounds) == 4)
+    return rows.select(*[c for c in kept if c != name], F.when(known, box).alias(name))
+
+
 def box_ring(west: Column, south: Column, east: Column, north: Column) -> Column:
     """The closed ring of a box, counter-clockwise from its lower right corner."""
     return F.array(*[F.array(x, y) for x, y in ((east, south), (east, north), (west, north), (west, south), (east, south))])

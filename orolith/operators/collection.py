@@ -41,9 +41,16 @@ def collection_document(extent: DataFrame, links: DataFrame | None = None, title
     return rows.select(F.lit(collection_id).alias("id"), doc.alias("collection")).withColumn("body", F.to_json("collection"))
 
 
-def count_links(collection: DataFrame) -> DataFrame:
-    """(rel, n) of a collection's links."""
-    return collection.select(F.explode("links").alias("l")).groupBy(F.col("l.rel").alias("rel")).agg(F.count("*").alias("n"))
+def count_links(links: DataFrame) -> DataFrame:
+    """(rel, n) of links, a row each, or of a collection's array of them."""
+    rows = links if "rel" in links.columns else links.select(F.explode("links").alias("l")).select("l.rel")
+    return rows.groupBy("rel").agg(F.count("*").alias("n"))
+
+
+def link_summary(links: DataFrame) -> DataFrame:
+    """One row of links (ordinal, rel, href): links, item_links, first (href of the least ordinal), digest (the sum of 32 bits of each row's MD5)."""
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("ordinal").cast("string"), "rel", "href")), 1, 8), 16, 10).cast("long")
+    return links.agg(F.count("*").alias("links"), F.count_if(F.col("rel") == "item").alias("item_links"), F.min_by("href", "ordinal").alias("first_href"), F.coalesce(F.sum(bits), F.lit(0)).alias("digest"))
 
 
 def collection_errors(collection: DataFrame) -> DataFrame:

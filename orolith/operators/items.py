@@ -58,7 +58,7 @@ def resolve(inventory: DataFrame, checks: DataFrame, source: str = schema.SOURCE
 
 def built_items(rows: DataFrame) -> DataFrame:
     """Built rows with bbox, geometry and projection fields."""
-    built = rows.where("status = 'built'").withColumn("bbox", geo.transform_bounds(F.col("bounds"), F.col("epsg")))
+    built = geo.add_bounds(rows.where("status = 'built'"), "bounds", "epsg", "bbox")
     return built.withColumns({
         "geometry": geo.box_polygon(F.col("bbox")), "proj_geometry": geo.box_polygon(F.col("bounds")), "proj_transform": geo.affine9(F.col("transform")),
         "proj_shape": F.array("height", "width"), "media_type": urls.media_type(F.col("is_cog")),

@@ -43,8 +43,8 @@ def sample_size(total: int, percent: float = schema.QA_PERCENT, most: int = sche
 
 
 def sample(items: DataFrame, percent: float = schema.QA_PERCENT, most: int = schema.QA_MAX, seed: int = 0) -> DataFrame:
-    """Exactly sample_size() rows without replacement, the least by a hash of name and seed: reruns agree."""
-    return items.orderBy(F.xxhash64("name", F.lit(seed)), "name").limit(sample_size(items.count(), percent, most))
+    """Exactly sample_size() rows without replacement, the least by MD5 of name and seed: reruns agree."""
+    return items.orderBy(F.md5(F.concat_ws("/", "name", F.lit(str(seed)))), "name").limit(sample_size(items.count(), percent, most))
 
 
 def check(local: DataFrame, remote: DataFrame, percent: float = schema.QA_PERCENT, most: int = schema.QA_MAX, seed: int = 0) -> DataFrame:

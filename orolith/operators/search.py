@@ -40,15 +40,13 @@ def _rings(polygon: dict) -> list[list[list[list[float]]]]:
 
 def in_polygon(items: DataFrame, polygon: dict) -> DataFrame:
     """Items whose box meets a GeoJSON Polygon or MultiPolygon: first by its envelope, then exactly, edges included."""
-    found = None
     shapes = _rings(polygon)
     points = [p for rings in shapes for p in rings[0]]
     near = in_box(items, min(p[0] for p in points), min(p[1] for p in points), max(p[0] for p in points), max(p[1] for p in points))
-    for rings in shapes:
-        literal = F.array(*[F.array(*[F.array(F.lit(float(x)), F.lit(float(y))) for x, y, *_ in ring]) for ring in rings])
-        meets = geo.polygon_meets_box(literal, *(F.col(c) for c in BOX))
-        found = meets if found is None else found | meets
-    return near.where(found)
+    # a row of its own, so that an outline of many points is data and no part of the plan
+    outline = items.sparkSession.createDataFrame([([[[[float(x), float(y)] for x, y, *_ in ring] for ring in rings] for rings in shapes],)], "_shapes array<array<array<array<double>>>>")
+    meets = F.exists("_shapes", lambda rings: geo.polygon_meets_box(rings, *(F.col(c) for c in BOX)))
+    return near.join(F.broadcast(outline), meets, "left_semi")
 
 
 def search(items: DataFrame, collection: str | None = None, bbox: list[float] | None = None, intersects: dict | None = None, interval: str | None = None, datetime_unknown: bool | None = None) -> DataFrame:
@@ -73,30 +71,37 @@ def named_areas(areas: DataFrame, name: str) -> DataFrame:
     """Areas of interest of a name, brought to lon/lat where they have a projection code."""
     rows = areas.where(F.col("name") == name)
     if "epsg" in rows.columns:
-        box = geo.transform_bounds(F.array(*BOX), F.col("epsg"))
-        rows = rows.withColumn("_b", box).withColumns({c: F.element_at("_b", k) for k, c in enumerate(BOX, 1)}).drop("_b")
+        rows = geo.add_bounds(rows.withColumn("_native", F.array(*BOX)), "_native", "epsg", "_box")
+        rows = rows.withColumns({c: F.element_at("_box", k) for k, c in enumerate(BOX, 1)}).drop("_box", "_native")
     return rows
 
 
+def _grid_pairs(items: DataFrame, areas: DataFrame, cell: float, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Meeting pairs (item_id, area_id, the item's box, carried columns of areas), each once, by an equi-join over grid cells."""
+    left = items.select("item_id", *BOX).withColumn("c", F.explode(geo.cells(*(F.col(c) for c in BOX), cell))).select("*", "c.cx", "c.cy").drop("c")
+    right = areas.select("area_id", *[F.col(c).alias(f"_{c}") for c in (*BOX, *carried)]).withColumn("c", F.explode(geo.cells(*(F.col(f"_{c}") for c in BOX), cell))).select("*", F.col("c.cx").alias("_cx"), F.col("c.cy").alias("_cy")).drop("c")
+    corner = (F.col("cx") == F.floor(F.greatest("west", "_west") / cell)) & (F.col("cy") == F.floor(F.greatest("south", "_south") / cell))
+    meet = geo.boxes_meet(*(F.col(c) for c in BOX), *(F.col(f"_{c}") for c in BOX))
+    return left.join(right, (F.col("cx") == F.col("_cx")) & (F.col("cy") == F.col("_cy")) & corner & meet).select("item_id", "area_id", *BOX, *[F.col(f"_{c}").alias(c) for c in carried])
+
+
 def spatial_join(items: DataFrame, areas: DataFrame, cell: float = 1.0) -> DataFrame:
     """Pairs (item_id, area_id) of boxes that meet, by an equi-join over grid cells.
 
     A pair that shares several cells counts only in the one that holds the lower left corner of
     its overlap, so nothing is made distinct. cell: degrees; about the size of usual boxes.
     """
-    left = items.select("item_id", *BOX).withColumn("c", F.explode(geo.cells(*(F.col(c) for c in BOX), cell))).select("*", "c.cx", "c.cy").drop("c")
-    right = areas.select("area_id", *[F.col(c).alias(f"_{c}") for c in BOX]).withColumn("c", F.explode(geo.cells(*(F.col(f"_{c}") for c in BOX), cell))).select("*", F.col("c.cx").alias("_cx"), F.col("c.cy").alias("_cy")).drop("c")
-    corner = (F.col("cx") == F.floor(F.greatest("west", "_west") / cell)) & (F.col("cy") == F.floor(F.greatest("south", "_south") / cell))
-    meet = geo.boxes_meet(*(F.col(c) for c in BOX), *(F.col(f"_{c}") for c in BOX))
-    return left.join(right, (F.col("cx") == F.col("_cx")) & (F.col("cy") == F.col("_cy")) & corner & meet).select("item_id", "area_id")
+    return _grid_pairs(items, areas, cell).select("item_id", "area_id")
 
 
 def polygon_join(items: DataFrame, areas: DataFrame, cell: float = 1.0) -> DataFrame:
-    """Pairs (item_id, area_id) of boxes and polygons (area_id, rings) that meet: the grid join of boxes, then the exact test."""
+    """Pairs (item_id, area_id) of boxes and polygons (area_id, rings) that meet: the grid join of boxes, then the exact test.
+
+    Rows that repeat an id are rows of their own, as in spatial_join().
+    """
     boxed = areas.withColumn("_b", geo.ring_box(F.element_at("rings", 1))).withColumns({c: F.element_at("_b", k) for k, c in enumerate(BOX, 1)})
-    pairs = spatial_join(items, boxed, cell)
-    shaped = pairs.join(areas.select(F.col("area_id").alias("_a"), "rings"), F.col("area_id") == F.col("_a")).join(items.select(F.col("item_id").alias("_i"), *BOX), F.col("item_id") == F.col("_i"))
-    return shaped.where(geo.polygon_meets_box(F.col("rings"), *(F.col(c) for c in BOX))).select("item_id", "area_id")
+    pairs = _grid_pairs(items, boxed, cell, ("rings",))
+    return pairs.where(geo.polygon_meets_box(F.col("rings"), *(F.col(c) for c in BOX))).select("item_id", "area_id")
 
 
 def asset_hrefs(items: DataFrame) -> DataFrame:

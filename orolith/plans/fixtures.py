@@ -26,7 +26,7 @@ CACHED = f"SELECT ordinal, url FROM ({INVENTORY}) i WHERE ordinal % 11 <> 5"
 
 _ONE_CHECK = f"""
 SELECT ordinal, url, ordinal % 17 <> 0 AS is_geotiff, ordinal % 3 = 0 AS is_cog,
-  CAST(CASE WHEN ordinal % 7 < 5 THEN 26907 + ordinal % 7 WHEN ordinal % 7 = 5 THEN 3005 END AS INT) AS epsg,
+  CAST(CASE WHEN ordinal % 70 = 7 THEN 3157 WHEN ordinal % 70 = 21 THEN 2955 WHEN ordinal % 70 = 14 THEN 32609 WHEN ordinal % 70 = 28 THEN 3154 WHEN ordinal % 7 < 5 THEN 26907 + ordinal % 7 WHEN ordinal % 7 = 5 THEN 3005 END AS INT) AS epsg,
   CAST(CASE WHEN ordinal % 17 <> 0 THEN 2000 END AS INT) AS height, CAST(CASE WHEN ordinal % 17 <> 0 THEN 2500 END AS INT) AS width,
   CAST(300000 + (ordinal * 37 % CASE WHEN ordinal % 7 = 5 THEN 1500 ELSE 400 END) * 1000 AS DOUBLE) AS l,
   CAST(CASE WHEN ordinal % 7 = 5 THEN 400000 + (ordinal * 53 % 1300) * 1000 ELSE 5400000 + (ordinal * 53 % 1200) * 1000 END AS DOUBLE) AS b,
@@ -46,7 +46,7 @@ SELECT ordinal + 1000000000, url, is_geotiff, NOT is_cog, epsg, height, width,
 REPORT = """
 SELECT concat('items/', item_id, '.json') AS item_path, item_id, n % 5 <> 0 AS json_exists, n % 5 <> 0 AND q % 7 <> 0 AS json_valid,
   CASE WHEN n % 5 = 0 THEN 'File not found' WHEN q % 7 = 0 THEN 'STAC validation error: bbox' END AS validation_error, '2026-01-01T00:00:00' AS last_checked
-FROM (SELECT concat('dem-bc-', CAST(l_orderkey AS STRING)) AS item_id, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS q FROM {t:lineitem} GROUP BY l_orderkey) r
+FROM (SELECT concat('tile-', CAST(l_orderkey AS STRING)) AS item_id, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS q FROM {t:lineitem} GROUP BY l_orderkey) r
 """
 #: Ids of the inventory that have order lines count as reported.
 BACKING = f"""
@@ -73,6 +73,11 @@ SELECT n_nationkey AS area_id, n_name AS name, -138e0 + n_nationkey * 0.8e0 AS w
   -138e0 + n_nationkey * 0.8e0 + 2.5e0 AS east, 49e0 + (n_nationkey * 3 % 8) + 1.5e0 AS north FROM {t:nation}
 """
 
+#: Quadrilaterals in the areas' boxes, their corners at the middle of the sides, a little inside.
+DIAMONDS = f"""
+SELECT area_id, (west + east) / 2 AS cx, (south + north) / 2 AS cy, 1.2345671e0 AS rx, 0.7345673e0 AS ry FROM ({AREAS}) a
+"""
+
 LOCAL = """
 SELECT doc_id, concat(CAST(doc_id AS STRING), '.json') AS name, concat('d', CAST(doc_id AS STRING)) AS id, lang AS datetime, doc_id % 4 = 0 AS datetime_unknown, {list:n_chars / 1e0, doc_id / 1e0} AS geometry, {list:doc_id / 2e0} AS bbox, 1 AS asset_count FROM {t:documents}
 """
@@ -96,3 +101,8 @@ def as_spark(sql: str, sf_dir: str) -> str:
 
 def relation(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(as_spark(sql, sf_dir))
+
+
+def listing(prefix: str) -> list[str]:
+    """Object names below a prefix, as a lister of an object store would give them."""
+    return [f"{prefix}/tile_{k}.tif" for k in range(int(prefix.rsplit("-", 1)[1]))]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from orolith import schema
 from orolith.functions import geo
 from orolith.plans import fixtures as fx
@@ -16,7 +18,7 @@ _DATES = rf"""SELECT *, CASE WHEN ds IS NULL THEN '2000-01-01T00:00:00Z' ELSE st
   SELECT *, CASE WHEN length(ds) = 8 THEN try_strptime(ds, '%Y%m%d') WHEN length(ds) = 4 THEN try_strptime(ds, '%Y') END AS moment FROM (
   SELECT *, CASE WHEN try_cast(substring(u, 1, 4) AS INT) BETWEEN 2000 AND 2050 THEN u WHEN try_cast(y AS INT) BETWEEN 2000 AND 2050 THEN y END AS ds FROM (
   SELECT *, regexp_extract(url, '_utm\d{{1,2}}_([0-9]{{4,8}})', 1) AS u, regexp_extract(url, '/(2[0-9]{{3}})/', 1) AS y FROM %s)))"""
-_LON0 = "CASE WHEN epsg BETWEEN 26907 AND 26911 THEN (epsg - 26900) * 6.0 - 183.0 END"
+_LON0 = "CASE WHEN epsg BETWEEN 26907 AND 26911 THEN (epsg - 26900) * 6.0 - 183.0 WHEN epsg BETWEEN 32601 AND 32660 THEN (epsg - 32600) * 6.0 - 183.0 WHEN epsg BETWEEN 3154 AND 3157 THEN (epsg - 3147) * 6.0 - 183.0 WHEN epsg = 2955 THEN -117.0 END"
 
 
 def _dates(table: str) -> str:
@@ -25,7 +27,7 @@ def _dates(table: str) -> str:
 
 def _with(body: str) -> str:
     """The projections as common table expressions before a query."""
-    names = {"inv": fx.INVENTORY, "fresh": fx.FRESH, "cached": fx.CACHED, "checks": fx.CHECKS, "report": fx.REPORT, "backing": fx.BACKING, "probes": fx.PROBES, "its": fx.ITEMS, "areas": fx.AREAS, "local_": fx.LOCAL, "remote": fx.REMOTE}
+    names = {"inv": fx.INVENTORY, "fresh": fx.FRESH, "cached": fx.CACHED, "checks": fx.CHECKS, "report": fx.REPORT, "backing": fx.BACKING, "probes": fx.PROBES, "its": fx.ITEMS, "areas": fx.AREAS, "diamonds": fx.DIAMONDS, "local_": fx.LOCAL, "remote": fx.REMOTE}
     derived = {
         "looked": f"SELECT {_FIX} AS key, arg_max(struct_pack(is_geotiff := is_geotiff, is_cog := is_cog, epsg := epsg, height := height, width := width, transform := transform, bounds := bounds), ordinal) AS c FROM checks GROUP BY 1",
         "resolved": f"""SELECT ordinal, {_ID} AS item_id, {_FIX} AS href, datetime, datetime_unknown, c.is_cog AS is_cog, c.is_geotiff AS is_geotiff, c.epsg AS epsg, c.height AS height, c.width AS width, c.transform AS transform, c.bounds AS bounds,
@@ -71,6 +73,30 @@ _TIME = "datetime >= '2018-01-01' AND datetime <= '2020-12-31T00:00:00Z'"
 _FIRST = "SELECT min(ordinal) AS ordinal, url FROM {a} WHERE url NOT IN (SELECT url FROM {b}) GROUP BY url"
 _STAC = lambda n: f"'STAC validation error: {n}'"
 
+_BODY = "concat_ws('|', datetime, datetime_unknown::VARCHAR)"
+#: Edges of the searched polygon, counter-clockwise: a box meets a convex outline where their boxes meet and no edge has the whole box on its outer side.
+_POINTS = q.POLYGON["coordinates"][0]
+_CONVEX = " AND ".join(
+    [f"east >= {min(p[0] for p in _POINTS)} AND west <= {max(p[0] for p in _POINTS)} AND north >= {min(p[1] for p in _POINTS)} AND south <= {max(p[1] for p in _POINTS)}"]
+    + [f"greatest({', '.join(f'({bx} - ({ax})) * ({y} - ({ay})) - ({by} - ({ay})) * ({x} - ({ax}))' for x in ('west', 'east') for y in ('south', 'north'))}) >= 0" for (ax, ay), (bx, by) in zip(_POINTS, _POINTS[1:])]
+)
+_TENTH = "round({0}::VARCHAR::DECIMAL(38, 20), 1)::DECIMAL(18, 1)::VARCHAR"
+_RING = " || chr(44) || chr(10) || ".join(f"'[' || {_TENTH.format(x)} || ', ' || {_TENTH.format(y)} || ']'" for x, y in (("east", "south"), ("east", "north"), ("west", "north"), ("west", "south"), ("east", "south")))
+
+
+def _forward() -> str:
+    """Transverse Mercator by Krueger's series and the equal-area cone, as in published formulas."""
+    cosh, sinh, atanh = (lambda v: f"((exp({v}) + exp(-({v}))) / 2)"), (lambda v: f"((exp({v}) - exp(-({v}))) / 2)"), (lambda v: f"(0.5 * ln((1 + ({v})) / (1 - ({v}))))")
+    c, k, e = 2 * math.sqrt(geo._n) / (1 + geo._n), geo.K0 * geo._radius, math.sqrt(geo._e2)
+    east = " + ".join(f"{a!r} * cos({2 * j} * xi) * {sinh(f'{2 * j} * eta')}" for j, a in enumerate(geo._forward, 1))
+    north = " + ".join(f"{a!r} * sin({2 * j} * xi) * {cosh(f'{2 * j} * eta')}" for j, a in enumerate(geo._forward, 1))
+    return f"""
+SELECT item_id, round((eta + {east}) * {k!r} + 500000.0, 3) AS x, round((xi + {north}) * {k!r}, 3) AS y,
+  round(rho * sin(theta) + {geo.ALBERS["east"]!r}, 3) AS albers_x, round({geo.ALBERS_RHO0!r} - rho * cos(theta), 3) AS albers_y FROM (
+SELECT item_id, atan2(t, cos(d)) AS xi, {atanh("sin(d) / sqrt(t * t + 1)")} AS eta, {geo.A / geo.ALBERS_N!r} * sqrt({geo.ALBERS_C!r} - {geo.ALBERS_N!r} * q) AS rho, {geo.ALBERS_N!r} * radians(west - {geo.ALBERS["lon0"]!r}) AS theta FROM (
+SELECT *, {sinh(f"{atanh('s')} - {c!r} * {atanh(f's * {c!r}')}")} AS t, radians(west + 123.0) AS d, {1 - geo._e2!r} * (s / (1 - {geo._e2!r} * s * s) - ln((1 - {e!r} * s) / (1 + {e!r} * s)) / {2 * e!r}) AS q FROM (SELECT item_id, west, sin(radians(south)) AS s FROM its)))"""
+
+
 _BODIES: dict[str, str] = {
     "item_rows": f"SELECT ordinal, {_ID} AS item_id, {_FIX} AS href, datetime, datetime_unknown, CASE WHEN ds IS NULL THEN 'unknown' WHEN bad THEN 'bad_date' WHEN moment IS NULL THEN 'error' ELSE 'built' END AS status FROM ({_dates('inv')})",
     "url_fix_scheme": f"SELECT ordinal, {_FIX} AS href FROM inv",
@@ -107,7 +133,8 @@ _BODIES: dict[str, str] = {
     "collection_bbox_union": "SELECT round(min(west), 6) AS west, round(min(south), 6) AS south, round(max(east), 6) AS east, round(max(north), 6) AS north, count(*) = 0 AS empty FROM boxes",
     "item_document_json": f"SELECT ordinal, item_id AS id, 'Feature' AS type, '1.1.0' AS stac_version, datetime, CASE WHEN datetime_unknown THEN 'true' END AS datetime_unknown, epsg, href, CASE WHEN is_cog THEN '{schema.MEDIA_TYPE_COG}' ELSE '{schema.MEDIA_TYPE}' END AS media_type, 'collection' AS rel, '{schema.COLLECTION_ID}' AS collection FROM resolved WHERE status = 'built'",
     "temporal_extent": f"SELECT strftime(min(moment), '%Y-%m-%dT%H:%M:%SZ') AS first, strftime(max(moment), '%Y-%m-%dT%H:%M:%SZ') AS last, count(moment) AS dated, count(moment) = 0 AS empty, count(*) FILTER (bad) AS bad_dates FROM ({_dates('inv')})",
-    "collection_summary": f"SELECT 'CC-BY-4.0' AS license, n + 1 AS links, n AS item_links, -140::DOUBLE AS west, first, last, href_md5 FROM (SELECT strftime(min(moment), '%Y-%m-%dT%H:%M:%SZ') AS first, strftime(max(moment), '%Y-%m-%dT%H:%M:%SZ') AS last FROM ({_dates('inv')})), (SELECT count(*) AS n, md5('{schema.PUBLISHED}/collection.json' || chr(10) || string_agg({_PUBLISHED}, chr(10) ORDER BY ordinal)) AS href_md5 FROM inv WHERE ordinal % 50 = 0)",
+    "collection_summary": f"""SELECT 'CC-BY-4.0' AS license, 1::BIGINT AS own_links, -140::DOUBLE AS west, first, last, links, item_links, first_href, digest FROM (SELECT strftime(min(moment), '%Y-%m-%dT%H:%M:%SZ') AS first, strftime(max(moment), '%Y-%m-%dT%H:%M:%SZ') AS last FROM ({_dates('inv')})),
+  (SELECT count(*) AS links, count(*) FILTER (rel = 'item') AS item_links, arg_min(href, ordinal) AS first_href, sum(('0x' || substr(md5(ordinal || '|' || rel || '|' || href), 1, 8))::BIGINT)::BIGINT AS digest FROM (SELECT ordinal, CASE WHEN ordinal % 1000 = 0 THEN 'child' ELSE 'item' END AS rel, {_PUBLISHED} AS href FROM inv))""",
     "tile_index": "SELECT item_id, floor(((west + east) / 2 / 360.0 + 0.5) * 4096)::INT AS x, floor((0.5 - 0.25 * ln((1 + sin(radians((south + north) / 2))) / (1 - sin(radians((south + north) / 2)))) / pi()) * 4096)::INT AS y, 12 AS z FROM its",
     "validate_report": f"""SELECT 'e-' || event_id AS item_id, n <> 6 AS json_exists, error IS NULL AS json_valid, error FROM (SELECT event_id, event_id % 19 AS n, CASE WHEN event_id % 19 = 6 THEN 'File not found' WHEN event_id % 23 = 7 THEN 'JSON decode error' WHEN event_id % 7 = 1 THEN {_STAC('type')}
   WHEN event_id % 11 = 2 THEN {_STAC('geometry')} WHEN event_id % 13 = 3 THEN {_STAC('bbox')} WHEN event_id % 5 = 4 THEN {_STAC('datetime')} WHEN event_id % 17 = 5 THEN {_STAC('collection')} END AS error FROM events)""",
@@ -127,18 +154,42 @@ _BODIES: dict[str, str] = {
     "search_bbox_datetime": f"SELECT item_id FROM its WHERE {_BOX} AND {_TIME}",
     "search_unknown_flag": f"SELECT item_id FROM its WHERE {_BOX} AND datetime_unknown",
     "search_page": f"SELECT item_id FROM its WHERE {_BOX} ORDER BY item_id LIMIT 20 OFFSET 40",
-    "search_named_area": "SELECT item_id, area_id FROM pairs WHERE area_id IN (SELECT area_id FROM areas WHERE name = 'CANADA')",
+    "search_named_area": "SELECT item_id, area_id FROM pairs WHERE area_id IN (SELECT area_id FROM areas WHERE name = 'NATION_3')",
     "spatial_join_grid": "SELECT * FROM pairs",
     "spatial_join_counts": "SELECT area_id, count(*) AS items FROM pairs GROUP BY area_id",
-    "spatial_join_polygons": "SELECT * FROM pairs",
-    "crs_forward": "SELECT item_id, round(west, 5) AS lon, round(south, 5) AS lat, round(west, 5) AS albers_lon, round(south, 5) AS albers_lat FROM its",
+    # a box meets a diamond where its point nearest to the middle, measured in half diagonals along both axes, is at most 1 off
+    "spatial_join_polygons": "SELECT item_id, area_id FROM its, diamonds WHERE greatest(west - cx, cx - east, 0) / rx + greatest(south - cy, cy - north, 0) / ry <= 1",
+    "search_polygon": f"SELECT item_id FROM its WHERE {_CONVEX}",
+    "geometry_forms": f"SELECT item_id, west, south, east, north, {_RING} AS text, 5 AS points FROM its",
+    "qa_sampled": "SELECT * FROM diffs WHERE name IN (SELECT name FROM local_ ORDER BY md5(name || '/0'), name LIMIT (SELECT greatest(1, least(floor(count(*) * 5 / 100), 100))::BIGINT FROM local_))",
+    "crs_forward": _forward(),
+    "crs_round_trip": "SELECT item_id, round(west, 5) AS lon, round(south, 5) AS lat, round(west, 5) AS albers_lon, round(south, 5) AS albers_lat FROM its",
     "pluck_asset_href": "SELECT item_id, item_id || '.tif' AS href FROM its",
     "explode_assets": "SELECT item_id, 'image' AS asset, item_id || '.tif' AS href FROM its UNION ALL SELECT item_id, 'thumb', item_id || '.png' FROM its",
     "json_props_get": "SELECT event_id, json_extract_string(props, '$.k')::INT AS k, coalesce(json_extract_string(props, '$.absent'), 'none') AS absent FROM events",
     "array_slice_concat": "SELECT vec_id, 9 AS n, embedding[1]::DOUBLE AS first, embedding[6]::DOUBLE AS sixth, 1::DOUBLE AS last FROM embeddings",
     "head_and_more": "SELECT ordinal, url, greatest((SELECT count(*) FROM inv) - 10, 0) AS more FROM inv ORDER BY ordinal LIMIT 10",
     "throughput_report": "SELECT fresh, round(fresh / 90.0::DOUBLE, 1) AS rate, fresh - cached AS delta, round(fresh / 650.0::DOUBLE / 60.0::DOUBLE, 2) AS minutes FROM summed",
-    "links_by_rel": "SELECT CASE WHEN ordinal % 1000 = 0 THEN 'item' ELSE 'child' END AS rel, count(*) AS n FROM inv WHERE ordinal % 500 = 0 GROUP BY 1",
+    "links_by_rel": "SELECT CASE WHEN ordinal % 1000 = 0 THEN 'child' ELSE 'item' END AS rel, count(*) AS n FROM inv GROUP BY 1",
+    "lines_written_and_read": "SELECT url FROM inv",
+    "checks_written_and_read": "SELECT url, is_geotiff, is_cog, coalesce(epsg, 0) AS epsg, coalesce(height, 0) AS height, coalesce(bounds[3], 0) AS \"right\", coalesce(len(transform), -1)::INT AS terms FROM checks",
+    "report_written_and_read": "SELECT * FROM report",
+    "access_written_and_read": "SELECT url, coalesce(CASE WHEN failure IS NULL THEN status END, -1) AS status_code, coalesce(status = 200, false) AND failure IS NULL AS accessible, CASE WHEN failure IS NOT NULL THEN failure WHEN status = 200 THEN '' ELSE coalesce(reason, '') END AS error, '2026-01-01T00:00:00Z' AS last_checked FROM probes",
+    "documents_written_and_read": "SELECT 'area-' || area_id AS item_id, name, round(west, 6) AS west, (SELECT count(*) FROM areas) AS written, (SELECT count(*) FROM areas) AS counted FROM areas",
+    "json_lines_written_and_read": f"SELECT item_id AS id, '{schema.COLLECTION_ID}' AS collection, datetime FROM resolved WHERE status = 'built'",
+    "collection_written_and_read": "SELECT 'area-' || area_id AS id, name FROM areas",
+    "ledger_appended": "SELECT fresh, cached, CASE WHEN cached > 0 AND fresh < 0.9 * cached THEN 2 WHEN new > 0 OR deleted > 0 THEN 1 ELSE 0 END AS exit_code, unnest([1, 2]) AS run FROM summed",
+    "saved_search": f"SELECT item_id, datetime FROM its WHERE {_BOX} AND {_TIME}",
+    "object_listing": "SELECT p || '/tile_' || unnest(range(n)) || '.tif' AS url FROM (VALUES ('north-4', 4), ('south-3', 3)) v(p, n)",
+    "head_probes": "SELECT url, CASE WHEN event_id % 7 = 0 THEN -1 WHEN event_id % 3 = 0 THEN 404 ELSE 200 END AS status_code, event_id % 7 <> 0 AND event_id % 3 <> 0 AS accessible, CASE WHEN event_id % 7 = 0 THEN 'timed out' WHEN event_id % 3 = 0 THEN 'Not Found' ELSE '' END AS error, 'now' AS last_checked FROM probes",
+    "raster_header_rows": f"SELECT url, n % 5 <> 0 AS is_geotiff, n % 5 <> 0 AND n % 2 = 0 AS is_cog, CASE WHEN n % 5 <> 0 THEN 26910 ELSE 0 END AS epsg, CASE WHEN n % 5 <> 0 THEN 2 * n ELSE 0 END::INT AS width, CASE WHEN n % 5 <> 0 THEN 6 ELSE -1 END AS terms, CASE WHEN n % 5 <> 0 THEN n ELSE 0 END::DOUBLE AS \"right\" FROM (SELECT url, length(replace({_FIX}, ' ', '%20')) AS n FROM inv)",
+    "bounds_service_rows": "SELECT url, event_id::DOUBLE AS \"left\", event_id + 1::DOUBLE AS \"right\" FROM probes WHERE event_id % 4 <> 0",
+    "publish_plan": "SELECT CASE WHEN p AND NOT n THEN 'delete' WHEN n AND NOT p THEN 'add' WHEN doc_id % 5 = 0 THEN 'update' ELSE 'keep' END AS action, count(*) AS n FROM (SELECT doc_id, doc_id % 3 <> 1 AS n, doc_id % 4 <> 2 AS p FROM local_) WHERE n OR p GROUP BY 1",
+    "publish_upsert": f"SELECT id, CASE WHEN doc_id % 3 = 1 AND doc_id % 5 = 0 THEN 'old' ELSE {_BODY} END AS body FROM local_ WHERE doc_id % 3 <> 1 OR doc_id % 4 <> 2",
+    "published_catalog": f"SELECT id, {_BODY} AS body FROM local_ WHERE doc_id % 3 <> 1",
+    "qa_of_documents": "SELECT doc_id::VARCHAR AS name, false AS missing, concat_ws(',', CASE WHEN doc_id % 10 = 3 AND lang IS NOT NULL THEN 'datetime' END, CASE WHEN doc_id % 6 = 5 THEN 'asset_count' END) AS differences FROM documents",
+    "error_texts": "SELECT doc_id, 'STAC validation error: ' || substring(text, 1, 100) AS error, strftime(make_timestamp((1700000000 + doc_id) * 1000000), '%Y%m%d_%H%M%S') || '_build.log' AS log FROM documents",
+    "listing_windows": "SELECT 1700006400 + (ordinal % 5) * 86400 AS day, count(*) AS urls FROM inv GROUP BY 1",
     "stream_incremental_items": "SELECT ordinal, item_id, status FROM resolved",
 }
 

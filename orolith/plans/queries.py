@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +11,9 @@ from pyspark.sql import functions as F
 
 from orolith import schema
 from orolith.functions import dates, geo, urls
-from orolith.operators import access, changes, collection, items, qa, search, validate
+from orolith.operators import access, changes, collection, items, publish, qa, search, validate
 from orolith.plans import fixtures as fx
-from orolith.sources import readers
+from orolith.sources import adapters, readers, writers
 from orolith.streaming import increments
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,11 +241,11 @@ def collection_bbox_union(s, d):
 
 @query
 def item_document_json(s, d):
-    body = items.item_documents(_built(s, d)).select("ordinal", "id", "body")
-    got = lambda p: F.get_json_object("body", p)
-    return body.select(
-        "ordinal", "id", got("$.type").alias("type"), got("$.stac_version").alias("stac_version"), got("$.properties.datetime").alias("datetime"), got("$.properties.datetime_unknown").alias("datetime_unknown"),
-        got("$.properties['proj:epsg']").cast("int").alias("epsg"), got("$.assets.image.href").alias("href"), got("$.assets.image.type").alias("media_type"), got("$.links[0].rel").alias("rel"), got("$.collection").alias("collection"),
+    doc = F.from_json("body", "type string, stac_version string, collection string, properties struct<datetime: string, datetime_unknown: string, `proj:epsg`: int>, assets map<string, struct<href: string, type: string>>, links array<struct<rel: string>>").alias("d")
+    rows = items.item_documents(_built(s, d)).select("ordinal", "id", doc)
+    return rows.select(
+        "ordinal", "id", "d.type", "d.stac_version", "d.properties.datetime", "d.properties.datetime_unknown", F.col("d.properties.`proj:epsg`").alias("epsg"),
+        F.col("d.assets")["image"]["href"].alias("href"), F.col("d.assets")["image"]["type"].alias("media_type"), F.col("d.links")[0]["rel"].alias("rel"), "d.collection",
     )
 
 
@@ -255,9 +257,14 @@ def temporal_extent(s, d):
 @query
 def collection_summary(s, d):
     extent = collection.temporal_extent(_inventory(s, d))
-    links = _inventory(s, d).where("ordinal % 50 = 0").select("ordinal", F.lit("item").alias("rel"), urls.published_href(urls.item_id(F.col("url"))).alias("href"), F.lit("application/geo+json").alias("type"))
-    doc = collection.collection_document(extent, links).select("id", "collection.*", "body").drop("body")
-    return doc.select(F.col("license"), F.size("links").cast("long").alias("links"), F.size(F.filter("links", lambda x: x["rel"] == "item")).cast("long").alias("item_links"), F.col("extent.spatial.bbox")[0][0].alias("west"), F.col("extent.temporal.interval")[0][0].alias("first"), F.col("extent.temporal.interval")[0][1].alias("last"), F.md5(F.array_join(F.transform("links", lambda x: x["href"]), "\n")).alias("href_md5"))
+    doc = collection.collection_document(extent).select("collection.*")
+    head = doc.select("license", F.size("links").cast("long").alias("own_links"), F.col("extent.spatial.bbox")[0][0].alias("west"), F.col("extent.temporal.interval")[0][0].alias("first"), F.col("extent.temporal.interval")[0][1].alias("last"))
+    return head.join(collection.link_summary(_item_links(s, d)))
+
+
+def _item_links(s, d):
+    rel = F.when(F.col("ordinal") % 1000 == 0, "child").otherwise("item")
+    return _inventory(s, d).select("ordinal", rel.alias("rel"), urls.published_href(urls.item_id(F.col("url"))).alias("href"))
 
 
 @query
@@ -393,7 +400,7 @@ def search_polygon(s, d):
 
 @query
 def search_named_area(s, d):
-    area = search.named_areas(fx.relation(s, d, fx.AREAS), "CANADA")
+    area = search.named_areas(fx.relation(s, d, fx.AREAS), "NATION_3")
     return search.spatial_join(_items(s, d), area).select("item_id", "area_id")
 
 
@@ -409,9 +416,9 @@ def spatial_join_counts(s, d):
 
 @query
 def spatial_join_polygons(s, d):
-    areas = fx.relation(s, d, fx.AREAS)
-    rings = F.array(geo.box_ring(*(F.col(c) for c in search.BOX)))
-    return search.polygon_join(_items(s, d), areas.select("area_id", rings.alias("rings")))
+    at = lambda x, y: F.array(F.col("cx") + x * F.col("rx"), F.col("cy") + y * F.col("ry"))
+    ring = F.array(at(1, 0), at(0, 1), at(-1, 0), at(0, -1), at(1, 0))
+    return search.polygon_join(_items(s, d), fx.relation(s, d, fx.DIAMONDS).select("area_id", F.array(ring).alias("rings")))
 
 
 @query
@@ -425,13 +432,19 @@ def geometry_forms(s, d):
 
 @query
 def crs_forward(s, d):
-    """Corners of boxes to UTM zone 10 and Albers, and back."""
+    """Corners of boxes to UTM zone 10 and Albers, in centimetres' tenths."""
+    lon, lat = F.col("west"), F.col("south")
+    (x, y), (ax, ay) = geo.lonlat_to_utm(lon, lat, F.lit(-123.0)), geo.lonlat_to_albers(lon, lat)
+    return _items(s, d).select("item_id", *[F.round(c, 3).alias(n) for n, c in (("x", x), ("y", y), ("albers_x", ax), ("albers_y", ay))])
+
+
+@query
+def crs_round_trip(s, d):
+    """The same corners there and back."""
     lon, lat = F.col("west"), F.col("south")
-    x, y = geo.lonlat_to_utm(lon, lat, F.lit(-123.0))
-    ax, ay = geo.lonlat_to_albers(lon, lat)
-    flat = _items(s, d).select("item_id", lon, lat, x.alias("x"), y.alias("y"), ax.alias("ax"), ay.alias("ay"))
-    blon, blat = geo.utm_to_lonlat(F.col("x"), F.col("y"), F.lit(-123.0))
-    alon, alat = geo.albers_to_lonlat(F.col("ax"), F.col("ay"))
+    (x, y), (ax, ay) = geo.lonlat_to_utm(lon, lat, F.lit(-123.0)), geo.lonlat_to_albers(lon, lat)
+    flat = _items(s, d).select("item_id", x.alias("x"), y.alias("y"), ax.alias("ax"), ay.alias("ay"))
+    (blon, blat), (alon, alat) = geo.utm_to_lonlat(F.col("x"), F.col("y"), F.lit(-123.0)), geo.albers_to_lonlat(F.col("ax"), F.col("ay"))
     return flat.select("item_id", F.round(blon, 5).alias("lon"), F.round(blat, 5).alias("lat"), F.round(alon, 5).alias("albers_lon"), F.round(alat, 5).alias("albers_lat"))
 
 
@@ -477,16 +490,202 @@ def throughput_report(s, d):
 
 @query
 def links_by_rel(s, d):
-    rows = _inventory(s, d).where("ordinal % 500 = 0").agg(F.collect_list(F.struct(F.when(F.col("ordinal") % 1000 == 0, "item").otherwise("child").alias("rel"))).alias("links"))
-    return collection.count_links(rows)
+    return collection.count_links(_item_links(s, d))
+
+
+def _scratch(s, name):
+    """A new path below the folder that driver and executors share."""
+    found = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()
+    if not found:
+        if not s.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orolith-"))
+        found = s.sparkContext.getCheckpointDir()
+    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def lines_written_and_read(s, d):
+    path = _scratch(s, "lines")
+    writers.write_lines(_inventory(s, d), path)
+    return readers.nonblank(readers.read_lines(s, path)).select("url")
+
+
+@query
+def checks_written_and_read(s, d):
+    path = _scratch(s, "checks")
+    writers.rewrite_csv(_checks(s, d), path)
+    return readers.read_checks(s, path).select("url", "is_geotiff", "is_cog", F.coalesce("epsg", F.lit(0)).alias("epsg"), F.coalesce("height", F.lit(0)).alias("height"), F.coalesce(F.element_at("bounds", 3), F.lit(0.0)).alias("right"), F.coalesce(F.size("transform"), F.lit(-1)).alias("terms"))
+
+
+@query
+def report_written_and_read(s, d):
+    path = _scratch(s, "report")
+    writers.rewrite_csv(_report(s, d), path)
+    return readers.read_report(s, path)
+
+
+@query
+def access_written_and_read(s, d):
+    path = _scratch(s, "access")
+    writers.rewrite_csv(access.classify(_probes(s, d), "2026-01-01T00:00:00Z"), path)
+    return readers.read_access(s, path).withColumn("status_code", F.coalesce("status_code", F.lit(-1)))
+
+
+def _area_documents(s, d):
+    return fx.relation(s, d, fx.AREAS).select(F.concat(F.lit("area-"), F.col("area_id").cast("string")).alias("item_id"), F.to_json(F.struct("name", "west")).alias("body"))
+
+
+@query
+def documents_written_and_read(s, d):
+    path = _scratch(s, "documents")
+    written = writers.export_documents(_area_documents(s, d), path)
+    rows = readers.read_documents(s, path, "*-*.json").select("item_id", F.from_json("body", "name string, west double").alias("b"))
+    return rows.select("item_id", "b.name", F.round("b.west", 6).alias("west"), F.lit(written).cast("long").alias("written"), F.lit(readers.count_json(s, path)).cast("long").alias("counted"))
+
+
+@query
+def json_lines_written_and_read(s, d):
+    path = _scratch(s, "lines")
+    writers.write_json_lines(items.item_documents(_built(s, d)), path)
+    return s.read.schema("id string, collection string, properties struct<datetime: string>").json(path).select("id", "collection", "properties.datetime")
+
+
+@query
+def collection_written_and_read(s, d):
+    """Items that a written collection's links name."""
+    path = _scratch(s, "collection")
+    links = _area_documents(s, d).select(F.monotonically_increasing_id().alias("ordinal"), F.lit("item").alias("rel"), urls.published_href(F.col("item_id")).alias("href"), F.lit("application/geo+json").alias("type"))
+    collection.collection_document(collection.temporal_extent(_inventory(s, d)), links).select("body").write.text(path)
+    read = readers.read_collection(s, path)
+    return readers.collection_items(read, _area_documents(s, d).select(F.col("item_id").alias("id"), "body")).select("id", F.get_json_object("body", "$.name").alias("name"))
+
+
+@query
+def ledger_appended(s, d):
+    path = _scratch(s, "ledger")
+    run = changes.compare_listings(*_listings(s, d)).select("fresh", "cached", "exit_code")
+    for number in (1, 2):
+        writers.append_ledger(run.withColumn("run", F.lit(number)), path)
+    return s.read.parquet(path)
+
+
+@query
+def saved_search(s, d):
+    """A search result kept as a table and read again."""
+    path = _scratch(s, "search")
+    search.search(_items(s, d), bbox=list(BOX), interval=INTERVAL).select("item_id", "datetime").write.parquet(path)
+    return s.read.parquet(path)
+
+
+@query
+def object_listing(s, d):
+    s.dataSource.register(adapters.ListingSource)
+    rows = s.read.format("object_listing").option("prefixes", "north-4,south-3,none-0").option("lister", "orolith.plans.fixtures:listing").load()
+    return rows.where(~urls.has_parenthesis(F.col("url")))
+
+
+@query
+def head_probes(s, d):
+    """Probes by a function that stands for the network: every third address is missing, every seventh fails."""
+
+    def head(url):
+        n = int(url.rsplit("/", 1)[1].removesuffix(".tif"))
+        if n % 7 == 0:
+            raise OSError("timed out")
+        return (404, "Not Found") if n % 3 == 0 else (200, "OK")
+
+    return access.classify(adapters.head_probe(_probes(s, d), head), "now").withColumn("status_code", F.coalesce("status_code", F.lit(-1)))
+
+
+@query
+def raster_header_rows(s, d):
+    """Headers by a function that stands for the raster library: one in five can't be opened."""
+
+    def read(opened):
+        n = len(opened)
+        if n % 5 == 0:
+            raise OSError("not a raster")
+        return {"is_cog": n % 2 == 0, "epsg": 26910, "height": n, "width": 2 * n, "transform": (1.0, 0.0, float(n), 0.0, -1.0, 2.0, 0.0, 0.0, 1.0), "bounds": (0.0, 0.0, float(n), 1.0)}
+
+    rows = adapters.raster_headers(_inventory(s, d), read)
+    return rows.select("url", "is_geotiff", "is_cog", F.coalesce("epsg", F.lit(0)).alias("epsg"), F.coalesce("width", F.lit(0)).alias("width"), F.coalesce(F.size("transform"), F.lit(-1)).alias("terms"), F.coalesce(F.element_at("bounds", 3), F.lit(0.0)).alias("right"))
+
+
+@query
+def bounds_service_rows(s, d):
+    def fetch(url):
+        n = int(url.rsplit("/", 1)[1].removesuffix(".tif"))
+        return (500, None) if n % 4 == 0 else (200, [float(n), 0.0, n + 1.0, 1.0])
+
+    return adapters.bounds_probe(_probes(s, d), fetch).select("url", F.element_at("bounds", 1).alias("left"), F.element_at("bounds", 3).alias("right"))
+
+
+def _catalog_rows(s, d):
+    rows = fx.relation(s, d, fx.LOCAL).select("doc_id", "id", F.concat_ws("|", "datetime", F.col("datetime_unknown").cast("string")).alias("body"))
+    return rows.where("doc_id % 3 <> 1").drop("doc_id"), rows.where("doc_id % 4 <> 2").select("id", F.when(F.col("doc_id") % 5 == 0, "old").otherwise(F.col("body")).alias("body"))
+
+
+@query
+def publish_plan(s, d):
+    return publish.plan(*_catalog_rows(s, d), mirror=True).groupBy("action").agg(F.count("*").alias("n"))
+
+
+@query
+def publish_upsert(s, d):
+    new, published = _catalog_rows(s, d)
+    return publish.upsert(published, new)
+
+
+@query
+def published_catalog(s, d):
+    """A catalog published twice, the second time as a mirror, then promoted."""
+    new, published = _catalog_rows(s, d)
+    path = _scratch(s, "catalog")
+    about = s.range(1).select(F.lit("c").alias("id"))
+    publish.publish(published, about, f"{path}/staged")
+    publish.publish(new, about, f"{path}/staged", mirror=True)
+    publish.promote(s, f"{path}/staged", f"{path}/production")
+    return s.read.parquet(f"{path}/production/items")
+
+
+@query
+def qa_of_documents(s, d):
+    """Comparison of whole item documents, absent keys and all."""
+    n = F.col("doc_id")
+
+    def side(lang, assets):
+        props = F.struct(lang.alias("datetime"), F.when(n % 4 == 0, True).alias("datetime_unknown"))
+        item = F.struct(n.cast("string").alias("id"), F.array(n).alias("geometry"), F.array(n, n).alias("bbox"), props.alias("properties"), assets.alias("assets"))
+        return s.read.parquet(f"{d}/documents.parquet").select(n.cast("string").alias("name"), item.alias("item"))
+
+    one = F.create_map(F.lit("image"), F.lit("a"))
+    local = qa.compared_fields(side(F.col("lang"), one))
+    remote = qa.compared_fields(side(F.when(n % 10 != 3, F.col("lang")), F.when(n % 6 == 5, F.create_map(F.lit("image"), F.lit("a"), F.lit("thumb"), F.lit("b"))).otherwise(one)))
+    return qa.differences(local, remote).select("name", "missing", F.array_join("differences", ",").alias("differences"))
+
+
+@query
+def error_texts(s, d):
+    return s.read.parquet(f"{d}/documents.parquet").select("doc_id", urls.error_text("STAC validation error", F.col("text")).alias("error"), urls.log_name(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id")), "build").alias("log"))
+
+
+@query
+def listing_windows(s, d):
+    """URLs of a listing stream by day of event time."""
+    path = _scratch(s, "windows")
+    rows = _inventory(s, d).withColumn("listed_at", F.timestamp_seconds(F.lit(1_700_006_400) + (F.col("ordinal") % 5) * 86_400))
+    rows.write.parquet(f"{path}/listing")
+    counts = increments.listing_counts(increments.stream_listings(s, f"{path}/listing"))
+    name = f"windows_{uuid.uuid4().hex}"
+    counts.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return s.table(name).select(F.unix_timestamp("window.start").alias("day"), "urls")
 
 
 @query
 def stream_incremental_items(s, d):
     """Item rows of a listing read as a stream, two files with an overlap; the result is the batch's."""
-    import uuid
-
-    base = f"{(s.conf.get('spark.checkpoint.dir', None) or s.sparkContext.getCheckpointDir() or '/tmp/orolith').rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = _scratch(s, "stream")
     rows = _inventory(s, d).withColumn("listed_at", F.timestamp_seconds(F.lit(1_700_000_000)))
     rows.where("ordinal % 2 = 0").write.parquet(f"{base}/listing")
     rows.where("ordinal % 2 = 1 OR ordinal % 6 = 0").write.mode("append").parquet(f"{base}/listing")

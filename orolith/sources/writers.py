@@ -6,7 +6,10 @@ Nothing overwrites a path that it reads: new content goes beside the old and is
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,9 +52,9 @@ def _beside(path: str) -> str:
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
-    """URLs in input order as one text file, replacing what was there: the list's format is a file of lines in order.
+    """A bounded export: URLs in input order as one text file, replacing what was there. Larger lists stay Parquet.
 
-    Its ranges are sorted one after the other by the task that writes, so none needs the whole list in memory.
+    The list's format is a file of lines in order, so one task writes it. Its ranges are sorted one after the other by the task that writes, so none needs the whole list in memory.
     """
     staged = _beside(path)
     lines.repartitionByRange("ordinal").sortWithinPartitions("ordinal").select("url").coalesce(1).write.text(staged)
@@ -89,27 +92,18 @@ def write_json_lines(documents: DataFrame, path: str, mode: str = "overwrite") -
 
 
 def export_documents(documents: DataFrame, path: str) -> int:
-    """One <item_id>.json a row, for small exports; gives the number of rows.
-
-    Rows are partitioned by id into folders by Spark and each folder's only file is renamed.
-    """
-    spark = documents.sparkSession
-    staged = _beside(path)
-    documents.select("item_id", "body").repartition("item_id").write.partitionBy("item_id").text(staged)
-    fs, root = _fs(spark, staged)
-    fs.mkdirs(_fs(spark, path)[1])
-    count = 0
-    for folder in fs.listStatus(root):
-        name = folder.getPath().getName()
-        if name.startswith("item_id="):
-            item = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(name[len("item_id="):])
-            part = next(f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-"))
-            target = _fs(spark, f"{path.rstrip('/')}/{item}.json")[1]
-            fs.delete(target, False)
-            fs.rename(part, target)
-            count += 1
-    fs.delete(root, True)
-    return count
+    """One <item_id>.json a row, written by the executors that hold the rows; gives the number of rows. A task that runs again replaces its own files."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = pa.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pa.fs.LocalFileSystem(), path)
+        store.create_dir(root, recursive=True)
+        for b in batches:
+            for item, body in zip(b.column("item_id").to_pylist(), b.column("body").to_pylist(), strict=True):
+                with store.open_output_stream(f"{root.rstrip('/')}/{item}.json") as f:
+                    f.write(f"{body or ''}\n".encode())
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    return documents.select("item_id", "body").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:

@@ -206,3 +206,30 @@ def test_publish(spark, tmp_path):
     assert read() == {"z": "1"}
     writers.roll_back(spark, path, backup)
     assert read() == {"d": "1"}
+
+
+def test_joins_keep_repeated_ids(spark):
+    """Equal rows are rows of their own: none is lost, none multiplied."""
+    box = "west double, south double, east double, north double"
+    rows = spark.createDataFrame([("a", 0.0, 0.0, 1.0, 1.0)] * 3 + [("b", 5.0, 5.0, 6.0, 6.0)], f"item_id string, {box}")
+    areas = spark.createDataFrame([(1, [[[0.5, -1.0], [3.0, 0.5], [0.5, 2.0], [0.5, -1.0]]])] * 2, "area_id int, rings array<array<array<double>>>")
+    assert sorted(tuple(r) for r in search.polygon_join(rows, areas).collect()) == [("a", 1)] * 6
+    outline = {"type": "MultiPolygon", "coordinates": [[[[0.5, -1.0], [3.0, 0.5], [0.5, 2.0], [0.5, -1.0]]], [[[5.5, 5.5], [9.0, 5.5], [9.0, 9.0], [5.5, 5.5]]]]}
+    assert sorted(r["item_id"] for r in search.in_polygon(rows, outline).collect()) == ["a", "a", "a", "b"]
+
+
+def test_bounds_in_columns_equal_those_of_one_expression(spark):
+    from orolith.functions import geo
+
+    rows = [([604000.0, 5962000.0, 618000.0, 5974000.0], e) for e in (3157, 26910, 32609, 4326, 9999, None)] + [(None, 3005), ([1.0, 2.0], 3005), ([900000.0, 500000.0, 1100000.0, 700000.0], 3005), ([450000.0, 5500000.0, 550000.0, 5600000.0], 2955)]
+    frame = spark.createDataFrame(rows, "bounds array<double>, epsg int").withColumn("box", geo.transform_bounds(F.col("bounds"), F.col("epsg")))
+    for row in geo.add_bounds(frame, "bounds", "epsg", "found").collect():
+        assert row["found"] == (None if row["box"] is None else pytest.approx(row["box"], abs=1e-11))
+    plan = geo.add_bounds(frame.drop("box"), "bounds", "epsg", "found")._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan
+
+
+def test_link_summary_and_counts(spark):
+    links = spark.createDataFrame([(2, "item", "b"), (1, "self", "a"), (3, None, None)], "ordinal int, rel string, href string")
+    assert collection.link_summary(links).first()[:3] == (3, 1, "a") and collection.link_summary(links.limit(0)).first()[:2] == (0, 0)
+    assert {tuple(r) for r in collection.count_links(links).collect()} == {("item", 1), ("self", 1), (None, 1)}
