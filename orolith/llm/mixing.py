@@ -68,7 +68,8 @@ def sample_copies(sized: DataFrame, seed: str = "mix", buckets: int = 64) -> Dat
     starts = counts.select(F.col("source").alias("_s"), F.col("_class").alias("_c"), F.col("_bucket").alias("_b"), ahead.alias("_ahead"), offset.alias("_u"))
     targets = source_targets(counts).withColumnRenamed("source", "_t")
     plan = starts.join(targets, F.col("_s").eqNullSafe(F.col("_t"))).drop("_t")
-    within = F.row_number().over(Window.partitionBy("source", "_class", "_bucket").orderBy("size", "doc_id"))
+    tie = [F.xxhash64("text")] if "text" in sized.columns else []  # else rows that repeat an id could swap between runs
+    within = F.row_number().over(Window.partitionBy("source", "_class", "_bucket").orderBy("size", "doc_id", *tie))
     ranked = sized.withColumn("_rank", within).join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_class") == F.col("_c")) & (F.col("_bucket") == F.col("_b")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     upto = lambda k: F.floor(F.col("_u") + rate * k.cast("double"))

@@ -12,7 +12,9 @@ rules. At four strata 86 good labels without an exceedance pass a level. A strat
 without a good level has no rules.
 
 Nothing is fitted to the labels but the choice among fixed cutoffs, so all labels serve
-as holdout. All counts cover all labelled texts.
+as holdout. All counts cover all labelled texts. Equal texts of a stratum are one trial, as
+they are judged alike; near copies count as trials of their own. The guarantee is about texts that pass the base rules, which
+reject good texts besides.
 
 Defined results: a null text has no words and fails the base rules; a null language is a
 stratum of its own; a document with any label of low quality isn't good; labels of no
@@ -49,6 +51,10 @@ EXTRA = ("n_lines", "n_bangs", "n_capitals")
 SYMBOLS, SPACE = "#*$%&|<>", " \t\n\v\f\r"
 
 
+#: Column with a 64-bit hash of the text, by which equal texts are told.
+TEXT = "_text"
+
+
 def count_signals(text: str | None) -> tuple[int, ...]:
     """BASE and EXTRA of a whole text."""
     text = text or ""
@@ -129,9 +135,11 @@ def pick_cutoffs(counts: dict[str, list[int]], n: int, strata: int, alpha: float
 
 
 def learn_cutoffs(signals: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
-    """Cutoffs by stratum: (stratum, a double a rule, null where the rule is off)."""
+    """Cutoffs by stratum: (stratum, a double a rule, null where the rule is off). signals may have TEXT."""
     good = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_q")).where("_q = 1")
     held = signals.where(~base_failed()).join(good, F.col("doc_id") == F.col("_id"), "left_semi")
+    if TEXT in signals.columns:
+        held = held.dropDuplicates([stratum, TEXT])
     signal_of = rule_signals()
     tests = [F.count_if(reduce(operator.or_, (signal_of[r] > cs[min(k, len(cs) - 1)] for r, cs in RULES.items()))).alias(f"above_{k}") for k in range(LEVELS)]
     counts = materialize(held.groupBy(stratum).agg(F.count("*").alias("n"), *tests), "counts")
@@ -159,13 +167,16 @@ def judge(signals: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> Data
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
     """Signals, base_failed and kept for each row of docs (doc_id, text, lang); the text is dropped."""
-    signals = materialize(add_signals(docs.select("doc_id", "text", "lang")), "signals")
-    return judge(signals, learn_cutoffs(signals, labels, "lang", alpha, delta))
+    signals = materialize(add_signals(docs.select("doc_id", "text", "lang", F.xxhash64("text").alias(TEXT))), "signals")
+    return judge(signals, learn_cutoffs(signals, labels, "lang", alpha, delta)).drop(TEXT)
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
-    """The rows of docs that the rules keep, with their columns as they are."""
+    """The rows of docs that the rules keep, with their columns as they are.
+
+    Rows are told apart by the XXH64 of id, text and language: among N rows about N * N / 2^65 pairs would be taken for one.
+    """
     keys = docs.select("doc_id", "text", "lang", F.xxhash64("doc_id", "text", "lang").alias("_row"), F.struct(*docs.columns).alias("doc"))
-    signals = materialize(add_signals(keys.select("doc_id", "text", "lang", "_row")), "signals")
+    signals = materialize(add_signals(keys.select("doc_id", "text", "lang", "_row", F.xxhash64("text").alias(TEXT))), "signals")
     kept = judge(signals, learn_cutoffs(signals, labels, "lang", alpha, delta)).where("kept").select("_row").distinct()
     return keys.select("_row", "doc").join(kept, "_row", "left_semi").select("doc.*")

@@ -63,7 +63,8 @@ def number_slots(rows: DataFrame, buckets: int = 64) -> DataFrame:
     rows = rows.drop("slot", "_s", "_b", "_ahead", "_rank").withColumn("_bucket", (F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), 1, 6), 16, 10).cast("long") % buckets).cast("int"))
     counts = rows.groupBy("shard", "_bucket").agg(F.count("*").alias("n"))
     starts = counts.select(F.col("shard").alias("_s"), F.col("_bucket").alias("_b"), (F.sum("n").over(Window.partitionBy("shard").orderBy("_bucket")) - F.col("n")).alias("_ahead"))
-    within = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy("doc_id")) - 1
+    tie = [c for c in ("text_crc32", "size") if c in rows.columns] or [F.xxhash64("text")] * ("text" in rows.columns)  # rows that repeat an id keep their order
+    within = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy("doc_id", *tie)) - 1
     return rows.withColumn("_rank", within).join(starts, (F.col("shard") == F.col("_s")) & (F.col("_bucket") == F.col("_b"))).withColumn("slot", (F.col("_rank") + F.col("_ahead")).cast("long")).drop("_s", "_b", "_ahead", "_rank", "_bucket")
 
 

@@ -198,6 +198,28 @@ def test_op3_law(spark):
     assert all(r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode()) and r["size"] == len(texts[r["doc_id"]].encode()) + 1 for r in rows)
 
 
+def test_op3_against_brute_force(spark):
+    """Placement by the draws written out in Python, level by level, from hashlib."""
+    rows = [(i,) for i in range(300)] + [(None,)]
+    weights = {0: 2.0, 3: 0.5, 7: 4.0}
+    tree = sharding.shard_tree(9, weights)
+
+    def want(key):
+        node = ""
+        for level in range(3):
+            kids = {}
+            for leaf in tree:
+                above = leaf[level - 1] if level else ""
+                if str(above) == node:
+                    kids[str(leaf[level])] = kids.get(str(leaf[level]), 0.0) + leaf[3]
+            draw = lambda c: -math.log((int(hashlib.md5(f"{key}/{c}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48) / kids[c]
+            node = min(kids, key=draw)
+        return int(node)
+
+    got = sharding.assign_shards(spark.createDataFrame(rows, "doc_id long"), tree).collect()
+    assert all(r["shard"] == want("null" if r["doc_id"] is None else r["doc_id"]) for r in got) and len({r["shard"] for r in got}) == 9
+
+
 def test_op3_movement_stays_in_changed_subtrees(spark):
     ids = spark.range(4000).select(F.col("id").alias("doc_id"))
     heavy = sharding.shard_tree(8, {5: 3.0})
@@ -413,6 +435,63 @@ def test_op6_small_strata_have_rules(spark):
     assert quality.pick_cutoffs({"any": [0] * 10}, 85, 4, 0.05, 0.05)["symbols_per_word"] is None
 
 
+def test_op6_kept_against_brute_force(spark):
+    """Cutoffs and verdicts recomputed row by row, over a table where one stratum has rules and others have none."""
+    sf = "/root/testdata/sf0.01"
+    rows, labels = spark.read.parquet(f"{sf}/documents.parquet").collect(), {}
+    for r in spark.read.parquet(f"{sf}/labels.parquet").collect():
+        if r["doc_id"] is not None and r["quality"] is not None:
+            labels[r["doc_id"]] = min(r["quality"], labels.get(r["doc_id"], 1))
+    names = [*quality.BASE, *quality.EXTRA]
+
+    def ratios(text):
+        c = dict(zip(names, quality.count_signals(text), strict=True))
+        words, chars, lines = max(c["n_words"], 1), max(c["word_chars"], 1), max(c["n_lines"], 1)
+        base = c["n_words"] < 50 or 100 * c["n_repeat_words"] > 50 * c["n_words"]
+        return base, [c["n_symbols"] / words, c["n_bangs"] / words, c["n_capitals"] / chars, c["n_dup_lines"] / lines, c["n_repeat_words"] / words, c["word_chars"] / words]
+
+    found = {id(r): ratios(r["text"]) for r in rows}
+    held = {}
+    for r in rows:
+        if labels.get(r["doc_id"]) == 1 and not found[id(r)][0]:
+            held.setdefault(r["lang"], {})[r["text"]] = found[id(r)][1]
+    cuts = [[c[min(k, len(c) - 1)] for c in quality.RULES.values()] for k in range(quality.LEVELS)]
+    chosen = {}
+    for lang, texts in held.items():
+        for cut in cuts:
+            n, k = len(texts), sum(any(v > c for v, c in zip(x, cut, strict=True)) for x in texts.values())
+            tail = sum(math.comb(n, i) * 0.05**i * 0.95 ** (n - i) for i in range(k + 1))
+            if k > 0.05 * n or tail > 0.05 / len(held):
+                break
+            chosen[lang] = cut
+    assert 0 < len(chosen) < len(held)
+    want = Counter((r["doc_id"], not found[id(r)][0] and not any(v > c for v, c in zip(found[id(r)][1], chosen.get(r["lang"], [math.inf] * 6), strict=True))) for r in rows)
+    assert Counter((r["doc_id"], r["kept"]) for r in queries.op6_quality(spark, sf).collect()) == want
+
+
+def test_op6_guarantee_in_simulation():
+    """Holdouts drawn with known rates: a cutoff whose true rate is above alpha is hardly ever chosen in any of four strata."""
+    rng, rates, bad = np.random.default_rng(4), np.linspace(0.005, 0.09, quality.LEVELS), 0
+    cutoffs = quality.RULES["symbols_per_word"]
+    for _ in range(1500):
+        wrong = False
+        for _ in range(4):
+            draws = rng.random(400)
+            counts = {"any": [int((draws < r).sum()) for r in rates]}
+            got = quality.pick_cutoffs(counts, 400, 4, 0.05, 0.05)["symbols_per_word"]
+            wrong |= got is not None and rates[cutoffs.index(got)] > 0.05
+        bad += wrong
+    assert bad / 1500 <= 0.05 + 3 * math.sqrt(0.05 * 0.95 / 1500)
+
+
+def test_op6_copies_are_one_trial(spark):
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    frame = lambda n: spark.createDataFrame([(i, text(i % n), "en", "s", 1) for i in range(200)], DOCS)
+    labels = spark.createDataFrame([(i, 1) for i in range(200)], "doc_id long, quality int")
+    picked = lambda n: quality.learn_cutoffs(quality.add_signals(frame(n).withColumn(quality.TEXT, F.xxhash64("text"))), labels).first()["chars_per_word"]
+    assert picked(200) is not None and picked(20) is None
+
+
 def test_op6_edges(spark, odd, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = quality.quality_verdicts(odd, labels).collect()
