@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, materialize
 
 #: No source's target, and no document's words, exceed this many times its size.
 MAX_COPIES = 3
@@ -46,18 +46,19 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return rows.select("source", "source_size", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(share).alias("target"))
 
 
-def mix_documents(docs: DataFrame, seed: str = "mix", buckets: int = 64) -> DataFrame:
+def mix_documents(docs: DataFrame, seed: str = "mix", buckets: int = 64, keep_text: bool = True) -> DataFrame:
     """Adds size, source_size, target and copies to (doc_id, text, source, ...).
 
     buckets: hash buckets of each size class of a source. Reruns agree, as offset and order
-    come from hashes of seed, source and doc_id.
+    come from hashes of seed, source, doc_id and text. Without keep_text the text goes, and words are counted in one scan of the texts, the counts written.
     """
-    sized = docs.drop("size", "source_size", "target", "copies").withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
-    return sample_copies(sized, seed, buckets)
+    docs = docs.drop("size", "source_size", "target", "copies", "_tie").withColumn("_tie", F.xxhash64("text"))
+    sized = docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    return sample_copies(sized if keep_text else materialize(sized.drop("text"), "sizes"), seed, buckets)
 
 
 def sample_copies(sized: DataFrame, seed: str = "mix", buckets: int = 64) -> DataFrame:
-    """mix_documents for rows that have their size."""
+    """mix_documents for rows that have their size; _tie, if there, orders rows that repeat an id, and goes."""
     sized = sized.drop("source_size", "target", "copies", "_class", "_bucket", "_s", "_c", "_b", "_ahead", "_u", "_rank", "_t")
     hexes = lambda c, n: F.conv(F.substring(F.md5(c), 1, n), 16, 10).cast("long")
     digits = F.length(F.bin("size"))
@@ -68,10 +69,10 @@ def sample_copies(sized: DataFrame, seed: str = "mix", buckets: int = 64) -> Dat
     starts = counts.select(F.col("source").alias("_s"), F.col("_class").alias("_c"), F.col("_bucket").alias("_b"), ahead.alias("_ahead"), offset.alias("_u"))
     targets = source_targets(counts).withColumnRenamed("source", "_t")
     plan = starts.join(targets, F.col("_s").eqNullSafe(F.col("_t"))).drop("_t")
-    tie = [F.xxhash64("text")] if "text" in sized.columns else []  # else rows that repeat an id could swap between runs
+    tie = ["_tie"] if "_tie" in sized.columns else []  # else rows that repeat an id could swap between runs
     within = F.row_number().over(Window.partitionBy("source", "_class", "_bucket").orderBy("size", "doc_id", *tie))
     ranked = sized.withColumn("_rank", within).join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_class") == F.col("_c")) & (F.col("_bucket") == F.col("_b")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     upto = lambda k: F.floor(F.col("_u") + rate * k.cast("double"))
     at = F.col("_rank") + F.col("_ahead")
-    return ranked.withColumn("copies", F.least(upto(at) - upto(at - 1), F.lit(MAX_COPIES)).cast("long")).drop("_class", "_bucket", "_s", "_c", "_b", "_ahead", "_u", "_rank")
+    return ranked.withColumn("copies", F.least(upto(at) - upto(at - 1), F.lit(MAX_COPIES)).cast("long")).drop("_class", "_bucket", "_s", "_c", "_b", "_ahead", "_u", "_rank", "_tie")

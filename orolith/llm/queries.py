@@ -101,7 +101,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mixed = mixing.mix_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), keep_text=False)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
