@@ -1,18 +1,17 @@
 """Stupid-backoff language-model scores, computed by joins on hash-partitioned counts.
 
-Documents lie in blocks of some megabytes of text. Each block's distinct pairs of words, and
-its distinct words, go with their numbers to the partition that their 64-bit hash falls
-in. There they form the tables of counts over all documents, and are joined to them; what
-returns to a block is the count of each of its n-grams. The block then sums logarithms
-per document. A document's own occurrences are taken off all counts, so that it can't
+Documents lie in blocks of some megabytes of text. The distinct n-grams of a block, by
+64-bit hash and with their numbers, travel packed in arrays to the partition of their range of hashes. There
+Spark explodes them to the relation (gram, block, n), sums it to the table of counts over all documents, joins
+the two, and gathers each block's totals again. The block then backs off from the
+longest context and sums logarithms per document. A document's own occurrences are taken off all counts, so that it can't
 vouch for itself.
 
-For a pair (h, w) after leaving the document out: count(h w) / count(h ...) where the pair
-is known, else BACKOFF * count(w) / total, an unknown word counting as 1 occurrence.
+For a word w after a context h, the document left out: count(h w) / count(h followed by anything) where that
+n-gram is known, else BACKOFF times the same for the context without its first word; without context
+count(w) / total, an unknown word counting as 1 occurrence. A context that the text's beginning cuts short costs nothing.
 
-An n-gram has one entry a block however often it occurs, so a very frequent word or pair
-is no partition of its own. Entries are packed into arrays of one row for each block and
-partition: ascending keys by their differences, and no columns around them. Two n-grams share a hash with
+An n-gram has one entry a block however often it occurs: blocks pre-aggregate it. Two n-grams share a hash with
 probability 2^-64, so among N distinct ones N * N / 2^65 pairs mix their counts.
 
 Defined results: a text of fewer than two words (null, empty, one word) has no pairs and a
@@ -28,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -119,45 +118,63 @@ def ranks(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ascending[fresh], at
 
 
-def pack(values: np.ndarray) -> bytes:
-    """64-bit numbers with their lowest bytes first, then all of the next: high bytes are mostly zero, and compress away."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def unpack(rows: list[bytes]) -> list[np.ndarray]:
-    return [np.frombuffer(x, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel() for x in rows]
-
-
 class Grams:
-    """Words and pairs of a block: distinct keys in ascending order, and the entry of each occurrence."""
+    """N-grams of a block up to an order: distinct keys in ascending order, and the entry of each occurrence.
 
-    def __init__(self, texts: pa.Array):
+    A kind is the n-grams of one order, or the contexts of such (n-grams that a word follows), which are keys of their own.
+    """
+
+    def __init__(self, texts: pa.Array, order: int = 2):
         hashes, self.doc = hash_words(texts)
-        self.words, self.word = ranks(hashes)
-        self.head = np.flatnonzero(self.doc[:-1] == self.doc[1:])  # words that begin a pair
-        self.pairs, self.pair = ranks(mix(hashes[self.head] * np.uint64(3) + mix(hashes[self.head + 1])))
-
-    def numbers(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Occurrences of pairs, of words, and of words as the first of a pair."""
-        n = len(self.words)
-        return np.bincount(self.pair, minlength=len(self.pairs)), np.bincount(self.word, minlength=n), np.bincount(self.word[self.head], minlength=n)
-
-    def own(self, size: int, place: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        """For each occurrence, how often its document has the same entry."""
-        _, at = ranks(doc * size + place)
-        return np.bincount(at)[at]
-
-    def logs(self, pair_all: np.ndarray, word_all: np.ndarray, head_all: np.ndarray, total: int, backoff: float) -> np.ndarray:
-        """The logarithm of each pair's score in its document."""
-        doc, h, w = self.doc[self.head], self.word[self.head], self.word[self.head + 1]
-        others = pair_all[self.pair] - self.own(len(self.pairs), self.pair, doc)
-        own = self.own(len(self.words), self.word, self.doc)
-        last = np.zeros(int(self.doc[-1]) + 1 if len(self.doc) else 0, np.int64)
-        last[self.doc] = self.word  # the last word of a text stays
-        heads = head_all[h] - own[self.head] + (last[doc] == h)
-        rest = np.maximum(word_all[w] - own[self.head + 1], 1)
-        known = others > 0
-        return np.where(known, np.log(np.where(known, others, 1)) - np.log(np.where(known, heads, 1)), np.log(backoff) + np.log(rest) - np.log(max(total, 1)))
+        n = len(hashes)
+        fresh = np.ones(n, bool)
+        fresh[1:] = self.doc[1:] != self.doc[:-1]
+        first = np.flatnonzero(fresh)
+        self.place = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
+        self.order, self.where, found = order, {}, []
+        key = hashes
+        for k in range(1, order + 1):
+            at = np.flatnonzero(self.place >= k - 1)  # of the last word
+            if k > 1:
+                context = key[at - 1]
+                found.append((("context", k), at, mix(context ^ np.uint64(k * BASE % (1 << 64)))))
+                key = np.zeros(n, np.uint64)
+                key[at] = mix(context * np.uint64(3) + mix(hashes[at]))
+            found.append((("gram", k), at, key[at]))
+        self.distinct = []
+        for kind, at, keys in found:
+            low, entry = ranks(keys)
+            self.where[kind] = (at, entry, len(self.distinct))
+            self.distinct.append(low)
+        keys = np.concatenate([np.zeros(0, np.uint64), *self.distinct])
+        self.sorted = np.argsort((keys ^ np.uint64(1 << 63)).view(np.int64), kind="stable")
+        self.keys = keys[self.sorted]
+
+    def numbers(self) -> np.ndarray:
+        """Occurrences of each key."""
+        return np.concatenate([np.zeros(0, np.int64), *(np.bincount(entry, minlength=len(self.distinct[k])) for _, entry, k in self.where.values())])[self.sorted]
+
+    def left(self, totals: np.ndarray, kind: tuple[str, int]) -> np.ndarray:
+        """Counts in all other documents of each occurrence's entry; totals are by kind."""
+        at, entry, k = self.where[kind]
+        _, same = ranks(self.doc[at] * max(len(self.distinct[k]), 1) + entry)
+        return totals[k][entry] - np.bincount(same, minlength=1)[same]
+
+    def logs(self, totals: np.ndarray, words: int, backoff: float) -> np.ndarray:
+        """The logarithm of each word's score, in order, zero for the first of a document. totals: by ascending key."""
+        by = np.empty(len(totals), np.int64)
+        by[self.sorted] = totals
+        by = np.split(by, np.cumsum([len(x) for x in self.distinct])[:-1])
+        out = np.zeros(len(self.doc))
+        open_ = self.place > 0
+        for k in range(self.order, 1, -1):
+            at = self.where["gram", k][0]
+            n, context = self.left(by, ("gram", k)), self.left(by, ("context", k))
+            known = (n > 0) & open_[at]
+            out[at] += np.where(known, np.log(np.where(known, n, 1)) - np.log(np.where(known, context, 1)), np.where(open_[at], np.log(backoff), 0.0))
+            open_[at[known]] = False
+        out += np.where(open_, np.log(np.maximum(self.left(by, ("gram", 1)), 1)) - np.log(max(words, 1)), 0.0)
+        return out
 
 
 def make_blocks(docs: DataFrame, size: int = BLOCK) -> DataFrame:
@@ -181,69 +198,62 @@ def make_blocks(docs: DataFrame, size: int = BLOCK) -> DataFrame:
     return materialize(docs.select("doc_id", "text").mapInArrow(run, f"block long, n_words long, doc_ids array<{kind}>, texts array<string>"), "blocks", "zstd")
 
 
-def explode_grams(blocks: DataFrame, parts: int) -> DataFrame:
-    """Distinct n-grams of each block by the part of the hash range they fall in.
+def pack_grams(blocks: DataFrame, parts: int, order: int) -> DataFrame:
+    """Distinct n-grams of each block by the part of the range of hashes they fall in: (part, block, grams array<long>, n array<long>), ascending.
 
-    Rows are (part, block, pairs, pair_n, words, word_n, head_n): packed numbers, and packed differences of ascending keys.
+    Hashes appear as signed numbers of the same order.
     """
-    width = np.uint64((1 << 64) // parts + 1) if parts > 1 else np.uint64((1 << 64) - 1)
-    names = ["part", "block", "pairs", "pair_n", "words", "word_n", "head_n"]
+    width = (1 << 64) // parts + 1
+    names = ["part", "block", "grams", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k, block in enumerate(b.column("block").to_pylist()):
-                grams = Grams(b.column("texts")[k].values)
-                pair_n, word_n, head_n = grams.numbers()
-                pair_part, word_part = grams.pairs // width, grams.words // width
-                found = np.union1d(pair_part, word_part)
-                if not len(found):
-                    continue
-                cuts = [(np.searchsorted(p, found, "left").tolist(), np.searchsorted(p, found, "right").tolist()) for p in (pair_part, word_part)]
-                keys = lambda x: np.diff(x, prepend=np.uint64(0))
-                packed = [pa.array([pack(keys(x[i:j]) if x.dtype == np.uint64 else x[i:j]) for i, j in zip(*cut, strict=True)], pa.binary()) for x, cut in ((grams.pairs, cuts[0]), (pair_n, cuts[0]), (grams.words, cuts[1]), (word_n, cuts[1]), (head_n, cuts[1]))]
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(np.full(len(found), block)), *packed], names)
-
-    return blocks.select("block", "texts").mapInArrow(run, "part long, block long, pairs binary, pair_n binary, words binary, word_n binary, head_n binary")
+                grams = Grams(b.column("texts")[k].values, order)
+                part = grams.keys // np.uint64(width) if parts > 1 else np.zeros(len(grams.keys), np.uint64)
+                found, first = np.unique(part, return_index=True)
+                ends = pa.array(np.append(first, len(part)).astype(np.int32))
+                signed = (grams.keys ^ np.uint64(1 << 63)).view(np.int64)
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (signed, grams.numbers())]
+                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(np.full(len(found), block)), *lists], names)
 
+    return blocks.select("block", "texts").mapInArrow(run, "part long, block long, grams array<long>, n array<long>")
 
-def join_counts(grams: DataFrame) -> DataFrame:
-    """Counts over all documents of each row's n-grams: (part, block, pair_all, word_all, head_all)."""
 
-    def totals(rows: pa.Table, keys: str, *numbers: str) -> Iterator[list[bytes]]:
-        found = [np.cumsum(x, dtype=np.uint64) for x in unpack(rows.column(keys).to_pylist())]
-        _, at = ranks(np.concatenate(found))
-        ends = np.cumsum([len(x) for x in found])[:-1]
-        for name in numbers:
-            n = np.concatenate(unpack(rows.column(name).to_pylist()))
-            yield [pack(x) for x in np.split(np.bincount(at, n).astype(np.int64)[at], ends)]
+def join_counts(packed: DataFrame, parts: int) -> DataFrame:
+    """The counts over all documents of each row's n-grams, in order: (part, block, totals array<long>).
 
-    def meet(rows: pa.Table) -> pa.Table:
-        found = [*totals(rows, "pairs", "pair_n"), *totals(rows, "words", "word_n", "head_n")]
-        return pa.table([rows.column("part"), rows.column("block"), *(pa.array(x, pa.binary()) for x in found)], ["part", "block", "pair_all", "word_all", "head_all"])
-
-    return grams.groupBy("part").applyInArrow(meet, "part long, block long, pair_all binary, word_all binary, head_all binary")
+    Rows are dealt by part, and all that follows groups and joins by part and n-gram or block, so nothing is dealt again.
+    """
+    dealt = packed.repartition(parts, "part")
+    rows = dealt.select("part", "block", F.explode(F.arrays_zip("grams", "n")).alias("g")).select("part", "block", F.col("g.grams").alias("gram"), F.col("g.n").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("gram", "part"))
+    counted = rows.select("part", "block", "gram", total.alias("total"))
+    gathered = counted.groupBy("part", "block").agg(F.sort_array(F.collect_list(F.struct("gram", "total"))).alias("t"))
+    return gathered.select("part", "block", F.transform("t", lambda x: x["total"]).alias("totals"))
 
 
-def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, block: int = BLOCK, part: int = PART) -> DataFrame:
-    """Adds n_pairs and score (mean natural logarithm a pair) to doc_id: one row per document.
+def backoff_scores(docs: DataFrame, order: int = 2, backoff: float = BACKOFF, block: int = BLOCK, part: int = PART) -> DataFrame:
+    """Adds n_pairs (words after the first) and score (their mean natural logarithm) to doc_id: one row per document.
 
-    block: bytes of text in a block; part: words to one partition of the counts. Both bound a task.
+    order: words of the longest n-grams. block: bytes of text in a block; part: words to one partition of the counts. Both bound a task.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     blocks = make_blocks(docs, block)
-    total = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    counts = join_counts(explode_grams(blocks, max(1, -(-total // part))))
-    texts = blocks.select(F.lit(None).cast("long").alias("part"), "block", *(F.lit(None).cast("binary").alias(c) for c in ("pair_all", "word_all", "head_all")), "doc_ids", "texts")
+    words = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    parts = max(1, -(-words // part))
+    counts = join_counts(pack_grams(blocks, parts, order), parts)
+    texts = blocks.select(F.lit(None).cast("long").alias("part"), "block", F.lit(None).cast("array<long>").alias("totals"), "doc_ids", "texts")
 
     def score(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("part")  # nulls last: the texts
         text = rows.slice(len(rows) - 1).combine_chunks()
         ids, texts = (text.column(c).chunk(0).flatten() for c in ("doc_ids", "texts"))
-        all_counts = [np.concatenate([np.zeros(0, np.int64), *(x.astype(np.int64) for x in unpack(rows.column(c).slice(0, len(rows) - 1).to_pylist()))]) for c in ("pair_all", "word_all", "head_all")]
-        grams = Grams(texts)
-        doc = grams.doc[grams.head]
-        n = np.bincount(doc, minlength=len(ids))
-        logs = np.bincount(doc, grams.logs(*all_counts, total, backoff), minlength=len(ids))
+        totals = rows.column("totals").slice(0, len(rows) - 1).combine_chunks().flatten().to_numpy() if len(rows) > 1 else np.zeros(0, np.int64)
+        grams = Grams(texts, order)
+        scored = grams.place > 0
+        n = np.bincount(grams.doc[scored], minlength=len(ids))
+        logs = np.bincount(grams.doc[scored], grams.logs(totals, words, backoff)[scored], minlength=len(ids))
         return pa.table([ids, pa.array(n.astype(np.int64)), pa.array(logs / np.maximum(n, 1), mask=n == 0)], ["doc_id", "n_pairs", "score"])
 
     return counts.unionByName(texts, allowMissingColumns=True).groupBy("block").applyInArrow(score, f"doc_id {kind}, n_pairs long, score double")
