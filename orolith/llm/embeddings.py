@@ -39,6 +39,8 @@ STEP = 1024
 
 #: Nodes of a component that count their links in one task; more are cut into parts.
 PART = 2000
+#: Partitions that shards, and pairs of such, are dealt to at most; beyond, some share a task one after the other.
+MOST = 4000
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -226,7 +228,8 @@ def shard_links(nodes: DataFrame, threshold: float = 0.95, shards: int = 8, shar
     shards: at least so many for each length of vectors, more where one would exceed shard_bytes, of which a task holds a few.
     """
     sizes = nodes.groupBy(F.col("dim").alias("_dim")).agg(F.greatest(F.lit(shards), F.ceil(F.count("*") * F.col("_dim") * 8 / shard_bytes)).cast("int").alias("n"))
-    dealt = nodes.join(sizes, F.col("dim") == F.col("_dim")).withColumn("shard", F.pmod(F.xxhash64(F.col("node") + 1), F.col("n")).cast("int")).drop("_dim")
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(1))).first()[0]  # few bytes a shard, much work: each gets a task
+    dealt = nodes.join(sizes, F.col("dim") == F.col("_dim")).withColumn("shard", F.pmod(F.xxhash64(F.col("node") + 1), F.col("n")).cast("int")).drop("_dim").repartition(min(total, MOST), "dim", "shard")
 
     def build(key: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("node")
@@ -264,6 +267,7 @@ def shard_links(nodes: DataFrame, threshold: float = 0.95, shards: int = 8, shar
         u, v = forest(*(np.concatenate(s) for s in zip(*held, strict=True))) if held else (np.zeros(0, np.int64),) * 2
         return pa.table({"a": u, "b": v})
 
+    pairs = pairs.repartition(min(total * (total + 1) // 2, MOST), "dim", "i", "j")
     return materialize(pairs.groupBy("dim", "i", "j").applyInArrow(meet, "a long, b long"), "links")
 
 

@@ -8,8 +8,8 @@ same step of every block.
 The model of an id: the two ids before it and the one before it each predict the id seen
 there last, with a confidence. Both confidences, and whether the predictions agree, choose
 a row of adaptive frequencies over (order 2 is right, order 1 is right, neither), so the
-predictions are mixed as they have proved good. An id that neither predicts is coded by
-adaptive order-0 frequencies, four bits at a time. Every decision drives one arithmetic
+predictions are mixed as they have proved good: with weights w of the row, the coder gives an id the probability
+w2 [order 2 guesses it], else w1 [order 1 does], else w0 P(order 0). Order 0 has adaptive frequencies, four bits at a time. Every decision drives one arithmetic
 coder with 48-bit state, 16-bit output words and carries carried into words already out.
 
 Layout (little-endian): magic "ORC1", id count u64, document count u64, block length u32;
@@ -166,7 +166,7 @@ class Decoder:
         small = np.flatnonzero(width < LOW)
         if len(small):
             k = lane[small]
-            code[small] = (code[small] << np.uint64(16)) | self.words[k, self.at[k]]
+            code[small] = (code[small] << np.uint64(16)) | self.words[k, np.minimum(self.at[k], self.words.shape[1] - 1)]
             self.at[k] += 1
             width[small] <<= np.uint64(16)
         self.code[lane], self.range[lane] = code, width
@@ -210,8 +210,11 @@ def encode_segment(docs: list[np.ndarray]) -> bytes:
     return head + struct.pack("<B", wide) + table + b"".join(words)
 
 
-def decode_segment(segment: bytes) -> list[np.ndarray]:
-    """The ids (u4) of each document of a segment. Raises ValueError where a block's checksum fails."""
+def decode_blocks(segment: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids (u4) of a segment, the lengths of its documents, and whether each block's checksum holds.
+
+    Blocks are independent: those that are sound have their ids whatever the others hold.
+    """
     magic, n, docs, block = struct.unpack_from(HEADER, segment)
     if magic != MAGIC or block != BLOCK:
         raise ValueError("not a segment of this format")
@@ -219,7 +222,7 @@ def decode_segment(segment: bytes) -> list[np.ndarray]:
     lengths = np.frombuffer(segment, "<u4", docs, at)
     at += 4 * docs
     if not n:
-        return [np.zeros(0, np.uint32) for _ in range(docs)]
+        return np.zeros(0, np.uint32), lengths, np.zeros(0, bool)
     wide, at = bool(segment[at]), at + 1
     sizes = _block_sizes(n)
     table = np.frombuffer(segment, "<u4", 2 * len(sizes), at).reshape(-1, 2)
@@ -242,10 +245,24 @@ def decode_segment(segment: bytes) -> list[np.ndarray]:
         grid[: model.n, t] = now
         model.learn(now)
     ids = grid.ravel()[:n]
-    for k, crc in enumerate(table[:, 1].tolist()):
-        if zlib.crc32(ids[k * BLOCK: (k + 1) * BLOCK].astype("<u4").tobytes()) != crc:
-            raise ValueError(f"block {k} is damaged")
-    return np.split(ids, np.cumsum(lengths)[:-1])
+    sound = [zlib.crc32(ids[k * BLOCK: (k + 1) * BLOCK].astype("<u4").tobytes()) == crc for k, crc in enumerate(table[:, 1].tolist())]
+    return ids, lengths, np.array(sound, bool)
+
+
+def decode_segment(segment: bytes) -> list[np.ndarray]:
+    """The ids (u4) of each document of a segment. Raises ValueError where a block's checksum fails."""
+    ids, lengths, sound = decode_blocks(segment)
+    if not sound.all():
+        raise ValueError(f"blocks {np.flatnonzero(~sound).tolist()} are damaged")
+    return np.split(ids, np.cumsum(lengths)[:-1]) if len(lengths) else []
+
+
+def salvage_segment(segment: bytes) -> list[np.ndarray | None]:
+    """The ids of each document that lies in sound blocks alone, None for the others."""
+    ids, lengths, sound = decode_blocks(segment)
+    ends = np.cumsum(lengths.astype(np.int64))
+    starts = ends - lengths
+    return [ids[a:b] if sound[a // BLOCK: -(-b // BLOCK)].all() else None for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
 def write_token_files(docs: DataFrame, path: str, out: str, end_id: int = 0) -> None:
@@ -277,7 +294,8 @@ def write_token_files(docs: DataFrame, path: str, out: str, end_id: int = 0) ->
         if held:
             yield row()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
+    # rows that share an id, or have none, are dealt by how their texts begin
+    ordered = docs.select("doc_id", "text").repartitionByRange(F.asc_nulls_first("doc_id"), F.asc_nulls_first(F.substring("text", 1, 32))).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
     ordered.mapInArrow(run, f"part int, segment int, n_tokens long, doc_ids array<{kind}>, payload binary").write.option("compression", "none").parquet(out)
 
 

@@ -152,6 +152,21 @@ def test_damage_is_found():
         rangecoder.decode_segment(bytes(data))
 
 
+def test_sound_blocks_outlive_damaged_ones():
+    docs = [np.arange(n, dtype=np.uint32) % 977 for n in (3000, 1000, 5000, 0, 4000, 9)]
+    data = rangecoder.encode_segment(docs)
+    for at in (len(data) - 9000, len(data) - 200):
+        harmed = bytearray(data)
+        harmed[at] ^= 4
+        ids, _, sound = rangecoder.decode_blocks(bytes(harmed))
+        assert (~sound).sum() == 1
+        for k, (want, got) in enumerate(zip(docs, rangecoder.salvage_segment(bytes(harmed)), strict=True)):
+            low = sum(map(len, docs[:k]))
+            whole = sound[low // rangecoder.BLOCK: -(-(low + len(want)) // rangecoder.BLOCK)].all()
+            assert (got is not None) == whole and (got is None or (got == want).all())
+    assert [len(d) for d in rangecoder.salvage_segment(data)] == [len(d) for d in docs]
+
+
 def test_predictable_ids_cost_little():
     assert len(rangecoder.encode_segment([np.array(list(range(50)) * 800, np.uint32)])) < 40_000 * 0.12
 
