@@ -21,11 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's spark.checkpoint.dir.
 
-    Where the setting is absent (tests on one machine) a temporary folder is made
-    once and set, so that later calls agree on it.
+    Where the setting is absent and Spark runs in one process (tests), a temporary folder is made
+    once and set, so that later calls agree on it; on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
         found = tempfile.mkdtemp(prefix="orolith-")
         spark.sparkContext.setCheckpointDir(found)
     return found

@@ -22,6 +22,27 @@ def test_stages(spark):
     assert before.select("doc_id").distinct().count() == before_last.select("doc_id").distinct().count()
 
 
+def test_stages_on_odd_rows(spark):
+    """Nulls in any column, empty and very long texts, ties, repeated rows and clashing names, through every stage."""
+    long, fine = "word " * 30_000, lambda k: " ".join(f"w{k}x{i}" for i in range(80))
+    rows = [(1, None, None, None), (None, fine(0), "en", "s"), (2, "", "en", ""), (3, " \n", None, "s"), (4, long, "en", None), (5, fine(1), "en", "s"), (5, fine(1), "en", "s"), (6, fine(1), "en", "t"), (7, fine(2), None, None), (8, fine(3), "de", "s"), (8, fine(4), "de", "s"), (None, fine(5), None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr("*", "1 AS copies", "'x' AS component_id", "2 AS `_row`", "3 AS kept")
+    stages = dict(corpus_pipeline.STAGES)
+    ids = lambda frame: sorted((r["doc_id"] for r in frame.select("doc_id").collect()), key=lambda i: (i is None, i or 0))
+    good = corpus_pipeline.materialize(stages["quality"](spark, docs, SF), "good")
+    assert good.columns == docs.columns and ids(good) == [5, 5, 6, 7, 8, 8, None, None]
+    single = corpus_pipeline.materialize(stages["near_dedup"](spark, good, SF), "single")
+    assert single.columns == docs.columns and ids(single) == [5, 7, 8, 8, None, None]
+    assert ids(stages["near_dedup"](spark, docs, SF)) == [1, 4, 5, 7, 8, 8, None, None]
+    mixed = corpus_pipeline.materialize(stages["mixing"](spark, docs, SF), "mixed")
+    assert mixed.columns == docs.columns and set(ids(mixed)) <= set(ids(docs)) and mixed.count() > 0
+    packed = stages["packing"](spark, docs, SF).collect()
+    tokens = {}
+    for p in packed:
+        tokens[p["doc_id"]] = tokens.get(p["doc_id"], 0) + p["length"]
+    assert tokens[1] == 1 and tokens[2] == 1 and tokens[4] > 30_000 and set(tokens) == {r[0] for r in rows}
+
+
 def test_run_on_nothing(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
