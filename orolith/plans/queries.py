@@ -497,7 +497,7 @@ def _scratch(s, name):
     """A new path below the folder that driver and executors share."""
     found = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()
     if not found:
-        if not s.sparkContext.master.startswith("local"):
+        if not (s.sparkContext.master == "local" or s.sparkContext.master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir names no shared folder")
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orolith-"))
         found = s.sparkContext.getCheckpointDir()
