@@ -254,7 +254,7 @@ def near_links(distinct: DataFrame, bits: int = 4, blocks: int = 16, block_rows:
         u, v, sure = links_forest(a, b, bits, bands, same) if len(a) and len(b) else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
         return pa.table({"a": u, "b": v, "sure": sure})
 
-    return distinct.select("node", "fp", "wide").mapInArrow(deal, "pair long, side int, payload binary").groupBy("pair").applyInArrow(meet, "a long, b long, sure boolean")
+    return distinct.select("node", "fp", "wide").mapInArrow(deal, "pair long, side int, payload binary").repartition(min(n * (n + 1) // 2, 4000), "pair").groupBy("pair").applyInArrow(meet, "a long, b long, sure boolean")
 
 
 def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, blocks: int = 16, more: int = 0, bands: tuple[int, int] | None = None, similarity: float = 0.0) -> DataFrame:
