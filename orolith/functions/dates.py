@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orolith import schema
 
+# How dates stand in paths.
 UTM_DATE = r"_utm\d{1,2}_([0-9]{4,8})"
 PATH_YEAR = r"/(2[0-9]{3})/"
 

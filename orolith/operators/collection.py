@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orolith import schema
-from orolith.functions import dates
+from orolith.functions import dates, geo
 
 
 def temporal_extent(inventory: DataFrame) -> DataFrame:
@@ -53,6 +53,13 @@ def link_summary(links: DataFrame) -> DataFrame:
     return links.agg(F.count("*").alias("links"), F.count_if(F.col("rel") == "item").alias("item_links"), F.min_by("href", "ordinal").alias("first_href"), F.coalesce(F.sum(bits), F.lit(0)).alias("digest"))
 
 
+def features(areas: DataFrame, properties: list[str]) -> DataFrame:
+    """(feature) of rows with a box: GeoJSON features as text, a line each, whose sequence is a feature collection's content."""
+    ring = geo.box_ring(*(F.col(c) for c in ("west", "south", "east", "north")))
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
+    return areas.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), shape.alias("geometry"))).alias("feature"))
+
+
 def collection_errors(collection: DataFrame) -> DataFrame:
     """Rows of (id, errors): what the document lacks; an empty array is a valid one."""
     has = lambda c: F.coalesce(F.length(c) > 0, F.lit(False))

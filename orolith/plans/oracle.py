@@ -183,6 +183,8 @@ _BODIES: dict[str, str] = {
     "object_listing": "SELECT p || '/tile_' || unnest(range(n)) || '.tif' AS url FROM (VALUES ('north-4', 4), ('south-3', 3)) v(p, n)",
     "head_probes": "SELECT url, CASE WHEN event_id % 7 = 0 THEN -1 WHEN event_id % 3 = 0 THEN 404 ELSE 200 END AS status_code, event_id % 7 <> 0 AND event_id % 3 <> 0 AS accessible, CASE WHEN event_id % 7 = 0 THEN 'timed out' WHEN event_id % 3 = 0 THEN 'Not Found' ELSE '' END AS error, 'now' AS last_checked FROM probes",
     "raster_header_rows": f"SELECT url, n % 5 <> 0 AS is_geotiff, n % 5 <> 0 AND n % 2 = 0 AS is_cog, CASE WHEN n % 5 <> 0 THEN 26910 ELSE 0 END AS epsg, CASE WHEN n % 5 <> 0 THEN 2 * n ELSE 0 END::INT AS width, CASE WHEN n % 5 <> 0 THEN 6 ELSE -1 END AS terms, CASE WHEN n % 5 <> 0 THEN n ELSE 0 END::DOUBLE AS \"right\" FROM (SELECT url, length(replace({_FIX}, ' ', '%20')) AS n FROM inv)",
+    "probe_texts": "SELECT url, ordinal % 3 <> 2 AS is_geotiff, ordinal % 3 = 0 AS is_cog FROM inv",
+    "area_features": "SELECT area_id, name, 'Polygon' AS shape, round(east, 6) AS x, round(north, 6) AS y, 5 AS points FROM areas",
     "bounds_service_rows": "SELECT url, event_id::DOUBLE AS \"left\", event_id + 1::DOUBLE AS \"right\" FROM probes WHERE event_id % 4 <> 0",
     "publish_plan": "SELECT CASE WHEN p AND NOT n THEN 'delete' WHEN n AND NOT p THEN 'add' WHEN doc_id % 5 = 0 THEN 'update' ELSE 'keep' END AS action, count(*) AS n FROM (SELECT doc_id, doc_id % 3 <> 1 AS n, doc_id % 4 <> 2 AS p FROM local_) WHERE n OR p GROUP BY 1",
     "publish_upsert": f"SELECT id, CASE WHEN doc_id % 3 = 1 AND doc_id % 5 = 0 THEN 'old' ELSE {_BODY} END AS body FROM local_ WHERE doc_id % 3 <> 1 OR doc_id % 4 <> 2",

@@ -612,6 +612,19 @@ def raster_header_rows(s, d):
     return rows.select("url", "is_geotiff", "is_cog", F.coalesce("epsg", F.lit(0)).alias("epsg"), F.coalesce("width", F.lit(0)).alias("width"), F.coalesce(F.size("transform"), F.lit(-1)).alias("terms"), F.coalesce(F.element_at("bounds", 3), F.lit(0.0)).alias("right"))
 
 
+@query
+def probe_texts(s, d):
+    said = F.when(F.col("ordinal") % 3 == 0, f"ok: it {adapters.VALID_COG}").when(F.col("ordinal") % 3 == 1, f"it {adapters.NOT_COG}").when(F.col("ordinal") % 2 == 0, "no such file")
+    return adapters.classify_probe_text(_inventory(s, d).select("url", said.alias("output")))
+
+
+@query
+def area_features(s, d):
+    lines = collection.features(fx.relation(s, d, fx.AREAS), ["area_id", "name"])
+    f = F.from_json("feature", "type string, properties struct<area_id: int, name: string>, geometry struct<type: string, coordinates: array<array<array<double>>>>")
+    return lines.select(f.alias("f")).select("f.properties.*", F.col("f.geometry.type").alias("shape"), F.round(F.col("f.geometry.coordinates")[0][0][0], 6).alias("x"), F.round(F.col("f.geometry.coordinates")[0][1][1], 6).alias("y"), F.size(F.col("f.geometry.coordinates")[0]).alias("points"))
+
+
 @query
 def bounds_service_rows(s, d):
     def fetch(url):

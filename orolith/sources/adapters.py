@@ -56,6 +56,16 @@ def raster_headers(urls: DataFrame, read: Callable[[str], dict], partitions: int
     return opened.mapInPandas(run, "url string, is_geotiff boolean, is_cog boolean, epsg int, height int, width int, transform array<double>, bounds array<double>")
 
 
+# What the probing tool says of a raster.
+VALID_COG, NOT_COG = "is a valid cloud optimized GeoTIFF", "is NOT a valid cloud optimized GeoTIFF"
+
+
+def classify_probe_text(probed: DataFrame) -> DataFrame:
+    """(url, is_geotiff, is_cog) from what a probing tool printed (url, output): the layout of three columns. Output without either phrase is no raster."""
+    says = lambda phrase: F.coalesce(F.contains("output", F.lit(phrase)), F.lit(False))
+    return probed.select("url", (says(VALID_COG) | says(NOT_COG)).alias("is_geotiff"), says(VALID_COG).alias("is_cog"))
+
+
 def bounds_probe(urls: DataFrame, fetch: Callable[[str], tuple[int, list[float] | None]]) -> DataFrame:
     """(url, bounds) from a bounds service; answers other than 200 are dropped."""
 

@@ -76,7 +76,8 @@ DOCUMENT = T.StructType([T.StructField("item_path", T.StringType()), T.StructFie
 def read_documents(spark: SparkSession, path: str, glob: str = "*.json", skip_collection: bool = True, optional: bool = False) -> DataFrame:
     """(item_path, item_id, body) of JSON files, a file a row. glob *-*.json takes only ids with a dash."""
     def scan() -> DataFrame:
-        files = spark.read.text(path, wholetext=True, pathGlobFilter=glob).select(F.col("_metadata.file_path").alias("item_path"), stem(F.col("_metadata.file_path")).alias("item_id"), F.col("value").alias("body"))
+        plain = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))  # Spark gives paths in the form of URLs
+        files = spark.read.text(path, wholetext=True, pathGlobFilter=glob).select(plain.alias("item_path"), F.col("value").alias("body")).select("item_path", stem(F.col("item_path")).alias("item_id"), "body")
         return files.where("item_id <> 'collection'") if skip_collection else files
 
     return _or_empty(spark, scan, DOCUMENT, optional)
