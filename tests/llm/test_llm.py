@@ -755,6 +755,14 @@ def test_op10_edges(odd, empty):
 CLASH = ["size", "source_size", "target", "copies", "fp", "wide", "component_id", "group", "shard", "slot", "grown_shard", "n_words", "kept", "base_failed", "n_links", "row", "ids", "text_crc32", "_key", "_row", "_node", "rank", "copy", "doc", "col"]
 
 
+def test_clashing_columns_of_files_and_chats(spark, odd, tmp_path):
+    wide = odd.select("*", *[F.lit(i).alias(c) for i, c in enumerate(("part", "segment", "n_tokens", "doc_ids", "payload", "start", "ids", "first"))])
+    rangecoder.write_token_files(wide, public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "f"))
+    assert rangecoder.read_token_files(spark.read.parquet(str(tmp_path / "f"))).count() == len(ODD)
+    rows = spark.createDataFrame([(1, 0, "user", "hi", 1, 2, 3), (1, 1, "assistant", "yo", 4, 5, 6)], "conv_id long, turn long, role string, text string, seq int, message int, ord int")
+    assert [r["text"] for r in chat.read_back(chat.chat_format(rows)).orderBy("ord").collect()] == ["hi", "yo"]
+
+
 def test_clashing_columns(spark, odd):
     wide = odd.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASH)])
     labels = spark.createDataFrame([(1, 1, 0, 5)], "doc_id long, quality int, toxic int, lang int")
