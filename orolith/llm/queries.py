@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, html, lm, mixing, packing, quality, rangecoder, sharding, simhash
+from . import bpe, chat, embeddings, html, lm, mixing, packing, quality, rangecoder, sharding, simhash
 from .common import shared_dir, table
 
 
@@ -121,6 +121,14 @@ r AS (SELECT e.*, t.source_size, t.target, ('0x' || substr(md5('mix' || coalesce
 SELECT doc_id, size, source_size, target, (least(floor(u + rate * k::DOUBLE) - floor(u + rate * (k - 1)::DOUBLE), 3) * size)::BIGINT AS taken FROM r
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_embeddings": op1_embeddings, "op2_token_files": op2_token_files, "op3_sharding": op3_sharding, "op4_backoff": op4_backoff, "op5_packing": op5_packing, "op6_quality": op6_quality, "op7_html": op7_html, "op8_chat": op8_chat, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    told = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return bpe.decode(encoded, path).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(told, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_embeddings": op1_embeddings, "op2_token_files": op2_token_files, "op3_sharding": op3_sharding, "op4_backoff": op4_backoff, "op5_packing": op5_packing, "op6_quality": op6_quality, "op7_html": op7_html, "op8_chat": op8_chat, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing, "op13_bpe": op13_bpe}
 
 SQL: dict[str, str] = {"op4_backoff": OP4_SQL, "op8_chat": OP8_SQL, "op10_mixing": OP10_SQL}
