@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, html, lm, mixing, packing, quality, rangecoder, sharding, simhash
+from . import bpe, chat, embeddings, hardneg, html, lm, mixing, packing, phrases, quality, rangecoder, sharding, simhash
 from .common import shared_dir, table
 
 
@@ -122,6 +122,45 @@ SELECT doc_id, size, source_size, target, (least(floor(u + rate * k::DOUBLE) - f
 """
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hardneg.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+OP11_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, e.vec_id AS id, a.label = e.label AS same, list_inner_product(a.v, e.v)::BIGINT AS score FROM e a, e WHERE a.vec_id % 50 = 0 AND a.vec_id IS DISTINCT FROM e.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, s.id)::INTEGER AS rank, s.id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, s.id) <= 3
+"""
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+OP12_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+o AS (SELECT lang, 1 AS k, ws[i] AS phrase FROM g UNION ALL SELECT lang, 2, ws[i] || ' ' || ws[i + 1] FROM g WHERE i + 1 <= len(ws) UNION ALL SELECT lang, 3, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FROM g WHERE i + 2 <= len(ws)),
+t AS (SELECT lang, count(*) AS n FROM o WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, count(*) AS n FROM o GROUP BY ALL HAVING count(*) >= 10),
+x AS (SELECT lang, phrase, n AS a, k, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS cut FROM c WHERE k > 1),
+s AS (SELECT x.lang, x.phrase, a, cut, cl.n AS l, cr.n AS r, (1000000::HUGEINT * a::HUGEINT * a::HUGEINT) // (cl.n::HUGEINT * cr.n::HUGEINT) AS score FROM x
+  JOIN c cl ON cl.lang = x.lang AND cl.k < 3 AND cl.phrase = array_to_string(ws[1:cut], ' ') JOIN c cr ON cr.lang = x.lang AND cr.k < 3 AND cr.phrase = array_to_string(ws[cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+e AS (SELECT lang, n, string_split(phrase, ' ') AS ws FROM c WHERE k = 3),
+f AS (SELECT lang, part, max(n) AS longer FROM (SELECT lang, n, array_to_string(ws[1:2], ' ') AS part FROM e UNION ALL SELECT lang, n, array_to_string(ws[2:3], ' ') FROM e) GROUP BY ALL),
+k AS (SELECT b.* FROM b LEFT JOIN f ON f.lang = b.lang AND f.part = b.phrase WHERE f.longer IS NULL OR 100 * f.longer < 50 * b.a)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, t.n::BIGINT AS n, score::BIGINT AS score
+FROM k JOIN t ON t.lang = k.lang QUALIFY row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
@@ -129,6 +168,6 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(encoded, path).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(told, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_embeddings": op1_embeddings, "op2_token_files": op2_token_files, "op3_sharding": op3_sharding, "op4_backoff": op4_backoff, "op5_packing": op5_packing, "op6_quality": op6_quality, "op7_html": op7_html, "op8_chat": op8_chat, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing, "op13_bpe": op13_bpe}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_embeddings": op1_embeddings, "op2_token_files": op2_token_files, "op3_sharding": op3_sharding, "op4_backoff": op4_backoff, "op5_packing": op5_packing, "op6_quality": op6_quality, "op7_html": op7_html, "op8_chat": op8_chat, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing, "op11_hard_negatives": op11_hard_negatives, "op12_phrases": op12_phrases, "op13_bpe": op13_bpe}
 
-SQL: dict[str, str] = {"op4_backoff": OP4_SQL, "op8_chat": OP8_SQL, "op10_mixing": OP10_SQL}
+SQL: dict[str, str] = {"op4_backoff": OP4_SQL, "op8_chat": OP8_SQL, "op10_mixing": OP10_SQL, "op11_hard_negatives": OP11_SQL, "op12_phrases": OP12_SQL}
