@@ -42,7 +42,7 @@ WINDOW = 1 << 20
 #: n-grams counted before cells are cut down to min_count, so that small cells don't overflow.
 STEP = 1 << 15
 #: Distinct n-grams that a task holds before it sends what it has counted.
-HELD = 2_000_000
+HELD = 300_000
 
 BLANK = np.isin(np.arange(256), [0x20, 0x09])
 MARK = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
