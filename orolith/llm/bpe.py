@@ -24,6 +24,7 @@ import json
 import os
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,9 @@ from .lm import flat_texts
 from .tokens import byte_alphabet
 
 #: Fragments that one Python worker keeps, and the longest of them in bytes.
-CACHE, LONGEST = 1_000_000, 64
+CACHE, LONGEST = 300_000, 64
 #: Bytes of text cut at once, about.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 # The contractions of the byte-level pre-tokenizer, and the white space that it knows among ASCII bytes
 # (with the separators that only some libraries count).
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -89,10 +90,7 @@ class Codec:
     """A tokenizer file with its cuts, its tokens' bytes and the fragments met so far."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
         tokens, steps = token_bytes(told), told["pre_tokenizer"] or {}
@@ -104,10 +102,23 @@ class Codec:
         self.cut = bool(self.cuts.any())
         self.tokens = pa.array([*tokens, b""], pa.large_binary())
         self.byte_level = (told["decoder"] or {}).get("type") == "ByteLevel"
-        self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
+        self.alphabet = byte_alphabet()
         self.space = self.alphabet[0x20]
         self.known: dict[bytes, bytes] = {}
 
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        """The library's tokenizer. Decoding mostly does without it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        loaded = Tokenizer.from_file(self.path)
+        loaded.no_truncation()
+        loaded.no_padding()
+        return loaded
+
+    @cached_property
+    def model(self):
+        return self.tokenizer.model
+
     def fragments(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Where fragments begin and the last ends; they don't cross texts, whose bounds are at."""
         pairs = raw[:-1].astype(np.uint16) << np.uint16(8) | raw[1:] if len(raw) else np.zeros(0, np.uint16)
