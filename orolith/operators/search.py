@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orolith.functions import geo
+from orolith.operators import geometry
 
 BOX = ("west", "south", "east", "north")
 
@@ -38,6 +39,16 @@ def _rings(polygon: dict) -> list[list[list[list[float]]]]:
     return [polygon["coordinates"]] if polygon["type"] == "Polygon" else polygon["coordinates"]
 
 
+def _points(coordinates: list) -> list[list[float]]:
+    return [coordinates] if coordinates and not isinstance(coordinates[0], list | tuple) else [p for part in coordinates for p in _points(part)]
+
+
+def envelope(geometry: dict) -> list[float]:
+    """The box around a GeoJSON geometry."""
+    points = _points(geometry["coordinates"])
+    return [min(p[0] for p in points), min(p[1] for p in points), max(p[0] for p in points), max(p[1] for p in points)]
+
+
 def in_polygon(items: DataFrame, polygon: dict) -> DataFrame:
     """Items whose box meets a GeoJSON Polygon or MultiPolygon: first by its envelope, then exactly, edges included."""
     shapes = _rings(polygon)
@@ -60,7 +71,18 @@ def search(items: DataFrame, collection: str | None = None, bbox: list[float] |
         rows = in_interval(rows, interval)
     if datetime_unknown is not None:
         rows = rows.where(F.coalesce("datetime_unknown", F.lit(False)) == datetime_unknown)
-    return in_polygon(rows, intersects) if intersects is not None else rows
+    return in_geometry(rows, intersects) if intersects is not None else rows
+
+
+def in_geometry(items: DataFrame, asked: dict) -> DataFrame:
+    """Items that share a point with a GeoJSON geometry: by their own geometry where they have that column (as text), else by their box."""
+    if "geometry" not in items.columns and asked["type"] in ("Polygon", "MultiPolygon"):
+        return in_polygon(items, asked)
+    near = in_box(items, *envelope(asked))
+    if "geometry" in items.columns:
+        return geometry.meeting(near, asked)
+    boxed = near.withColumn("geometry", F.to_json(geo.box_polygon(F.array(*BOX))))
+    return geometry.meeting(boxed, asked).drop("geometry")
 
 
 def page(items: DataFrame, limit: int, offset: int = 0, key: str = "item_id") -> DataFrame:

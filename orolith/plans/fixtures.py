@@ -78,6 +78,16 @@ DIAMONDS = f"""
 SELECT area_id, (west + east) / 2 AS cx, (south + north) / 2 AS cy, 1.2345671e0 AS rx, 0.7345673e0 AS ry FROM ({AREAS}) a
 """
 
+_TURNED = f"""
+SELECT item_id, (west + east) / 2 AS cx, (south + north) / 2 AS cy, (east - west) * 3 AS hx, (north - south) * 3 AS hy,
+  CASE WHEN datetime_unknown THEN 0.8e0 ELSE 0.28e0 END AS c, CASE WHEN datetime_unknown THEN 0.6e0 ELSE 0.96e0 END AS s FROM ({ITEMS}) i
+"""
+#: The corners of items' boxes, made larger and turned.
+QUADS = f"""
+SELECT item_id, cx + c * hx - s * hy AS x1, cy + s * hx + c * hy AS y1, cx - c * hx - s * hy AS x2, cy - s * hx + c * hy AS y2,
+  cx - c * hx + s * hy AS x3, cy - s * hx - c * hy AS y3, cx + c * hx + s * hy AS x4, cy + s * hx - c * hy AS y4 FROM ({_TURNED}) t
+"""
+
 LOCAL = """
 SELECT doc_id, concat(CAST(doc_id AS STRING), '.json') AS name, concat('d', CAST(doc_id AS STRING)) AS id, lang AS datetime, doc_id % 4 = 0 AS datetime_unknown, {list:n_chars / 1e0, doc_id / 1e0} AS geometry, {list:doc_id / 2e0} AS bbox, 1 AS asset_count FROM {t:documents}
 """

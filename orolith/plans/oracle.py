@@ -8,6 +8,7 @@ from orolith import schema
 from orolith.functions import geo
 from orolith.plans import fixtures as fx
 from orolith.plans import queries as q
+from orolith.plans import spatial
 
 _SOURCE = len(schema.SOURCE)
 _FIX = "CASE WHEN url LIKE 'https:/%' AND url NOT LIKE 'https://%' THEN 'https://' || substring(url, 8) ELSE url END"
@@ -27,7 +28,7 @@ def _dates(table: str) -> str:
 
 def _with(body: str) -> str:
     """The projections as common table expressions before a query."""
-    names = {"inv": fx.INVENTORY, "fresh": fx.FRESH, "cached": fx.CACHED, "checks": fx.CHECKS, "report": fx.REPORT, "backing": fx.BACKING, "probes": fx.PROBES, "its": fx.ITEMS, "areas": fx.AREAS, "diamonds": fx.DIAMONDS, "local_": fx.LOCAL, "remote": fx.REMOTE}
+    names = {"inv": fx.INVENTORY, "fresh": fx.FRESH, "cached": fx.CACHED, "checks": fx.CHECKS, "report": fx.REPORT, "backing": fx.BACKING, "probes": fx.PROBES, "its": fx.ITEMS, "areas": fx.AREAS, "diamonds": fx.DIAMONDS, "quads": fx.QUADS, "local_": fx.LOCAL, "remote": fx.REMOTE}
     derived = {
         "looked": f"SELECT {_FIX} AS key, arg_max(struct_pack(is_geotiff := is_geotiff, is_cog := is_cog, epsg := epsg, height := height, width := width, transform := transform, bounds := bounds), ordinal) AS c FROM checks GROUP BY 1",
         "resolved": f"""SELECT ordinal, {_ID} AS item_id, {_FIX} AS href, datetime, datetime_unknown, c.is_cog AS is_cog, c.is_geotiff AS is_geotiff, c.epsg AS epsg, c.height AS height, c.width AS width, c.transform AS transform, c.bounds AS bounds,
@@ -138,6 +139,8 @@ _BODIES: dict[str, str] = {
     "tile_index": "SELECT item_id, floor(((west + east) / 2 / 360.0 + 0.5) * 4096)::INT AS x, floor((0.5 - 0.25 * ln((1 + sin(radians((south + north) / 2))) / (1 - sin(radians((south + north) / 2)))) / pi()) * 4096)::INT AS y, 12 AS z FROM its",
     "validate_report": f"""SELECT 'e-' || event_id AS item_id, n <> 6 AS json_exists, error IS NULL AS json_valid, error FROM (SELECT event_id, event_id % 19 AS n, CASE WHEN event_id % 19 = 6 THEN 'File not found' WHEN event_id % 23 = 7 THEN 'JSON decode error' WHEN event_id % 7 = 1 THEN {_STAC('type')}
   WHEN event_id % 11 = 2 THEN {_STAC('geometry')} WHEN event_id % 13 = 3 THEN {_STAC('bbox')} WHEN event_id % 5 = 4 THEN {_STAC('datetime')} WHEN event_id % 17 = 5 THEN {_STAC('collection')} END AS error FROM events)""",
+    "validate_by_schema": """SELECT event_id, CASE WHEN event_id % 19 = 6 THEN ' missing' WHEN event_id % 23 = 7 THEN ' json' ELSE concat_ws(', ', CASE WHEN event_id % 7 = 1 THEN '/type const' END, CASE WHEN event_id % 13 = 3 THEN '/bbox oneOf' END,
+  CASE WHEN event_id % 5 = 4 THEN '/properties/datetime format' END, CASE WHEN event_id % 17 = 5 THEN ' required collection' END) END AS errors FROM events""",
     "validate_summary": "SELECT *, CASE WHEN total > 0 THEN round(valid / total * 100, 1) ELSE 0 END AS percent, CASE WHEN invalid > 0 THEN 1 ELSE 0 END AS exit_code FROM (SELECT count(*) AS total, count(*) FILTER (json_valid) AS valid, count(*) FILTER (NOT json_valid) AS invalid FROM report)",
     "validate_incremental": "SELECT item_id FROM report WHERE item_id NOT IN (SELECT item_id FROM report WHERE item_id LIKE '%1' OR item_id LIKE '%2')",
     "validate_incremental_status": "SELECT *, CASE WHEN checked > 0 AND invalid > 0 THEN 1 ELSE 0 END AS exit_code FROM (SELECT count(*) FILTER (item_id LIKE '%2') AS checked, count(*) FILTER (NOT json_valid) AS invalid FROM report WHERE item_id LIKE '%1' OR item_id LIKE '%2')",
@@ -195,4 +198,4 @@ _BODIES: dict[str, str] = {
     "stream_incremental_items": "SELECT ordinal, item_id, status FROM resolved",
 }
 
-SQL: dict[str, str] = {name: _with(body) for name, body in _BODIES.items()}
+SQL: dict[str, str] = {name: _with(body) for name, body in {**_BODIES, **spatial.BODIES, "store_search_polygon": _BODIES["search_polygon"]}.items()}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orolith import schema
 from orolith.functions import dates, geo, urls
-from orolith.operators import access, changes, collection, items, publish, qa, search, validate
+from orolith.operators import access, changes, collection, items, jsonschema, publish, qa, search, validate
 from orolith.plans import fixtures as fx
 from orolith.sources import adapters, readers, writers
 from orolith.streaming import increments
@@ -291,6 +291,13 @@ def _event_document():
     return F.when(n % 19 == 6, F.lit(None)).when(n % 23 == 7, F.substring(good, 1, 60)).otherwise(good)
 
 
+@query
+def validate_by_schema(s, d):
+    """The same documents by the rules as a schema, with the paths of all errors."""
+    documents = s.read.parquet(f"{d}/events.parquet").select("event_id", _event_document().alias("body"))
+    return jsonschema.with_errors(documents, schema.ITEM_RULES).select("event_id", F.array_join(F.transform("errors", lambda e: F.concat_ws(" ", e["path"], e["keyword"])), ", ").alias("errors"))
+
+
 @query
 def validate_summary(s, d):
     return validate.summary(_report(s, d))

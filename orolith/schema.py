@@ -50,3 +50,25 @@ TEST_COUNT = 10
 SOURCE = "https://objects.example.org/tiles"
 PUBLISHED = "https://catalog.example.org/elevation"
 COLLECTION_ID = "elevation"
+
+_SIZES = {"oneOf": [{"minItems": n, "maxItems": n} for n in (4, 6)]}
+_POLYGON = {"type": "object", "required": ["coordinates"], "properties": {"type": {"const": "Polygon"}, "coordinates": {"type": "array", "items": {"type": "array", "minItems": 4}}}}
+#: What an item must hold as a JSON Schema: the rules of operators/validate.py that a schema can state (a ring's end can't be compared with its begin).
+ITEM_RULES = {
+    "type": "object",
+    "required": ["type", "stac_version", "id", "geometry", "properties", "links", "assets"],
+    "properties": {
+        "type": {"const": "Feature"}, "stac_version": {"type": "string"}, "id": {"type": "string", "minLength": 1},
+        "geometry": {"oneOf": [{"type": "null"}, _POLYGON]},
+        "bbox": {"type": "array", "items": {"type": "number"}, **_SIZES},
+        "properties": {
+            "type": "object", "required": ["datetime"],
+            "properties": {"datetime": {"type": ["string", "null"], "format": "date-time"}, "proj:shape": {"minItems": 2, "maxItems": 2}, "proj:transform": {"oneOf": [{"minItems": n, "maxItems": n} for n in (6, 9)]}, "proj:bbox": _SIZES},
+            "if": {"properties": {"datetime": {"type": "null"}}}, "then": {"required": ["start_datetime", "end_datetime"]},
+        },
+        "links": {"type": "array", "items": {"type": "object", "required": ["rel", "href"]}},
+        "assets": {"type": "object", "additionalProperties": {"type": "object", "required": ["href"]}},
+    },
+    "if": {"properties": {"geometry": {"type": "object"}}}, "then": {"required": ["bbox"]},
+    "allOf": [{"if": {"properties": {"links": {"contains": {"properties": {"rel": {"const": "collection"}}, "required": ["rel"]}}}}, "then": {"required": ["collection"]}}],
+}
