@@ -57,9 +57,11 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     return np.frombuffer(digests, ">u8").astype(np.uint64)
 
 
-def sketch(text: str | None, words: int, more: int) -> np.ndarray:
-    """fingerprint() as uint64, then so many 64-bit SimHashes over further hashes of the same shingles."""
+def sketch(text: str | None, words: int, more: int, once: bool = False) -> np.ndarray:
+    """fingerprint() as uint64, then so many 64-bit SimHashes over further hashes of the same shingles. once: repeated shingles count once."""
     hashes = shingle_hashes(text, words)
+    if once:
+        hashes = np.unique(hashes)
     out = np.zeros(1 + more, np.uint64)
     if not len(hashes):
         return out
@@ -75,13 +77,13 @@ def sketch(text: str | None, words: int, more: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, words: int = 4, text: str = "text", more: int = 0) -> DataFrame:
-    """Adds fp long (the 64 bits, signed) and wide binary (more * 64 bits) in place of the text."""
+def fingerprints(docs: DataFrame, words: int = 4, text: str = "text", more: int = 0, once: bool = False) -> DataFrame:
+    """Adds fp long (the 64 bits, signed) and wide binary (more * 64 bits) in place of the text. once: over distinct shingles."""
     rest = [c for c in docs.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sketch(t, words, more) for t in b.column(text).to_pylist()]
+            found = [sketch(t, words, more, once) for t in b.column(text).to_pylist()]
             fp, wide = np.array([x[0] for x in found], np.uint64).view(np.int64), [x[1:].tobytes() for x in found]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in rest] + [pa.array(fp, pa.int64()), pa.array(wide, pa.binary())], [*rest, "fp", "wide"])
 
@@ -260,10 +262,10 @@ def near_links(distinct: DataFrame, bits: int = 4, blocks: int = 16, block_rows:
 def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, blocks: int = 16, more: int = 0, bands: tuple[int, int] | None = None, similarity: float = 0.0) -> DataFrame:
     """Adds fp, component_id (least doc_id of the group) and group (a number for it) to the columns of docs but text.
 
-    With bands (see links_forest), links that need a test have it: the Jaccard similarity of the texts' distinct shingles.
+    With bands (see links_forest), sketches are over distinct shingles, and every link is tested by the Jaccard similarity of these.
     """
     docs = docs.drop("fp", "wide", "component_id", "group", "_fp", "_wide", "_text")
-    marked = materialize(fingerprints(docs.withColumn("_text", F.xxhash64("text")), words, more=more), "fp")
+    marked = materialize(fingerprints(docs.withColumn("_text", F.xxhash64("text")), words, more=more, once=bands is not None), "fp")
     distinct = marked.groupBy("fp", "wide").agg(F.min("doc_id").alias("least"), F.min("_text").alias("text_hash"))
     distinct = materialize(distinct.withColumn("node", F.monotonically_increasing_id()), "fps")
     found = materialize(near_links(distinct, bits, blocks, more=more, bands=bands), "links")
@@ -278,15 +280,17 @@ def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, blocks: int
 
 
 def confirm(distinct: DataFrame, found: DataFrame, texts: DataFrame, words: int, similarity: float, bits: int, wide_bits: int, size: int = 2000) -> DataFrame:
-    """Sure links, and such between what they leave apart whose texts are similar enough, as (a, b).
+    """Links (a, b) whose texts are similar enough, and which connect all that such links do.
 
+    First the links that sketches are sure of are tested, each by itself; most pass, and connect nearly all of large groups. Those that fail are in doubt like the rest.
     distinct: (node, fp, wide, text_hash); texts: (text_hash, text). The doubtful links come as a forest, so they only tell within which groups
     links are to be sought: there all pairs near enough by their sketches are tested, but for such that
     are connected already. Small groups go together to tasks; one of more than so many nodes is cut into parts of that size, and each
     two parts meet in a task.
     """
-    good = found.where("sure").select("a", "b")
-    doubtful = materialize(found.where("NOT sure").select("a", "b"), "doubtful")
+    tested = materialize(tested_links(distinct, found.where("sure").select("a", "b"), texts, words, similarity), "tested")
+    good = tested.where("passed").select("a", "b")
+    doubtful = materialize(found.where("NOT sure").select("a", "b").union(tested.where("NOT passed").select("a", "b")), "doubtful")
     if doubtful.isEmpty():
         return good
     wide = components(found.select("a", "b")).withColumnRenamed("component", "above")  # a group's least node isn't listed
@@ -341,6 +345,16 @@ def confirm(distinct: DataFrame, found: DataFrame, texts: DataFrame, words: int,
     return good.union(passed)
 
 
+def tested_links(distinct: DataFrame, links: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Adds passed to links: whether the distinct shingles of the two nodes' texts are similar enough."""
+    nodes = distinct.join(links.select(F.col("a").alias("node")).union(links.select("b")).distinct(), "node", "left_semi")
+    held = nodes.join(shingle_table(nodes, texts, words), "text_hash").select("node", "shingles")
+    side = lambda name: held.select(F.col("node").alias(name), F.col("shingles").alias(f"of_{name}"))
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    either = F.size("of_a") + F.size("of_b") - shared
+    return links.join(side("a"), "a").join(side("b"), "b").select("a", "b", ((either == 0) | (shared >= either * similarity)).alias("passed"))
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Similarity of two ascending lists of distinct hashes; two without any are equal."""
     shared = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
@@ -374,9 +388,9 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int =
     """Keeps one document of each near-duplicate group, whole: the one with the least doc_id.
 
     The 64-bit index lets pass what texts of such a Jaccard similarity of distinct shingles differ in with three
-    standard deviations to spare. Of those, a sketch of 512 bits takes what is three such below what
-    the similarity leads to as links, drops what is three above, and the shingles themselves decide between.
-    Of rows that repeat the id that stays, the first by hash stays; a group without any id keeps one row too.
+    standard deviations to spare. Of those, a sketch of 512 bits drops what is three such above what the
+    similarity leads to; the shingles themselves decide on all others, so no document goes untested.
+    Of rows that repeat the id that stays, the first by hash of the whole row stays; a group without any id keeps one row too.
     Rows are told apart by the XXH64 of id and text: among N rows about N * N / 2^65 pairs would be taken for one.
     """
     keys = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_key"))
@@ -384,4 +398,6 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int =
     groups = near_duplicates(keys, similar_bits(similarity, 64, 3.0), words, more=7, bands=bands, similarity=similarity)
     best = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("m")).select(F.col("m._key").alias("_keep"))
     marked = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64("doc_id", "text").alias("_key"))
-    return marked.join(best, marked["_key"] == F.col("_keep"), "left_semi").dropDuplicates(["_key"]).select("doc.*")
+    kept = marked.join(best, marked["_key"] == F.col("_keep"), "left_semi")
+    plain = [F.col("doc")[f.name] for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return kept.groupBy("_key").agg(F.min_by("doc", F.xxhash64(*plain)).alias("doc")).select("doc.*")
