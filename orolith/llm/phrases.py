@@ -21,7 +21,7 @@ end between pieces.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,7 @@ WINDOW = 1 << 20
 #: n-grams counted before cells are cut down to min_count, so that small cells don't overflow.
 STEP = 1 << 15
 #: Distinct n-grams that a task holds before it sends what it has counted.
-HELD = 300_000
+HELD = 2_000_000
 
 BLANK = np.isin(np.arange(256), [0x20, 0x09])
 MARK = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
@@ -85,8 +85,17 @@ class Block:
             self.whole.append(whole)
         return self.grams[n - 1], self.whole[n - 1]
 
-    def phrase(self, at: int, n: int) -> str:
-        return b" ".join([self.raw[self.begins[k]: self.ends[k]].tobytes() for k in range(at, at + n)]).decode("utf-8", "replace")
+    def phrases(self, at: np.ndarray, n: int) -> list[bytes]:
+        """The n words from each place on, with a space between them."""
+        raw, low, high = self.raw.tobytes(), self.begins[at], self.ends[at + n - 1]
+        plain = np.ones(len(at), bool)  # one space lies between the words already
+        for k in range(n - 1):
+            gap = self.ends[at + k]
+            plain &= (self.begins[at + k + 1] == gap + 1) & (self.raw[gap] == 0x20)
+        found = [raw[i:j] for i, j in zip(low.tolist(), high.tolist(), strict=True)]
+        for k in np.flatnonzero(~plain).tolist():
+            found[k] = b" ".join([w for w in found[k].replace(b"\t", b" ").split(b" ") if w])
+        return found
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, list[str]]]:
@@ -208,37 +217,61 @@ def sketch_bits(docs: DataFrame, orders: tuple[int, ...], width: int, min_count:
     return bits.reshape(ROWS, -1)
 
 
+class Counted:
+    """Distinct n-grams of one length that a task has met: sorted hashes, numbers, languages, and where in the pool their words are. Some 50 bytes each."""
+
+    def __init__(self):
+        self.keys, self.n, self.lang, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.pool: list[pa.Array] = []
+
+    def add(self, keys: np.ndarray, n: np.ndarray, lang: np.ndarray, words: Callable[[np.ndarray], list[bytes]]) -> None:
+        """keys: ascending and distinct; words gives the words of those of them that are new."""
+        place = np.searchsorted(self.keys, keys)
+        known = place < len(self.keys)
+        known[known] = self.keys[place[known]] == keys[known]
+        self.n[place[known]] += n[known]
+        new = np.flatnonzero(~known)
+        if len(new):
+            at = np.arange(len(self.keys), len(self.keys) + len(new))
+            self.pool.append(pa.array(words(new), pa.large_binary()))
+            self.keys, self.n, self.lang, self.at = (np.insert(old, place[new], more) for old, more in ((self.keys, keys[new]), (self.n, n[new]), (self.lang, lang[new]), (self.at, at)))
+
+    def batches(self, k: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+        if not len(self.keys):
+            return
+        pool = pa.concat_arrays(self.pool)
+        for low in range(0, len(self.keys), 100_000):
+            part = slice(low, low + 100_000)
+            words = pool.take(pa.array(self.at[part])).cast(pa.large_string()).cast(pa.string())
+            langs = pa.array(names, pa.string()).take(pa.array(self.lang[part]))
+            yield pa.RecordBatch.from_arrays([langs, pa.array(np.full(len(words), k, np.int32)), words, pa.array(self.n[part])], ["lang", "k", "phrase", "n"])
+
+
 def count_survivors(docs: DataFrame, passed: Broadcast, longest: int) -> DataFrame:
     """(lang, k, phrase, n): occurrences of phrases of k words in parts of the table; k is 0 for the number of all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict[int, list]] = [{} for _ in range(longest + 1)]
-
-        def sent() -> Iterator[pa.RecordBatch]:
-            for k, found in enumerate(held):
-                rows = list(found.values())
-                for low in range(0, len(rows), 100_000):
-                    some = rows[low: low + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in some], pa.string()), pa.array(np.full(len(some), k, np.int32)), pa.array([x[1] for x in some], pa.string()), pa.array([x[2] for x in some], pa.int64())], ["lang", "k", "phrase", "n"])
-                found.clear()
-
+        codes: dict[str, int] = {}
+        totals: dict[str, int] = {}
+        held = [Counted() for _ in range(longest)]
         for block, langs in blocks(batches):
+            of_text = np.array([codes.setdefault(x, len(codes)) for x in langs], np.int32)
             for i, n in enumerate(np.bincount(block.text, minlength=len(langs)).tolist()):
-                if n:
-                    held[0].setdefault(langs[i], [langs[i], "", 0])[2] += n
+                totals[langs[i]] = totals.get(langs[i], 0) + n
             for k in range(1, longest + 1):
                 at = passed.value.survivors(block, k)
                 keys, first, n = np.unique(block.order(k)[0][at], return_index=True, return_counts=True)
-                mine = held[k]
-                for key, place, add in zip(keys.tolist(), at[first].tolist(), n.tolist(), strict=True):
-                    row = mine.get(key)
-                    if row is None:
-                        mine[key] = [langs[block.text[place]], block.phrase(place, k), add]
-                    else:
-                        row[2] += add
-            if sum(map(len, held)) > HELD:
-                yield from sent()
-        yield from sent()
+                place = at[first]
+                held[k - 1].add(keys, n, of_text[block.text[place]], lambda new, place=place, block=block, k=k: block.phrases(place[new], k))
+            if sum(len(x.keys) for x in held) > HELD:
+                for k, found in enumerate(held, 1):
+                    yield from found.batches(k, list(codes))
+                held = [Counted() for _ in range(longest)]
+        for k, found in enumerate(held, 1):
+            yield from found.batches(k, list(codes))
+        some = [(x, n) for x, n in totals.items() if n]
+        if some:
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in some], pa.string()), pa.array(np.zeros(len(some), np.int32)), pa.array([""] * len(some), pa.string()), pa.array([n for _, n in some], pa.int64())], ["lang", "k", "phrase", "n"])
 
     return docs.select("lang", "text").mapInArrow(run, "lang string, k int, phrase string, n long")
 
