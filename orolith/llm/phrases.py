@@ -39,7 +39,7 @@ ROWS, WIDTH = 2, 1 << 25
 SLICE = 1 << 16
 #: Bytes of text counted at once, about.
 WINDOW = 1 << 20
-#: n-grams counted before cells are cut down to min_count, so that small cells don't overflow.
+#: Bytes looked at in one step for the end of a piece.
 STEP = 1 << 15
 #: Distinct n-grams that a task holds before it sends what it has counted.
 HELD = 2_000_000
@@ -98,6 +98,18 @@ class Block:
         return found
 
 
+def window_end(raw: np.ndarray, at: np.ndarray, wanted: int) -> int:
+    """The first end of a piece or text from a place on."""
+    if wanted >= len(raw):
+        return len(raw)
+    text_end = int(at[np.searchsorted(at, wanted)])
+    for low in range(wanted - 1, text_end, STEP):
+        marks = np.flatnonzero(MARK[raw[low: min(low + STEP, text_end)]])
+        if len(marks):
+            return low + int(marks[0]) + 1
+    return text_end
+
+
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, list[str]]]:
     """Windows of the texts of batches (lang, text), cut between pieces, with the language of each text."""
     for b in batches:
@@ -105,13 +117,11 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, list[str]
         langs = [x if x is not None else "und" for x in b.column("lang").to_pylist()]
         seeds = {x: np.uint64(int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little")) for x in set(langs)}
         of_text = np.array([seeds[x] for x in langs], np.uint64)
-        raw = LOWER[raw]
-        cuts = np.union1d(np.flatnonzero(MARK[raw]) + 1, at[1:])
         low = 0
         while low < len(raw):
-            high = int(cuts[min(np.searchsorted(cuts, low + WINDOW), len(cuts) - 1)])
+            high = window_end(raw, at, low + WINDOW)
             first, last = int(np.searchsorted(at, low, side="right")) - 1, int(np.searchsorted(at, high, side="left"))
-            yield Block(raw[low:high], np.maximum(at[first:last] - low, 0), of_text[first:last]), langs[first:last]
+            yield Block(LOWER[raw[low:high]], np.maximum(at[first:last] - low, 0), of_text[first:last]), langs[first:last]
             low = high
 
 
@@ -150,7 +160,7 @@ def task_sketches(docs: DataFrame, orders: tuple[int, ...], width: int, min_coun
 
     cells holds 16-bit places as differences, their low bytes before their high ones; it is empty where counts has a number for each cell.
     """
-    kind = np.uint16 if min_count < 1 << 15 else np.uint32
+    kind = np.uint8 if min_count < 256 else np.uint32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((ROWS, width), kind)
@@ -159,10 +169,8 @@ def task_sketches(docs: DataFrame, orders: tuple[int, ...], width: int, min_coun
                 grams, whole = block.order(n)
                 grams = grams[whole] if passed is None else grams[passed.value.survivors(block, n, itself=False)]
                 for k in range(ROWS):
-                    at = cells(grams, k, width)
-                    for low in range(0, len(at), STEP):
-                        np.add.at(held[k], at[low: low + STEP], kind(1))
-                        held[k][at[low: low + STEP]] = np.minimum(held[k][at[low: low + STEP]], min_count)
+                    at, n = np.unique(cells(grams, k, width), return_counts=True)
+                    held[k][at] = np.minimum(held[k][at] + n, min_count)
         part = min(SLICE, width)
         rows = held.reshape(-1, part)
         for low in range(0, len(rows), 64):
@@ -172,8 +180,8 @@ def task_sketches(docs: DataFrame, orders: tuple[int, ...], width: int, min_coun
                 if len(at):
                     dense = len(at) > part // 3
                     places = b"" if dense else np.diff(at, prepend=0).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
-                    counts = (rows[s] if dense else rows[s][at]).astype("<u4" if kind is np.uint32 else "<u2").view(np.uint8)
-                    out.append((s, places, counts.reshape(-1, 4 if kind is np.uint32 else 2).T.tobytes()))
+                    counts = np.ascontiguousarray(rows[s] if dense else rows[s][at]).view(np.uint8)
+                    out.append((s, places, counts.reshape(-1, held.itemsize).T.tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), *(pa.array([x[i] for x in out], pa.binary()) for i in (1, 2))], ["slice", "cells", "counts"])
 
@@ -182,7 +190,7 @@ def task_sketches(docs: DataFrame, orders: tuple[int, ...], width: int, min_coun
 
 def merge_sketches(sketches: DataFrame, width: int, min_count: int) -> DataFrame:
     """(slice, bits): which cells of each slice reach min_count over all tasks. Slices are added up as they stream by, so none is ever gathered whole."""
-    part, size = min(SLICE, width), 2 if min_count < 1 << 15 else 4
+    part, size = min(SLICE, width), 1 if min_count < 256 else 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, total = None, np.zeros(part, np.int64)
