@@ -5,6 +5,7 @@ Nothing overwrites a path that it reads: new content goes beside the old and is
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -92,10 +93,20 @@ def write_json_lines(documents: DataFrame, path: str, mode: str = "overwrite") -
 
 
 def export_documents(documents: DataFrame, path: str) -> int:
-    """One <item_id>.json a row, written by the executors that hold the rows; gives the number of rows. A task that runs again replaces its own files."""
+    """One <item_id>.json a row, written by the executors that hold the rows; gives the number of rows. A task that runs again replaces its own files.
+
+    A path without a scheme is one of Hadoop's default file system, as for Spark's own writers. On a cluster a local path is refused, since each executor would write to its own disk.
+    """
+    spark = documents.sparkSession
+    fs, given = _fs(spark, path)
+    path = re.sub("^s3[an]:", "s3:", fs.makeQualified(given).toString())
+    if path.startswith("file:"):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{path} isn't a path that all executors share")
+        path = re.sub("^file:/+", "/", path)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = pa.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pa.fs.LocalFileSystem(), path)
+        store, root = pa.fs.FileSystem.from_uri(path) if "://" in path else (pa.fs.LocalFileSystem(), path)
         store.create_dir(root, recursive=True)
         for b in batches:
             for item, body in zip(b.column("item_id").to_pylist(), b.column("body").to_pylist(), strict=True):
