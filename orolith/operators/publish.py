@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orolith.sources import writers
 
@@ -32,13 +33,18 @@ def upsert(published: DataFrame, items: DataFrame, mirror: bool = False) -> Data
     return published.join(items.select(F.col("id").alias("_id")), F.col("id") == F.col("_id"), "left_anti").unionByName(items)
 
 
+def published_items(spark: SparkSession, path: str, kind: T.StructType) -> DataFrame:
+    """The items of a catalog, none where it isn't there yet."""
+    there = writers.exists(spark, f"{path}/items")
+    return spark.read.schema(kind).parquet(f"{path}/items") if there else spark.createDataFrame([], kind)
+
+
 def publish(items: DataFrame, collection: DataFrame, path: str, mirror: bool = False) -> dict[str, int]:
     """Items first, then the collection, each staged and renamed into place; gives counts by action."""
     spark: SparkSession = items.sparkSession
     preflight(items, collection)
     path = path[:-1] if path.endswith("/") else path
-    there = writers.exists(spark, f"{path}/items")
-    published = spark.read.schema(items.schema).parquet(f"{path}/items") if there else spark.createDataFrame([], items.schema)
+    published = published_items(spark, path, items.schema)
     counts = {r["action"]: r["n"] for r in plan(items, published, mirror).groupBy("action").agg(F.count("*").alias("n")).collect()}
     for name, rows in (("items", upsert(published, items, mirror)), ("collection", collection)):
         staged = f"{path}/.{name}.staged"

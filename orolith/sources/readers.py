@@ -70,6 +70,11 @@ def read_report(spark: SparkSession, path: str, optional: bool = True) -> DataFr
     return _or_empty(spark, parse, schema.REPORT, optional)
 
 
+def invalid_ids(spark: SparkSession, path: str) -> DataFrame:
+    """(ordinal, item_id) of the report's rows that say false, each as it is there."""
+    return _csv(spark, path, schema.REPORT).where(F.lower("json_valid") == "false").select("ordinal", "item_id")
+
+
 DOCUMENT = T.StructType([T.StructField("item_path", T.StringType()), T.StructField("item_id", T.StringType()), T.StructField("body", T.StringType())])
 
 
@@ -83,6 +88,11 @@ def read_documents(spark: SparkSession, path: str, glob: str = "*.json", skip_co
     return _or_empty(spark, scan, DOCUMENT, optional)
 
 
+def json_paths(spark: SparkSession, path: str) -> list[str]:
+    """JSON files in a folder itself, none where it is absent."""
+    return [r["item_path"] for r in read_documents(spark, path, skip_collection=False, optional=True).select("item_path").collect()]
+
+
 def count_json(spark: SparkSession, path: str) -> int:
     """JSON files in a folder and those below, the collection's too; no content is read."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").load(path).select("path").count()

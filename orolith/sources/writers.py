@@ -48,7 +48,8 @@ def roll_back(spark: SparkSession, path: str, backup: str) -> None:
     fs.rename(old, _fs(spark, path)[1])
 
 
-def _beside(path: str) -> str:
+def beside(path: str) -> str:
+    """A new path next to another."""
     return f"{path.rstrip('/')}.staged-{uuid.uuid4().hex[:8]}"
 
 
@@ -57,7 +58,7 @@ def write_lines(lines: DataFrame, path: str) -> None:
 
     The list's format is a file of lines in order, so one task writes it. Its ranges are sorted one after the other by the task that writes, so none needs the whole list in memory.
     """
-    staged = _beside(path)
+    staged = beside(path)
     lines.repartitionByRange("ordinal").sortWithinPartitions("ordinal").select("url").coalesce(1).write.text(staged)
     backup = swap(lines.sparkSession, staged, path)
     if backup:
@@ -80,7 +81,7 @@ def json_arrays(df: DataFrame) -> DataFrame:
 
 def rewrite_csv(df: DataFrame, path: str) -> None:
     """Replaces a CSV cache, also where df reads it."""
-    staged = _beside(path)
+    staged = beside(path)
     json_arrays(df.drop("ordinal")).write.csv(staged, header=True, quote='"', escape='"')
     backup = swap(df.sparkSession, staged, path)
     if backup:

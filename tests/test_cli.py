@@ -31,9 +31,13 @@ def test_detect(spark, urls, tmp_path):
     run = lambda fresh, cached: main(["detect", "--fresh", fresh, "--cached", cached, "--new", str(tmp_path / "new"), "--deleted", str(tmp_path / "deleted")], spark)
     a, b = urls("a", f"{P}/1.tif", f"{P}/2.tif"), urls("b", f"{P}/2.tif")
     assert run(a, b) == 1 and [r["url"] for r in readers.read_lines(spark, str(tmp_path / "new")).collect()] == [f"{P}/1.tif"] and not (tmp_path / "deleted").exists()
-    assert run(a, a) == 0 and not (tmp_path / "new").exists()
-    assert run(b, a) == 2
-    assert run(a, str(tmp_path / "nothing")) == 1
+    assert run(a, b) == 0 and not (tmp_path / "new").exists()  # the fresh list has become the cached one
+    one = urls("one", f"{P}/2.tif")
+    assert run(one, a) == 2 and readers.read_lines(spark, a).count() == 2
+    slash = urls("slash", f"{P}/1.tif".replace("//", "/"), f"{P}/2.tif")
+    assert run(slash, a) == 1 and [r["url"] for r in readers.read_lines(spark, str(tmp_path / "deleted")).collect()] == [f"{P}/1.tif"]
+    assert [r["url"] for r in readers.read_lines(spark, a).orderBy("ordinal").collect()] == (tmp_path / "slash").read_text().split()
+    assert run(b, str(tmp_path / "nothing")) == 1
 
 
 def test_build_validate_qa_and_reconcile(spark, urls, tmp_path):
@@ -51,6 +55,11 @@ def test_build_validate_qa_and_reconcile(spark, urls, tmp_path):
     assert main(["validate", "--items-dir", items, "--output", report], spark) == 0 and readers.read_report(spark, report).count() == n
     (tmp_path / "items" / "bad-one.json").write_text("{")
     assert main(["validate", "--items-dir", items, "--output", report, "--incremental"], spark) == 1 and readers.read_report(spark, report).count() == n + 1
+    assert main(["validate", "--items-dir", items, "--output", report, "--incremental"], spark) == 0  # nothing new, though history holds a fault
+    assert main(["validate", "--items-dir", str(tmp_path / "no-items"), "--output", report], spark) == 1 and readers.read_report(spark, report).count() == n + 1
+    again = str(tmp_path / "again")
+    assert main(["extract-invalid", "--report", report, "--output", again], spark) == 0
+    assert [r["url"] for r in readers.read_lines(spark, again).collect()] == [f"{P}/bad/one.tif"]
     qa = lambda other: main(["qa", "--local-dir", items, "--remote-dir", other, "--sample-percent", "100"], spark)
     assert qa(items) == 0
     (tmp_path / "other").mkdir()
@@ -69,10 +78,46 @@ def test_access_and_promote(spark, urls, tmp_path):
     except ImportError:
         probe[6] = "test_cli:head"
     assert main(probe, spark) == 1 and readers.read_access(spark, out).where("accessible").count() == 1
-    assert main([*probe, "--recheck"], spark) == 1 and readers.read_access(spark, out).count() == 2
+    assert main(probe, spark) == 1  # nothing to check: the cache decides
+    (tmp_path / "list").write_text(f"{P}/1.tif\n{P}/gone.tif\n{P}/3.tif\n")
+    assert main(probe, spark) == 0 and readers.read_access(spark, out).count() == 3  # only what was checked decides
+    (tmp_path / "list").write_text(f"{P}/3.tif\n")
+    assert main([*probe, "--recheck"], spark) == 0 and [r["url"] for r in readers.read_access(spark, out).collect()] == [f"{P}/3.tif"]
     assert main(["promote", "--staged", str(tmp_path / "none"), "--production", str(tmp_path / "p")], spark) == 2
 
 
+def test_fetch_collection_and_publish(spark, urls, tmp_path):
+    out, name = str(tmp_path / "listed"), "orolith.plans.fixtures:listing"
+    fetch = ["fetch", "--output", out, "--lister", name, "--prefixes", "old-dem-2,dem-2,dem-2,photo-3"]
+    assert main(fetch, spark) == 0
+    assert [r["url"] for r in readers.read_lines(spark, out).orderBy("ordinal").collect()] == [f"{k}/tile_{n}.tif" for k in ("dem-2", "old-dem-2") for n in (0, 1)]
+    (tmp_path / "rasters").mkdir()
+    (tmp_path / "rasters" / "other.tif").write_text("")
+    assert main(["fetch", "--output", out, "--folder", str(tmp_path / "rasters")], spark) == 2 and readers.read_lines(spark, out).count() == 4
+    assert main(["fetch", "--output", out, "--folder", str(tmp_path / "rasters"), "--test"], spark) == 0
+
+    folder = tmp_path / "catalog-items"
+    folder.mkdir()
+    dated = urls("dated", f"{P}/001/2019/dem/x.tif", f"{P}/001/2021/dem/x.tif", f"{P}/dem/x.tif")
+    (folder / "a-1.json").write_text("{}")
+    assert main(["collection", "--urls", urls("undated", f"{P}/dem/x.tif"), "--out", str(folder)], spark) == 1 and not (folder / "collection.json").exists()
+    assert main(["publish", "--items-dir", str(folder), "--catalog", str(tmp_path / "target")], spark) == 2
+    assert main(["collection", "--urls", dated, "--out", str(folder)], spark) == 0 and (folder / "a-1.json").exists()
+    extent = readers.read_collection(spark, str(folder / "collection.json")).select("extent.temporal.interval").first()[0]
+    assert [x[:4] for x in extent[0]] == ["2019", "2021"]
+
+    target = str(tmp_path / "target")
+    send = ["publish", "--items-dir", str(folder), "--catalog", target]
+    assert main([*send, "--dryrun"], spark) == 0 and not (tmp_path / "target").exists()
+    assert main(send, spark) == 0
+    (folder / "a-1.json").rename(folder / "a-2.json")
+    held = lambda: {r["id"] for r in spark.read.parquet(f"{target}/items").collect()}
+    assert main(send, spark) == 0 and held() == {"a-1", "a-2"}
+    assert main([*send, "--mirror"], spark) == 0 and held() == {"a-2"}
+    assert main(["collection", "--urls", dated, "--out", str(folder), "--test", "--test-count", "1"], spark) == 0
+    assert [p.name for p in folder.iterdir() if p.suffix == ".json"] == ["collection.json"]
+
+
 def test_probe_output_and_features(spark):
     said = [("1", "x.tif is a valid cloud optimized GeoTIFF"), ("2", "x.tif is NOT a valid cloud optimized GeoTIFF"), ("3", "error"), ("4", None)]
     rows = adapters.classify_probe_text(spark.createDataFrame(said, "url string, output string")).collect()
