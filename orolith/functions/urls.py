@@ -47,6 +47,29 @@ def published_href(identifier: Column, base: str = schema.PUBLISHED) -> Column:
     return F.concat(F.lit(base + "/"), identifier, F.lit(".json"))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without its first slash, its segments . and .. applied; those that lead above the top are dropped."""
+    none = F.array().cast("array<string>")
+    parts = F.aggregate(F.split(path, "/"), none, lambda held, x: F.when(x == ".", held).when(x == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0)))).otherwise(F.array_append(held, x)))
+    return F.concat(F.array_join(parts, "/"), F.when(path.rlike(r"(^|/)\.\.?$") & (F.size(parts) > 0), "/").otherwise(""))
+
+
+def resolve_href(base: Column, href: Column) -> Column:
+    """A link's full address, given that of the document it is in; null where either is, or where the link is empty. Fragments go."""
+    link = F.regexp_replace(F.trim(href), "#.*$", "")
+    split = r"^([a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/?#]*)?)/?([^?#]*)"
+    site = lambda url: F.regexp_extract(url, split, 1)
+    own = F.regexp_extract(base, split, 2)
+    query = F.regexp_extract(link, r"(\?.*)$", 1)
+    path = F.regexp_replace(link, r"\?.*$", "")
+    joined = (
+        F.when(link.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
+        .when(F.startswith(link, F.lit("//")), F.concat(F.regexp_extract(base, "^([^:]*:)", 1), link))
+    )
+    below = F.when(F.startswith(path, F.lit("/")), F.substring(path, 2, 1 << 30)).when(path == "", own).otherwise(F.concat(F.regexp_replace(own, "[^/]*$", ""), path))
+    return F.when(F.length(link) > 0, F.coalesce(joined, F.concat(site(base), F.lit("/"), _without_dots(below), query)))
+
+
 def strip_slash(path: Column) -> Column:
     """Takes off one trailing slash."""
     return F.regexp_replace(path, "/$", "")

@@ -6,8 +6,12 @@ fill them in.
 
 from __future__ import annotations
 
+import io
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 INVENTORY = """
@@ -88,6 +92,15 @@ SELECT item_id, cx + c * hx - s * hy AS x1, cy + s * hx + c * hy AS y1, cx - c *
   cx - c * hx + s * hy AS x3, cy - s * hx - c * hy AS y3, cx + c * hx + s * hy AS x4, cy + s * hx - c * hy AS y4 FROM ({_TURNED}) t
 """
 
+TREE = "https://catalog.example.org/t"
+#: Child links in all forms that an address may have: of the root to regions, these to nations, these to customers, these to orders.
+TREE_LINKS = f"""
+SELECT '{TREE}/catalog.json' AS source, 'child' AS rel, concat('./r', CAST(r_regionkey AS STRING), '/catalog.json') AS href FROM {{t:region}}
+UNION ALL SELECT concat('{TREE}/r', CAST(n_regionkey AS STRING), '/catalog.json'), 'child', concat('../n', CAST(n_nationkey AS STRING), '/x/../catalog.json') FROM {{t:nation}}
+UNION ALL SELECT concat('{TREE}/n', CAST(c_nationkey AS STRING), '/catalog.json'), 'child', concat('/t/c', CAST(c_custkey AS STRING), '/catalog.json') FROM {{t:customer}}
+UNION ALL SELECT concat('{TREE}/c', CAST(o_custkey AS STRING), '/catalog.json'), 'child', concat('{TREE}/o', CAST(o_orderkey AS STRING), '/catalog.json') FROM {{t:orders}}
+"""
+
 LOCAL = """
 SELECT doc_id, concat(CAST(doc_id AS STRING), '.json') AS name, concat('d', CAST(doc_id AS STRING)) AS id, lang AS datetime, doc_id % 4 = 0 AS datetime_unknown, {list:n_chars / 1e0, doc_id / 1e0} AS geometry, {list:doc_id / 2e0} AS bbox, 1 AS asset_count FROM {t:documents}
 """
@@ -113,6 +126,11 @@ def relation(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(as_spark(sql, sf_dir))
 
 
-def listing(prefix: str) -> list[str]:
-    """Object names below a prefix, as a lister of an object store would give them."""
-    return [f"{prefix}/tile_{k}.tif" for k in range(int(prefix.rsplit("-", 1)[1]))]
+def listing(prefix: str) -> Iterator[str]:
+    """Names held in the text files of a folder, as a lister of an object store would give those below a prefix; an absent folder has none."""
+    store, root = pa.fs.FileSystem.from_uri(prefix) if "://" in prefix else (pa.fs.LocalFileSystem(), re.sub("^file:/+", "/", prefix))
+    for found in store.get_file_info(pa.fs.FileSelector(root, allow_not_found=True)):
+        if found.is_file and not found.base_name.startswith((".", "_")):
+            with store.open_input_stream(found.path) as file:
+                for line in io.TextIOWrapper(file, "utf-8", newline="\n"):
+                    yield line.rstrip("\n")

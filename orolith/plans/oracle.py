@@ -142,13 +142,13 @@ _BODIES: dict[str, str] = {
     "validate_by_schema": """SELECT event_id, CASE WHEN event_id % 19 = 6 THEN ' missing' WHEN event_id % 23 = 7 THEN ' json' ELSE concat_ws(', ', CASE WHEN event_id % 7 = 1 THEN '/type const' END, CASE WHEN event_id % 13 = 3 THEN '/bbox oneOf' END,
   CASE WHEN event_id % 5 = 4 THEN '/properties/datetime format' END, CASE WHEN event_id % 17 = 5 THEN ' required collection' END) END AS errors FROM events""",
     "validate_summary": "SELECT *, CASE WHEN total > 0 THEN round(valid / total * 100, 1) ELSE 0 END AS percent, CASE WHEN invalid > 0 THEN 1 ELSE 0 END AS exit_code FROM (SELECT count(*) AS total, count(*) FILTER (json_valid) AS valid, count(*) FILTER (NOT json_valid) AS invalid FROM report)",
-    "validate_incremental": "SELECT item_id FROM report WHERE item_id NOT IN (SELECT item_id FROM report WHERE item_id LIKE '%1' OR item_id LIKE '%2')",
-    "validate_incremental_status": "SELECT *, CASE WHEN checked > 0 AND invalid > 0 THEN 1 ELSE 0 END AS exit_code FROM (SELECT count(*) FILTER (item_id LIKE '%2') AS checked, count(*) FILTER (NOT json_valid) AS invalid FROM report WHERE item_id LIKE '%1' OR item_id LIKE '%2')",
+    "validate_incremental": "SELECT item_id FROM report WHERE item_id NOT IN (SELECT item_id FROM report)",
+    "validate_incremental_status": "SELECT *, CASE WHEN checked > 0 AND invalid > 0 THEN 1 ELSE 0 END AS exit_code FROM (SELECT count(*) FILTER (item_id LIKE '%2') AS checked, count(*) FILTER (NOT json_valid) AS invalid FROM report)",
     "invalid_to_url_join": f"SELECT b.item_id, i.url FROM (SELECT {_ID} AS item_id FROM backing WHERE NOT json_valid) b JOIN (SELECT DISTINCT {_ID} AS item_id, url FROM inv) i USING (item_id)",
     "invalid_to_url_lossy": f"SELECT item_id, '{schema.SOURCE}/' || replace(item_id, '-', '/') || '.tif' AS url FROM report WHERE NOT json_valid",
     "access_classify": "SELECT url, coalesce(CASE WHEN failure IS NULL THEN status END, -1) AS status_code, coalesce(status = 200, false) AND failure IS NULL AS accessible, CASE WHEN failure IS NOT NULL THEN failure WHEN status = 200 THEN '' ELSE coalesce(reason, '') END AS error, '2026-01-01T00:00:00Z' AS last_checked FROM probes",
     "access_delta": "SELECT url FROM probes WHERE url NOT IN (SELECT url FROM probes WHERE event_id % 3 = 0)",
-    "access_exit_status": "SELECT checked, CASE WHEN checked > 0 THEN new ELSE old END AS inaccessible, CASE WHEN CASE WHEN checked > 0 THEN new ELSE old END > 0 THEN 1 ELSE 0 END AS exit_code FROM (SELECT count(*) FILTER (url LIKE '%2.tif') AS checked, count(*) FILTER (url LIKE '%2.tif' AND NOT ok) AS new, count(*) FILTER (url LIKE '%1.tif' AND NOT ok) AS old FROM (SELECT url, coalesce(status = 200, false) AND failure IS NULL AS ok FROM probes))",
+    "access_exit_status": "SELECT checked, CASE WHEN checked > 0 THEN new ELSE old END AS inaccessible, CASE WHEN CASE WHEN checked > 0 THEN new ELSE old END > 0 THEN 1 ELSE 0 END AS exit_code FROM (SELECT count(*) FILTER (url LIKE '%2.tif') AS checked, count(*) FILTER (url LIKE '%2.tif' AND NOT ok) AS new, count(*) FILTER (url NOT LIKE '%2.tif' AND NOT ok) AS old FROM (SELECT url, coalesce(status = 200, false) AND failure IS NULL AS ok FROM probes))",
     "qa_diff": "SELECT * FROM diffs",
     "qa_summary": "SELECT *, different = 0 AND errors = 0 AS passed FROM (SELECT count(*) FILTER (NOT missing) AS checked, count(*) FILTER (differences <> '') AS different, count(*) FILTER (missing) AS errors FROM diffs)",
     "qa_sample_size": "SELECT greatest(1, least(floor(n * 1 / 100), 100))::BIGINT AS size, greatest(1, least(floor(n * 5 / 100), 200))::BIGINT AS larger FROM (SELECT count(*) AS n FROM local_)",
@@ -183,7 +183,11 @@ _BODIES: dict[str, str] = {
     "collection_written_and_read": "SELECT 'area-' || area_id AS id, name FROM areas",
     "ledger_appended": "SELECT fresh, cached, CASE WHEN cached > 0 AND fresh < 0.9 * cached THEN 2 WHEN new > 0 OR deleted > 0 THEN 1 ELSE 0 END AS exit_code, unnest([1, 2]) AS run FROM summed",
     "saved_search": f"SELECT item_id, datetime FROM its WHERE {_BOX} AND {_TIME}",
-    "object_listing": "SELECT p || '/tile_' || unnest(range(n)) || '.tif' AS url FROM (VALUES ('north-4', 4), ('south-3', 3)) v(p, n)",
+    "object_listing": "SELECT url FROM inv WHERE NOT contains(url, '(')",
+    "catalog_tree_nodes": f"""SELECT '{fx.TREE}/catalog.json' AS href, 0 AS depth UNION ALL SELECT '{fx.TREE}/r' || r_regionkey || '/catalog.json', 1 FROM region
+  UNION ALL SELECT '{fx.TREE}/n' || n_nationkey || '/catalog.json', 2 FROM nation UNION ALL SELECT '{fx.TREE}/c' || c_custkey || '/catalog.json', 3 FROM customer UNION ALL SELECT '{fx.TREE}/o' || o_orderkey || '/catalog.json', 4 FROM orders""",
+    "catalog_tree_items": f"SELECT '{fx.TREE}/o' || o_orderkey || '/' || o_orderkey || '.json' AS href, '{fx.TREE}/o' || o_orderkey || '/catalog.json' AS parent, 5 AS depth FROM orders",
+    "catalog_tree_back_links": f"SELECT '{fx.TREE}/o' || o_orderkey || '/catalog.json' AS source, '{fx.TREE}/catalog.json' AS target FROM orders",
     "head_probes": "SELECT url, CASE WHEN event_id % 7 = 0 THEN -1 WHEN event_id % 3 = 0 THEN 404 ELSE 200 END AS status_code, event_id % 7 <> 0 AND event_id % 3 <> 0 AS accessible, CASE WHEN event_id % 7 = 0 THEN 'timed out' WHEN event_id % 3 = 0 THEN 'Not Found' ELSE '' END AS error, 'now' AS last_checked FROM probes",
     "raster_header_rows": f"SELECT url, n % 5 <> 0 AS is_geotiff, n % 5 <> 0 AND n % 2 = 0 AS is_cog, CASE WHEN n % 5 <> 0 THEN 26910 ELSE 0 END AS epsg, CASE WHEN n % 5 <> 0 THEN 2 * n ELSE 0 END::INT AS width, CASE WHEN n % 5 <> 0 THEN 6 ELSE -1 END AS terms, CASE WHEN n % 5 <> 0 THEN n ELSE 0 END::DOUBLE AS \"right\" FROM (SELECT url, length(replace({_FIX}, ' ', '%20')) AS n FROM inv)",
     "probe_texts": "SELECT url, ordinal % 3 <> 2 AS is_geotiff, ordinal % 3 = 0 AS is_cog FROM inv",

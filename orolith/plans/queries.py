@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orolith import schema
 from orolith.functions import dates, geo, urls
-from orolith.operators import access, changes, collection, items, jsonschema, publish, qa, search, validate
+from orolith.operators import access, changes, collection, items, jsonschema, publish, qa, search, traverse, validate
 from orolith.plans import fixtures as fx
 from orolith.sources import adapters, readers, writers
 from orolith.streaming import increments
@@ -313,7 +313,7 @@ def validate_incremental(s, d):
 @query
 def validate_incremental_status(s, d):
     rows = _report(s, d)
-    return validate.incremental_status(rows.where("item_id LIKE '%1'"), rows.where("item_id LIKE '%2'"))
+    return validate.incremental_status(rows.where("item_id NOT LIKE '%2'"), rows.where("item_id LIKE '%2'"))
 
 
 @query
@@ -344,7 +344,7 @@ def access_delta(s, d):
 @query
 def access_exit_status(s, d):
     rows = access.classify(_probes(s, d), "2026-01-01T00:00:00Z")
-    return access.exit_status(rows.where("url LIKE '%1.tif'"), rows.where("url LIKE '%2.tif'"))
+    return access.exit_status(rows.where("url NOT LIKE '%2.tif'"), rows.where("url LIKE '%2.tif'"))
 
 
 def _catalogs(s, d):
@@ -587,11 +587,41 @@ def saved_search(s, d):
 
 @query
 def object_listing(s, d):
+    """The inventory's names, kept as listings in five folders, each listed by a task of its own."""
+    path = _scratch(s, "listings")
+    _inventory(s, d).select("url", (F.col("ordinal") % 5).alias("part")).write.partitionBy("part").text(path)
     s.dataSource.register(adapters.ListingSource)
-    rows = s.read.format("object_listing").option("prefixes", "north-4,south-3,none-0").option("lister", "orolith.plans.fixtures:listing").load()
+    prefixes = ",".join(f"{path}/part={k}" for k in range(5))
+    rows = s.read.format("object_listing").option("prefixes", prefixes).option("lister", "orolith.plans.fixtures:listing").load()
     return rows.where(~urls.has_parenthesis(F.col("url")))
 
 
+def _tree(s, d):
+    """Documents below one root: regions, nations, customers and orders, whose documents name an item and the root again."""
+    path = _scratch(s, "tree")
+    root = f"{fx.TREE}/catalog.json"
+    documents = fx.relation(s, d, "SELECT o_orderkey AS k FROM {t:orders}").select(
+        F.format_string(f"{fx.TREE}/o%d/catalog.json", "k").alias("href"),
+        F.to_json(F.struct(F.array(F.struct(F.lit("item").alias("rel"), F.format_string("./%d.json", "k").alias("href")), F.struct(F.lit("child").alias("rel"), F.lit("../catalog.json").alias("href"))).alias("links"))).alias("body"))
+    links = fx.relation(s, d, fx.TREE_LINKS).unionByName(traverse.document_links(documents))
+    return traverse.traverse(links, s.range(1).select(F.lit(root).alias("href")), path)
+
+
+@query
+def catalog_tree_nodes(s, d):
+    return _tree(s, d)[0]
+
+
+@query
+def catalog_tree_items(s, d):
+    return traverse.items_below(*_tree(s, d))
+
+
+@query
+def catalog_tree_back_links(s, d):
+    return traverse.back_links(*_tree(s, d))
+
+
 @query
 def head_probes(s, d):
     """Probes by a function that stands for the network: every third address is missing, every seventh fails."""

@@ -88,9 +88,12 @@ def test_access_and_promote(spark, urls, tmp_path):
 
 def test_fetch_collection_and_publish(spark, urls, tmp_path):
     out, name = str(tmp_path / "listed"), "orolith.plans.fixtures:listing"
-    fetch = ["fetch", "--output", out, "--lister", name, "--prefixes", "old-dem-2,dem-2,dem-2,photo-3"]
+    fetch = ["fetch", "--output", out, "--lister", name, "--prefixes", ",".join(str(tmp_path / k) for k in ("b", "a", "absent"))]
+    for k in "ab":
+        (tmp_path / k).mkdir()
+        (tmp_path / k / "names").write_text("".join(f"{P}/{k}/{x}\n" for x in ("dem/2.tif", "dem/1.tif", "dem/1.tif", "dem/notes.txt", "photo.tif")))
     assert main(fetch, spark) == 0
-    assert [r["url"] for r in readers.read_lines(spark, out).orderBy("ordinal").collect()] == [f"{k}/tile_{n}.tif" for k in ("dem-2", "old-dem-2") for n in (0, 1)]
+    assert [r["url"] for r in readers.read_lines(spark, out).orderBy("ordinal").collect()] == [f"{P}/{k}/dem/{n}.tif" for k in "ab" for n in (1, 2)]
     (tmp_path / "rasters").mkdir()
     (tmp_path / "rasters" / "other.tif").write_text("")
     assert main(["fetch", "--output", out, "--folder", str(tmp_path / "rasters")], spark) == 2 and readers.read_lines(spark, out).count() == 4
