@@ -51,7 +51,7 @@ def create(rows: DataFrame, path: str, key: str, order: str | None = None, bucke
     spark, path = rows.sparkSession, path.rstrip("/")
     _refuse_null_keys(rows, key)
     buckets = buckets or max(1, -(-rows.count() // PER_BUCKET))
-    staged = writers._beside(path)
+    staged = writers.beside(path)
     _write(last_rows(rows, key, order).withColumn("bucket", bucket_of(key, buckets)), staged, buckets, "overwrite")
     spark.createDataFrame([(key, buckets)], "key string, buckets int").coalesce(1).write.json(f"{staged}/layout")
     backup = writers.swap(spark, staged, path)
