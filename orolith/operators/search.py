@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import base64
+import json
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from orolith.functions import geo
+from orolith.functions import geo, rings
 from orolith.operators import geometry
 
 BOX = ("west", "south", "east", "north")
@@ -89,9 +94,91 @@ def page(items: DataFrame, limit: int, offset: int = 0, key: str = "item_id") ->
     return items.orderBy(key).offset(offset).limit(limit)
 
 
+@dataclass
+class Page:
+    """The rows of a page, and the token that asks for the next one; None after the last page."""
+
+    rows: list[Row]
+    token: str | None
+
+
+#: Newest first, then by id.
+NEWEST = (("datetime", "desc"), ("item_id", "asc"))
+
+
+def _tie(items: DataFrame) -> Column:
+    """A hash of the whole row: rows that agree in all keys keep one order between runs."""
+    return F.xxhash64(*[F.col(c) for c in items.columns])
+
+
+def _after(order: list[tuple[str, str]], last: list) -> Column:
+    """Rows at or behind a place in the order. Nulls come last in either direction. Comparisons of columns with literals only, so scans prune by them."""
+    places, same = F.lit(False), F.lit(True)
+    for (name, way), value in zip(order, last, strict=True):
+        c = F.col(name)
+        if value is not None:
+            behind = (c > F.lit(value) if way == "asc" else c < F.lit(value)) | c.isNull()
+            places = places | (same & behind)
+        same = same & c.eqNullSafe(F.lit(value))
+    return places | same
+
+
+def keyset_page(items: DataFrame, limit: int, token: str | None = None, order: tuple[tuple[str, str], ...] = NEWEST) -> Page:
+    """The next page of items in a composite order of text, whole or boolean columns, by a token that names the place of the last row before it.
+
+    A page costs a filter and a top-limit, no matter how far in it lies, and items that come or go elsewhere don't move it. Rows that agree in all keys are ordered by a hash
+    of the whole row; of rows that agree in everything the token counts those given already, so every row comes once. A token of another order is refused.
+    """
+    if limit < 1:
+        raise ValueError("a page has at least one row")
+    keys = [*order, ("_tie", "asc")]
+    rows, seen = items.withColumn("_tie", _tie(items)), 0
+    if token is not None:
+        try:
+            asked, last, seen = json.loads(base64.urlsafe_b64decode(token.encode()))
+        except ValueError as wrong:
+            raise ValueError("not a token of a page") from wrong
+        if asked != [list(k) for k in order]:
+            raise ValueError("the token belongs to another order")
+        rows = rows.where(_after(keys, last))
+    by = [F.col(name).asc_nulls_last() if way == "asc" else F.col(name).desc_nulls_last() for name, way in keys]
+    place = lambda r: [r[name] for name, _ in keys]
+    found = rows.orderBy(*by).limit(seen + limit + 1).collect()
+    # those given already are the first ones, since they lie at the token's own place; some may be gone since
+    found = found[sum(place(r) == last for r in found[:seen]) if seen else 0 :][: limit + 1]
+    given = found[:limit]
+    if len(found) <= limit:
+        return Page([Row(**{c: r[c] for c in items.columns}) for r in given], None)
+    end = place(given[-1])
+    count = sum(place(r) == end for r in given) + (seen if token is not None and end == last else 0)
+    text = json.dumps([[list(k) for k in order], end, count], separators=(",", ":"))
+    return Page([Row(**{c: r[c] for c in items.columns}) for r in given], base64.urlsafe_b64encode(text.encode()).decode())
+
+
+def pages(items: DataFrame, limit: int, order: tuple[tuple[str, str], ...] = NEWEST) -> Iterator[Page]:
+    """All pages one after the other, each by the token of the one before."""
+    token = None
+    while True:
+        got = keyset_page(items, limit, token, order)
+        yield got
+        token = got.token
+        if token is None:
+            return
+
+
+def area_join(items: DataFrame, areas: DataFrame, cell: float = 1.0) -> DataFrame:
+    """Pairs (item_id, area_id) of boxes and areas (area_id, shapes: MultiPolygon coordinates) that meet, each pair once even where an item meets several parts."""
+    parts = areas.select("area_id", F.explode("shapes").alias("rings"))
+    return polygon_join(items, parts, cell).distinct()
+
+
 def named_areas(areas: DataFrame, name: str) -> DataFrame:
-    """Areas of interest of a name, brought to lon/lat where they have a projection code."""
+    """Areas of interest of a name, brought to lon/lat where they have a projection code: by their rings, as shapes and the box around these, where they have rings, else by their box."""
     rows = areas.where(F.col("name") == name)
+    if "epsg" in rows.columns and "rings" in rows.columns:
+        rows = rings.add_lonlat_shapes(rows, "rings", "epsg", "shapes")
+        box = geo.ring_box(F.flatten(F.transform("shapes", lambda polygon: polygon[0])))
+        return rows.withColumns({c: F.element_at(box, k) for k, c in enumerate(BOX, 1)})
     if "epsg" in rows.columns:
         rows = geo.add_bounds(rows.withColumn("_native", F.array(*BOX)), "_native", "epsg", "_box")
         rows = rows.withColumns({c: F.element_at("_box", k) for k, c in enumerate(BOX, 1)}).drop("_box", "_native")

@@ -8,7 +8,7 @@ from orolith import schema
 from orolith.functions import geo
 from orolith.plans import fixtures as fx
 from orolith.plans import queries as q
-from orolith.plans import spatial
+from orolith.plans import exchange, spatial
 
 _SOURCE = len(schema.SOURCE)
 _FIX = "CASE WHEN url LIKE 'https:/%' AND url NOT LIKE 'https://%' THEN 'https://' || substring(url, 8) ELSE url END"
@@ -202,4 +202,4 @@ _BODIES: dict[str, str] = {
     "stream_incremental_items": "SELECT ordinal, item_id, status FROM resolved",
 }
 
-SQL: dict[str, str] = {name: _with(body) for name, body in {**_BODIES, **spatial.BODIES, "store_search_polygon": _BODIES["search_polygon"]}.items()}
+SQL: dict[str, str] = {name: _with(body) for name, body in {**_BODIES, **spatial.BODIES, **exchange.BODIES, "store_search_polygon": _BODIES["search_polygon"]}.items()}
