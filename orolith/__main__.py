@@ -144,9 +144,10 @@ def build(spark: SparkSession, a: argparse.Namespace) -> int:
     urls = readers.read_lines(spark, a.urls)
     urls = pipeline.choose_inventory(urls, urls, urls, a.mode, a.test, a.test_count)
     links = spark.read.schema(schema.LINK).parquet(a.links) if a.links else spark.createDataFrame([], schema.LINK)
-    run = pipeline.build(urls, readers.read_checks(spark, a.checks), links, a.mode, a.test)
-    for name in ("rows", "documents", "links", "report"):
-        getattr(run, name).write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{name}")
+    out = a.out.rstrip("/")
+    run, _ = pipeline.build_once(urls, readers.read_checks(spark, a.checks), links, f"{out}/rows", a.mode, a.test)
+    for name in ("documents", "links", "report"):
+        getattr(run, name).write.mode("overwrite").parquet(f"{out}/{name}")
     status = run.status.first()
     print(status.asDict())
     return 0 if status["gate_open"] else 1

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orolith import schema
@@ -79,10 +79,15 @@ def item_documents(items: DataFrame, collection_id: str = schema.COLLECTION_ID,
     return items.select("ordinal", F.col("item_id").alias("id"), item.alias("item")).withColumn("body", F.to_json("item"))
 
 
+def status_metrics() -> list[Column]:
+    """Aggregates over item rows: detected, and each status."""
+    count = lambda s: F.count_if(F.col("status") == s).alias(s)
+    return [F.count("*").alias("detected"), *[count(s) for s in ("built", "no_cache", "unreadable", "bad_date", "needs_remote", "error")]]
+
+
 def status_counts(rows: DataFrame) -> DataFrame:
     """One row: detected, each status, batch_poisoned (a bad day would void the batch), shortfall, gate_open (something was built)."""
-    count = lambda s: F.count_if(F.col("status") == s).alias(s)
-    counts = rows.agg(F.count("*").alias("detected"), *[count(s) for s in ("built", "no_cache", "unreadable", "bad_date", "needs_remote", "error")])
+    counts = rows.agg(*status_metrics())
     return counts.withColumns({"batch_poisoned": F.col("bad_date") > 0, "shortfall": F.col("detected") - F.col("built"), "gate_open": F.col("built") > 0})
 
 

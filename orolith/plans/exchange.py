@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from orolith.functions import rings
 from orolith.operators import search
 from orolith.plans import fixtures as fx
-from orolith.plans.queries import _checks, _items, _scratch, query
+from orolith.plans import pipeline
+from orolith.plans.queries import _checks, _inventory, _items, _scratch, query
 from orolith.sources import documents, tiff
 
 #: Layouts of the rasters that rows are written as: cloud-optimized in both forms; in strips; the directory late; data in the wrong order; one level whose pixels are points.
@@ -130,6 +131,16 @@ def footprints_reprojected(s, d):
     return shapes.select("ordinal", "epsg", F.size("shapes").alias("parts"), (F.size(outer) >= 5).alias("closed"), *[F.floor(v * 1000 + 0.5).alias(n) for v, n in ((F.array_min(xs), "west"), (F.array_min(ys), "south"), (F.array_max(xs), "east"), (F.array_max(ys), "north"))])
 
 
+@query
+def build_observed(s, d):
+    """A build that resolves its rows once: observed counts beside those of the documents and of the report made from what was written."""
+    links = s.createDataFrame([], "rel string, href string, type string")
+    run, counts = pipeline.build_once(_inventory(s, d), _checks(s, d), links, _scratch(s, "rows"))
+    made = run.documents.agg(F.count("*").alias("documents"))
+    reported = run.report.agg(F.count("*").alias("reported"))
+    return made.join(reported).select(*[F.lit(n).cast("long").alias(name) for name, n in counts.items()], "documents", "reported")
+
+
 _ORDINAL = "c.ordinal % 6 IN (" + ", ".join(str(LAYOUTS.index(x)) for x in GOOD) + ")"
 _T = [f"CASE WHEN is_geotiff THEN round(coalesce(transform[{k}], {v}), 6) ELSE -1e0 END::DOUBLE AS t{k}" for k, v in enumerate(("1e0", "0e0", "0e0", "0e0", "1e0", "0e0"), 1)]
 _B = [f"CASE WHEN is_geotiff THEN round(CASE WHEN transform IS NULL THEN {v} ELSE bounds[{k}] END, 6) ELSE -1e0 END::DOUBLE AS b{k}" for k, v in enumerate(("0e0", "height", "width", "0e0"), 1)]
@@ -138,6 +149,7 @@ _CHECKS = fx.as_duckdb(fx.CHECKS)
 BODIES: dict[str, str] = {
     "tiff_headers": f"SELECT ordinal, is_geotiff, is_geotiff AND {_ORDINAL} AS is_cog, {_CODE}, coalesce(height, -1) AS height, coalesce(width, -1) AS width, {', '.join(_T + _B)} FROM ({_CHECKS}) c",
     "tiff_layouts": f"SELECT is_geotiff, is_geotiff AND {_ORDINAL} AS is_cog, {_CODE}, count(*) AS n FROM ({_CHECKS}) c GROUP BY ALL",
+    "build_observed": "SELECT *, built AS documents, built AS reported FROM (SELECT count(*) AS detected, " + ", ".join(f"count(*) FILTER (status = '{x}') AS {x}" for x in ("built", "no_cache", "unreadable", "bad_date", "needs_remote", "error")) + " FROM resolved)",
     "documents_committed": f"SELECT 'area-' || area_id AS item_id, name, round(west, 6) AS west, 'Collection' AS collection FROM ({fx.as_duckdb(fx.AREAS)}) a WHERE area_id % 3 <> 0",
     "search_by_tokens": f"SELECT ((n - 1) // {PAGE} + 1)::INT AS page, ((n - 1) % {PAGE} + 1)::INT AS place, item_id, datetime FROM (SELECT item_id, datetime, row_number() OVER (ORDER BY datetime DESC, item_id) AS n FROM its) WHERE n <= {PAGE * PAGES}",
 }

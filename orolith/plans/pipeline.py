@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orolith import schema
@@ -32,7 +32,22 @@ def choose_inventory(inventory: DataFrame, new: DataFrame | None = None, invalid
 
 def build(inventory: DataFrame, checks: DataFrame, existing_links: DataFrame, mode: str = "full", test: bool = False, source: str = schema.SOURCE, base: str = schema.PUBLISHED) -> Run:
     """Item rows, documents, collection links and report of an inventory."""
-    rows = items.resolve(inventory, checks, source)
+    return _parts(items.resolve(inventory, checks, source), existing_links, mode, test, base)
+
+
+def build_once(inventory: DataFrame, checks: DataFrame, existing_links: DataFrame, path: str, mode: str = "full", test: bool = False, source: str = schema.SOURCE, base: str = schema.PUBLISHED) -> tuple[Run, dict[str, int]]:
+    """build() with the item rows written to a path, replacing what was there, and their counts by status.
+
+    The plan that resolves rows runs once: the counts are observed while it writes, and all parts of the run read what was written. The observed node lies in the last stage,
+    whose tasks count once each however often they run.
+    """
+    seen = Observation()
+    items.resolve(inventory, checks, source).observe(seen, *items.status_metrics()).write.mode("overwrite").parquet(path)
+    run = _parts(inventory.sparkSession.read.parquet(path), existing_links, mode, test, base)
+    return run, dict(seen.get)
+
+
+def _parts(rows: DataFrame, existing_links: DataFrame, mode: str, test: bool, base: str) -> Run:
     built = items.built_items(rows)
     documents = items.item_documents(built, base=base)
     links = items.merge_links(items.keep_links(existing_links, mode, test), built.select("ordinal", "item_id"), base)

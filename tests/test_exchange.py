@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orolith.functions import geo, rings
 from orolith.operators import search
+from orolith.plans import pipeline
 from orolith.plans.exchange import GOOD, LAYOUTS, tiff_bytes
 from orolith.sources import documents, tiff
 
@@ -240,3 +241,19 @@ def test_named_areas_by_rings(spark):
     items = spark.createDataFrame(boxes, "item_id string, west double, south double, east double, north double")
     assert [tuple(r) for r in search.area_join(items, area_).collect()] == [("in", 1)]
     assert json.dumps(row["shapes"])
+
+
+def test_build_once_equals_build(spark, tmp_path):
+    urls = spark.createDataFrame([(k, f"https://objects.example.org/tiles/a/dem/t_{k}_utm9_{20200101 + k}.tif") for k in range(9)], "ordinal long, url string")
+    checks = spark.createDataFrame(
+        [(k, f"https://objects.example.org/tiles/a/dem/t_{k}_utm9_{20200101 + k}.tif", k % 4 != 0, True, 26909, 10, 10, [1.0, 0.0, 5e5, 0.0, -1.0, 5.5e6], [5e5, 5.49999e6, 5.0001e5, 5.5e6]) for k in range(7)],
+        "ordinal long, url string, is_geotiff boolean, is_cog boolean, epsg int, height int, width int, transform array<double>, bounds array<double>",
+    )
+    links = spark.createDataFrame([], "rel string, href string, type string")
+    plain = pipeline.build(urls, checks, links)
+    run, counts = pipeline.build_once(urls, checks, links, f"{tmp_path}/rows")
+    assert counts == {k: v for k, v in plain.status.first().asDict().items() if k in counts} and counts["detected"] == 9 and counts["built"] > 0
+    for part in ("rows", "documents", "links"):
+        assert sorted(map(str, getattr(run, part).collect())) == sorted(map(str, getattr(plain, part).collect()))
+    none, counts = pipeline.build_once(urls.limit(0), checks, links, f"{tmp_path}/none")
+    assert set(counts.values()) == {0} and none.documents.isEmpty()
