@@ -96,7 +96,7 @@ class DocumentWriter(DataSourceWriter):
 def write_documents(documents: DataFrame, path: str, collection: str | None = None) -> None:
     """Replaces the documents below path by rows (item_id, body), then its collection.json; after a failure both are as before.
 
-    The path is resolved as Spark does; a local one on a cluster and stores without renames are refused. A null body is an empty document, an id that can't be a file's name fails the
+    The path is resolved as Spark does; on a cluster a local one outside the shared folders, and stores without renames, are refused. A null body is an empty document, an id that can't be a file's name fails the
     write, and of rows that repeat an id in one task the last stays, so make ids distinct before. No rows leave an empty folder.
     """
     spark = documents.sparkSession
@@ -104,11 +104,7 @@ def write_documents(documents: DataFrame, path: str, collection: str | None = No
     full = fs.makeQualified(given).toString()
     if re.match("(s3[an]?|gs|abfss?):", full):
         raise ValueError(f"{full} has no renames")
-    if full.startswith("file:"):
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{full} isn't a path that all executors share")
-        full = re.sub("^file:/+", "/", full)
-    full = full.rstrip("/")
+    full = writers.local_or_uri(spark, full).rstrip("/")
     spark.dataSource.register(DocumentSink)
     pending = writers.beside(full)
     fs.mkdirs(writers._fs(spark, pending)[1])

@@ -48,6 +48,23 @@ def roll_back(spark: SparkSession, path: str, backup: str) -> None:
     fs.rename(old, _fs(spark, path)[1])
 
 
+def local_or_uri(spark: SparkSession, full: str) -> str:
+    """A qualified path as pyarrow takes it, local ones without their scheme.
+
+    On a cluster a local path is refused, since each executor would write to its own disk, unless it lies below a folder that the
+    session shares: spark.checkpoint.dir or the warehouse.
+    """
+    if not full.startswith("file:"):
+        return full
+    plain = lambda path: re.sub("^file:/+", "/", path).rstrip("/")
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        named = [spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir(), spark.conf.get("spark.sql.warehouse.dir", None)]
+        shared = [plain(fs.makeQualified(p).toString()) for fs, p in (_fs(spark, x) for x in named if x)]
+        if ".." in full.split("/") or not any(plain(full).startswith(f"{x}/") for x in shared):
+            raise ValueError(f"{full} isn't a path that all executors share")
+    return plain(full)
+
+
 def beside(path: str) -> str:
     """A new path next to another."""
     return f"{path.rstrip('/')}.staged-{uuid.uuid4().hex[:8]}"
@@ -96,15 +113,11 @@ def write_json_lines(documents: DataFrame, path: str, mode: str = "overwrite") -
 def export_documents(documents: DataFrame, path: str) -> int:
     """One <item_id>.json a row, written by the executors that hold the rows; gives the number of rows. A task that runs again replaces its own files.
 
-    A path without a scheme is one of Hadoop's default file system, as for Spark's own writers. On a cluster a local path is refused, since each executor would write to its own disk.
+    A path without a scheme is one of Hadoop's default file system, as for Spark's own writers. On a cluster local paths outside the shared folders are refused.
     """
     spark = documents.sparkSession
     fs, given = _fs(spark, path)
-    path = re.sub("^s3[an]:", "s3:", fs.makeQualified(given).toString())
-    if path.startswith("file:"):
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{path} isn't a path that all executors share")
-        path = re.sub("^file:/+", "/", path)
+    path = local_or_uri(spark, re.sub("^s3[an]:", "s3:", fs.makeQualified(given).toString()))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = pa.fs.FileSystem.from_uri(path) if "://" in path else (pa.fs.LocalFileSystem(), path)

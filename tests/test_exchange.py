@@ -12,7 +12,7 @@ from orolith.functions import geo, rings
 from orolith.operators import search
 from orolith.plans import pipeline
 from orolith.plans.exchange import GOOD, LAYOUTS, tiff_bytes
-from orolith.sources import documents, tiff
+from orolith.sources import documents, tiff, writers
 
 TERMS = [2.0, 0.0, 300000.0, 0.0, -2.0, 5500000.0]
 
@@ -137,6 +137,20 @@ def test_sink_refuses(spark):
         documents.DocumentSink({"path": "/tmp/x", "pending": "/tmp/y"}).writer(rows.schema, False)
 
 
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]"])
+def test_cluster_takes_local_paths_in_shared_folders(spark, tmp_path, monkeypatch, master):
+    rows = spark.createDataFrame([("a", "b")], "item_id string, body string")
+    shared = f"{spark.conf.get('spark.checkpoint.dir')}/{tmp_path.name}"
+    monkeypatch.setattr(spark.sparkContext, "master", master)
+    documents.write_documents(rows, f"{shared}/sink", "c")
+    assert bodies(f"{shared}/sink") == {"a": "b\n"}
+    assert writers.export_documents(rows, f"file://{shared}/files") == 1 and Path(shared, "files/a.json").read_text() == "b\n"
+    for write in (documents.write_documents, writers.export_documents):
+        for path in (f"{tmp_path}/own", f"{shared}/../../own", f"file://{spark.conf.get('spark.checkpoint.dir')}-not/x"):
+            with pytest.raises(ValueError, match="executors share"):
+                write(rows, path)
+
+
 @pytest.mark.parametrize("limit", [1, 3, 7, 100])
 def test_pages_give_each_row_once(spark, limit):
     rng = random.Random(limit)
