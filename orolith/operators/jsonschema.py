@@ -28,15 +28,9 @@ FORMATS = {
 }
 
 
-def _none() -> Column:
-    return F.array().cast(ERRORS)
-
-
-def _member(value: Column, name: str) -> Column:
-    """A member of an object as VARIANT; null where it is absent, VARIANT's null where it is null."""
-    if '"' in name or "\\" in name:
-        return F.element_at(F.try_variant_get(value, "$", "map<string,variant>"), name)
-    return F.try_variant_get(value, f'$["{name}"]', "variant")
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """The array then(value), with the value computed once however often then() uses it. Spark's get() would ask for the type of the whole expression in each row, flatten() doesn't."""
+    return F.flatten(F.transform(F.array(value), lambda x: then(x)))
 
 
 def _named_like(pattern: str) -> Callable[[Column], Column]:
@@ -44,15 +38,28 @@ def _named_like(pattern: str) -> Callable[[Column], Column]:
 
 
 class _Value:
-    """A VARIANT column by kind."""
+    """A VARIANT column by kind, with its members or elements, null where it has another kind."""
 
-    def __init__(self, value: Column):
-        self.value = value
-        self.told = F.schema_of_variant(value)
+    def __init__(self, value: Column, members: Column, elements: Column, told: Column):
+        self.value, self.members, self.elements, self.told = value, members, elements, told
         self.is_object, self.is_array, self.is_string, self.is_boolean, self.is_null = self.told.startswith("OBJECT"), self.told.startswith("ARRAY"), self.told == "STRING", self.told == "BOOLEAN", self.told == "VOID"
         self.is_number = ~(self.is_object | self.is_array | self.is_string | self.is_boolean | self.is_null)
         self.text, self.number = F.try_variant_get(value, "$", "string"), F.try_variant_get(value, "$", "double")
-        self.members, self.elements = F.try_variant_get(value, "$", "map<string,variant>"), F.try_variant_get(value, "$", "array<variant>")
+
+    @staticmethod
+    def once(value: Column, then: Callable[["_Value"], Column]) -> Column:
+        """then(value), an array, with its members, elements and kind computed once."""
+
+        def kind(members: Column, elements: Column) -> Column:
+            told = F.when(members.isNotNull(), "OBJECT").when(elements.isNotNull(), "ARRAY").otherwise(F.schema_of_variant(value))
+            return _once(told, lambda t: then(_Value(value, members, elements, t)))
+
+        array = lambda members: F.when(members.isNull(), F.try_variant_get(value, "$", "array<variant>"))
+        return _once(F.try_variant_get(value, "$", "map<string,variant>"), lambda m: _once(array(m), lambda e: kind(m, e)))
+
+    def member(self, name: str) -> Column:
+        """A member of an object; null where it is absent, VARIANT's null where it is null."""
+        return F.element_at(self.members, name)
 
     def is_a(self, kind: str) -> Column:
         if kind == "integer":
@@ -75,6 +82,12 @@ class _Compiler:
     def __init__(self, documents: dict[str, dict]):
         self.documents = documents
 
+    def none(self) -> Column:
+        return F.array().cast(ERRORS)
+
+    def one(self, at: Column, keyword: str) -> Column:
+        return F.array(F.struct(at.alias("path"), F.lit(keyword).alias("keyword"))).cast(ERRORS)
+
     def refer(self, ref: str, root: dict) -> tuple[dict, dict]:
         """A reference's schema, and the document that it is in."""
         where, _, pointer = ref.partition("#")
@@ -86,25 +99,31 @@ class _Compiler:
             found = found[int(step)] if isinstance(found, list) else found[step]
         return found, root
 
-    def errors(self, schema, value: Column, at: Column, root: dict, seen: tuple = ()) -> Column:
-        """The errors of a value; an absent one has none."""
-        parts = self.parts(schema, value, at, root, seen)
-        return _none() if not parts else parts[0] if len(parts) == 1 else F.concat(*parts)
+    def errors(self, schema, value: Column, at: Column, root: dict, seen: tuple = (), held: bool = False) -> Column:
+        """The errors of a value; an absent one has none. The value and its kind are computed once, before all checks; held: the value is a column or variable already."""
+        if isinstance(schema, bool):
+            return self.none() if schema else F.when(value.isNotNull(), self.one(at, "false")).otherwise(self.none())
+
+        told = lambda x: _Value.once(x, lambda v: self.joined(self.parts(schema, v, at, root, seen)))
+        return F.when(value.isNull(), self.none()).otherwise(told(value)) if held else _once(value, lambda x: F.when(x.isNull(), self.none()).otherwise(told(x)))
+
+    def joined(self, parts: list[Column]) -> Column:
+        return self.none() if not parts else parts[0] if len(parts) == 1 else F.concat(*parts)
 
-    def fits(self, schema, value: Column, root: dict, seen: tuple) -> Column:
-        return F.size(self.errors(schema, value, F.lit(""), root, seen)) == 0
+    def fits(self, schema, v: _Value, root: dict, seen: tuple) -> Column:
+        return F.size(self.joined(self.parts(schema, v, F.lit(""), root, seen))) == 0
 
-    def parts(self, schema, value: Column, at: Column, root: dict, seen: tuple) -> list[Column]:
+    def parts(self, schema, v: _Value, at: Column, root: dict, seen: tuple) -> list[Column]:
+        value = v.value
         if isinstance(schema, bool):
-            return [] if schema else [F.when(value.isNotNull(), F.array(F.struct(at.alias("path"), F.lit("false").alias("keyword"))).cast(ERRORS)).otherwise(_none())]
-        v, parts = _Value(value), []
+            return [] if schema else [self.errors(schema, value, at, root, seen)]
+        parts = []
 
         def check(keyword: str, applies: Column, ok: Column) -> None:
-            error = F.array(F.struct(at.alias("path"), F.lit(keyword).alias("keyword"))).cast(ERRORS)
-            parts.append(F.when(value.isNotNull() & applies & ~F.coalesce(ok, F.lit(False)), error).otherwise(_none()))
+            parts.append(F.when(value.isNotNull() & applies & ~F.coalesce(ok, F.lit(False)), self.one(at, keyword)).otherwise(self.none()))
 
-        def below(schema, value: Column, *steps: Column) -> Column:
-            return self.errors(schema, value, F.concat(at, *steps), root, seen)
+        def below(schema, value: Column, *steps: Column, held: bool = False) -> Column:
+            return self.errors(schema, value, F.concat(at, *steps), root, seen, held)
 
         def has(keyword: str) -> bool:
             return keyword in schema
@@ -114,7 +133,7 @@ class _Compiler:
             if schema["$ref"] in seen:
                 raise ValueError(f"the schema refers back to itself by {schema['$ref']}")
             found, home = self.refer(schema["$ref"], root)
-            parts += self.parts(found, value, at, home, (*seen, schema["$ref"]))
+            parts += self.parts(found, v, at, home, (*seen, schema["$ref"]))
         if has("type"):
             kinds = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
             ok = F.lit(False)
@@ -145,30 +164,30 @@ class _Compiler:
         self.of_objects(schema, v, check, below, parts, at)
         self.of_arrays(schema, v, check, below, parts, root, seen)
         for sub in schema.get("allOf", ()):
-            parts += self.parts(sub, value, at, root, seen)
+            parts += self.parts(sub, v, at, root, seen)
         if has("anyOf"):
             ok = F.lit(False)
             for sub in schema["anyOf"]:
-                ok = ok | self.fits(sub, value, root, seen)
+                ok = ok | self.fits(sub, v, root, seen)
             check("anyOf", every, ok)
         if has("oneOf"):
-            check("oneOf", every, sum((self.fits(sub, value, root, seen).cast("int") for sub in schema["oneOf"]), F.lit(0)) == 1)
+            check("oneOf", every, sum((self.fits(sub, v, root, seen).cast("int") for sub in schema["oneOf"]), F.lit(0)) == 1)
         if has("not"):
-            check("not", every, ~self.fits(schema["not"], value, root, seen))
+            check("not", every, ~self.fits(schema["not"], v, root, seen))
         if has("if"):
-            one, other = (self.errors(schema.get(k, True), value, at, root, seen) for k in ("then", "else"))
-            parts.append(F.when(value.isNull(), _none()).when(self.fits(schema["if"], value, root, seen), one).otherwise(other))
+            one, other = (self.joined(self.parts(schema.get(k, True), v, at, root, seen)) for k in ("then", "else"))
+            parts.append(F.when(value.isNull(), self.none()).when(self.fits(schema["if"], v, root, seen), one).otherwise(other))
         return parts
 
     def of_objects(self, schema: dict, v: _Value, check: Callable, below: Callable, parts: list[Column], at: Column) -> None:
         for name in schema.get("required", ()):
-            check(f"required {name}", v.is_object, _member(v.value, name).isNotNull())
+            check(f"required {name}", v.is_object, v.member(name).isNotNull())
         for name, needed in schema.get("dependentRequired", {}).items():
             for other in needed:
-                check(f"dependentRequired {other}", v.is_object & _member(v.value, name).isNotNull(), _member(v.value, other).isNotNull())
+                check(f"dependentRequired {other}", v.is_object & v.member(name).isNotNull(), v.member(other).isNotNull())
         step = lambda name: F.replace(F.replace(name, F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
         for name, sub in schema.get("properties", {}).items():
-            parts.append(below(sub, F.when(v.is_object, _member(v.value, name)), F.lit("/"), step(F.lit(name))))
+            parts.append(below(sub, v.member(name), F.lit("/"), step(F.lit(name))))
         if "minProperties" in schema:
             check("minProperties", v.is_object, F.size(v.members) >= schema["minProperties"])
         if "maxProperties" in schema:
@@ -199,10 +218,10 @@ class _Compiler:
         listed = schema.get("prefixItems", schema["items"] if isinstance(schema.get("items"), list) else [])
         rest = schema.get("additionalItems", True) if isinstance(schema.get("items"), list) else schema.get("items", True)
         for k, sub in enumerate(listed):
-            parts.append(below(sub, F.when(v.is_array, F.get(v.elements, F.lit(k))), F.lit(f"/{k}")))
+            parts.append(below(sub, F.get(v.elements, F.lit(k)), F.lit(f"/{k}")))
         if rest is not True:
             some = F.slice(F.coalesce(v.elements, F.array().cast("array<variant>")), len(listed) + 1, (1 << 31) - 1 - len(listed)) if listed else F.coalesce(v.elements, F.array().cast("array<variant>"))
-            parts.append(F.flatten(F.transform(some, lambda x, k: below(rest, x, F.lit("/"), (k + len(listed)).cast("string")))))
+            parts.append(F.flatten(F.transform(some, lambda x, k: below(rest, x, F.lit("/"), (k + len(listed)).cast("string"), held=True))))
         if "minItems" in schema:
             check("minItems", v.is_array, F.size(v.elements) >= schema["minItems"])
         if "maxItems" in schema:
@@ -211,13 +230,13 @@ class _Compiler:
             texts = F.transform(v.elements, lambda x: F.to_json(x))
             check("uniqueItems", v.is_array, F.size(F.array_distinct(texts)) == F.size(texts))
         if "contains" in schema:
-            check("contains", v.is_array, F.exists(v.elements, lambda x: self.fits(schema["contains"], x, root, seen)))
+            check("contains", v.is_array, F.exists(v.elements, lambda x: F.size(self.errors(schema["contains"], x, F.lit(""), root, seen, True)) == 0))
 
 
 def compile_schema(schema: dict | bool, value: Column, documents: dict[str, dict] | None = None) -> Column:
     """The errors (array of path and keyword) of a VARIANT column, empty where it fits. documents: schemas by the address that references name."""
     root = schema if isinstance(schema, dict) else {}
-    return _Compiler(documents or {}).errors(schema, value, F.lit(""), root)
+    return _Compiler(documents or {}).errors(schema, value, F.lit(""), root, held=True)
 
 
 def with_errors(rows: DataFrame, schema: dict | bool, body: str = "body", documents: dict[str, dict] | None = None) -> DataFrame:

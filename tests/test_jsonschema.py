@@ -119,3 +119,16 @@ def test_formats_and_report(spark):
     found = [tuple(r) for r in jsonschema.report(rows, schema, "now").orderBy("item_path").collect()]
     assert found[:3] == [("d/a.json", "a", True, True, None, "now"), ("d/b.json", "b", True, False, "Schema validation error: /t format", "now"), ("d/c.json", "c", False, False, "File not found", "now")]
     assert found[3][4].startswith("JSON decode error")
+
+
+def test_expressions_grow_with_the_schema(spark):
+    """Not with a power of its depth: values are computed once."""
+
+    def nested(depth):
+        return {"type": "object", "required": ["a"], "properties": {"a": nested(depth - 1) if depth else {"type": "string", "minLength": 1}}}
+
+    length = lambda depth: len(str(jsonschema.compile_schema(nested(depth), F.col("v"))))
+    assert length(6) < 4 * length(3)
+    text = '{"a":' * 4 + '""' + "}" * 4
+    rows = jsonschema.with_errors(spark.createDataFrame([(text,), ('{"a":{"a":3}}',)], "body string"), nested(3)).collect()
+    assert [[tuple(e) for e in r["errors"]] for r in rows] == [[("/a/a/a/a", "minLength")], [("/a/a", "type")]]
