@@ -16,22 +16,44 @@ def grid(value: Column, low: float, high: float, bits: int = BITS) -> Column:
     return F.when(value.isNotNull() & ~F.isnan(value), F.greatest(F.least(F.floor((value - low) / (high - low) * cells), F.lit(cells - 1)), F.lit(0)).cast("long"))
 
 
+#: Bits of each coordinate that one look-up takes.
+STEP = 4
+
+
+def _table() -> list[int]:
+    """For each state and STEP bits of x and of y: the state after them and their 2 * STEP bits of the key. A state tells whether coordinates are swapped (1) and complemented (2)."""
+    out = []
+    for state in range(4):
+        for bits in range(1 << 2 * STEP):
+            swap, flip, d = state & 1, state >> 1, 0
+            for k in reversed(range(STEP)):
+                x, y = bits >> STEP + k & 1, bits >> k & 1
+                rx, ry = (y ^ flip, x ^ flip) if swap else (x ^ flip, y ^ flip)
+                d = d * 4 + (ry if rx == 0 else 3 - ry)
+                swap, flip = (swap, flip) if ry else (1 - swap, flip ^ rx)
+            out.append((flip * 2 + swap) << 2 * STEP | d)
+    return out
+
+
+TABLE = _table()
+
+
 def hilbert(x: Column, y: Column, bits: int = BITS) -> Column:
     """The place of a cell on the Hilbert curve through a square of 2^bits by 2^bits cells.
 
-    Each step takes one bit of both coordinates, highest first, and turns the square that they name to the curve's first position.
+    A table gives the key's bits and the square's turn for STEP bits at a time, so the key is a few look-ups in compiled code.
     """
-
-    def step(acc: Column, k: Column) -> Column:
-        side = F.call_function("shiftleft", F.lit(1).cast("long"), k)
-        rx, ry = F.floor(acc["x"] / side) % 2, F.floor(acc["y"] / side) % 2
-        inner_x, inner_y = acc["x"] % side, acc["y"] % side
-        turned = F.when(ry == 1, F.struct(inner_x.alias("x"), inner_y.alias("y"))).when(rx == 0, F.struct(inner_y.alias("x"), inner_x.alias("y"))).otherwise(F.struct((side - 1 - inner_y).alias("x"), (side - 1 - inner_x).alias("y")))
-        quarter = F.when(rx == 0, ry).otherwise(3 - ry)
-        return F.struct(turned["x"].alias("x"), turned["y"].alias("y"), (acc["d"] * 4 + quarter).alias("d"))
-
-    begin = F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), F.lit(0).cast("long").alias("d"))
-    return F.when(x.isNotNull() & y.isNotNull(), F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0)), begin, step, lambda acc: acc["d"]))
+    steps = -(-bits // STEP)
+    if (steps * STEP - bits) % 2:  # each leading zero of both swaps them
+        x, y = y, x
+    table = F.split(F.lit(",".join(map(str, TABLE))), ",").cast("array<int>")
+    part = lambda v, k: F.shiftright(v.cast("long"), k * STEP).bitwiseAND(F.lit((1 << STEP) - 1))
+    found, key = F.lit(0).cast("long"), F.lit(0).cast("long")
+    for k in reversed(range(steps)):
+        state = F.shiftright(found, 2 * STEP)
+        found = F.get(table, (state * (1 << 2 * STEP) + part(x, k) * (1 << STEP) + part(y, k)).cast("int")).cast("long")
+        key = key * (1 << 2 * STEP) + found.bitwiseAND(F.lit((1 << 2 * STEP) - 1))
+    return key
 
 
 def box_key(west: Column, south: Column, east: Column, north: Column, bits: int = BITS) -> Column:

@@ -24,6 +24,8 @@ from orolith.sources import writers
 
 #: Items of one file, about.
 PER_FILE = 500_000
+#: Items that one task sorts and cuts into files, about.
+PER_TASK = 100_000
 #: A search that meets more files than this scans the whole store, whose row groups its filters still skip; so the driver holds a bounded list.
 MOST_FILES = 10_000
 BOX = search.BOX
@@ -32,14 +34,15 @@ BOX = search.BOX
 def write_store(items: DataFrame, path: str, per_file: int = PER_FILE) -> None:
     """Replaces the store at path by items (item_id, west, south, east, north, datetime and any others).
 
-    Items at one place are split by their ids, so a place with a third of all items fills several files.
+    Items at one place are split by their ids, so a place with a third of all items fills several files. A task writes several small files, so their number costs no tasks.
     """
     spark = items.sparkSession
     path = path.rstrip("/")
     staged = f"{path}.staged-{uuid.uuid4().hex[:8]}"
     keyed = items.withColumn("hilbert", curve.box_key(*(F.col(c) for c in BOX)))
-    files = max(1, -(-items.count() // per_file))
-    keyed.repartitionByRange(files, "hilbert", F.xxhash64("item_id")).sortWithinPartitions("hilbert").write.parquet(f"{staged}/data")
+    tasks = max(1, -(-items.count() // max(per_file, PER_TASK)))
+    dealt = keyed.repartitionByRange(tasks, "hilbert", F.xxhash64("item_id")).sortWithinPartitions("hilbert")
+    dealt.write.option("maxRecordsPerFile", per_file).parquet(f"{staged}/data")
     write_manifest(spark, staged)
     backup = writers.swap(spark, staged, path)
     if backup:

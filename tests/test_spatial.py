@@ -124,3 +124,13 @@ def test_store_of_one_place_and_of_no_place(spark, tmp_path):
     assert itemstore.search_store(spark, path, bbox=[0.0, 0.0, 1.0, 1.0]).count() == 3000 and itemstore.search_store(spark, path).count() == 3000 + none.count()
     itemstore.write_store(one.limit(0), path)
     assert itemstore.search_store(spark, path, bbox=[0.0, 0.0, 1.0, 1.0]).count() == 0 and itemstore.search_store(spark, path).count() == 0
+
+
+def test_small_files_need_no_tasks_of_their_own(spark, tmp_path):
+    items = spark.range(3000).select(F.concat(F.lit("i"), "id").alias("item_id"), F.lit("2020-01-01T00:00:00Z").alias("datetime"), *[(F.col("id") / 30.0).alias(n) for n in search.BOX])
+    path = str(tmp_path / "store")
+    itemstore.write_store(items, path, per_file=50)
+    names = [r["file"] for r in itemstore.manifest(spark, path).collect()]
+    assert len(names) >= 60 and itemstore.manifest(spark, path).agg(F.max("items")).first()[0] <= 50
+    assert len({n.split("-")[1] for n in names}) == 1  # the number of the task
+    assert itemstore.search_store(spark, path).count() == 3000
