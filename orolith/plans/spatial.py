@@ -70,7 +70,7 @@ def store_totals(s, d):
 
 @query
 def geometry_join_forms(s, d):
-    return geometry.geometry_join(_quads(s, d), _forms(s, d), "item_id", "area_id")
+    return geometry.geometry_join(_quads(s, d), _forms(s, d), "item_id", "area_id", folder=_scratch(s, "shapes"))
 
 
 @query
@@ -80,7 +80,7 @@ def geometry_join_counts(s, d):
 
 @query
 def search_holed_polygon(s, d):
-    return geometry.meeting(_quads(s, d), HOLED).select("item_id")
+    return geometry.meeting(_quads(s, d), HOLED, folder=_scratch(s, "shapes")).select("item_id")
 
 
 @query

@@ -134,3 +134,12 @@ def test_small_files_need_no_tasks_of_their_own(spark, tmp_path):
     assert len(names) >= 60 and itemstore.manifest(spark, path).agg(F.max("items")).first()[0] <= 50
     assert len({n.split("-")[1] for n in names}) == 1  # the number of the task
     assert itemstore.search_store(spark, path).count() == 3000
+
+
+def test_geometries_are_parsed_once(spark, tmp_path):
+    text = lambda kind, points: json.dumps({"type": kind, "coordinates": points})
+    left = spark.createDataFrame([("a", text("LineString", [[0.2, 0.2], [3.7, 2.1]])), ("b", text("Point", [2.0, 2.0])), ("c", text("Point", [9.0, 9.0])), ("d", "?")], "l string, geometry string")
+    right = spark.createDataFrame([(1, text("Polygon", [[[1.0, 0.0], [3.0, 0.0], [3.0, 3.0], [1.0, 3.0], [1.0, 0.0]]])), (2, text("Point", [9.0, 9.0]))], "r int, geometry string")
+    found = geometry.geometry_join(left, right, "l", "r", folder=str(tmp_path / "shapes"))
+    assert sorted(map(tuple, found.collect())) == [("a", 1), ("b", 1), ("c", 2)] == sorted(map(tuple, geometry.geometry_join(left, right, "l", "r").collect()))
+    assert "from_json" not in found._jdf.queryExecution().toString()
