@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,13 +69,17 @@ def tiff_bytes(width: int, height: int, epsg: int | None, transform: list[float]
 def _files(s, d) -> DataFrame:
     """The checked rasters as files: text in the place of what can't be opened."""
 
-    @F.pandas_udf("binary")
-    def write(url: pd.Series, sound: pd.Series, epsg: pd.Series, height: pd.Series, width: pd.Series, transform: pd.Series, layout: pd.Series) -> pd.Series:
-        rows = zip(url, sound, epsg, height, width, transform, layout, strict=True)
-        return pd.Series([tiff_bytes(int(w), int(h), None if pd.isna(e) else int(e), None if t is None else list(t), k) if ok else u.encode() for u, ok, e, h, w, t, k in rows])
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for low in range(0, whole.num_rows, tiff.SLICE):
+                b = whole.slice(low, tiff.SLICE)
+                rows = zip(*(c.to_pylist() for c in b.columns), strict=True)
+                content = [tiff_bytes(w, h, e, t, k) if ok else u.encode() for u, ok, e, h, w, t, k in rows]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(content, pa.binary())], ["url", "content"])
 
     layout = F.element_at(F.array(*[F.lit(x) for x in LAYOUTS]), (F.col("ordinal") % len(LAYOUTS) + 1).cast("int"))
-    return _checks(s, d).select(F.col("ordinal").cast("string").alias("url"), write("url", "is_geotiff", "epsg", "height", "width", "transform", layout).alias("content"))
+    rows = _checks(s, d).select(F.col("ordinal").cast("string").alias("url"), "is_geotiff", "epsg", "height", "width", "transform", layout.alias("layout"))
+    return rows.mapInArrow(write, "url string, content binary")
 
 
 @query

@@ -30,6 +30,10 @@ RASTER_TYPE, GEOGRAPHIC_CODE, PROJECTED_CODE, PIXEL_IS_POINT, USER_DEFINED = 102
 LATEST_DIRECTORY, UNTILED_SIZE = 300, 512
 
 
+#: Files whose headers a task holds as Python objects at a time.
+SLICE = 256
+
+
 def _exactly(read: Read, offset: int, length: int) -> bytes:
     data = read(offset, length)
     if len(data) != length:
@@ -89,8 +93,10 @@ def _header_or_none(read: Read) -> dict | None:
 
 def _mapped(rows: DataFrame, key: str, reads: Callable[[pa.RecordBatch], Iterator[Read]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_header_or_none(r) for r in reads(b)], _HEADER)], [key, "header"])
+        for whole in batches:
+            for low in range(0, whole.num_rows, SLICE):
+                b = whole.slice(low, SLICE)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_header_or_none(r) for r in reads(b)], _HEADER)], [key, "header"])
 
     return rows.mapInArrow(run, f"{key} string, header {HEADER}")
 

@@ -5,6 +5,7 @@ import math
 import random
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,3 +272,13 @@ def test_build_once_equals_build(spark, tmp_path):
         assert sorted(map(str, getattr(run, part).collect())) == sorted(map(str, getattr(plain, part).collect()))
     none, counts = pipeline.build_once(urls.limit(0), checks, links, f"{tmp_path}/none")
     assert set(counts.values()) == {0} and none.documents.isEmpty()
+
+
+def test_headers_come_in_small_batches():
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    run = tiff._mapped(Rows(), "url", lambda b: (reader(b"") for _ in range(b.num_rows)))
+    found = list(run(iter([pa.RecordBatch.from_arrays([pa.array([str(k) for k in range(1000)])], ["url"])])))
+    assert max(b.num_rows for b in found) <= 256 and [u for b in found for u in b.column(0).to_pylist()] == [str(k) for k in range(1000)]
