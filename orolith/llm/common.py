@@ -33,14 +33,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def materialize(df: DataFrame, name: str = "t", compression: str = "snappy") -> DataFrame:
+def materialize(df: DataFrame, name: str = "t", compression: str = "snappy", rows: int = 0) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back, which cuts its lineage.
 
     Unlike local checkpoints the files outlive executors; unlike caching they need no memory.
+    rows: most rows of a file, for rows of megabytes (0: as Spark does). Readers hold up to 4096 rows of a file at once.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).option("maxRecordsPerFile", rows).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -36,6 +36,8 @@ from .common import materialize
 BACKOFF = 0.4
 #: Bytes of text in a block, about; a longer text is a block of its own.
 BLOCK = 4 << 20
+#: Blocks of a file: so many are in a task's memory at once, and Spark's cost of opening a file bounds those that one task reads.
+HELD = 2
 #: Words of all documents to one partition of the counts, about.
 PART = 1_000_000
 #: Bytes hashed at once.
@@ -178,7 +180,7 @@ def make_blocks(docs: DataFrame, size: int = BLOCK) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([n], pa.int64()), *lists], ["block", "n_words", "doc_ids", "texts"])
                 block, low = block + 1, high
 
-    return materialize(docs.select("doc_id", "text").mapInArrow(run, f"block long, n_words long, doc_ids array<{kind}>, texts array<string>"), "blocks", "zstd")
+    return materialize(docs.select("doc_id", "text").mapInArrow(run, f"block long, n_words long, doc_ids array<{kind}>, texts array<string>"), "blocks", "zstd", HELD)
 
 
 def explode_grams(blocks: DataFrame, parts: int) -> DataFrame:
