@@ -12,7 +12,7 @@ each anchor; their scores then give the ranges for its negatives.
 
 Equal vectors of one label are one row of the store with their least ids, as many as a result can need, so a group of copies however large
 weighs nothing. Rings that hold many blocks are dealt to several tasks. What the driver and broadcasts hold is bounded: PIVOTS pivots chosen from SAMPLE vectors, and
-PIVOTS * RINGS rings.
+PIVOTS * RINGS rings. Spark goes by the size of packed files, which says little of the rows made from them, so all other joins are told to sort and merge.
 
 Defined results: rows with a null label, a null vector, or a null or non-finite component take no part; a shorter vector
 counts as filled up with zeros; repeated rows are rows of their own, also as anchors; a null id is no anchor and comes last among equal
@@ -191,13 +191,14 @@ class Search:
                     np.put_along_axis(turn, np.argsort(-np.minimum(top, most.max(1)[:, None].astype(float)), axis=1, kind="stable"), np.arange(top.shape[1])[None, :], 1)
                     needed = ((top[:, :, None] >= least[:, None, :]) & (bottom[:, :, None] <= most[:, None, :]) & (least <= most)[:, None, :]).any(2)
                     needed &= (turn >= begin) & (turn < end)
-                    out = []
-                    for r in np.flatnonzero(needed.any(0)).tolist():
-                        at = np.flatnonzero(needed[:, r])
-                        packed = [x.astype("<i8").tobytes() for x in (at, q[at], labels[at], ids[at], least[at], most[at])]
-                        out += [(int(self.ring[r]), deal, chunk, *packed) for deal in range(self.deals[r])]
-                    for low in range(0, len(out), 64):
-                        some = list(zip(*out[low: low + 64], strict=True))
+                    wanted = np.flatnonzero(needed.any(0)).tolist()
+                    for low in range(0, len(wanted), 64):
+                        out = []
+                        for r in wanted[low: low + 64]:
+                            at = np.flatnonzero(needed[:, r])
+                            packed = [x.astype("<i8").tobytes() for x in (at, q[at], labels[at], ids[at], least[at], most[at])]
+                            out += [(int(self.ring[r]), deal, chunk, *packed) for deal in range(self.deals[r])]
+                        some = list(zip(*out, strict=True))
                         yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in some[:3]), *(pa.array(c, pa.binary()) for c in some[3:])], names)
 
         return rows.select("chunk", "q", "q_labels", "q_ids", "found").mapInArrow(run, "ring long, deal long, chunk long, places binary, q binary, q_labels binary, q_ids binary, least binary, most binary")
@@ -248,10 +249,26 @@ class Search:
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["chunk", "place", "slot", "score", "id"])
 
-        met = work.join(blocks, ["ring", "deal"]).select("chunk", "places", "q", "q_labels", "q_ids", "least", "most", "v", "labels", "ids", "n_ids")
+        met = work.hint("merge").join(blocks, ["ring", "deal"]).select("chunk", "places", "q", "q_labels", "q_ids", "least", "most", "v", "labels", "ids", "n_ids")
         return met.mapInArrow(run, "chunk long, place long, slot long, score long, id long")
 
 
+def choose_sample(stored: DataFrame, count: int, width: int) -> np.ndarray:
+    """SAMPLE of count vectors, those of the least hashes, filled up with zeros.
+
+    A limit after a sort would send as many vectors from each task to the driver; so only hashes that twice as many vectors have go there.
+    """
+    hashed = stored.select("v", F.xxhash64("v", "label").alias("h"))
+    if count > 2 * SAMPLE:
+        low = hashed.where(F.col("h") < F.lit(-(1 << 63) + (1 << 64) * 2 * SAMPLE // count))
+        hashed = low if low.count() else hashed
+    found = [v for v, _ in sorted(hashed.limit(4 * SAMPLE).collect(), key=lambda r: (r[1], r[0]))[:SAMPLE]]
+    sample = np.zeros((len(found), width), np.int64)
+    for k, v in enumerate(found):
+        sample[k, : len(v)] = v
+    return sample
+
+
 def hard_negatives(vectors: DataFrame, anchor: Column, positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95, scale: int = 256) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) of vectors (vec_id, label, embedding).
 
@@ -268,9 +285,7 @@ def hard_negatives(vectors: DataFrame, anchor: Column, positives: int = 5, negat
     if not count:
         return spark.createDataFrame([], schema)
     width = max(width, 1)
-    sample = np.zeros((min(count, SAMPLE), width), np.int64)
-    for k, (v,) in enumerate(stored.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).collect()):
-        sample[k, : len(v)] = v
+    sample = choose_sample(stored, count, width)
     space = Space(sample, most, count)
     blocks = store_blocks(keyed(stored, space), space, count)
     deals = F.ceil(F.count("*") / DEALT).cast("long").alias("deals")
@@ -287,7 +302,7 @@ def hard_negatives(vectors: DataFrame, anchor: Column, positives: int = 5, negat
                 work = chunks.withColumn("found", F.lit(None).cast("array<struct<place:long,slot:long,rank:int,score:long>>"))
             else:
                 known = found.groupBy("chunk").agg(F.collect_list(F.struct("place", "slot", "rank", "score")).alias("found"))
-                work = chunks.join(known, "chunk", "left")
+                work = chunks.hint("merge").join(known, "chunk", "left")
             fresh = search.scan(search.plan(work, begin, end), dealt)
             both = fresh if found is None else fresh.unionByName(found.drop("rank"))
             order = Window.partitionBy("chunk", "place", "slot").orderBy(F.desc("score"), "id")
@@ -298,4 +313,4 @@ def hard_negatives(vectors: DataFrame, anchor: Column, positives: int = 5, negat
     real = lambda c: F.nullif(F.col(c), F.lit(LAST))
     first = found.where("slot = 0").select("chunk", "place", F.col("rank").cast("long").alias("slot"), real("id").alias("positive_id"), F.col("score").alias("positive_score"))
     second = found.where("slot > 0").select("chunk", "place", "slot", "rank", real("id").alias("negative_id"), F.col("score").alias("negative_score"))
-    return second.join(first, ["chunk", "place", "slot"]).join(ids, ["chunk", "place"]).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+    return second.hint("merge").join(first, ["chunk", "place", "slot"]).hint("merge").join(ids, ["chunk", "place"]).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
