@@ -734,11 +734,12 @@ def listing_windows(s, d):
 
 @query
 def stream_incremental_items(s, d):
-    """Item rows of a listing read as a stream, two files with an overlap; the result is the batch's."""
+    """Item rows of a listing read as a stream, two writes with an overlap, a batch each; the result is the batch's."""
     base = _scratch(s, "stream")
     rows = _inventory(s, d).withColumn("listed_at", F.timestamp_seconds(F.lit(1_700_000_000)))
     rows.where("ordinal % 2 = 0").write.parquet(f"{base}/listing")
+    files = len(s.read.parquet(f"{base}/listing").inputFiles())
     rows.where("ordinal % 2 = 1 OR ordinal % 6 = 0").write.mode("append").parquet(f"{base}/listing")
-    listing = increments.stream_listings(s, f"{base}/listing", files=1)
+    listing = increments.stream_listings(s, f"{base}/listing", files=max(files, 1))
     increments.maintain_items(listing, _checks(s, d), f"{base}/items", f"{base}/checkpoint").awaitTermination()
     return s.read.parquet(f"{base}/items").select("ordinal", "item_id", "status")
