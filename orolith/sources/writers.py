@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.fs
@@ -73,13 +74,18 @@ def beside(path: str) -> str:
 def write_lines(lines: DataFrame, path: str) -> None:
     """A bounded export: URLs in input order as one text file, replacing what was there. Larger lists stay Parquet.
 
-    The list's format is a file of lines in order, so one task writes it. Its ranges are sorted one after the other by the task that writes, so none needs the whole list in memory.
+    The list's format is a file of lines in order, so one task writes it. It copies ranges that other tasks have sorted and written, line by line, and sorts nothing itself.
     """
-    staged = beside(path)
-    lines.repartitionByRange("ordinal").sortWithinPartitions("ordinal").select("url").coalesce(1).write.text(staged)
-    backup = swap(lines.sparkSession, staged, path)
+    spark, staged, ranges = lines.sparkSession, beside(path), beside(path)
+    lines.repartitionByRange("ordinal").sortWithinPartitions("ordinal").select("url").write.text(ranges, lineSep="\n")
+    fs, folder = _fs(spark, ranges)
+    names = sorted(n for n in (f.getPath().getName() for f in fs.listStatus(folder)) if n.startswith("part-"))
+    parts = [spark.read.text(f"{ranges}/{n}", lineSep="\n") for n in names] or [lines.select("url").limit(0)]
+    reduce(DataFrame.union, parts).coalesce(1).write.text(staged, lineSep="\n")
+    delete(spark, ranges)
+    backup = swap(spark, staged, path)
     if backup:
-        delete(lines.sparkSession, backup)
+        delete(spark, backup)
 
 
 def write_lines_or_remove(lines: DataFrame, path: str) -> bool:
