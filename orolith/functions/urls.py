@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orolith import schema
@@ -47,27 +47,61 @@ def published_href(identifier: Column, base: str = schema.PUBLISHED) -> Column:
     return F.concat(F.lit(base + "/"), identifier, F.lit(".json"))
 
 
-def _without_dots(path: Column) -> Column:
-    """A path without its first slash, its segments . and .. applied; those that lead above the top are dropped."""
+#: A scheme, and the site and path of an address.
+_SCHEME = "^[a-zA-Z][a-zA-Z0-9+.-]*:"
+_SPLIT = r"^([a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/?#]*)?)/?([^?#]*)"
+
+
+def _segments(path: Column) -> Column:
+    """The segments of a path without its first slash, . and .. applied; those that lead above the top are dropped."""
     none = F.array().cast("array<string>")
-    parts = F.aggregate(F.split(path, "/"), none, lambda held, x: F.when(x == ".", held).when(x == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0)))).otherwise(F.array_append(held, x)))
-    return F.concat(F.array_join(parts, "/"), F.when(path.rlike(r"(^|/)\.\.?$") & (F.size(parts) > 0), "/").otherwise(""))
+    return F.aggregate(F.split(path, "/"), none, lambda held, x: F.when(x == ".", held).when(x == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0)))).otherwise(F.array_append(held, x)))
+
+
+def _link(href: Column) -> Column:
+    return F.regexp_replace(F.trim(href), "#.*$", "")
+
+
+def _below(path: Column, own: Column) -> Column:
+    """A link's path from the top of its site, before dots are applied; own: the path of the document it is in."""
+    return F.when(F.startswith(path, F.lit("/")), F.substring(path, 2, 1 << 30)).when(path == "", own).otherwise(F.concat(F.regexp_replace(own, "[^/]*$", ""), path))
+
+
+def _undotted(below: Column, parts: Column) -> Column:
+    """A path put together from its segments."""
+    return F.concat(F.array_join(parts, "/"), F.when(below.rlike(r"(^|/)\.\.?$") & (F.size(parts) > 0), "/").otherwise(""))
 
 
 def resolve_href(base: Column, href: Column) -> Column:
     """A link's full address, given that of the document it is in; null where either is, or where the link is empty. Fragments go."""
-    link = F.regexp_replace(F.trim(href), "#.*$", "")
-    split = r"^([a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/?#]*)?)/?([^?#]*)"
-    site = lambda url: F.regexp_extract(url, split, 1)
-    own = F.regexp_extract(base, split, 2)
-    query = F.regexp_extract(link, r"(\?.*)$", 1)
-    path = F.regexp_replace(link, r"\?.*$", "")
-    joined = (
-        F.when(link.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
-        .when(F.startswith(link, F.lit("//")), F.concat(F.regexp_extract(base, "^([^:]*:)", 1), link))
-    )
-    below = F.when(F.startswith(path, F.lit("/")), F.substring(path, 2, 1 << 30)).when(path == "", own).otherwise(F.concat(F.regexp_replace(own, "[^/]*$", ""), path))
-    return F.when(F.length(link) > 0, F.coalesce(joined, F.concat(site(base), F.lit("/"), _without_dots(below), query)))
+    link = _link(href)
+    site, own = (F.regexp_extract(base, _SPLIT, k) for k in (1, 2))
+    joined = F.when(link.rlike(_SCHEME), link).when(F.startswith(link, F.lit("//")), F.concat(F.regexp_extract(base, "^([^:]*:)", 1), link))
+    below = _below(F.regexp_replace(link, r"\?.*$", ""), own)
+    return F.when(F.length(link) > 0, F.coalesce(joined, F.concat(site, F.lit("/"), _undotted(below, _segments(below)), F.regexp_extract(link, r"(\?.*)$", 1))))
+
+
+def add_target(links: DataFrame, base: str, href: str, name: str) -> DataFrame:
+    """resolve_href() as a column of the rows for which it isn't null.
+
+    Step by step in columns, so that each is computed once; rows go by the link itself, since a filter on the
+    address would compute all of it again. Links in full, and paths without dots, skip the steps that change nothing in them.
+    """
+    kept, got = links.columns, lambda part: F.col(f"_t_{part}")
+    rows = links.withColumn("_t_link", _link(F.col(href))).where((F.length(got("link")) > 0) & (F.col(base).isNotNull() | got("link").rlike(_SCHEME)))
+    rows = rows.withColumn("_t_full", got("link").rlike(_SCHEME))
+    asked = F.contains(got("link"), F.lit("?"))
+    rows = rows.withColumns({
+        "_t_path": F.when(~got("full"), F.when(asked, F.regexp_replace(got("link"), r"\?.*$", "")).otherwise(got("link"))),
+        "_t_query": F.when(~got("full"), F.when(asked, F.regexp_extract(got("link"), r"(\?.*)$", 1)).otherwise("")),
+        **{f"_t_{part}": F.when(~got("full"), F.regexp_extract(F.col(base), _SPLIT, k)) for k, part in ((1, "site"), (2, "own"))},
+    })
+    rows = rows.withColumn("_t_below", _below(got("path"), got("own")))
+    rows = rows.withColumn("_t_parts", F.when(got("below").rlike(r"(^|/)\.\.?(/|$)"), _segments(got("below"))))
+    path = F.when(got("parts").isNull(), got("below")).otherwise(_undotted(got("below"), got("parts")))
+    beside = F.concat(F.regexp_extract(F.col(base), "^([^:]*:)", 1), got("link"))
+    target = F.when(got("full"), got("link")).when(F.startswith(got("link"), F.lit("//")), beside).otherwise(F.concat(got("site"), F.lit("/"), path, got("query")))
+    return rows.select(*[c for c in kept if c != name], target.alias(name))
 
 
 def strip_slash(path: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orolith.functions.urls import resolve_href
+from orolith.functions.urls import add_target
 
 LINKS = "struct<links: array<struct<rel: string, href: string>>>"
 
@@ -23,7 +23,7 @@ def document_links(documents: DataFrame) -> DataFrame:
 
 def resolved_links(links: DataFrame) -> DataFrame:
     """(source, rel, target) of links (source, rel, href): addresses in full; links without one go."""
-    return links.select("source", "rel", resolve_href(F.col("source"), F.col("href")).alias("target")).where("target IS NOT NULL")
+    return add_target(links, "source", "href", "target").select("source", "rel", "target")
 
 
 def traverse(links: DataFrame, roots: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
