@@ -13,7 +13,8 @@ PATH_YEAR = r"/(2[0-9]{3})/"
 
 
 def _in_window(year: Column) -> Column:
-    return year.try_cast("int").between(schema.FIRST_YEAR, schema.LAST_YEAR)
+    """Of four digits, or none; compared as text, since a cast that fails throws and catches."""
+    return (F.length(year) == 4) & year.between(str(schema.FIRST_YEAR), str(schema.LAST_YEAR))
 
 
 def choose_date(utm: Column, path_year: Column) -> Column:
@@ -31,9 +32,9 @@ def parse_date(text: Column) -> Column:
     return F.when(F.length(text) == 8, F.try_to_timestamp(text, F.lit("yyyyMMdd"))).when(F.length(text) == 4, F.try_to_timestamp(text, F.lit("yyyy")))
 
 
-def is_bad_date(text: Column) -> Column:
-    """Eight digits that are no day."""
-    return F.coalesce((F.length(text) == 8) & parse_date(text).isNull(), F.lit(False))
+def is_bad_date(text: Column, at: Column | None = None) -> Column:
+    """Eight digits that are no day; at: the date parsed already."""
+    return F.coalesce((F.length(text) == 8) & (parse_date(text) if at is None else at).isNull(), F.lit(False))
 
 
 def rfc3339(at: Column) -> Column:
@@ -49,7 +50,7 @@ def with_dates(df: DataFrame, url: str = "url") -> DataFrame:
     """
     parts = df.withColumns({"_utm": F.regexp_extract(url, UTM_DATE, 1), "_year": F.regexp_extract(url, PATH_YEAR, 1)})
     dated = parts.withColumn("date_text", choose_date(F.col("_utm"), F.col("_year"))).drop("_utm", "_year").withColumn("_at", parse_date(F.col("date_text")))
-    unknown, error = F.col("date_text").isNull(), is_bad_date(F.col("date_text"))
+    unknown, error = F.col("date_text").isNull(), is_bad_date(F.col("date_text"), F.col("_at"))
     return dated.withColumns({
         "datetime": F.when(unknown, F.lit(schema.UNKNOWN_DATE)).otherwise(rfc3339(F.col("_at"))), "datetime_unknown": unknown, "date_error": error,
         "date_status": F.when(unknown, "unknown").when(error, "bad_date").when(F.col("_at").isNull(), "error").otherwise("built"),
