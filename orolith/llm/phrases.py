@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -248,11 +249,14 @@ class Counted:
         if not len(self.keys):
             return
         pool = pa.concat_arrays(self.pool)
-        for low in range(0, len(self.keys), 100_000):
-            part = slice(low, low + 100_000)
-            words = pool.take(pa.array(self.at[part])).cast(pa.large_string()).cast(pa.string())
-            langs = pa.array(names, pa.string()).take(pa.array(self.lang[part]))
-            yield pa.RecordBatch.from_arrays([langs, pa.array(np.full(len(words), k, np.int32)), words, pa.array(self.n[part])], ["lang", "k", "phrase", "n"])
+        code, n = np.empty(len(pool), np.int32), np.empty(len(pool), np.int64)
+        code[self.at], n[self.at] = self.lang, self.n
+        order = pc.sort_indices(pool).to_numpy()  # rows whose phrases begin alike lie together, so that shuffles compress well
+        for low in range(0, len(order), 100_000):
+            part = order[low: low + 100_000]
+            words = pool.take(pa.array(part)).cast(pa.large_string()).cast(pa.string())
+            langs = pa.array(names, pa.string()).take(pa.array(code[part]))
+            yield pa.RecordBatch.from_arrays([langs, pa.array(np.full(len(words), k, np.int32)), words, pa.array(n[part])], ["lang", "k", "phrase", "n"])
 
 
 def count_survivors(docs: DataFrame, passed: Broadcast, longest: int) -> DataFrame:

@@ -69,3 +69,18 @@ def test_frequent_grams_always_pass(spark):
     found = {(r["k"], r["phrase"]): r["n"] for r in phrases.frequent_phrases(docs, width=256).collect()}
     assert {(1, f"w{k}") for k in range(40)} <= set(found)
     assert found[(0, "")] == 9000 and not any(p.startswith("v") for _, p in found)
+
+
+def test_counted_phrases_come_in_order_with_their_own_counts():
+    """Disk of op12_phrases: rows in the order of their hashes share no beginnings, so shuffles compressed less."""
+    import numpy as np
+    from orolith.llm import phrases
+
+    held = phrases.Counted()
+    first, second = {5: (b"b c", 2, 0), 9: (b"a b", 3, 1)}, {1: (b"c", 4, 0), 7: (b"a a", 1, 0), 9: (b"a b", 10, 1)}
+    for part in (first, second):
+        keys = np.array(sorted(part), np.uint64)
+        n, lang = (np.array([part[k][i] for k in sorted(part)], kind) for i, kind in ((1, np.int64), (2, np.int32)))
+        held.add(keys, n, lang, lambda new, part=part: [part[sorted(part)[k]][0] for k in new])
+    (batch,) = held.batches(2, ["en", "de"])
+    assert [tuple(r.values()) for r in batch.to_pylist()] == [("en", 2, "a a", 1), ("de", 2, "a b", 13), ("en", 2, "b c", 2), ("en", 2, "c", 4)]
