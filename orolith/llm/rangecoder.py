@@ -2,18 +2,21 @@
 
 A segment holds whole documents in order. Its ids are cut into blocks of BLOCK; each block
 starts from a fresh model and has a CRC-32 of its ids, so blocks decode independently and a
-damaged one is found. All blocks of a segment run in step: one NumPy operation does the
-same step of every block.
+damaged one is found. Up to LANES blocks form a group and run in step: one NumPy operation
+does the same step of each. An id is one step, so a group takes BLOCK steps.
 
 The model of an id: the two ids before it and the one before it each predict the id seen
 there last, with a confidence. Both confidences, and whether the predictions agree, choose
-a row of adaptive frequencies over (order 2 is right, order 1 is right, neither), so the
-predictions are mixed as they have proved good: with weights w of the row, the coder gives an id the probability
-w2 [order 2 guesses it], else w1 [order 1 does], else w0 P(order 0). Order 0 has adaptive frequencies, four bits at a time. Every decision drives one arithmetic
-coder with 48-bit state, 16-bit output words and carries carried into words already out.
+a row of weights that adapts inside the block, so predictions are mixed as they have proved
+good: the coder gives an id the weight w2 if order 2 guesses it, else w1 if order 1 does,
+else (1 - w2 - w1) P(order 0). Order 0 has the frequencies of the group, which stand ahead of
+its blocks. All of it is one interval of a range coder with 64-bit state, 32-bit output
+words and carries carried into words already out.
 
-Layout (little-endian): magic "ORC1", id count u64, document count u64, block length u32;
-lengths of documents u32; per block word count u32 and CRC-32 u32; words u16 of all blocks.
+Layout (little-endian): magic "ORC2", id count u64, document count u64, block length u32;
+lengths of documents u32; then groups. A group: byte count of its table u32; the table under
+zlib (distinct ids u32 as differences, their frequencies u32, which add up to a power of two);
+per block word count u32 and CRC-32 u32; words u32 of all its blocks.
 
 Defined results: a null or empty text is a document of its end id alone; repeated rows and
 null ids are documents of their own, null ids first; an empty table gives no segments.
@@ -33,145 +36,196 @@ from pyspark.sql import functions as F
 
 from .tokens import ids_of
 
-MAGIC, HEADER = b"ORC1", "<4sQQI"
+MAGIC, HEADER = b"ORC2", "<4sQQI"
 BLOCK = 4096
-#: Ids of a segment, about: its blocks run in step and share the memory of one task.
+#: Ids of a segment, about: a task holds the ids of one.
 SEGMENT = 4_000_000
+#: Blocks that run in step. Their tables share the memory of one task, however long a document is.
+LANES = 2048
 #: Slots of the order-1 and order-2 tables of a block, as powers of two.
-ORDER1, ORDER2 = 12, 13
-NIBBLES, STEP, LIMIT = 4, 24, 1 << 13
-MASK, LOW = np.uint64((1 << 48) - 1), np.uint64(1 << 32)
+ORDER1, ORDER2, HASH = 12, 12, np.array(40503)
+#: Weights add up to 1 << WEIGHT. A step moves them by a share of 1 / (1 << RATE); REST is what order 2 and 1 leave to order 0 at least.
+WEIGHT, RATE, REST = 16, 5, 1024
+GAIN = ((1 << WEIGHT) - REST) >> RATE
+#: Bits of the sum of order-0 frequencies, at least and at most: the narrowest range still has room for each.
+SCALE, SCALES = 16, 24
+
+
+def _u8(x: int) -> np.ndarray:
+    """A constant that NumPy needn't convert in each step."""
+    return np.array(x, np.uint64)
+
+
+def _u4(x: int) -> np.ndarray:
+    return np.array(x, np.uint32)
+
+
+LOW, WORD, HALF, SHARE = _u8(1 << 32), _u8(32), _u8(2**32 - 1), _u8(WEIGHT)
+#: What is added to the weights (order 2 in the lower half, order 1 in the upper) after an id that order 2, order 1 or neither guessed, and how they shrink.
+ADDED, DECAY, KEPT = np.array([GAIN, GAIN << 32, 0], np.uint64), _u8(RATE), _u8((2**32 - 1 >> RATE) * (2**32 + 1))
+
+
+def _start() -> np.ndarray:
+    """The first weights for each (confidence of order 2, of order 1, whether they agree); none falls below 31."""
+    by2, by1 = (np.array(x) << WEIGHT - 8 for x in ((4, 96, 160, 216), (8, 48, 80, 112)))
+    sure2, sure1, agree = np.unravel_index(np.arange(32), (4, 4, 2))
+    two = np.where(agree, np.maximum(by2[sure2], by1[sure1]), by2[sure2])
+    one = np.where(agree, 31, by1[sure1] * ((1 << WEIGHT) - two) >> WEIGHT)
+    return (two | one << 32).astype(np.uint64)
+
+
+START = _start()
+
+
+class Zero:
+    """Order 0: a group's distinct ids, known by their ranks, and frequencies that add up to 1 << bits."""
+
+    def __init__(self, values: np.ndarray, freqs: np.ndarray):
+        self.values = values
+        self.freq = freqs.astype(np.uint64)
+        self.sums = np.cumsum(self.freq) - self.freq
+        self.total = int(self.freq.sum())
+        self.bits = _u8(self.total.bit_length() - 1)
+        if not len(values) or self.total != 1 << int(self.bits) or not (SCALE <= self.bits <= SCALES) or not freqs.all():
+            raise ValueError("not a table of frequencies of this format")
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> tuple[Zero, np.ndarray]:
+        """The frequencies of these ids (at most LANES * BLOCK), and their ranks."""
+        if ids.max() < 1 << 22:
+            seen = np.bincount(ids)
+            values = np.flatnonzero(seen)
+            counts, ranks = seen[values], np.zeros(len(seen), np.uint32)
+            ranks[values] = np.arange(len(values))
+            ranks = ranks[ids]
+        else:
+            values, ranks, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        total = 1 << max(SCALE, (len(values) - 1).bit_length() + 1)
+        freqs = 1 + counts * (total - len(values)) // len(ids)
+        freqs[freqs.argmax()] += total - freqs.sum()
+        return cls(values.astype(np.uint32), freqs), ranks.astype(np.uint32)
+
+    def at(self) -> np.ndarray:
+        """The rank that holds each number below the sum of frequencies."""
+        return np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq.astype(np.int64))
+
+    def pack(self) -> bytes:
+        told = zlib.compress(np.diff(self.values, prepend=np.uint32(0)).astype("<u4").tobytes() + self.freq.astype("<u4").tobytes(), 6)
+        return struct.pack("<I", len(told)) + told
+
+    @classmethod
+    def unpack(cls, told: bytes) -> Zero:
+        try:
+            values, freqs = np.frombuffer(zlib.decompress(told), "<u4").reshape(2, -1)
+        except zlib.error as e:
+            raise ValueError("a group's table of frequencies is damaged") from e
+        return cls(np.cumsum(values, dtype=np.uint32), freqs)
+
+
+class Table:
+    """What was seen last in each context of one order: entries of (rank, confidence), the confidence (0 to 3) from bit `bit` on.
+
+    A slot's entries lie side by side for all blocks, since blocks use the same slots often.
+    """
+
+    def __init__(self, blocks: int, slots: int, bit: int):
+        self.held = np.zeros(blocks << slots, np.uint32)
+        self.lane, self.blocks, self.mask = np.arange(blocks), np.array(blocks), np.array((1 << slots) - 1)
+        self.up, self.bits, self.one = _u4(bit + 2), _u4(3 << bit), _u4(1 << bit)
+
+    def look(self, context: np.ndarray) -> np.ndarray:
+        """The ranks guessed."""
+        self.at = (context & self.mask) * self.blocks + self.lane[: len(context)]
+        self.entry = self.held.take(self.at, mode="clip")
+        self.sure, self.guess = self.entry & self.bits, self.entry >> self.up
+        return self.guess
+
+    def learn(self, ranks: np.ndarray) -> None:
+        """A right guess grows surer; a wrong one falls to 1 from 2 and 3, else the new rank takes its place."""
+        surer = np.minimum(self.entry + self.one, self.entry | self.bits)
+        self.held[self.at] = np.where(self.guess == ranks, surer, np.where(self.sure > self.one, self.entry ^ self.sure | self.one, ranks << self.up))
 
 
 class Model:
-    """The adaptive state of so many blocks, and the walk through one id that coder and decoder share."""
+    """The adaptive state of so many blocks, and the walk through one id that coder and decoder share. Ids are known by their ranks."""
 
-    def __init__(self, blocks: int, wide: bool):
-        self.levels = NIBBLES * (1 + wide)
+    def __init__(self, blocks: int):
         self.n = blocks
-        self.lane = np.arange(blocks)
-        self.flags = np.tile(np.array([2, 2, 4], np.uint16), (blocks * 32, 1))
-        # order-0 rows: one for each prefix of the upper four nibbles; wider ids share rows by the last three nibbles' prefix
-        self.row_at = [sum(16**k for k in range(min(level, NIBBLES))) for level in range(self.levels)]
-        self.rows = sum(16**k for k in range(NIBBLES)) + (self.levels - NIBBLES) * 16 ** (NIBBLES - 1)
-        self.zero = np.ones((blocks * self.rows, 16), np.uint16)
-        self.next1, self.next2 = (np.zeros(blocks << k, np.uint32) for k in (ORDER1, ORDER2))
-        self.sure1, self.sure2 = (np.zeros(blocks << k, np.uint8) for k in (ORDER1, ORDER2))
-        self.last = np.zeros(blocks, np.uint32)
-        self.last2 = np.zeros(blocks, np.uint32)
+        self.weights, self.base = np.tile(START, blocks), np.arange(blocks) * len(START)
+        self.order1, self.order2 = Table(blocks, ORDER1, 1), Table(blocks, ORDER2, 3)
+        self.last, self.last2 = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
 
     def shrink(self, k: int) -> None:
         """Only the first k blocks go on: the last block of a segment may be shorter."""
-        self.lane, self.last, self.last2, self.n = self.lane[:k], self.last[:k], self.last2[:k], k
-
-    def row(self, lane: np.ndarray, level: int, value: np.ndarray) -> np.ndarray:
-        """The order-0 row for the next nibble after the nibbles in value."""
-        if level < NIBBLES:
-            return lane * self.rows + self.row_at[level] + value
-        base = sum(16**k for k in range(NIBBLES)) + (level - NIBBLES) * 16 ** (NIBBLES - 1)
-        return lane * self.rows + base + (value & (16 ** (NIBBLES - 1) - 1))
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        last = self.last.astype(np.int64)
-        self.at1 = (self.lane << ORDER1) + ((last * 40503 >> 4) & ((1 << ORDER1) - 1))
-        self.at2 = (self.lane << ORDER2) + ((last * 40503 + self.last2 * np.int64(60493) >> 3) & ((1 << ORDER2) - 1))
-        self.p1, self.p2 = self.next1[self.at1], self.next2[self.at2]
-        context = (self.sure2[self.at2].astype(np.int64) * 4 + self.sure1[self.at1]) * 2 + (self.p1 == self.p2)
-        return self.lane * 32 + context, self.p2, self.p1
-
-    def learn(self, ids: np.ndarray) -> None:
-        for at, guess, nexts, sure in ((self.at1, self.p1, self.next1, self.sure1), (self.at2, self.p2, self.next2, self.sure2)):
-            right = guess == ids
-            old = sure[at]
-            nexts[at] = np.where(right | (old > 1), guess, ids)
-            sure[at] = np.where(right, np.minimum(old + 1, 3), old // 2)
-        self.last2, self.last = self.last, ids
-
-    @staticmethod
-    def bump(table: np.ndarray, row: np.ndarray, symbol: np.ndarray, freq: np.ndarray, total: np.ndarray) -> None:
-        table.reshape(-1)[row * table.shape[1] + symbol] = freq + STEP
-        full = np.flatnonzero(total + STEP > LIMIT)
-        if len(full):
-            table[row[full]] = (table[row[full]] + 1) >> 1
+        self.base, self.last, self.last2, self.n = self.base[:k], self.last[:k], self.last2[:k], k
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ranks that order 2 and order 1 guess, and the weights of both."""
+        p1, p2 = self.order1.look(self.last), self.order2.look(self.last + self.last2 * HASH)
+        self.row = (self.order1.sure | self.order2.sure | (p1 == p2)).astype(np.int64) + self.base
+        self.now = self.weights.take(self.row, mode="clip")
+        return p2, p1, self.now & HALF, self.now >> WORD
+
+    def learn(self, ranks: np.ndarray, not2: np.ndarray, missed: np.ndarray) -> None:
+        """not2: where order 2 didn't guess the id; missed: where order 1 didn't either."""
+        self.weights[self.row] = self.now - (self.now >> DECAY & KEPT) + ADDED.take(not2.view(np.uint8) + missed.view(np.uint8), mode="clip")
+        self.order1.learn(ranks)
+        self.order2.learn(ranks)
+        self.last2, self.last = self.last, ranks.astype(np.int64)
 
 
 class Encoder:
     def __init__(self, blocks: int, length: int):
-        self.low, self.range = np.zeros(blocks, np.uint64), np.full(blocks, MASK)
-        self.out = np.zeros((blocks, length + 16), np.uint16)
-        self.size = np.zeros(blocks, np.int64)
-
-    def put(self, lane: np.ndarray, table: np.ndarray, row: np.ndarray, symbol: np.ndarray) -> None:
-        counts = table.take(row, 0)
-        sums = counts.cumsum(1, dtype=np.uint32)
-        here = np.arange(0, counts.size, counts.shape[1]) + symbol
-        total, freq = sums[:, -1], counts.take(here)
-        share = self.range.take(lane) // total
-        low = self.low.take(lane) + share * (sums.take(here) - freq)
-        width = share * freq
-        over = np.flatnonzero(low > MASK)
-        if len(over):
-            self.carry(lane[over])
-            low &= MASK
-        small = np.flatnonzero(width < LOW)
+        self.low, self.range = np.zeros(blocks, np.uint64), np.full(blocks, 2**64 - 1, np.uint64)
+        #: Words, with what they carry into the word before above them.
+        self.out = np.zeros((length + 1) * blocks, np.uint64)
+        self.carries, self.blocks = np.zeros(blocks, bool), blocks
+        self.at = np.arange(blocks)
+
+    def put(self, offset: np.ndarray, width: np.ndarray) -> None:
+        """Narrows each of the first blocks to width, from offset on."""
+        k = len(offset)
+        low = self.low[:k] + offset
+        self.carries[:k] |= low < offset  # once between two words at most
+        small = (width < LOW).nonzero()[0]
         if len(small):
-            out = lane[small]
-            self.out[out, self.size[out]] = low[small] >> np.uint64(32)
-            self.size[out] += 1
-            low[small] = (low[small] << np.uint64(16)) & MASK
-            width[small] <<= np.uint64(16)
-        self.low[lane], self.range[lane] = low, width
-        Model.bump(table, row, symbol, freq, total)
-
-    def room(self) -> None:
-        if self.size.max(initial=0) + 12 > self.out.shape[1]:
-            self.out = np.concatenate([self.out, np.zeros_like(self.out)], 1)
-
-    def carry(self, lanes: np.ndarray) -> None:
-        at = self.size[lanes] - 1
-        while len(lanes):
-            self.out[lanes, at] += 1
-            more = self.out[lanes, at] == 0
-            lanes, at = lanes[more], at[more] - 1
-
-    def finish(self) -> list[bytes]:
-        self.room()
-        for shift in (32, 16, 0):
-            self.out[np.arange(len(self.low)), self.size] = (self.low >> np.uint64(shift)) & np.uint64(0xFFFF)
-            self.size += 1
-        return [self.out[k, :n].astype("<u2").tobytes() for k, n in enumerate(self.size.tolist())]
+            at, head = self.at[small], low[small]
+            self.out[at] = head >> WORD | self.carries[small].astype(np.uint64) << WORD
+            self.at[small] = at + self.blocks
+            self.carries[small] = False
+            low[small] = head << WORD
+            width[small] <<= WORD
+        self.low[:k], self.range[:k] = low, width
+
+    def finish(self) -> list[np.ndarray]:
+        last = self.low + HALF
+        self.out[self.at] = last >> WORD | (self.carries | (last < self.low)).astype(np.uint64) << WORD
+        rows = self.out.reshape(-1, self.blocks)
+        for k in range(int(self.at.max()) // self.blocks, 0, -1):
+            rows[k - 1] += rows[k] >> WORD
+        return [w[:n] for w, n in zip(rows.astype(np.uint32).T, (self.at // self.blocks + 1).tolist(), strict=True)]
 
 
 class Decoder:
-    def __init__(self, words: list[np.ndarray]):
-        n = max(map(len, words)) + 4
-        self.words = np.zeros((len(words), n), np.uint64)
-        for k, w in enumerate(words):
-            self.words[k, : len(w)] = w
-        self.range = np.full(len(words), MASK)
-        self.code = (self.words[:, 0] << np.uint64(32)) | (self.words[:, 1] << np.uint64(16)) | self.words[:, 2]
-        self.at = np.full(len(words), 3)
-
-    def get(self, lane: np.ndarray, table: np.ndarray, row: np.ndarray) -> np.ndarray:
-        counts = table.take(row, 0)
-        sums = counts.cumsum(1, dtype=np.uint32)
-        total = sums[:, -1]
-        share, code = self.range.take(lane) // total, self.code.take(lane)
-        value = np.minimum(code // share, total - 1).astype(np.uint32)
-        symbol = np.count_nonzero(sums <= value[:, None], 1)
-        here = np.arange(0, counts.size, counts.shape[1]) + symbol
-        freq = counts.take(here)
-        code = code - share * (sums.take(here) - freq)
-        width = share * freq
-        small = np.flatnonzero(width < LOW)
+    def __init__(self, stream: np.ndarray, counts: np.ndarray):
+        n, self.blocks = int(counts.max()) + 2, len(counts)
+        words = np.zeros((self.blocks, n), np.uint32)
+        words[np.arange(n) < counts[:, None]] = stream
+        self.words = np.ascontiguousarray(words.T).reshape(-1)
+        self.range = np.full(self.blocks, 2**64 - 1, np.uint64)
+        self.code = words[:, 0].astype(np.uint64) << WORD | words[:, 1]
+        self.at = np.arange(2 * self.blocks, 3 * self.blocks)
+
+    def got(self, code: np.ndarray, width: np.ndarray) -> None:
+        """Goes on in each of the first blocks with the code inside an interval of that width."""
+        k = len(code)
+        small = (width < LOW).nonzero()[0]
         if len(small):
-            k = lane[small]
-            code[small] = (code[small] << np.uint64(16)) | self.words[k, np.minimum(self.at[k], self.words.shape[1] - 1)]
-            self.at[k] += 1
-            width[small] <<= np.uint64(16)
-        self.code[lane], self.range[lane] = code, width
-        Model.bump(table, row, symbol, freq, total)
-        return symbol
+            at = self.at[small]
+            code[small] = code[small] << WORD | self.words.take(at, mode="clip")
+            self.at[small] = at + self.blocks
+            width[small] <<= WORD
+        self.code[:k], self.range[:k] = code, width
 
 
 def _block_sizes(ids: int) -> np.ndarray:
@@ -179,35 +233,73 @@ def _block_sizes(ids: int) -> np.ndarray:
     return np.minimum(BLOCK, ids - BLOCK * np.arange(blocks))
 
 
-def encode_segment(docs: list[np.ndarray]) -> bytes:
-    """One segment from the ids (u4) of its documents."""
-    ids = np.concatenate([np.zeros(0, np.uint32), *docs]).astype(np.uint32)
-    sizes = _block_sizes(len(ids))
-    head = struct.pack(HEADER, MAGIC, len(ids), len(docs), BLOCK) + np.array([len(d) for d in docs], "<u4").tobytes()
-    if not len(ids):
-        return head
-    wide = bool(ids.max() >> 16)
-    grid = np.pad(ids, (0, -len(ids) % BLOCK)).reshape(-1, BLOCK)
-    model, coder = Model(len(sizes), wide), Encoder(len(sizes), BLOCK)
+def _checks(ids: np.ndarray) -> list[int]:
+    """The CRC-32 of each block."""
+    raw = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
+    return [zlib.crc32(raw[k: k + 4 * BLOCK]) for k in range(0, len(raw), 4 * BLOCK)]
+
+
+def _encode_group(ids: np.ndarray) -> bytes:
+    sizes, (zero, ranks) = _block_sizes(len(ids)), Zero.of(ids)
+    steps = np.ascontiguousarray(np.pad(ranks, (0, -len(ranks) % BLOCK)).reshape(-1, BLOCK)[:, : sizes[0]].T)
+    model, coder, none = Model(len(sizes)), Encoder(len(sizes), int(sizes[0])), _u8(0)
     for t in range(int(sizes[0])):
         if t == sizes[-1]:
             model.shrink(len(sizes) - 1)
-        now = grid[: model.n, t]
-        coder.room()
-        row, p2, p1 = model.predict()
-        outcome = np.where(now == p2, 0, np.where(now == p1, 1, 2))
-        coder.put(model.lane, model.flags, row, outcome)
-        missed = np.flatnonzero(outcome == 2)
-        if len(missed):
-            whole, value = now[missed].astype(np.int64), np.zeros(len(missed), np.int64)
-            for level in range(model.levels):
-                nibble = whole >> 4 * (model.levels - 1 - level) & 15
-                coder.put(missed, model.zero, model.row(missed, level, value), nibble)
-                value = value << 4 | nibble
-        model.learn(now)
+        now = steps[t, : model.n]
+        p2, p1, w2, w1 = model.predict()
+        not2, missed = now != p2, now != p1
+        missed &= not2
+        whole = coder.range[: model.n]
+        share = whole >> SHARE
+        width2, width1 = share * w2, share * w1
+        both = width2 + width1
+        part, rank = whole - both >> zero.bits, now.astype(np.int64)
+        offset = np.where(missed, both + part * zero.sums.take(rank, mode="clip"), np.where(not2, width2, none))
+        width = np.where(missed, part * zero.freq.take(rank, mode="clip"), np.where(not2, width1, width2))
+        coder.put(offset, width)
+        model.learn(now, not2, missed)
     words = coder.finish()
-    table = b"".join(struct.pack("<II", len(w) // 2, zlib.crc32(ids[k * BLOCK: (k + 1) * BLOCK].astype("<u4").tobytes())) for k, w in enumerate(words))
-    return head + struct.pack("<B", wide) + table + b"".join(words)
+    told = np.array([[len(w) for w in words], _checks(ids)], "<u4").T
+    return zero.pack() + told.tobytes() + np.concatenate(words).astype("<u4").tobytes()
+
+
+def _decode_group(segment: bytes, at: int, n: int) -> tuple[np.ndarray, list[bool], int]:
+    """The ids of a group of n ids from there on, whether each block is sound, and where the group ends."""
+    (told,) = struct.unpack_from("<I", segment, at)
+    at += 4
+    zero, sizes = Zero.unpack(segment[at: at + told]), _block_sizes(n)
+    table = np.frombuffer(segment, "<u4", 2 * len(sizes), at + told).reshape(-1, 2)
+    at += told + table.nbytes
+    stream = np.frombuffer(segment, "<u4", int(table[:, 0].sum()), at)
+    model, coder, rank_at = Model(len(sizes)), Decoder(stream, table[:, 0]), zero.at()
+    steps = np.zeros((int(sizes[0]), len(sizes)), np.uint32)
+    for t in range(len(steps)):
+        if t == sizes[-1]:
+            model.shrink(len(sizes) - 1)
+        p2, p1, w2, w1 = model.predict()
+        code, whole = coder.code[: model.n], coder.range[: model.n]
+        share = whole >> SHARE
+        width2, width1 = share * w2, share * w1
+        both = width2 + width1
+        not2, missed = code >= width2, code >= both
+        # where a guess was right, what follows from order 0 isn't used; in damaged blocks ranks are cut to those there are
+        part, left = whole - both >> zero.bits, code - both
+        rank = rank_at.take((left // part).view(np.int64), mode="clip")
+        now = np.where(missed, rank, np.where(not2, p1, p2))
+        width = np.where(missed, part * zero.freq.take(rank, mode="clip"), np.where(not2, width1, width2))
+        coder.got(np.where(missed, left - part * zero.sums.take(rank, mode="clip"), np.where(not2, code - width2, code)), width)
+        steps[t, : model.n] = now
+        model.learn(now, not2, missed)
+    ids = zero.values.take(steps.T.ravel()[:n])
+    return ids, [a == b for a, b in zip(_checks(ids), table[:, 1].tolist(), strict=True)], at + stream.nbytes
+
+
+def encode_segment(docs: list[np.ndarray]) -> bytes:
+    """One segment from the ids (u4) of its documents."""
+    ids = np.concatenate([np.zeros(0, np.uint32), *docs]).astype(np.uint32)
+    head = struct.pack(HEADER, MAGIC, len(ids), len(docs), BLOCK) + np.array([len(d) for d in docs], "<u4").tobytes()
+    return b"".join([head, *(_encode_group(ids[k: k + LANES * BLOCK]) for k in range(0, len(ids), LANES * BLOCK))])
 
 
 def decode_blocks(segment: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,32 +313,12 @@ def decode_blocks(segment: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = struct.calcsize(HEADER)
     lengths = np.frombuffer(segment, "<u4", docs, at)
     at += 4 * docs
-    if not n:
-        return np.zeros(0, np.uint32), lengths, np.zeros(0, bool)
-    wide, at = bool(segment[at]), at + 1
-    sizes = _block_sizes(n)
-    table = np.frombuffer(segment, "<u4", 2 * len(sizes), at).reshape(-1, 2)
-    at += table.nbytes
-    stream = np.frombuffer(segment, "<u2", int(table[:, 0].sum()), at)
-    model, coder = Model(len(sizes), wide), Decoder(np.split(stream, np.cumsum(table[:-1, 0])))
-    grid = np.zeros((len(sizes), BLOCK), np.uint32)
-    for t in range(int(sizes[0])):
-        if t == sizes[-1]:
-            model.shrink(len(sizes) - 1)
-        row, p2, p1 = model.predict()
-        outcome = coder.get(model.lane, model.flags, row)
-        now = np.where(outcome == 0, p2, p1)
-        missed = np.flatnonzero(outcome == 2)
-        if len(missed):
-            value = np.zeros(len(missed), np.int64)
-            for level in range(model.levels):
-                value = value << 4 | coder.get(missed, model.zero, model.row(missed, level, value))
-            now[missed] = value
-        grid[: model.n, t] = now
-        model.learn(now)
-    ids = grid.ravel()[:n]
-    sound = [zlib.crc32(ids[k * BLOCK: (k + 1) * BLOCK].astype("<u4").tobytes()) == crc for k, crc in enumerate(table[:, 1].tolist())]
-    return ids, lengths, np.array(sound, bool)
+    ids, sound = [np.zeros(0, np.uint32)], []
+    for k in range(0, n, LANES * BLOCK):
+        some, right, at = _decode_group(segment, at, min(LANES * BLOCK, n - k))
+        ids.append(some)
+        sound += right
+    return np.concatenate(ids), lengths, np.array(sound, bool)
 
 
 def decode_segment(segment: bytes) -> list[np.ndarray]:

@@ -171,6 +171,24 @@ def test_predictable_ids_cost_little():
     assert len(rangecoder.encode_segment([np.array(list(range(50)) * 800, np.uint32)])) < 40_000 * 0.12
 
 
+def test_an_id_is_one_step_of_the_coder(monkeypatch):
+    steps, put = [], rangecoder.Encoder.put
+    monkeypatch.setattr(rangecoder.Encoder, "put", lambda self, *a: steps.append(len(a[0])) or put(self, *a))
+    ids = np.random.default_rng(7).integers(0, 2**32, 3 * rangecoder.BLOCK, dtype=np.uint32)  # no guess is right
+    assert (rangecoder.decode_segment(rangecoder.encode_segment([ids]))[0] == ids).all()
+    assert len(steps) == rangecoder.BLOCK
+
+
+def test_groups_of_blocks(monkeypatch):
+    monkeypatch.setattr(rangecoder, "LANES", 2)
+    docs = [np.random.default_rng(n).zipf(1.3, n).astype(np.uint32) for n in (5000, 0, 20_000, 1)]
+    data = rangecoder.encode_segment(docs)
+    assert all((a == b).all() for a, b in zip(docs, rangecoder.decode_segment(data), strict=True))
+    harmed = bytearray(data)
+    harmed[-9] ^= 1  # in the last block
+    assert [d is not None for d in rangecoder.salvage_segment(bytes(harmed))] == [True, True, False, False]
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_cached_ids_equal_the_librarys(docs, name):
     ids, plain = tokens.ids_of(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
