@@ -42,8 +42,8 @@ BLOCK = 4096
 SEGMENT = 4_000_000
 #: Blocks that run in step. Their tables share the memory of one task, however long a document is.
 LANES = 2048
-#: Slots of the order-1 and order-2 tables of a block, as powers of two.
-ORDER1, ORDER2, HASH = 12, 12, np.array(40503)
+#: Slots of the order-1 and of the order-2 table of a block, as a power of two.
+SLOTS = 12
 #: Weights add up to 1 << WEIGHT. A step moves them by a share of 1 / (1 << RATE); REST is what order 2 and 1 leave to order 0 at least.
 WEIGHT, RATE, REST = 16, 5, 1024
 GAIN = ((1 << WEIGHT) - REST) >> RATE
@@ -60,9 +60,11 @@ def _u4(x: int) -> np.ndarray:
     return np.array(x, np.uint32)
 
 
-LOW, WORD, HALF, SHARE = _u8(1 << 32), _u8(32), _u8(2**32 - 1), _u8(WEIGHT)
-#: What is added to the weights (order 2 in the lower half, order 1 in the upper) after an id that order 2, order 1 or neither guessed, and how they shrink.
-ADDED, DECAY, KEPT = np.array([GAIN, GAIN << 32, 0], np.uint64), _u8(RATE), _u8((2**32 - 1 >> RATE) * (2**32 + 1))
+NONE, LOW, WORD, HALF, SHARE = _u8(0), _u8(1 << 32), _u8(32), _u8(2**32 - 1), _u8(WEIGHT)
+#: How weights (order 2 in the lower half, order 1 in the upper) shrink, and what is added where order 2 or order 1 guessed the id.
+DECAY, KEPT, GAIN2, GAIN1 = _u8(RATE), _u8((2**32 - 1 >> RATE) * (2**32 + 1)), _u8(GAIN), _u8(GAIN << 32)
+#: Of contexts, and of entries of the tables.
+MASK, HASH, UP, SURE, TWO = np.array((1 << SLOTS) - 1), np.array(40503), _u4(3), _u4(6), _u4(2)
 
 
 def _start() -> np.ndarray:
@@ -107,7 +109,7 @@ class Zero:
 
     def at(self) -> np.ndarray:
         """The rank that holds each number below the sum of frequencies."""
-        return np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq.astype(np.int64))
+        return np.repeat(np.arange(len(self.freq)), self.freq.astype(np.int64))
 
     def pack(self) -> bytes:
         told = zlib.compress(np.diff(self.values, prepend=np.uint32(0)).astype("<u4").tobytes() + self.freq.astype("<u4").tobytes(), 6)
@@ -122,56 +124,36 @@ class Zero:
         return cls(np.cumsum(values, dtype=np.uint32), freqs)
 
 
-class Table:
-    """What was seen last in each context of one order: entries of (rank, confidence), the confidence (0 to 3) from bit `bit` on.
+class Model:
+    """The adaptive state of so many blocks, and the walk through one id that coder and decoder share. Ids are known by their ranks.
 
-    A slot's entries lie side by side for all blocks, since blocks use the same slots often.
+    Tables hold the rank seen last in each context, with a confidence (0 to 3) in bits 1 and 2. A slot's
+    entries lie side by side for all blocks, since blocks use the same slots often. Order 1 comes first, then order 2.
     """
 
-    def __init__(self, blocks: int, slots: int, bit: int):
-        self.held = np.zeros(blocks << slots, np.uint32)
-        self.lane, self.blocks, self.mask = np.arange(blocks), np.array(blocks), np.array((1 << slots) - 1)
-        self.up, self.bits, self.one = _u4(bit + 2), _u4(3 << bit), _u4(1 << bit)
-
-    def look(self, context: np.ndarray) -> np.ndarray:
-        """The ranks guessed."""
-        self.at = (context & self.mask) * self.blocks + self.lane[: len(context)]
-        self.entry = self.held.take(self.at, mode="clip")
-        self.sure, self.guess = self.entry & self.bits, self.entry >> self.up
-        return self.guess
-
-    def learn(self, ranks: np.ndarray) -> None:
-        """A right guess grows surer; a wrong one falls to 1 from 2 and 3, else the new rank takes its place."""
-        surer = np.minimum(self.entry + self.one, self.entry | self.bits)
-        self.held[self.at] = np.where(self.guess == ranks, surer, np.where(self.sure > self.one, self.entry ^ self.sure | self.one, ranks << self.up))
-
-
-class Model:
-    """The adaptive state of so many blocks, and the walk through one id that coder and decoder share. Ids are known by their ranks."""
-
     def __init__(self, blocks: int):
-        self.n = blocks
         self.weights, self.base = np.tile(START, blocks), np.arange(blocks) * len(START)
-        self.order1, self.order2 = Table(blocks, ORDER1, 1), Table(blocks, ORDER2, 3)
-        self.last, self.last2 = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
+        self.held, self.blocks = np.zeros(2 * blocks << SLOTS, np.uint32), np.array(blocks)
+        self.lane = np.stack([np.arange(blocks), np.arange(blocks) + (blocks << SLOTS)])
+        self.context, self.last = np.zeros((2, blocks), np.int64), np.zeros(blocks, np.int64)
 
-    def shrink(self, k: int) -> None:
-        """Only the first k blocks go on: the last block of a segment may be shorter."""
-        self.base, self.last, self.last2, self.n = self.base[:k], self.last[:k], self.last2[:k], k
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The ranks that order 2 and order 1 guess, and the weights of both."""
-        p1, p2 = self.order1.look(self.last), self.order2.look(self.last + self.last2 * HASH)
-        self.row = (self.order1.sure | self.order2.sure | (p1 == p2)).astype(np.int64) + self.base
+    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ranks that order 1 and order 2 guess, and the weights of order 2 and of order 1."""
+        self.at = (self.context & MASK) * self.blocks + self.lane
+        self.entry = self.held.take(self.at, mode="clip")
+        guess, sure = self.entry >> UP, self.entry & SURE
+        self.row = (sure[1] << TWO | sure[0] | (guess[0] == guess[1])) + self.base
         self.now = self.weights.take(self.row, mode="clip")
-        return p2, p1, self.now & HALF, self.now >> WORD
+        return guess, self.now & HALF, self.now >> WORD
 
-    def learn(self, ranks: np.ndarray, not2: np.ndarray, missed: np.ndarray) -> None:
-        """not2: where order 2 didn't guess the id; missed: where order 1 didn't either."""
-        self.weights[self.row] = self.now - (self.now >> DECAY & KEPT) + ADDED.take(not2.view(np.uint8) + missed.view(np.uint8), mode="clip")
-        self.order1.learn(ranks)
-        self.order2.learn(ranks)
-        self.last2, self.last = self.last, ranks.astype(np.int64)
+    def learn(self, ids: np.ndarray, ranks: np.ndarray, wrong: np.ndarray, hit: np.ndarray, not2: np.ndarray) -> None:
+        """ids: the ranks as entries have them; wrong: which guesses were; hit: the blocks where one was right, and not2: where that is order 1 alone."""
+        now = self.now - (self.now >> DECAY & KEPT)
+        now[hit] += np.where(not2, GAIN1, GAIN2)
+        self.weights[self.row] = now
+        self.held[self.at] = np.where(wrong, ids << UP, np.minimum(self.entry + TWO, self.entry | SURE))
+        np.add(self.last * HASH, ranks, out=self.context[1])
+        self.context[0] = self.last = ranks
 
 
 class Encoder:
@@ -183,19 +165,18 @@ class Encoder:
         self.at = np.arange(blocks)
 
     def put(self, offset: np.ndarray, width: np.ndarray) -> None:
-        """Narrows each of the first blocks to width, from offset on."""
-        k = len(offset)
-        low = self.low[:k] + offset
-        self.carries[:k] |= low < offset  # once between two words at most
+        """Narrows each block's range to width, from offset on."""
+        low = self.low
+        low += offset
+        self.carries |= low < offset  # once between two words at most
         small = (width < LOW).nonzero()[0]
-        if len(small):
-            at, head = self.at[small], low[small]
-            self.out[at] = head >> WORD | self.carries[small].astype(np.uint64) << WORD
-            self.at[small] = at + self.blocks
-            self.carries[small] = False
-            low[small] = head << WORD
-            width[small] <<= WORD
-        self.low[:k], self.range[:k] = low, width
+        at, head = self.at[small], low[small]
+        self.out[at] = head >> WORD | self.carries[small].astype(np.uint64) << WORD
+        self.at[small] = at + self.blocks
+        self.carries[small] = False
+        low[small] = head << WORD
+        width[small] <<= WORD
+        self.range = width
 
     def finish(self) -> list[np.ndarray]:
         last = self.low + HALF
@@ -217,15 +198,13 @@ class Decoder:
         self.at = np.arange(2 * self.blocks, 3 * self.blocks)
 
     def got(self, code: np.ndarray, width: np.ndarray) -> None:
-        """Goes on in each of the first blocks with the code inside an interval of that width."""
-        k = len(code)
+        """Goes on with each block's code inside an interval of that width."""
         small = (width < LOW).nonzero()[0]
-        if len(small):
-            at = self.at[small]
-            code[small] = code[small] << WORD | self.words.take(at, mode="clip")
-            self.at[small] = at + self.blocks
-            width[small] <<= WORD
-        self.code[:k], self.range[:k] = code, width
+        at = self.at[small]
+        code[small] = code[small] << WORD | self.words.take(at, mode="clip")
+        self.at[small] = at + self.blocks
+        width[small] <<= WORD
+        self.code, self.range = code, width
 
 
 def _block_sizes(ids: int) -> np.ndarray:
@@ -242,23 +221,22 @@ def _checks(ids: np.ndarray) -> list[int]:
 def _encode_group(ids: np.ndarray) -> bytes:
     sizes, (zero, ranks) = _block_sizes(len(ids)), Zero.of(ids)
     steps = np.ascontiguousarray(np.pad(ranks, (0, -len(ranks) % BLOCK)).reshape(-1, BLOCK)[:, : sizes[0]].T)
-    model, coder, none = Model(len(sizes)), Encoder(len(sizes), int(sizes[0])), _u8(0)
-    for t in range(int(sizes[0])):
-        if t == sizes[-1]:
-            model.shrink(len(sizes) - 1)
-        now = steps[t, : model.n]
-        p2, p1, w2, w1 = model.predict()
-        not2, missed = now != p2, now != p1
-        missed &= not2
-        whole = coder.range[: model.n]
+    del ranks
+    model, coder = Model(len(sizes)), Encoder(len(sizes), int(sizes[0]))
+    for now in steps:
+        guess, w2, w1 = model.predict()
+        wrong, rank, whole = guess != now, now.astype(np.int64), coder.range
+        hit = (~(wrong[0] & wrong[1])).nonzero()[0]
         share = whole >> SHARE
         width2, width1 = share * w2, share * w1
         both = width2 + width1
-        part, rank = whole - both >> zero.bits, now.astype(np.int64)
-        offset = np.where(missed, both + part * zero.sums.take(rank, mode="clip"), np.where(not2, width2, none))
-        width = np.where(missed, part * zero.freq.take(rank, mode="clip"), np.where(not2, width1, width2))
+        part = whole - both >> zero.bits
+        offset, width = both + part * zero.sums.take(rank, mode="clip"), part * zero.freq.take(rank, mode="clip")
+        not2, by2 = wrong[1][hit], width2[hit]
+        offset[hit] = np.where(not2, by2, NONE)
+        width[hit] = np.where(not2, width1[hit], by2)
         coder.put(offset, width)
-        model.learn(now, not2, missed)
+        model.learn(now, rank, wrong, hit, not2)
     words = coder.finish()
     told = np.array([[len(w) for w in words], _checks(ids)], "<u4").T
     return zero.pack() + told.tobytes() + np.concatenate(words).astype("<u4").tobytes()
@@ -274,23 +252,26 @@ def _decode_group(segment: bytes, at: int, n: int) -> tuple[np.ndarray, list[boo
     stream = np.frombuffer(segment, "<u4", int(table[:, 0].sum()), at)
     model, coder, rank_at = Model(len(sizes)), Decoder(stream, table[:, 0]), zero.at()
     steps = np.zeros((int(sizes[0]), len(sizes)), np.uint32)
-    for t in range(len(steps)):
-        if t == sizes[-1]:
-            model.shrink(len(sizes) - 1)
-        p2, p1, w2, w1 = model.predict()
-        code, whole = coder.code[: model.n], coder.range[: model.n]
+    for now in steps:
+        guess, w2, w1 = model.predict()
+        code, whole = coder.code, coder.range
         share = whole >> SHARE
         width2, width1 = share * w2, share * w1
         both = width2 + width1
-        not2, missed = code >= width2, code >= both
-        # where a guess was right, what follows from order 0 isn't used; in damaged blocks ranks are cut to those there are
+        hit = (code < both).nonzero()[0]
+        # where a guess was right, what follows from order 0 is replaced; in damaged blocks ranks are cut to those there are
         part, left = whole - both >> zero.bits, code - both
         rank = rank_at.take((left // part).view(np.int64), mode="clip")
-        now = np.where(missed, rank, np.where(not2, p1, p2))
-        width = np.where(missed, part * zero.freq.take(rank, mode="clip"), np.where(not2, width1, width2))
-        coder.got(np.where(missed, left - part * zero.sums.take(rank, mode="clip"), np.where(not2, code - width2, code)), width)
-        steps[t, : model.n] = now
-        model.learn(now, not2, missed)
+        left -= part * zero.sums.take(rank, mode="clip")
+        width = part * zero.freq.take(rank, mode="clip")
+        seen, by2 = code[hit], width2[hit]
+        not2 = seen >= by2
+        rank[hit] = np.where(not2, guess[0][hit], guess[1][hit])
+        left[hit] = np.where(not2, seen - by2, seen)
+        width[hit] = np.where(not2, width1[hit], by2)
+        coder.got(left, width)
+        now[:] = rank
+        model.learn(now, rank, guess != now, hit, not2)
     ids = zero.values.take(steps.T.ravel()[:n])
     return ids, [a == b for a, b in zip(_checks(ids), table[:, 1].tolist(), strict=True)], at + stream.nbytes
 
