@@ -11,7 +11,8 @@ a row of weights that adapts inside the block, so predictions are mixed as they
 good: the coder gives an id the weight w2 if order 2 guesses it, else w1 if order 1 does,
 else (1 - w2 - w1) P(order 0). Order 0 has the frequencies of the group, which stand ahead of
 its blocks. All of it is one interval of a range coder with 64-bit state, 32-bit output
-words and carries carried into words already out.
+words and carries carried into words already out. A damaged table of frequencies is found
+and makes its whole group unreadable.
 
 Layout (little-endian): magic "ORC2", id count u64, document count u64, block length u32;
 lengths of documents u32; then groups. A group: byte count of its table u32; the table under
@@ -44,7 +45,7 @@ SEGMENT = 4_000_000
 LANES = 2048
 #: Slots of the order-1 and of the order-2 table of a block, as a power of two.
 SLOTS = 12
-#: Weights add up to 1 << WEIGHT. A step moves them by a share of 1 / (1 << RATE); REST is what order 2 and 1 leave to order 0 at least.
+#: Weights add up to 1 << WEIGHT. A step moves them by a share of 1 / (1 << RATE); REST is about what order 2 and 1 leave to order 0 at least.
 WEIGHT, RATE, REST = 16, 5, 1024
 GAIN = ((1 << WEIGHT) - REST) >> RATE
 #: Bits of the sum of order-0 frequencies, at least and at most: the narrowest range still has room for each.
