@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from orolith.llm import bpe, queries
@@ -85,3 +86,16 @@ def test_odd_rows(spark, library):
     found = sorted(bpe.decode(encoded, PATH).collect(), key=str)
     assert [(r["doc_id"], len(r["ids"]), r["text"]) for r in found] == [(1, 0, ""), (1, 0, ""), (2, len(library.encode(long, add_special_tokens=False).ids), long), (None, 0, "")]
     assert bpe.decode(bpe.encode(docs.limit(0), PATH), PATH).count() == 0
+
+
+def test_rows_of_one_task_are_dealt(spark, library):
+    """A row group is read by one task, however large; equal rows aren't gathered either."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = spark.createDataFrame([(1, "the cat's  ")] * 400, "doc_id long, text string").coalesce(1)
+        found = bpe.encode(docs, PATH).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [tuple(r["ids"]) for r in found] == [tuple(library.encode("the cat's  ", add_special_tokens=False).ids)] * 400
+    sizes = np.unique([r["task"] for r in found], return_counts=True)[1]
+    assert len(sizes) == 4 and sizes.max() < 200
