@@ -50,6 +50,14 @@ BLANKS = (0x20, *range(0x09, 0x0E), *range(0x1C, 0x20))
 #: Letters below this character are letters to every version of Unicode's tables.
 LATIN = "\u0250"
 
+#: Longest words that are merged side by side, in groups by length, and how many words at once.
+LENGTHS, WORDS = (8, 16, 32, 64), 1 << 15
+#: Bytes of letters that take two bytes or one: ASCII, and U+00C0 to U+023F but for the two signs among them.
+LETTERS = np.zeros(256, bool)
+LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xC9)]] = True
+SIGNS = (0xC397, 0xC3B7)
+NONE = np.iinfo(np.int32).max
+
 _held: dict[str, "Codec"] = {}
 
 
@@ -88,6 +96,73 @@ def forced_cuts(tokens: list[bytes]) -> np.ndarray:
     return plain & ~joined_pairs([*tokens, *(c.encode() for c in CONTRACTIONS)])
 
 
+class Merges:
+    """The merges of a byte-level vocabulary, as a hash table with linear probing of its pairs of ids."""
+
+    def __init__(self, model: dict, alphabet: dict[int, str]):
+        vocab = model["vocab"]
+        self.bytes = np.array([vocab[alphabet[b]] for b in range(256)], np.int64)
+        told = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        ranks = {vocab[a] << 32 | vocab[b]: k for k, (a, b) in enumerate(told)}
+        self.made = np.array([vocab[a + b] for a, b in told] or [0], np.int64)
+        keys, of = np.fromiter(ranks, np.uint64, len(ranks)), np.fromiter(ranks.values(), np.int32, len(ranks))
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.keys, self.ranks = np.full(1 << self.bits, ~np.uint64(0)), np.full(1 << self.bits, NONE, np.int32)
+        slots, left = self.slots(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[slots[left]] == ~np.uint64(0)]
+            taken, first = np.unique(slots[free], return_index=True)
+            self.keys[taken], self.ranks[taken] = keys[free[first]], of[free[first]]
+            left = np.setdiff1d(left, free[first])
+            slots[left] = slots[left] + 1 & (1 << self.bits) - 1
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of the merge of each pair of ids; NONE where there is none."""
+        keys = (a << 32 | b).astype(np.uint64)
+        slots = self.slots(keys)
+        met = self.keys[slots]
+        out = np.where(met == keys, self.ranks[slots], NONE)
+        far = np.flatnonzero((met != keys) & (met != ~np.uint64(0)))
+        while len(far):
+            slots[far] = slots[far] + 1 & (1 << self.bits) - 1
+            met = self.keys[slots[far]]
+            out[far] = np.where(met == keys[far], self.ranks[slots[far]], NONE)
+            far = far[(met != keys[far]) & (met != ~np.uint64(0))]
+        return out
+
+    def merged(self, raw: np.ndarray, begins: np.ndarray, sizes: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of raw, one after the other, and how many each has. In each step each word does its first merge of least rank."""
+        n, place = len(begins), np.arange(longest)[:, None]
+        inside = place < sizes
+        ids = np.where(inside, self.bytes[raw[np.where(inside, begins + place, 0)]], -1)
+        after, before = np.repeat(place + 1, n, 1), np.repeat(place - 1, n, 1)
+        least = np.full((longest, n), NONE << 8, np.int64)  # rank and place of the pair that begins here
+        pairs = inside[1:]
+        least[:-1][pairs] = self.rank(ids[:-1][pairs], ids[1:][pairs]).astype(np.int64) << 8 | np.broadcast_to(place[:-1], pairs.shape)[pairs]
+        while True:
+            best = least.min(axis=0)
+            word = np.flatnonzero(best < NONE << 8)
+            if not len(word):
+                break
+            rank, at = best[word] >> 8, best[word] & 255
+            gone, left = after[at, word], before[at, word]
+            right = after[gone, word]
+            ids[at, word] = new = self.made[rank]
+            ids[gone, word], least[gone, word], least[at, word], after[at, word] = -1, NONE << 8, NONE << 8, right
+            has = np.flatnonzero(right < sizes[word])
+            w, k, r = word[has], at[has], right[has]
+            before[r, w] = k
+            least[k, w] = self.rank(new[has], ids[r, w]).astype(np.int64) << 8 | k
+            has = np.flatnonzero(left >= 0)
+            w, k = word[has], left[has]
+            least[k, w] = self.rank(ids[k, w], new[has]).astype(np.int64) << 8 | k
+        ids = ids.T
+        return ids[ids >= 0], (ids >= 0).sum(axis=1)
+
+
 class Codec:
     """A tokenizer file with its cuts, its tokens' bytes and the fragments met so far."""
 
@@ -107,6 +182,7 @@ class Codec:
         self.alphabet = byte_alphabet()
         self.space = self.alphabet[0x20]
         self.known: dict[bytes, bytes] = {}
+        self.merges = Merges(model, self.alphabet) if self.cut and not model.get("ignore_merges") and model["vocab"].keys() >= {*self.alphabet.values()} else None
 
     @cached_property
     def tokenizer(self) -> Tokenizer:
@@ -149,13 +225,33 @@ class Codec:
         whole, ends = raw.tobytes(), at.tolist()
         fragments = [whole[a:b] for a, b in zip(ends, ends[1:], strict=False)]  # to_pylist() takes ten times as long
         found = list(map(self.known.get, fragments))
-        for i in [i for i, ids in enumerate(found) if ids is None]:
-            new = self.new_ids(fragments[i].decode())
-            found[i] = struct.pack(f"<{len(new)}I", *new)
+        new = [i for i, ids in enumerate(found) if ids is None]
+        self.merge_words(raw, at, np.array(new, np.int64), found)
+        for i in new:
+            if found[i] is None:
+                ids = self.new_ids(fragments[i].decode())
+                found[i] = struct.pack(f"<{len(ids)}I", *ids)
             if len(self.known) < CACHE and len(fragments[i]) <= LONGEST:
                 self.known[fragments[i]] = found[i]
         return found
 
+    def merge_words(self, raw: np.ndarray, at: np.ndarray, new: np.ndarray, found: list[bytes | None]) -> None:
+        """Finds the ids of those of the new fragments that are one word of Latin letters, perhaps after a space: the pre-tokenizer leaves them whole."""
+        if self.merges is None or not len(new):
+            return
+        sizes = np.diff(at)
+        plain = LETTERS[raw]
+        plain[at[:-1]] |= (raw[at[:-1]] == 0x20) & (sizes > 1)
+        plain[1:] &= ~np.isin(raw[:-1].astype(np.uint16) << np.uint16(8) | raw[1:], SIGNS)
+        new = new[np.logical_and.reduceat(plain, at[:-1])[new]]
+        for least, most in zip((0, *LENGTHS), LENGTHS, strict=False):
+            group = new[(sizes[new] > least) & (sizes[new] <= most)]
+            for words in np.array_split(group, -(-len(group) // WORDS)) if len(group) else ():
+                ids, n = self.merges.merged(raw, at[words], sizes[words], most)
+                told, ends = ids.astype("<u4").tobytes(), [0, *(np.cumsum(n) * 4).tolist()]
+                for i, a, b in zip(words.tolist(), ends, ends[1:], strict=False):
+                    found[i] = told[a:b]
+
     def encode(self, texts: pa.Array) -> pa.Array:
         """Lists of ids of texts."""
         raw, at = flat_texts(texts)

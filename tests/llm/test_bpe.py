@@ -88,6 +88,19 @@ def test_odd_rows(spark, library):
     assert bpe.decode(bpe.encode(docs.limit(0), PATH), PATH).count() == 0
 
 
+def test_words_merged_side_by_side(library):
+    """New words take their merges in NumPy, all others go to the library."""
+    rng, asked = np.random.default_rng(7), []
+    parts = [*"etaonihsrdlu", "th", "tion", "ing", "É", "ß", "ſ", "ș", "ƿ", "×", "÷", "ª", "ɐ", "中"]
+    words = ["".join(rng.choice(parts, rng.integers(1, 40), p=[0.06] * 15 + [0.0095] * 5 + [0.0105] * 5)) for _ in range(4000)] + ["e" * 63, "e" * 64, "e" * 65, "th" * 400]
+    codec = bpe.Codec(PATH)
+    codec.new_ids = lambda fragment, ask=codec.new_ids: asked.append(fragment) or ask(fragment)
+    texts = [w if k % 3 else f"{w} {w}" for k, w in enumerate(words)] + ["", " ", "\n the"]
+    assert codec.encode(pa.array(texts)).to_pylist() == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not any(f.isascii() and f.lstrip(" ").isalpha() and len(f) <= 64 for f in asked)
+    assert any("×" in f for f in asked) and any("÷" in f for f in asked) and "th" * 400 in asked and len(asked) < 2500
+
+
 def test_rows_of_one_task_are_dealt(spark, library):
     """A row group is read by one task, however large; equal rows aren't gathered either."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
