@@ -4,7 +4,8 @@ A merge makes a token that holds the two bytes at its seam. So where a byte pair
 token of the vocabulary, no merge ever spans it, and the text on both sides can be encoded
 independently. Such cuts part nearly all words, as letters and the space after them meet in no
 token. Fragments repeat far more than texts do: each batch encodes its distinct ones, and each
-Python worker keeps a bounded number of them. Rows are dealt evenly over tasks first: one task reads a
+Python worker keeps a bounded number of them. New words of Latin letters take their merges in NumPy, many
+in step; the library encodes all other fragments. Rows are dealt evenly over tasks first: one task reads a
 row group of a file, however large, and encoding a text costs far more than moving it.
 
 The pre-tokenizer looks at characters, not at merges, so a cut counts only where it can't change
@@ -290,10 +291,14 @@ def codec(path: str) -> Codec:
     return _held[path]
 
 
-def _mapped(df: DataFrame, column: str, out: str, kind: T.DataType, convert: str, path: str) -> DataFrame:
-    """df with what the codec makes of a column; texts give way to their ids."""
-    kept = [f for f in df.schema.fields if f.name not in ({column, out} if convert == "encode" else {out})]
-    arrow = pa.list_(pa.int32()) if convert == "encode" else pa.string()
+#: What a conversion gives, for Spark and for Arrow.
+KINDS = {"encode": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), "decode": (T.StringType(), pa.string())}
+
+
+def _mapped(df: DataFrame, column: str, steps: dict[str, str], path: str) -> DataFrame:
+    """df with what the codec makes of a column. steps: conversions by the name of their result, each of what the one before gave; texts give way to their ids."""
+    given = {*steps, column} if "encode" in steps.values() else {*steps}
+    kept = [f for f in df.schema.fields if f.name not in given]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = codec(path)
@@ -304,11 +309,13 @@ def _mapped(df: DataFrame, column: str, out: str, kind: T.DataType, convert: str
                 upto = (sizes[low - 1] if low else 0) + CHUNK
                 high = max(low + 1, int(np.searchsorted(sizes, upto, side="right")))
                 piece = b.slice(low, high - low)
-                result = getattr(made, convert)(piece.column(piece.schema.get_field_index(column))).cast(arrow)
-                yield pa.RecordBatch.from_arrays([*(piece.column(piece.schema.get_field_index(f.name)) for f in kept), result], [*(f.name for f in kept), out])
+                results = [piece.column(piece.schema.get_field_index(column))]
+                for convert in steps.values():
+                    results.append(getattr(made, convert)(results[-1]).cast(KINDS[convert][1]))
+                yield pa.RecordBatch.from_arrays([*(piece.column(piece.schema.get_field_index(f.name)) for f in kept), *results[1:]], [*(f.name for f in kept), *steps])
                 low = high
 
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField(out, kind)]))
+    return df.mapInArrow(run, T.StructType([*kept, *(T.StructField(name, KINDS[convert][0]) for name, convert in steps.items())]))
 
 
 def _sizes(values: pa.Array) -> np.ndarray:
@@ -328,9 +335,14 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
 
     path: a tokenizers file that every executor can open.
     """
-    return _mapped(dealt(docs), text, out, T.ArrayType(T.IntegerType()), "encode", path)
+    return _mapped(dealt(docs), text, {out: "encode"}, path)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
     """Adds the text of a column of ids: that of Tokenizer.decode(ids, skip_special_tokens=False)."""
-    return _mapped(docs, ids, out, T.StringType(), "decode", path)
+    return _mapped(docs, ids, {out: "decode"}, path)
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", out: str = "text") -> DataFrame:
+    """decode(encode(docs)) in one pass: ids, and the text that they decode to. Between the two, ids needn't leave the Python worker and come back."""
+    return _mapped(dealt(docs), text, {ids: "encode", out: "decode"}, path)

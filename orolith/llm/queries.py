@@ -163,9 +163,9 @@ FROM k JOIN t ON t.lang = k.lang QUALIFY row_number() OVER (PARTITION BY k.lang
 
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    docs = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     told = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return bpe.decode(encoded, path).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(told, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+    return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(told, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_embeddings": op1_embeddings, "op2_token_files": op2_token_files, "op3_sharding": op3_sharding, "op4_backoff": op4_backoff, "op5_packing": op5_packing, "op6_quality": op6_quality, "op7_html": op7_html, "op8_chat": op8_chat, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing, "op11_hard_negatives": op11_hard_negatives, "op12_phrases": op12_phrases, "op13_bpe": op13_bpe}

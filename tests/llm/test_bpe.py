@@ -112,3 +112,13 @@ def test_rows_of_one_task_are_dealt(spark, library):
     assert [tuple(r["ids"]) for r in found] == [tuple(library.encode("the cat's  ", add_special_tokens=False).ids)] * 400
     sizes = np.unique([r["task"] for r in found], return_counts=True)[1]
     assert len(sizes) == 4 and sizes.max() < 200
+
+
+def test_one_pass(spark):
+    """One pass gives what encode() and then decode() give, by one Python step."""
+    rows = [(1, None, "x"), (1, None, "x"), (None, "", None), (2, "the cat's  \nÉté × 中", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    both, one = bpe.decode(bpe.encode(docs, PATH), PATH), bpe.round_trip(docs, PATH)
+    assert one.schema == both.schema and sorted(one.collect(), key=str) == sorted(both.collect(), key=str)
+    assert bpe.round_trip(docs, PATH, out="back").columns == ["doc_id", "ids", "back"] and bpe.round_trip(docs.limit(0), PATH).count() == 0
+    assert queries.op13_bpe(spark, SF)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
