@@ -12,7 +12,7 @@ The pre-tokenizer looks at characters, not at merges, so a cut counts only where
 what that sees: between two characters, neither an ASCII apostrophe, the first no white space. (A run of
 white space is split by what follows it; a contraction by what begins it.) The first is one of ASCII or of
 two bytes from U+00C0 on, where no white space is, the second any. Pairs inside the contractions and the names of added tokens count as joined. Files with a normalizer, a prefix space or
-another pre-tokenizer have no certain cuts here: their texts are encoded whole.
+another pre-tokenizer have no certain cuts here, nor have such with an added token of letters alone: their texts are encoded whole.
 
 Defined results: a null or empty text has no ids; null ids, and ids that no token has, decode to nothing;
 bytes that aren't UTF-8 decode to U+FFFD; other columns pass through, but one with the name of
@@ -176,6 +176,7 @@ class Codec:
         model = told["model"]
         plain = plain and model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
         whole = not any(t[k] for t in told["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        whole = whole and not any((t["content"].strip(" \n") or "a").isalpha() for t in told["added_tokens"])  # words go to the merges alone
         self.cuts = forced_cuts(tokens) if plain and whole else np.zeros(1 << 16, bool)
         self.cut = bool(self.cuts.any())
         self.tokens = pa.array([*tokens, b""], pa.large_binary())

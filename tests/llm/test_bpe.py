@@ -88,6 +88,16 @@ def test_odd_rows(spark, library):
     assert bpe.decode(bpe.encode(docs.limit(0), PATH), PATH).count() == 0
 
 
+def test_added_token_of_letters(tmp_path):
+    with open(PATH, encoding="utf-8") as f:
+        told = json.load(f)
+    told["added_tokens"].append(told["added_tokens"][0] | {"id": 50257, "content": "PAD"})
+    path = tmp_path / "pad.json"
+    path.write_text(json.dumps(told))
+    texts = ["a PADs", "xPADy PAD", "the cat"]
+    assert bpe.Codec(str(path)).encode(pa.array(texts)).to_pylist() == [Tokenizer.from_file(str(path)).encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_words_merged_side_by_side(library):
     """New words take their merges in NumPy, all others go to the library."""
     rng, asked = np.random.default_rng(7), []
