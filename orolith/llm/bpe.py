@@ -326,9 +326,11 @@ def _sizes(values: pa.Array) -> np.ndarray:
 
 
 def dealt(docs: DataFrame) -> DataFrame:
-    """Rows spread evenly over tasks, by their place: a hash of ids or texts would gather equal ones."""
+    """Rows spread evenly over tasks, by their place: a hash of ids or texts would gather equal ones. Without adaptive execution Spark ignores the hint."""
     place = "_place of a row"
-    return docs.withColumn(place, F.monotonically_increasing_id()).hint("rebalance", F.col(f"`{place}`")).drop(place)
+    placed, key = docs.withColumn(place, F.monotonically_increasing_id()), F.col(f"`{place}`")
+    adaptive = docs.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    return (placed.hint("rebalance", key) if adaptive else placed.repartition(key)).drop(place)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:

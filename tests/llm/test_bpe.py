@@ -124,6 +124,16 @@ def test_rows_of_one_task_are_dealt(spark, library):
     assert len(sizes) == 4 and sizes.max() < 200
 
 
+def test_rows_are_dealt_without_adaptive_execution(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        docs = spark.createDataFrame([(1, "the cat's  ")] * 400, "doc_id long, text string").coalesce(1)
+        found = bpe.encode(docs, PATH).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(found) == 4 and sum(r["count"] for r in found) == 400
+
+
 def test_one_pass(spark):
     """One pass gives what encode() and then decode() give, by one Python step."""
     rows = [(1, None, "x"), (1, None, "x"), (None, "", None), (2, "the cat's  \nÉté × 中", "y")]
